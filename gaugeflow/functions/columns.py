@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def q(name: str) -> str:
+    """A column name as SQL text, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def qs(names: Iterable[str]) -> list[str]:
+    return [q(n) for n in names]
+
+
 def col(name: str) -> Column:
-    """Column by exact name, whatever characters it holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """Column by exact name."""
+    return F.col(q(name))
 
 
 def drop_like(df: DataFrame, substr: str) -> DataFrame:
     """Drop the columns whose name contains ``substr``."""
-    return df.select(*[col(c) for c in df.columns if substr not in c])
+    return df.select(*qs(c for c in df.columns if substr not in c))
 
 
 def cols_like(df: DataFrame, substr: str) -> list[str]:
@@ -33,4 +44,4 @@ def nan_to_null(c: Column) -> Column:
 
 def unpivot(df: DataFrame, keys: list[str], cols: list[str], name: str, value: str) -> DataFrame:
     """Wide to long: one row per (row, column)."""
-    return df.unpivot([col(k) for k in keys], [col(c) for c in cols], name, value)
+    return df.unpivot(qs(keys), qs(cols), name, value)

@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.columns import col
+from gaugeflow.functions.columns import col, q, qs
 from gaugeflow.functions.times import DAY, MINUTE, at_seconds, epoch_seconds
 
 WEEK = 7 * DAY
@@ -41,10 +41,6 @@ def with_chunk(df: DataFrame, ts: str, chunk: int = WEEK) -> DataFrame:
     return df.withColumns({SEC: sec, CHUNK: F.floor(sec / F.lit(chunk))})
 
 
-def _keys(keys: Sequence[str]) -> list[Column]:
-    return [col(k) for k in keys]
-
-
 def at_offsets(
     df: DataFrame, keys: Sequence[str], ts: str, wanted: Sequence[tuple[str, int, str]], chunk: int = WEEK
 ) -> DataFrame:
@@ -63,17 +59,23 @@ def at_offsets(
             CHUNK, F.explode(F.sequence(F.floor((sec - ahead) / F.lit(chunk)), F.floor((sec + back) / F.lit(chunk))))
         )
     )
-    by_time = Window.partitionBy(*_keys(keys), F.col(CHUNK)).orderBy(SEC)
+    series = ", ".join(qs([*keys, CHUNK]))
     looked_up = [
-        F.max(col(c)).over(by_time.rangeBetween(m * MINUTE, m * MINUTE)).alias(name) for c, m, name in wanted
+        F.expr(f"max({q(c)}) OVER (PARTITION BY {series} ORDER BY {SEC} RANGE BETWEEN {_bound(m)} AND {_bound(m)}) AS {q(name)}")
+        for c, m, name in wanted
     ]
     return (
         sent.select("*", *looked_up)
         .where(F.col(CHUNK) == F.col(OWN))
-        .select(*[col(c) for c in df.columns], *[col(name) for _, _, name in wanted])
+        .select(*qs(df.columns), *qs(name for _, _, name in wanted))
     )
 
 
+def _bound(minutes: int) -> str:
+    """Window frame bound at an offset in minutes."""
+    return f"{abs(minutes) * MINUTE} {'PRECEDING' if minutes < 0 else 'FOLLOWING'}"
+
+
 def _nearest_known(
     df: DataFrame, keys: Sequence[str], cols: Sequence[str], order: str
 ) -> tuple[DataFrame, dict[str, tuple[Column, Column, Column, Column]]]:
@@ -93,18 +95,18 @@ def _nearest_known(
             F.min_by(col(c), known_at).alias(f"__fv{i}"),
             F.min(known_at).alias(f"__ft{i}"),
         ]
-    summary = df.groupBy(*_keys(group)).agg(*aggs)
-    earlier = Window.partitionBy(*_keys(keys)).orderBy(F.col(CHUNK).asc()).rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy(*_keys(keys)).orderBy(F.col(CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    summary = df.groupBy(*qs(group)).agg(*aggs)
+    earlier = Window.partitionBy(*qs(keys)).orderBy(F.col(CHUNK).asc()).rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*qs(keys)).orderBy(F.col(CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
     carried = summary.select(
-        *_keys(group),
+        *qs(group),
         *[F.last(f"__l{x}{i}", True).over(earlier).alias(f"__cp{x}{i}") for i in range(len(cols)) for x in "vt"],
         *[F.last(f"__f{x}{i}", True).over(later).alias(f"__cn{x}{i}") for i in range(len(cols)) for x in "vt"],
     )
     # Both directions use a growing frame (linear); "rows following" frames
     # would be re-evaluated from scratch for every row.
-    upto = Window.partitionBy(*_keys(group)).orderBy(at.asc()).rowsBetween(Window.unboundedPreceding, 0)
-    downto = Window.partitionBy(*_keys(group)).orderBy(at.desc()).rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy(*qs(group)).orderBy(at.asc()).rowsBetween(Window.unboundedPreceding, 0)
+    downto = Window.partitionBy(*qs(group)).orderBy(at.desc()).rowsBetween(Window.unboundedPreceding, 0)
     joined = df.join(carried, group, "left")
     picked = {}
     for i, c in enumerate(cols):
@@ -130,7 +132,7 @@ def ffill_bfill(
     cols = [c for c in df.columns if c != ts and c not in keys] if cols is None else list(cols)
     joined, picked = _nearest_known(with_chunk(df, ts, chunk), keys, cols, SEC)
     filled = {c: F.coalesce(p[0], p[2]) if backward else p[0] for c, p in picked.items()}
-    return joined.select(*[filled[c].alias(c) if c in filled else col(c) for c in df.columns])
+    return joined.select(*[filled[c].alias(c) if c in filled else q(c) for c in df.columns])
 
 
 def _interpolated(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order: str, out: Sequence[str]) -> DataFrame:
@@ -140,7 +142,7 @@ def _interpolated(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order
     for c, (pv, pt, nv, nt) in picked.items():
         between = pv + (nv - pv) * F.try_divide((at - pt).cast("double"), (nt - pt).cast("double"))
         filled[c] = F.when(col(c).isNotNull(), col(c)).otherwise(F.coalesce(between, pv, nv))
-    return joined.select(*[filled[c].alias(c) if c in filled else col(c) for c in out])
+    return joined.select(*[filled[c].alias(c) if c in filled else q(c) for c in out])
 
 
 def interpolate_time(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str], chunk: int = WEEK) -> DataFrame:
@@ -151,18 +153,18 @@ def interpolate_time(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence
 
 def row_positions(df: DataFrame, keys: Sequence[str], ts: str, out: str, chunk: int = WEEK) -> DataFrame:
     """0-based position of each row in its series, in time order."""
-    return _positioned(with_chunk(df, ts, chunk), keys, out).select(*[col(c) for c in df.columns], col(out))
+    return _positioned(with_chunk(df, ts, chunk), keys, out).select(*qs([*df.columns, out]))
 
 
 def _positioned(chunked: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
     group = [*keys, CHUNK]
-    before = Window.partitionBy(*_keys(keys)).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*qs(keys)).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        chunked.groupBy(*_keys(group))
+        chunked.groupBy(*qs(group))
         .agg(F.count("*").alias("__n"))
-        .select(*_keys(group), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+        .select(*qs(group), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
     )
-    within = Window.partitionBy(*_keys(group)).orderBy(SEC)
+    within = Window.partitionBy(*qs(group)).orderBy(SEC)
     return (
         chunked.join(offsets, group, "left")
         .withColumn(out, F.col("__offset") + F.row_number().over(within) - 1)
@@ -179,13 +181,13 @@ def with_next_second(df: DataFrame, keys: Sequence[str], ts: str, out: str, chun
     """Add ``SEC`` and the second of the next row of the series (null at its end)."""
     chunked = with_chunk(df, ts, chunk)
     group = [*keys, CHUNK]
-    in_order = Window.partitionBy(*_keys(keys)).orderBy(CHUNK)
+    in_order = Window.partitionBy(*qs(keys)).orderBy(CHUNK)
     starts = (
-        chunked.groupBy(*_keys(group))
+        chunked.groupBy(*qs(group))
         .agg(F.min(SEC).alias("__start"))
-        .select(*_keys(group), F.lead("__start").over(in_order).alias("__next_start"))
+        .select(*qs(group), F.lead("__start").over(in_order).alias("__next_start"))
     )
-    within = Window.partitionBy(*_keys(group)).orderBy(SEC)
+    within = Window.partitionBy(*qs(group)).orderBy(SEC)
     return (
         chunked.join(starts, group, "left")
         .withColumn(out, F.coalesce(F.lead(SEC).over(within), F.col("__next_start")))
@@ -193,9 +195,12 @@ def with_next_second(df: DataFrame, keys: Sequence[str], ts: str, out: str, chun
     )
 
 
-def regularise(df: DataFrame, keys: Sequence[str], ts: str, step: int = 10, chunk: int = WEEK) -> DataFrame:
+def regularise(
+    df: DataFrame, keys: Sequence[str], ts: str, step: int = 10, chunk: int = WEEK, hold: bool = False
+) -> DataFrame:
     """Rows every ``step`` minutes from the first to the last row of each
-    series; added rows have nulls. Rows must already lie on the grid.
+    series; added rows have nulls, or with ``hold`` the values of the row before
+    the gap. Rows must already lie on the grid.
 
     The missing slots are generated from the row before the gap, so there is no
     grid table to shuffle and join.
@@ -204,12 +209,12 @@ def regularise(df: DataFrame, keys: Sequence[str], ts: str, step: int = 10, chun
     values = [c for c in df.columns if c != ts and c not in keys]
     last_slot = F.greatest(F.coalesce(F.col("__next") - seconds, F.col(SEC)), F.col(SEC))
     slots = with_next_second(df, keys, ts, "__next", chunk).select(
-        *[col(c) for c in df.columns if c != ts],
+        *qs(c for c in df.columns if c != ts),
         F.posexplode(F.sequence(F.col(SEC), last_slot, F.lit(seconds).cast("long"))).alias("__k", "__slot"),
     )
-    made = {c: F.when(F.col("__k") == 0, col(c)) for c in values}
+    made = {c: col(c) if hold else F.when(F.col("__k") == 0, col(c)) for c in values}
     made[ts] = at_seconds(F.col("__slot"))
-    return slots.select(*[made[c].alias(c) if c in made else col(c) for c in df.columns])
+    return slots.select(*[made[c].alias(c) if c in made else q(c) for c in df.columns])
 
 
 def upsample_split(
@@ -233,12 +238,12 @@ def upsample_split(
     tail = F.col(SEC) + ((parts - 1) * seconds if full_tail else 0)
     last_slot = F.greatest(F.coalesce(F.col("__next") - seconds, tail), F.col(SEC))
     slots = with_next_second(df, keys, ts, "__next", chunk).select(
-        *[col(c) for c in df.columns if c != ts],
+        *qs(c for c in df.columns if c != ts),
         F.posexplode(F.sequence(F.col(SEC), last_slot, F.lit(seconds).cast("long"))).alias("__k", "__slot"),
     )
     made = {c: F.when(F.col("__k") < parts, col(c) / F.lit(float(parts))).otherwise(F.lit(0.0)) for c in values}
     made[ts] = at_seconds(F.col("__slot"))
-    out = slots.select(*[made[c].alias(c) if c in made else col(c) for c in df.columns])
+    out = slots.select(*[made[c].alias(c) if c in made else q(c) for c in df.columns])
     return out if months is None else out.where(F.month(col(ts)).between(*months))
 
 
@@ -250,11 +255,11 @@ def upsample_by_position(
     moves all later values. Kept to compare with files made that way.
     """
     values = [c for c in df.columns if c != ts and c not in keys]
-    grid = regularise(df.select(*_keys(keys), col(ts)), keys, ts, step, chunk).where(F.month(col(ts)).between(*months))
+    grid = regularise(df.select(*qs([*keys, ts])), keys, ts, step, chunk).where(F.month(col(ts)).between(*months))
     slots = row_positions(grid, keys, ts, "__slot", chunk).withColumn("__row", F.floor(F.col("__slot") / parts))
     rows = row_positions(df, keys, ts, "__row", chunk).drop(ts).withColumn("__hit", F.lit(True))
     out = slots.join(rows, [*keys, "__row"], "left")
     made = {
         c: F.when(F.col("__hit"), col(c) / F.lit(float(parts))).otherwise(F.lit(0.0)).alias(c) for c in values
     }
-    return out.select(*[made.get(c, col(c)) for c in df.columns])
+    return out.select(*[made[c] if c in made else q(c) for c in df.columns])

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.columns import col, round_half_even
+from gaugeflow.functions.columns import col, q, qs, round_half_even
 from gaugeflow.functions.numbers import CLASSES
 from gaugeflow.functions.times import second_text, shift_minutes
 
@@ -40,27 +40,22 @@ def mae_by_class(
     All (horizon, class) cells are conditional aggregates of one pass, so the
     rows are never multiplied and every cell is there, empty ones with null.
     """
-    aggs = []
+    aggs, cells = [], []
     for h in horizons:
-        pred, actual, cls = (col(n) for n in names(h))
+        pred, actual, cls = qs(names(h))
+        factor = scale * (1.0 if ranges is None else ranges[h])
         for k in classes:
-            error = F.when(cls == k, F.abs(actual - pred))
-            aggs += [F.avg(error).alias(f"mae_{h}_{k}"), F.count(F.when(cls == k, 1)).alias(f"n_{h}_{k}")]
-    wide = results.groupBy(*[col(k) for k in keys]).agg(*aggs) if keys else results.agg(*aggs)
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(h).alias("horizon"),
-                F.lit(k).alias("change_class"),
-                F.col(f"n_{h}_{k}").alias("n"),
-                F.col(f"mae_{h}_{k}").alias("mae"),
-                (F.lit(scale * (1.0 if ranges is None else ranges[h])) * F.col(f"mae_{h}_{k}")).alias("scaled_mae"),
+            cell = q(f"{h}|{k}")
+            aggs.append(
+                F.expr(
+                    f"named_struct('horizon', {h}, 'change_class', {k}, 'n', count(CASE WHEN {cls} = {k} THEN 1 END),"
+                    f" 'mae', avg(CASE WHEN {cls} = {k} THEN abs({actual} - {pred}) END),"
+                    f" 'scaled_mae', {factor!r}D * avg(CASE WHEN {cls} = {k} THEN abs({actual} - {pred}) END)) AS {cell}"
+                )
             )
-            for h in horizons
-            for k in classes
-        ]
-    )
-    return wide.select(*[col(k) for k in keys], F.explode(cells).alias("cell")).select(*[col(k) for k in keys], "cell.*")
+            cells.append(cell)
+    wide = results.groupBy(*qs(keys)).agg(*aggs)
+    return wide.select(*qs(keys), F.explode(F.array(*cells)).alias("cell")).select(*qs(keys), "cell.*")
 
 
 def mae_matrix(by_class: DataFrame, keys: Sequence[str] = (), value: str = "scaled_mae") -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.columns import col
+from gaugeflow.functions.columns import q, qs
 from gaugeflow.functions.hydraulics import derived_flows
 from gaugeflow.functions.times import calendar_features
 from gaugeflow.operators.chunks import WEEK, at_offsets
@@ -37,16 +37,19 @@ def _at(minutes: int) -> str:
     return f"__at{minutes}"
 
 
-def _level_at(level: str, minutes: int) -> Column:
-    return col(level) if minutes == 0 else F.col(_at(minutes))
+def _level_at(level: str, minutes: int) -> str:
+    return q(level if minutes == 0 else _at(minutes))
 
 
-def _change(level: str, start: int, horizon: int) -> Column:
-    return _level_at(level, start + horizon) - _level_at(level, start)
+def _change(level: str, start: int, horizon: int, name: str) -> Column:
+    """Change of the level over ``horizon`` minutes from ``start``."""
+    return F.expr(f"{_level_at(level, start + horizon)} - {_level_at(level, start)} AS {q(name)}")
 
 
-def _rate(level: str, start: int, horizon: int) -> Column:
-    return F.try_divide(_change(level, start, horizon), _level_at(level, start))
+def _rate(level: str, start: int, horizon: int, name: str) -> Column:
+    """The same change relative to the level at ``start``; null over zero."""
+    now, then = _level_at(level, start), _level_at(level, start + horizon)
+    return F.expr(f"try_divide({then} - {now}, {now}) AS {q(name)}")
 
 
 def horizon_targets(
@@ -63,10 +66,8 @@ def horizon_targets(
     A rate over a zero level is null.
     """
     looked = at_offsets(df, keys, ts, [(level, h, _at(h)) for h in horizons], chunk)
-    made = [
-        e for h in horizons for e in (_rate(level, 0, h).alias(names(h)[0]), _change(level, 0, h).alias(names(h)[1]))
-    ]
-    return looked.select(*[col(c) for c in df.columns], *made)
+    made = [e for h in horizons for e in (_rate(level, 0, h, names(h)[0]), _change(level, 0, h, names(h)[1]))]
+    return looked.select(*qs(df.columns), *made)
 
 
 def _target_offsets(windows: dict[int, Sequence[int]]) -> set[int]:
@@ -89,7 +90,7 @@ def lagged_targets(
         if min(lags) < h:
             raise ValueError(f"a lag of horizon {h} would look past the present")
     looked = at_offsets(df, keys, ts, [(level, m, _at(m)) for m in sorted(_target_offsets(windows))], chunk)
-    return looked.select(*[col(c) for c in df.columns], *_lagged(level, windows, names))
+    return looked.select(*qs(df.columns), *_lagged(level, windows, names))
 
 
 def _lagged(level: str, windows: dict[int, Sequence[int]], names) -> list[Column]:
@@ -98,8 +99,8 @@ def _lagged(level: str, windows: dict[int, Sequence[int]], names) -> list[Column
         for h, lags in windows.items()
         for lag in lags
         for e in (
-            _rate(level, -lag, h).alias(lag_name(names(h)[0], lag)),
-            _change(level, -lag, h).alias(lag_name(names(h)[1], lag)),
+            _rate(level, -lag, h, lag_name(names(h)[0], lag)),
+            _change(level, -lag, h, lag_name(names(h)[1], lag)),
         )
     ]
 
@@ -131,22 +132,22 @@ def station_features(
     targets = [
         e
         for h in spec.horizons
-        for e in (_rate(spec.level, 0, h).alias(names(h)[0]), _change(spec.level, 0, h).alias(names(h)[1]))
+        for e in (_rate(spec.level, 0, h, names(h)[0]), _change(spec.level, 0, h, names(h)[1]))
     ]
     kept = [c for c in looked.columns if not c.startswith("__at")]
-    made = looked.select(*[col(c) for c in kept], *targets, *_lagged(spec.level, windows, names))
+    made = looked.select(*qs(kept), *targets, *_lagged(spec.level, windows, names))
     lagged_rates, _ = spec.lagged_target_columns()
     valid = valid_targets(made, [rate_name(spec.station, h) for h in spec.horizons] + lagged_rates)
     return complete_cases(valid, [*feature_columns(spec), *spec.target_columns(), spec.level], strict)
 
 
 def select_x(df: DataFrame, spec: StationSpec, keys: Sequence[str] = (), ts: str = "datetime") -> DataFrame:
-    return df.select(*[col(c) for c in feature_columns(spec) if c in df.columns], *[col(c) for c in (*keys, ts)])
+    return df.select(*qs(c for c in feature_columns(spec) if c in df.columns), *qs([*keys, ts]))
 
 
 def select_y(df: DataFrame, spec: StationSpec, keys: Sequence[str] = (), ts: str = "datetime") -> DataFrame:
     names = [*spec.target_columns(), spec.level]
-    return df.select(*[col(c) for c in names if c in df.columns], *[col(c) for c in (*keys, ts)])
+    return df.select(*qs(c for c in names if c in df.columns), *qs([*keys, ts]))
 
 
 def split_xy(
@@ -158,7 +159,7 @@ def split_xy(
 
 def check_xy(x: DataFrame, y: DataFrame, keys: Sequence[str]) -> None:
     """Fail unless both sides hold the same keys equally often."""
-    k = [col(c) for c in keys]
+    k = qs(keys)
     sides = x.select(*k).withColumn("__d", F.lit(1)).unionByName(y.select(*k).withColumn("__d", F.lit(-1)))
     if not sides.groupBy(*k).agg(F.sum("__d").alias("__d")).where("__d <> 0").isEmpty():
         raise AssertionError("features and targets differ in their rows")

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.columns import col
+from gaugeflow.functions.columns import col, q, qs
 
 
 def season_filter(df: DataFrame, ts: str = "datetime", start_year: int = 2018, months: tuple[int, int] = (4, 9)) -> DataFrame:
@@ -30,7 +29,7 @@ def valid_targets(df: DataFrame, cols: Sequence[str], lo: float = -1.0, hi: floa
 
     One conjunction: null, NaN and infinities all fail the comparison.
     """
-    return df.where(reduce(lambda a, b: a & b, [col(c).between(lo, hi) for c in cols], F.lit(True)))
+    return df.where(" AND ".join(f"{c} BETWEEN {lo!r}D AND {hi!r}D" for c in qs(cols)) or "true")
 
 
 def complete_cases(df: DataFrame, cols: Sequence[str], strict: bool = True) -> DataFrame:
@@ -43,10 +42,8 @@ def complete_cases(df: DataFrame, cols: Sequence[str], strict: bool = True) -> D
         raise KeyError(f"columns not found: {absent}")
     types = dict(df.dtypes)
     present = [c for c in dict.fromkeys(cols) if c in types]
-    known = [
-        col(c).isNotNull() & ~F.isnan(col(c)) if types[c] in ("double", "float") else col(c).isNotNull() for c in present
-    ]
-    return df.where(reduce(lambda a, b: a & b, known, F.lit(True)))
+    known = [f"{q(c)} IS NOT NULL" + (f" AND NOT isnan({q(c)})" if types[c] in ("double", "float") else "") for c in present]
+    return df.where(" AND ".join(known) or "true")
 
 
 def fill_const(df: DataFrame, value: float = 0.0, cols: Sequence[str] | None = None) -> DataFrame:

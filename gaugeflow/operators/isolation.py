@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow.functions.columns import col, nan_to_null, unpivot
 from gaugeflow.operators.chunks import WEEK, interpolate_rows, interpolate_time
+from gaugeflow.session import materialise
 
 # Share of rows taken to be outliers, trees, sample per tree, seed.
 CONTAMINATION = 0.03
@@ -157,7 +158,8 @@ def isolation_flags(
     cols = [c for c in cols if c in df.columns]
     kept = df.select("*", *[nan_to_null(col(c).cast("double")).alias(f"__x{i}") for i, c in enumerate(cols)])
     xs = [f"__x{i}" for i in range(len(cols))]
-    full = interpolate_rows(kept, keys, ts, xs, chunk)
+    # Read three times: to grow the forests, for the thresholds, for the flags.
+    full = materialise(interpolate_rows(kept, keys, ts, xs, chunk), "isolation")
     forests = fit_isolation(full, xs, ts, trees, sample, seed)
     scored = isolation_scores(full, forests)
     # Exact: a column has at most as many distinct scores as its forest has steps.

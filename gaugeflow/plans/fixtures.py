@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.times import floor_hour, floor_minutes, shift_minutes
-from gaugeflow.operators.chunks import ffill_bfill, regularise
+from gaugeflow.operators.chunks import regularise
 from gaugeflow.session import fresh_path
 from gaugeflow.sources.spec import StationSpec
 from gaugeflow.sources.storage import write_binary
@@ -55,8 +55,8 @@ grid AS (SELECT s.sid, s.ts, r.v FROM slots s LEFT JOIN readings r ON r.sid = s.
 
 def levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(sid, ts, lv): a gap-free level whose hourly changes meet every class."""
-    filled = ffill_bfill(grid(spark, sf_dir), ["sid"], "ts", ["v"])
-    return filled.select("sid", "ts", (F.lit(1.0) + F.col("v") / F.lit(10000.0)).alias("lv"))
+    held = regularise(readings(spark, sf_dir), ["sid"], "ts", STEP, hold=True)
+    return held.select("sid", "ts", (F.lit(1.0) + F.col("v") / F.lit(10000.0)).alias("lv"))
 
 
 LEVELS = (

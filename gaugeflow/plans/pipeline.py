@@ -1,0 +1,159 @@
+"""From archives of logger files to forecasts, one function per step.
+
+Steps hand over Parquet tables below one root folder, so each can be run again
+alone. ``run_all`` chains them.
+
+    merged/{family}  filtered/{family}  cleaned/{family}  stats/{family}
+    levels/raw  levels/repaired  inputs/with_rainfall  inputs/without_rainfall
+    features/{station}  models/{station}  forecasts/{station}  errors/{station}
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gaugeflow.functions.columns import cols_like, drop_like
+from gaugeflow.functions.numbers import coerce_numeric
+from gaugeflow.functions.times import compose_ts
+from gaugeflow.operators import chunks, combine, evaluate, filters, guards, profile, scaling
+from gaugeflow.operators.features import check_xy, station_features, split_xy
+from gaugeflow.operators.forecast import BoostParams, fit_forecasters, forecast, load_forecaster, save_forecaster
+from gaugeflow.operators.isolation import isolation_flags, repair
+from gaugeflow.operators.split import chrono_split
+from gaugeflow.session import shared_dir
+from gaugeflow.sources import legacy_csv
+from gaugeflow.sources.spec import FORECAST_HORIZONS, StationSpec, model_columns, rate_name
+from gaugeflow.sources.tables import read_table, write_table
+
+# What the names of level files, level columns and rain files hold.
+LEVEL_FILES, LEVEL_COLUMNS, RAIN_FILES = "頭首工", "水位", "雨量"
+TS = "datetime"
+SOURCE = legacy_csv.SOURCE
+
+
+def ingest(spark: SparkSession, archives: str, root: str) -> list[str]:
+    """Unite the yearly files of each family; returns the family names."""
+    shared_dir(spark)
+    catalogue = legacy_csv.group_file_family(legacy_csv.zip_catalogue(spark, archives), "member").checkpoint()
+    families = sorted(r["family"] for r in catalogue.where(F.col("encoding").isNotNull()).select("family").distinct().collect())
+    for family in families:
+        members = catalogue.where(F.col("family") == family).drop("family", "year")
+        write_table(legacy_csv.zip_table(members).drop("archive"), f"{root}/merged/{family}")
+    return families
+
+
+def filter_seasons(spark: SparkSession, root: str, family: str, start_year: int = 2018, months: tuple[int, int] = (4, 9)) -> None:
+    """Compose the timestamps and keep the seasons."""
+    rows = compose_ts(read_table(spark, f"{root}/merged/{family}"), ts=TS)
+    write_table(filters.season_filter(rows, TS, start_year, months), f"{root}/filtered/{family}")
+
+
+def clean(spark: SparkSession, root: str, family: str) -> None:
+    """Profile the text, turn it into numbers on the grid; split hourly rain.
+
+    Repeated timestamps are reduced to one row (the first source file wins).
+    """
+    rows = read_table(spark, f"{root}/filtered/{family}")
+    values = [c for c in rows.columns if c not in (TS, SOURCE)]
+    write_table(profile.quality_profile(rows, SOURCE), f"{root}/stats/{family}")
+    numbers = guards.unique_key(coerce_numeric(rows, values), [TS], [SOURCE]).drop(SOURCE)
+    if RAIN_FILES in family:
+        numbers = chunks.upsample_split(numbers, [], TS)
+    write_table(filters.on_grid(numbers, TS), f"{root}/cleaned/{family}")
+
+
+def repair_levels(spark: SparkSession, root: str, families: Sequence[str], contamination: float = 0.03) -> None:
+    """Align the level tables of all stations and repair the outliers."""
+    tables = [
+        drop_like(filters.drop_null_ts(read_table(spark, f"{root}/cleaned/{f}"), TS), SOURCE) for f in families if LEVEL_FILES in f
+    ]
+    write_table(combine.align_outer(tables, [TS]), f"{root}/levels/raw")
+    raw = read_table(spark, f"{root}/levels/raw")
+    levels = cols_like(raw, LEVEL_COLUMNS)
+    flagged = isolation_flags(raw, levels, TS, contamination)
+    write_table(repair(flagged, levels, [], TS), f"{root}/levels/repaired")
+
+
+def prepare_inputs(spark: SparkSession, root: str, families: Sequence[str]) -> None:
+    """Add the rain, fill the gaps, split by time."""
+    levels = chunks.ffill_bfill(read_table(spark, f"{root}/levels/repaired"), [], TS)
+    rains = [chunks.ffill_bfill(read_table(spark, f"{root}/cleaned/{f}"), [], TS) for f in families if RAIN_FILES in f]
+    write_table(chrono_split(levels, TS), f"{root}/inputs/without_rainfall", ["split"])
+    if rains:
+        rain = guards.dedup(combine.union_frames(rains))
+        both = chunks.ffill_bfill(combine.enrich_left(levels, rain, [TS]), [], TS)
+        write_table(chrono_split(both, TS), f"{root}/inputs/with_rainfall", ["split"])
+
+
+def build_features(spark: SparkSession, root: str, spec: StationSpec, with_rainfall: bool = True) -> None:
+    """Training table of one station; no value crosses the border of a split."""
+    inputs = read_table(spark, f"{root}/inputs/{'with' if with_rainfall else 'without'}_rainfall")
+    spec = spec if with_rainfall else spec.without_rain()
+    write_table(station_features(inputs, spec, ["split"], TS), f"{root}/features/{spec.station}", ["split"])
+
+
+def check_features(spark: SparkSession, root: str, spec: StationSpec) -> None:
+    x, y = split_xy(read_table(spark, f"{root}/features/{spec.station}"), spec, ["split"], TS)
+    check_xy(x, y, ["split", TS])
+
+
+def train(
+    spark: SparkSession,
+    root: str,
+    spec: StationSpec,
+    params: BoostParams | None = None,
+    horizons: Sequence[int] = FORECAST_HORIZONS,
+    kinds: Sequence[str] = ("rate", "change"),
+) -> None:
+    """Fit the scaler on the training rows, then the models."""
+    table = read_table(spark, f"{root}/features/{spec.station}")
+    names = [c for c in model_columns(spec, f"{horizons[0]}min_rate") if c in table.columns]
+    rows, checks = (table.where(F.col("split") == s) for s in ("train", "val"))
+    scaler = scaling.load_scaler(scaling.fit_minmax(rows, [*names, *[c for c in spec.target_columns() if c in table.columns]]))
+    fitted = fit_forecasters(rows, checks, spec, names, scaler, params, horizons, kinds)
+    save_forecaster(spark, fitted, f"{root}/models")
+
+
+def predict(
+    spark: SparkSession, root: str, spec: StationSpec, horizons: Sequence[int] = FORECAST_HORIZONS, fallback: Sequence[str] = ()
+) -> None:
+    """Forecast the test rows and tabulate the errors by class of change."""
+    fitted = load_forecaster(spark, spec.station, [f"{root}/models", *fallback], horizons)
+    test = read_table(spark, f"{root}/features/{spec.station}").where(F.col("split") == "test")
+    write_table(forecast(test, fitted, spec, [], TS), f"{root}/forecasts/{spec.station}")
+    ranges = {h: fitted.scaler[rate_name(spec.station, h)][1] - fitted.scaler[rate_name(spec.station, h)][0] for h in horizons}
+    done = read_table(spark, f"{root}/forecasts/{spec.station}")
+    write_table(evaluate.mae_by_class(done, horizons, ranges), f"{root}/errors/{spec.station}")
+
+
+def report(spark: SparkSession, root: str, station: str, bases: DataFrame, horizons: Sequence[int] = FORECAST_HORIZONS) -> DataFrame:
+    """Forecast and outcome for every base time in ``bases`` (one time column)."""
+    done = read_table(spark, f"{root}/forecasts/{station}")
+    return evaluate.report_table(evaluate.forecast_at(done, bases.toDF(TS), horizons, [], TS))
+
+
+def run_all(
+    spark: SparkSession,
+    archives: str,
+    root: str,
+    specs: Mapping[str, StationSpec],
+    params: BoostParams | None = None,
+    horizons: Sequence[int] = FORECAST_HORIZONS,
+    kinds: Sequence[str] = ("rate", "change"),
+    with_rainfall: bool = True,
+) -> list[str]:
+    families = ingest(spark, archives, root)
+    for f in families:
+        filter_seasons(spark, root, f)
+        clean(spark, root, f)
+    repair_levels(spark, root, families)
+    prepare_inputs(spark, root, families)
+    for spec in specs.values():
+        build_features(spark, root, spec, with_rainfall)
+        used = spec if with_rainfall else spec.without_rain()
+        train(spark, root, used, params, horizons, kinds)
+        predict(spark, root, used, horizons)
+    return families

@@ -189,6 +189,11 @@ def read_zip_csv(
     """
     shared_dir(spark)
     catalogue = zip_catalogue(spark, path, encodings, path_glob).checkpoint()
+    return zip_table(catalogue, columns)
+
+
+def zip_table(catalogue: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The rows of the catalogued members as one text table."""
     columns = columns_of(catalogue) if columns is None else list(columns)
     return _cells(zip_lines(catalogue, columns), columns, ["archive", SOURCE])
 
