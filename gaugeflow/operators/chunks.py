@@ -255,11 +255,16 @@ def upsample_by_position(
     moves all later values. Kept to compare with files made that way.
     """
     values = [c for c in df.columns if c != ts and c not in keys]
-    grid = regularise(df.select(*qs([*keys, ts])), keys, ts, step, chunk).where(F.month(col(ts)).between(*months))
+    grid = regularise(df, keys, ts, step, chunk).where(F.month(col(ts)).between(*months))
     slots = row_positions(grid, keys, ts, "__slot", chunk).withColumn("__row", F.floor(F.col("__slot") / parts))
-    rows = row_positions(df, keys, ts, "__row", chunk).drop(ts).withColumn("__hit", F.lit(True))
+    placed = {c: f"__placed{i}" for i, c in enumerate(values)}
+    rows = row_positions(df, keys, ts, "__row", chunk).select(
+        *qs(keys), "__row", F.lit(True).alias("__hit"), *[col(c).alias(p) for c, p in placed.items()]
+    )
     out = slots.join(rows, [*keys, "__row"], "left")
+    # Slots past the last source row keep what the grid has at their own time.
     made = {
-        c: F.when(F.col("__hit"), col(c) / F.lit(float(parts))).otherwise(F.lit(0.0)).alias(c) for c in values
+        c: F.when(F.col("__hit"), F.col(p) / F.lit(float(parts))).otherwise(F.coalesce(col(c), F.lit(0.0))).alias(c)
+        for c, p in placed.items()
     }
     return out.select(*[made[c] if c in made else q(c) for c in df.columns])
