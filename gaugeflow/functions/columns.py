@@ -17,6 +17,11 @@ def qs(names: Iterable[str]) -> list[str]:
     return [q(n) for n in names]
 
 
+def text(value: str) -> str:
+    """A string as an SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def col(name: str) -> Column:
     """Column by exact name."""
     return F.col(q(name))

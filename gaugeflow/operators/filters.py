@@ -69,15 +69,16 @@ def semi_align(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
 
 
 def common_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct keys present on both sides."""
-    k = [col(c) for c in keys]
-    return left.select(*k).intersect(right.select(*k))
+    """Distinct keys present on both sides.
+
+    Repeats are removed before the join, so a hot key reaches it once.
+    """
+    return left.select(*qs(keys)).distinct().join(right.select(*qs(keys)).distinct(), list(keys), "left_semi")
 
 
 def lost_keys(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct keys of ``before`` that no longer occur in ``after``."""
-    k = [col(c) for c in keys]
-    return before.select(*k).distinct().join(after.select(*k), list(keys), "left_anti")
+    return before.select(*qs(keys)).distinct().join(after.select(*qs(keys)).distinct(), list(keys), "left_anti")
 
 
 def first_lost(before: DataFrame, after: DataFrame, keys: Sequence[str], n: int = 5) -> DataFrame:

@@ -10,9 +10,9 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.columns import col
+from gaugeflow.functions.columns import col, q, qs
 from gaugeflow.functions.numbers import change_class, level_after
-from gaugeflow.operators.scaling import Scaler, class_weight, denormalised, normalise, normalised
+from gaugeflow.operators.scaling import Scaler, class_weight, denormalised, normalised
 from gaugeflow.sources.spec import FORECAST_HORIZONS, StationSpec, change_name, rate_name
 from gaugeflow.sources.tables import first_existing
 
@@ -55,7 +55,7 @@ def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """One vector column; feature columns are renamed first since the assembler
     does not take arbitrary names."""
     plain = {c: f"__f{i}" for i, c in enumerate(features)}
-    named = df.select("*", *[col(c).cast("double").alias(p) for c, p in plain.items()])
+    named = df.selectExpr("*", *[f"CAST({q(c)} AS DOUBLE) AS {p}" for c, p in plain.items()])
     packed = VectorAssembler(inputCols=list(plain.values()), outputCol=FEATURES, handleInvalid="error").transform(named)
     return packed.drop(*plain.values())
 
@@ -108,9 +108,19 @@ def fit_one(train: DataFrame, val: DataFrame | None, params: BoostParams, label:
         if rounds - best >= patience or rounds == params.rounds:
             break
         rounds = min(params.rounds, 2 * rounds)
-    if best == rounds:
-        return model
-    return _regressor(replace(params, rounds=best), label).fit(train)
+    return model if best == rounds else first_rounds(train.sparkSession, model, best)
+
+
+def first_rounds(spark: SparkSession, model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The model as it was after ``rounds`` rounds: its first trees with their
+    weights, which saves fitting those rounds again."""
+    trees, gateway = model._java_obj.trees(), spark.sparkContext._gateway
+    kept = gateway.new_array(spark._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(spark._jvm.double, rounds)
+    for i in range(rounds):
+        kept[i], weights[i] = trees[i], model.treeWeights[i]
+    shorter = GBTRegressionModel(spark._jvm.org.apache.spark.ml.regression.GBTRegressionModel(model.uid, kept, weights))
+    return shorter.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
 
 
 @dataclass(frozen=True)
@@ -150,10 +160,12 @@ def fit_forecasters(
     label_cols = [names[k](spec.station, h) for h in horizons for k in ("rate", "change")]
 
     def prepare(df: DataFrame) -> DataFrame:
-        scaled = normalise(df, scaler, list(features))
-        targets = [normalised(col(c), scaler, c).alias("norm " + c) for c in label_cols]
-        changes = [col(change_name(spec.station, h)) for h in horizons]
-        return assemble(scaled.select(*[col(f) for f in features], *targets, *changes), features).drop(*features)
+        scaled = df.select(
+            *[normalised(q(f), scaler, f) for f in features],
+            *[normalised(q(c), scaler, c, "norm " + c) for c in label_cols],
+            *qs(change_name(spec.station, h) for h in horizons),
+        )
+        return assemble(scaled, features).drop(*features)
 
     ready = prepare(train).persist()
     ready_val = prepare(val).persist() if val is not None else None
@@ -216,27 +228,27 @@ def forecast(df: DataFrame, f: Forecaster, spec: StationSpec, keys: Sequence[str
     zero, as in training tables read back without a check.
     """
     horizons = sorted(h for h, kind in f.models if kind == "rate")
+    packed = [f"__n{i}" for i in range(len(f.features))]
     zeroed = df.select(
-        *[col(k) for k in keys],
-        col(ts),
+        *qs([*keys, ts]),
         col(spec.level).alias("level"),
         *[col(n(spec.station, h)).alias(a) for h in horizons for n, a in ((rate_name, f"rate_{h}_actual"), (change_name, f"change_{h}"))],
         *[
-            normalised(F.coalesce(F.nanvl(col(c).cast("double"), F.lit(None)), F.lit(0.0)), f.scaler, c).alias(f"__n{i}")
-            for i, c in enumerate(f.features)
+            normalised(f"coalesce(nullif(CAST({q(c)} AS DOUBLE), double('NaN')), 0D)", f.scaler, c, n)
+            for c, n in zip(f.features, packed, strict=True)
         ],
     )
-    rows = assemble(zeroed, [f"__n{i}" for i in range(len(f.features))]).drop(*[f"__n{i}" for i in range(len(f.features))])
+    rows = assemble(zeroed, packed).drop(*packed)
     for h in horizons:
         model = f.models[h, "rate"].setFeaturesCol(FEATURES).setPredictionCol(f"__p{h}")
         rows = model.transform(rows)
     out = []
     for h in horizons:
-        rate = denormalised(F.col(f"__p{h}"), f.scaler, rate_name(spec.station, h))
+        rate = denormalised(f"__p{h}", f.scaler, rate_name(spec.station, h), f"rate_{h}_pred")
         out += [
-            rate.alias(f"rate_{h}_pred"),
+            rate,
             F.col(f"rate_{h}_actual"),
             level_after(F.col("level"), rate).alias(f"level_{h}"),
             change_class(F.col(f"change_{h}")).alias(f"class_{h}"),
         ]
-    return rows.select(*[col(k) for k in keys], col(ts), "level", *out)
+    return rows.select(*qs([*keys, ts]), "level", *out)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.columns import col, nan_to_null
+from gaugeflow.functions.columns import col, q, text
 from gaugeflow.functions.numbers import CLASS_COPIES
 
 # Fixed value: width given to a column with a single value.
@@ -23,16 +23,13 @@ def fit_minmax(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     column without values gets 0…1; equal ends are moved apart a little.
     """
     cols = list(cols)
-    known = {c: nan_to_null(col(c).cast("double")) for c in cols}
-    wide = df.agg(
-        *[F.min(known[c]).alias(f"lo{i}") for i, c in enumerate(cols)],
-        *[F.max(known[c]).alias(f"hi{i}") for i, c in enumerate(cols)],
+    known = [f"CAST({q(c)} AS DOUBLE)" for c in cols]
+    wide = df.selectExpr(
+        *[f"min(nullif({x}, double('NaN'))) AS lo{i}" for i, x in enumerate(known)],
+        *[f"max(nullif({x}, double('NaN'))) AS hi{i}" for i, x in enumerate(known)],
     )
-    ends = wide.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"lo{i}").alias("lo"), F.col(f"hi{i}").alias("hi")) for i, c in enumerate(cols)])
-        ).alias("e")
-    ).select("e.feature", "e.lo", "e.hi")
+    rows = ", ".join(f"named_struct('feature', {text(c)}, 'lo', lo{i}, 'hi', hi{i})" for i, c in enumerate(cols))
+    ends = wide.selectExpr(f"inline(array({rows}))")
     inf = F.lit(float("inf"))
     lo, hi = F.col("lo"), F.col("hi")
     hi1 = F.when(hi == inf, F.abs(lo)).otherwise(hi)
@@ -53,22 +50,26 @@ def _ends(scaler: Scaler, name: str) -> tuple[float, float]:
     return (lo, hi) if hi != lo else (lo, lo + MIN_WIDTH)
 
 
-def normalised(c: Column, scaler: Scaler, name: str) -> Column:
+def normalised(c: str, scaler: Scaler, name: str, out: str | None = None) -> Column:
+    """The column expression ``c`` (SQL text) mapped to 0…1 by the ends of ``name``."""
     lo, hi = _ends(scaler, name)
-    return (c - F.lit(lo)) / F.lit(hi - lo)
+    return F.expr(f"({c} - ({lo!r}D)) / ({hi - lo!r}D) AS {q(out or name)}")
 
 
-def denormalised(c: Column, scaler: Scaler, name: str) -> Column:
+def denormalised(c: str, scaler: Scaler, name: str, out: str | None = None) -> Column:
+    """Inverse of :func:`normalised`."""
     lo, hi = _ends(scaler, name)
-    return c * F.lit(hi - lo) + F.lit(lo)
+    return F.expr(f"{c} * ({hi - lo!r}D) + ({lo!r}D) AS {q(out or name)}")
 
 
 def normalise(df: DataFrame, scaler: Scaler, cols: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: normalised(col(c), scaler, c) for c in cols})
+    wanted = set(cols)
+    return df.select(*[normalised(q(c), scaler, c) if c in wanted else q(c) for c in df.columns])
 
 
 def denormalise(df: DataFrame, scaler: Scaler, cols: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: denormalised(col(c), scaler, c) for c in cols})
+    wanted = set(cols)
+    return df.select(*[denormalised(q(c), scaler, c) if c in wanted else q(c) for c in df.columns])
 
 
 def class_weight(cls: Column) -> Column:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.columns import col
+from gaugeflow.functions.columns import qs
 from gaugeflow.functions.times import DAY
 from gaugeflow.operators.chunks import CHUNK, SEC, with_chunk
 from gaugeflow.operators.guards import exact_ranks, lookup_join
@@ -41,14 +41,14 @@ def chrono_split(
     shared_dir(df.sparkSession)
     group = list(keys)
     order = [ts, *tiebreak]
-    hist = with_chunk(df, ts, chunk).groupBy(*[col(k) for k in group], CHUNK).agg(F.count("*").alias("__n"))
-    in_order = Window.partitionBy(*[col(k) for k in group]).orderBy(CHUNK)
-    total = F.sum("__n").over(Window.partitionBy(*[col(k) for k in group]))
+    hist = with_chunk(df, ts, chunk).groupBy(*qs(group), CHUNK).agg(F.count("*").alias("__n"))
+    in_order = Window.partitionBy(*qs(group)).orderBy(CHUNK)
+    total = F.sum("__n").over(Window.partitionBy(*qs(group)))
     rest = F.ceil(total * F.lit(rest_share))
     train = total - rest
     upto_val = train + rest - F.ceil(rest * F.lit(test_share))
     sized = hist.select(
-        *[col(k) for k in group],
+        *qs(group),
         CHUNK,
         (F.sum("__n").over(in_order) - F.col("__n")).alias("__before"),
         F.sum("__n").over(in_order).alias("__upto"),
@@ -57,39 +57,40 @@ def chrono_split(
     cuts = (
         sized.select("*", F.posexplode("__cuts").alias("__cut", "__rank"))
         .where((F.col("__before") < F.col("__rank")) & (F.col("__rank") <= F.col("__upto")))
-        .select(*[col(k) for k in group], CHUNK, "__cut", (F.col("__rank") - F.col("__before")).alias("__rank"))
-    ).checkpoint()
-    near = lookup_join(
-        with_chunk(df, ts, chunk).select(*[col(k) for k in group], CHUNK, *[col(c) for c in order]),
-        cuts.select(*[col(k) for k in group], CHUNK).distinct(),
-        [*group, CHUNK],
-        "inner",
+        .select(*qs(group), CHUNK, "__cut", (F.col("__rank") - F.col("__before")).alias("__rank"))
     )
-    ranked = exact_ranks(near, [*group, CHUNK], order, "__rank")
-    at = F.struct(*[col(c) for c in order])
+    placed = with_chunk(df, ts, chunk).select(*qs(group), CHUNK, *qs(order))
+    at = F.struct(*qs(order))
+    if not group:
+        return df.select("*", _label(at, *_two_borders(placed, cuts.collect(), order)).alias(out))
+    cuts = cuts.checkpoint()
+    near = lookup_join(placed, cuts.select(*qs(group), CHUNK).distinct(), [*group, CHUNK], "inner")
     borders = (
-        ranked.join(cuts, [*group, CHUNK, "__rank"])
-        .groupBy(*[col(k) for k in group])
+        exact_ranks(near, [*group, CHUNK], order, "__rank")
+        .join(cuts, [*group, CHUNK, "__rank"])
+        .groupBy(*qs(group))
         .agg(F.max(F.when(F.col("__cut") == 0, at)).alias("__train_end"), F.max(F.when(F.col("__cut") == 1, at)).alias("__val_end"))
         .checkpoint()
     )
+    marked = lookup_join(df, borders, group)
+    return marked.select(*qs(df.columns), _label(at, F.col("__train_end"), F.col("__val_end")).alias(out))
 
-    def label(train_end, val_end):
-        return (
-            F.when(at <= train_end, "train").when(at <= val_end, "val").otherwise("test").alias(out)
-        )
 
-    if group:
-        marked = lookup_join(df, borders, group)
-        return marked.select(*[col(c) for c in df.columns], label(F.col("__train_end"), F.col("__val_end")))
-    # No key: the borders are one row, passed as literals.
-    row = borders.first()
+def _label(at: Column, train_end: Column, val_end: Column) -> Column:
+    return F.when(at <= train_end, "train").when(at <= val_end, "val").otherwise("test")
+
+
+def _two_borders(placed: DataFrame, cuts: list[Row], order: Sequence[str]) -> list[Column]:
+    """The last training row and the last validation row of the whole table, as
+    literals (null where a part is empty). ``cuts`` has at most two rows."""
+    near = placed.where(F.col(CHUNK).isin([c[CHUNK] for c in cuts]))
+    wanted = F.lit(False)
+    for c in cuts:
+        wanted = wanted | ((F.col(CHUNK) == c[CHUNK]) & (F.col("__rank") == c["__rank"]))
+    found = {(r[CHUNK], r["__rank"]): r for r in exact_ranks(near, [CHUNK], order, "__rank").where(wanted).collect()} if cuts else {}
+    types = {f.name: f.dataType for f in placed.schema}
     ends = []
-    for name in ("__train_end", "__val_end"):
-        end = row[name]
-        if end is None:
-            ends.append(F.lit(None).cast(borders.schema[name].dataType))
-        else:
-            fields = borders.schema[name].dataType.fields
-            ends.append(F.struct(*[F.lit(end[f.name]).cast(f.dataType).alias(f.name) for f in fields]))
-    return df.select("*", label(*ends))
+    for number in (0, 1):
+        row = next((found[c[CHUNK], c["__rank"]] for c in cuts if c["__cut"] == number), None)
+        ends.append(F.struct(*[F.lit(row[c]).cast(types[c]).alias(c) for c in order]) if row else F.lit(None))
+    return ends

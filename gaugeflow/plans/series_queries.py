@@ -12,7 +12,7 @@ from gaugeflow.operators.isolation import isolation_flags, repair
 from gaugeflow.operators.split import chrono_split
 from gaugeflow.plans import fixtures as fx
 from gaugeflow.plans.registry import query
-from gaugeflow.session import fresh_path
+from gaugeflow.session import fresh_path, materialise
 from gaugeflow.sources.spec import FORECAST_HORIZONS, feature_columns, lag_name
 
 KEY = ["sid"]
@@ -294,7 +294,7 @@ def minmax_apply(spark: SparkSession, sf: str) -> DataFrame:
     cols = [*NUMBERS, "same"]
     scaler = scaling.load_scaler(scaling.fit_minmax(rows, cols))
     unit = scaling.normalise(rows.drop("gappy"), scaler, cols)
-    back = scaling.denormalised(F.col("l_extendedprice"), scaler, "l_extendedprice")
+    back = scaling.denormalised("l_extendedprice", scaler, "l_extendedprice")
     return unit.withColumn("back", F.round(back, 4)).withColumns({c: F.round(c, 9) for c in NUMBERS})
 
 
@@ -463,7 +463,7 @@ QUICK = BoostParams(rounds=8, step=0.2, depth=3, leaf_rows=5)
 
 
 def _fitted(spark: SparkSession, sf: str, horizons: tuple[int, ...]):
-    rows = chrono_split(fx.wide_station(spark, sf), "ts")
+    rows = chrono_split(materialise(fx.wide_station(spark, sf), "station"), "ts")
     table = features.station_features(rows, SPEC, ["split"], "ts").persist()
     names = feature_columns(SPEC)
     train, val, test = (table.where(F.col("split") == s) for s in ("train", "val", "test"))
@@ -477,8 +477,9 @@ def gbt_fit(spark: SparkSession, sf: str) -> DataFrame:
     """Features that the fitted model uses, with their importance."""
     fitted, _ = _fitted(spark, sf, (60,))
     model = fitted.models[60, "rate"]
-    weights = model.featureImportances.toArray()
-    rows = [(60, f, float(w), model.getNumTrees) for f, w in zip(fitted.features, weights, strict=True)]
+    # A shortened model ends its vector at the last feature it uses.
+    weights = dict(enumerate(model.featureImportances.toArray()))
+    rows = [(60, f, float(weights.get(i, 0.0)), model.getNumTrees) for i, f in enumerate(fitted.features)]
     return spark.createDataFrame(rows, "horizon int, feature string, importance double, trees int")
 
 
