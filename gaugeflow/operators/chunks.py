@@ -76,48 +76,55 @@ def _bound(minutes: int) -> str:
     return f"{abs(minutes) * MINUTE} {'PRECEDING' if minutes < 0 else 'FOLLOWING'}"
 
 
+UP_TO_HERE = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+BEFORE_HERE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+
+
+def _over(keys: Sequence[str], order: str, frame: str = "") -> str:
+    """An OVER clause; without keys it may only be used on chunk summaries."""
+    partition = f"PARTITION BY {', '.join(qs(keys))} " if keys else ""
+    return f"OVER ({partition}ORDER BY {order} {frame})"
+
+
 def _nearest_known(
     df: DataFrame, keys: Sequence[str], cols: Sequence[str], order: str
-) -> tuple[DataFrame, dict[str, tuple[Column, Column, Column, Column]]]:
-    """For each column the last known value at or before the row and the first
-    one at or after it, with their positions in ``order``.
+) -> tuple[DataFrame, dict[str, tuple[str, str, str, str]]]:
+    """For each column, as SQL text, the last known value at or before the row
+    and the first one at or after it, each with its position in ``order``:
+    (earlier value, its position, later value, its position).
 
     ``df`` carries ``CHUNK`` and the long column ``order``.
     """
     group = [*keys, CHUNK]
-    at = F.col(order)
-    aggs = []
-    for i, c in enumerate(cols):
-        known_at = F.when(col(c).isNotNull(), at)
-        aggs += [
-            F.max_by(col(c), known_at).alias(f"__lv{i}"),
-            F.max(known_at).alias(f"__lt{i}"),
-            F.min_by(col(c), known_at).alias(f"__fv{i}"),
-            F.min(known_at).alias(f"__ft{i}"),
-        ]
-    summary = df.groupBy(*qs(group)).agg(*aggs)
-    earlier = Window.partitionBy(*qs(keys)).orderBy(F.col(CHUNK).asc()).rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy(*qs(keys)).orderBy(F.col(CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carried = summary.select(
+    numbered = list(enumerate(cols))
+    known_at = {c: f"CASE WHEN {q(c)} IS NOT NULL THEN {order} END" for c in cols}
+    summary = df.groupBy(*qs(group)).agg(
+        *[
+            F.expr(f"{pick}({q(c)}, {known_at[c]}) AS __{side}v{i}")
+            for i, c in numbered
+            for pick, side in (("max_by", "l"), ("min_by", "f"))
+        ],
+        *[F.expr(f"{pick}({known_at[c]}) AS __{side}t{i}") for i, c in numbered for pick, side in (("max", "l"), ("min", "f"))],
+    )
+    earlier, later = _over(keys, CHUNK, BEFORE_HERE), _over(keys, f"{CHUNK} DESC", BEFORE_HERE)
+    carried = summary.selectExpr(
         *qs(group),
-        *[F.last(f"__l{x}{i}", True).over(earlier).alias(f"__cp{x}{i}") for i in range(len(cols)) for x in "vt"],
-        *[F.last(f"__f{x}{i}", True).over(later).alias(f"__cn{x}{i}") for i in range(len(cols)) for x in "vt"],
+        *[f"last(__l{x}{i}, true) {earlier} AS __p{x}{i}" for i, _ in numbered for x in "vt"],
+        *[f"last(__f{x}{i}, true) {later} AS __n{x}{i}" for i, _ in numbered for x in "vt"],
     )
     # Both directions use a growing frame (linear); "rows following" frames
     # would be re-evaluated from scratch for every row.
-    upto = Window.partitionBy(*qs(group)).orderBy(at.asc()).rowsBetween(Window.unboundedPreceding, 0)
-    downto = Window.partitionBy(*qs(group)).orderBy(at.desc()).rowsBetween(Window.unboundedPreceding, 0)
-    joined = df.join(carried, group, "left")
-    picked = {}
-    for i, c in enumerate(cols):
-        known_at = F.when(col(c).isNotNull(), at)
-        picked[c] = (
-            F.coalesce(F.last(col(c), True).over(upto), F.col(f"__cpv{i}")),
-            F.coalesce(F.last(known_at, True).over(upto), F.col(f"__cpt{i}")),
-            F.coalesce(F.last(col(c), True).over(downto), F.col(f"__cnv{i}")),
-            F.coalesce(F.last(known_at, True).over(downto), F.col(f"__cnt{i}")),
+    upto, downto = _over(group, order, UP_TO_HERE), _over(group, f"{order} DESC", UP_TO_HERE)
+    picked = {
+        c: (
+            f"coalesce(last({q(c)}, true) {upto}, __pv{i})",
+            f"coalesce(last({known_at[c]}, true) {upto}, __pt{i})",
+            f"coalesce(last({q(c)}, true) {downto}, __nv{i})",
+            f"coalesce(last({known_at[c]}, true) {downto}, __nt{i})",
         )
-    return joined, picked
+        for i, c in numbered
+    }
+    return df.join(carried, group, "left"), picked
 
 
 def ffill_bfill(
@@ -131,18 +138,21 @@ def ffill_bfill(
     """Last known value; where there is none yet, the first later one."""
     cols = [c for c in df.columns if c != ts and c not in keys] if cols is None else list(cols)
     joined, picked = _nearest_known(with_chunk(df, ts, chunk), keys, cols, SEC)
-    filled = {c: F.coalesce(p[0], p[2]) if backward else p[0] for c, p in picked.items()}
-    return joined.select(*[filled[c].alias(c) if c in filled else q(c) for c in df.columns])
+    filled = {c: f"coalesce({p[0]}, {p[2]})" if backward else p[0] for c, p in picked.items()}
+    return joined.selectExpr(*[f"{filled[c]} AS {q(c)}" if c in filled else q(c) for c in df.columns])
 
 
 def _interpolated(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order: str, out: Sequence[str]) -> DataFrame:
     joined, picked = _nearest_known(df, keys, cols, order)
-    at = F.col(order)
+    names = {c: [f"__{x}{i}" for x in ("pv", "pt", "nv", "nt")] for i, c in enumerate(cols)}
+    found = joined.selectExpr(
+        *qs(c for c in dict.fromkeys([*out, order]) if c not in cols), *qs(cols), *[f"{e} AS {n}k" for c in cols for e, n in zip(picked[c], names[c], strict=True)]
+    )
     filled = {}
-    for c, (pv, pt, nv, nt) in picked.items():
-        between = pv + (nv - pv) * F.try_divide((at - pt).cast("double"), (nt - pt).cast("double"))
-        filled[c] = F.when(col(c).isNotNull(), col(c)).otherwise(F.coalesce(between, pv, nv))
-    return joined.select(*[filled[c].alias(c) if c in filled else q(c) for c in out])
+    for c, (pv, pt, nv, nt) in names.items():
+        between = f"{pv}k + ({nv}k - {pv}k) * try_divide(CAST({order} - {pt}k AS DOUBLE), CAST({nt}k - {pt}k AS DOUBLE))"
+        filled[c] = f"coalesce({q(c)}, {between}, {pv}k, {nv}k) AS {q(c)}"
+    return found.selectExpr(*[filled.get(c, q(c)) for c in out])
 
 
 def interpolate_time(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str], chunk: int = WEEK) -> DataFrame:
