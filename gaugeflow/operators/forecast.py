@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.ml.feature import VectorAssembler
@@ -149,11 +150,14 @@ def fit_forecasters(
     kinds: Sequence[str] = ("rate", "change"),
     replicate_val: bool = True,
     patience: int = PATIENCE,
+    parallel: int = 4,
 ) -> Forecaster:
     """One model per horizon and kind on normalised features and targets.
 
     Rows of larger changes carry the weight of the copies they stand for, which
-    leaves the table at its size. The assembled table is kept between fits.
+    leaves the table at its size. The assembled table is kept between fits, and
+    ``parallel`` fits are submitted at a time so that their small last stages
+    fill each other's gaps.
     """
     params = params or station_params(spec.station)
     names = {"rate": rate_name, "change": change_name}
@@ -169,13 +173,17 @@ def fit_forecasters(
 
     ready = prepare(train).persist()
     ready_val = prepare(val).persist() if val is not None else None
-    models = {}
-    for h in horizons:
-        for kind in kinds:
-            change, target = change_name(spec.station, h), "norm " + names[kind](spec.station, h)
-            rows = _training_rows(ready, change, target, True)
-            checks = _validation_rows(ready_val, change, target, replicate_val) if ready_val is not None else None
-            models[h, kind] = fit_one(rows, checks, params, LABEL, patience)
+
+    def fit(task: tuple[int, str]) -> GBTRegressionModel:
+        h, kind = task
+        change, target = change_name(spec.station, h), "norm " + names[kind](spec.station, h)
+        rows = _training_rows(ready, change, target, True)
+        checks = _validation_rows(ready_val, change, target, replicate_val) if ready_val is not None else None
+        return fit_one(rows, checks, params, LABEL, patience)
+
+    tasks = [(h, kind) for h in horizons for kind in kinds]
+    with ThreadPoolExecutor(parallel) as pool:
+        models = dict(zip(tasks, pool.map(fit, tasks), strict=True))
     ready.unpersist()
     if ready_val is not None:
         ready_val.unpersist()

@@ -10,7 +10,8 @@ alone. ``run_all`` chains them.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,12 +40,21 @@ def ingest(spark: SparkSession, archives: str, root: str) -> list[str]:
     shared_dir(spark)
     catalogue = legacy_csv.group_file_family(legacy_csv.zip_catalogue(spark, archives), "member").checkpoint()
     families = sorted(r["family"] for r in catalogue.where(F.col("encoding").isNotNull()).select("family").distinct().collect())
-    for family in families:
+
+    def unite(family: str) -> None:
         members = catalogue.where(F.col("family") == family).drop("family", "year")
         write_table(legacy_csv.zip_table(members).drop("archive"), f"{root}/merged/{family}")
+
+    _side_by_side(unite, families)
     return families
 
 
+def _side_by_side(job: Callable[[str], None], families: Sequence[str]) -> None:
+    """Submit one Spark job per family, a few at a time."""
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(job, families))
+
+
 def filter_seasons(spark: SparkSession, root: str, family: str, start_year: int = 2018, months: tuple[int, int] = (4, 9)) -> None:
     """Compose the timestamps and keep the seasons."""
     rows = compose_ts(read_table(spark, f"{root}/merged/{family}"), ts=TS)
@@ -146,9 +156,12 @@ def run_all(
     with_rainfall: bool = True,
 ) -> list[str]:
     families = ingest(spark, archives, root)
-    for f in families:
-        filter_seasons(spark, root, f)
-        clean(spark, root, f)
+
+    def tidy(family: str) -> None:
+        filter_seasons(spark, root, family)
+        clean(spark, root, family)
+
+    _side_by_side(tidy, families)
     repair_levels(spark, root, families)
     prepare_inputs(spark, root, families)
     for spec in specs.values():

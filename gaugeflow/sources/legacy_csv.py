@@ -195,19 +195,22 @@ def read_zip_csv(
 def zip_table(catalogue: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """The rows of the catalogued members as one text table."""
     columns = columns_of(catalogue) if columns is None else list(columns)
-    return _cells(zip_lines(catalogue, columns), columns, ["archive", SOURCE])
+    files = _readable(catalogue).select(
+        "file_id", "archive", F.col("member").alias(SOURCE), F.size("header").alias("width"), _positions(columns).alias("positions")
+    )
+    return _cells(lookup_join(zip_lines(catalogue), files, ["file_id"], "inner"), columns, ["archive", SOURCE])
 
 
-def zip_lines(catalogue: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Text lines after the header of every member: (archive, source_file,
-    line_no, line, width, positions)."""
-    todo = catalogue.where(F.col("encoding").isNotNull()).select(
-        "path", "archive", "entry", "member", "encoding", F.size("header").alias("width"), _positions(columns).alias("positions")
-    )
+def _readable(catalogue: DataFrame) -> DataFrame:
+    return catalogue.where(F.col("encoding").isNotNull()).withColumn("file_id", F.xxhash64("path", "entry"))
+
+
+def zip_lines(catalogue: DataFrame) -> DataFrame:
+    """Text lines after the header of every member: (file_id, line_no, line),
+    ``file_id`` being the hash of (path, entry)."""
+    todo = _readable(catalogue).select("file_id", "path", "entry", "encoding")
     spread = todo.repartition(_tasks(catalogue.sparkSession), "path", "entry")
-    return spread.mapInPandas(
-        _read_lines, f"archive string, {SOURCE} string, line_no bigint, line string, width int, positions array<int>"
-    )
+    return spread.mapInPandas(_read_lines, "file_id bigint, line_no bigint, line string")
 
 
 def _read_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -220,12 +223,9 @@ def _read_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 while lines := [s.rstrip("\n") for s in _take(text, BATCH_ROWS)]:
                     yield pd.DataFrame(
                         {
-                            "archive": r.archive,
-                            SOURCE: r.member,
+                            "file_id": r.file_id,
                             "line_no": range(done + 1, done + 1 + len(lines)),
                             "line": lines,
-                            "width": r.width,
-                            "positions": [r.positions] * len(lines),
                         }
                     )
                     done += len(lines)
