@@ -39,7 +39,9 @@ def shared_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="gaugeflow-")
     if not active.isDefined():
         sc.setCheckpointDir(configured)
-    return configured.rstrip("/")
+    # With its scheme, so that Spark and the clients inside tasks mean the same place.
+    path = sc._jvm.org.apache.hadoop.fs.Path(configured)
+    return path.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

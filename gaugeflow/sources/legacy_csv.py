@@ -59,6 +59,14 @@ def header_cells(line: str) -> list[str]:
     return names
 
 
+def _first_line(stream):
+    """The first line that is not blank: the header."""
+    for line in iter(stream.readline, stream.read(0)):
+        if line.strip():
+            return line
+    return stream.read(0)
+
+
 def _csv_entries(archive: zipfile.ZipFile) -> Iterator[tuple[zipfile.ZipInfo, str]]:
     for info in archive.infolist():
         name = member_name(info)
@@ -95,7 +103,7 @@ def zip_catalogue(spark: SparkSession, path: str | Sequence[str], encodings: Seq
                     header = None
                     if found:
                         with archive.open(r.entry) as member:
-                            header = header_cells(io.TextIOWrapper(member, found).readline())
+                            header = header_cells(_first_line(io.TextIOWrapper(member, found)))
                 rows.append((r.path, r.archive, r.entry, r.member, r.size, found, header))
             yield pd.DataFrame(rows, columns=["path", "archive", "entry", "member", "size", "encoding", "header"])
 
@@ -218,7 +226,7 @@ def _read_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for r in batch.itertuples(index=False):
             with open_binary(r.path) as f, zipfile.ZipFile(f) as archive, archive.open(r.entry) as member:
                 text = io.TextIOWrapper(member, r.encoding)
-                text.readline()
+                _first_line(text)
                 done = 0
                 while lines := [s.rstrip("\n") for s in _take(text, BATCH_ROWS)]:
                     yield pd.DataFrame(
@@ -245,7 +253,7 @@ def _raw_lines(spark: SparkSession, path: str | Sequence[str], path_glob: str) -
         spark.read.schema("raw string")
         .option("header", "true")
         .option("encoding", "ISO-8859-1")
-        .option("sep", "\u0001")
+        .option("sep", "\u0001\u0002\u0003")
         .option("quote", "")
         .option("escape", "")
         .option("pathGlobFilter", path_glob)
@@ -304,7 +312,7 @@ def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         heads = []
         for path in batch["path"]:
             with open_binary(path) as f:
-                heads.append(io.BufferedReader(f).readline())
+                heads.append(_first_line(io.BufferedReader(f)))
         yield batch.assign(head=heads)
 
 

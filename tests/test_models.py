@@ -147,6 +147,18 @@ def test_weights_stand_for_copies(spark, waves, fitted):
     assert errors[0] == pytest.approx(errors[1], rel=0.15)
 
 
+def test_first_rounds_equal_a_shorter_fit(spark, waves):
+    names = feature_columns(SPEC)
+    rows = forecast.assemble(waves.where(F.col("split") == "train"), names)
+    rows = rows.select(forecast.FEATURES, F.col(f"`{rate_name('S', 10)}`").alias(forecast.LABEL), F.lit(1.0).alias(forecast.WEIGHT)).persist()
+    long, short = (forecast.fit_one(rows, None, forecast.BoostParams(rounds=n, depth=3), forecast.LABEL) for n in (5, 3))
+    cut = forecast.first_rounds(spark, long, 3)
+    assert cut.getNumTrees == 3
+    a, b = ([r["__prediction"] for r in m.transform(rows.limit(100)).collect()] for m in (cut, short))
+    np.testing.assert_allclose(a, b, rtol=1e-12)
+    rows.unpersist()
+
+
 def test_best_round_stops_after_patience():
     assert forecast.best_round([3, 2, 1, 2, 2], 5) == 3
     assert forecast.best_round([3, 2, 2.5, 2.5, 2.5, 1], 3) == 2

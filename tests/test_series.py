@@ -227,3 +227,21 @@ def test_salted_lookup_equals_broadcast(spark, how):
 def test_unique_key_keeps_the_smallest_even_without_tiebreak_values(spark):
     df = spark.createDataFrame([(1, None, "b"), (1, None, "a"), (1, 5, "c"), (2, None, None)], "k int, t int, s string")
     assert sorted(map(tuple, unique_key(df, ["k"], ["t"]).collect())) == [(1, None, "a"), (2, None, None)]
+
+
+def test_one_long_series_is_spread_over_the_tasks(spark):
+    """All rows belong to one series; no task may get them all."""
+    df = frame(spark, pd.DataFrame({"ts": pd.date_range("2019-01-01", periods=144 * 200, freq="10min"), "v": 1.0}))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for out in (
+            chunks.ffill_bfill(df, [], "ts", ["v"], DAY),
+            features.time_lag(df, [], "ts", ["v"], [60], DAY),
+            chunks.regularise(df, [], "ts", 10, DAY),
+        ):
+            # The hash keeps the optimizer from leaving the operator out.
+            tasks = out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max(F.hash(*out.columns)))
+            sizes = [r["n"] for r in tasks.collect()]
+            assert len(sizes) == 4 and max(sizes) < 0.5 * sum(sizes)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

@@ -32,7 +32,7 @@ class OldStyleInfo(zipfile.ZipInfo):
 def archives(tmp_path_factory):
     root = tmp_path_factory.mktemp("archives")
     files = {
-        "水位2019.csv": "日付,時刻, A 河川水位 \n2019/5/1,0:00,1.25\n2019/5/1,0:10,1.5,9\n2019/5/1,0:20\n\n2019/5/1,0:30,NA\n".encode("cp932"),
+        "水位2019.csv": "\n日付,時刻, A 河川水位 \n2019/5/1,0:00,1.25\n2019/5/1,0:10,1.5,9\n2019/5/1,0:20\n\n2019/5/1,0:30,NA\n".encode("cp932"),
         "水位2020.csv": "﻿日付,A 河川水位,時刻,備考\r\n2020/5/1,2.5,0:00,欠測\r\n2020/5/1,*,0:10,\"a\"\r\n".encode(),
         "sub/雨量.CSV": "日付,時刻,雨\n2019/5/1,0:00,3\n".encode("euc_jp"),
         "readme.txt": b"no table",
