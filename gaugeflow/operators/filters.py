@@ -65,7 +65,7 @@ def sort_ts(df: DataFrame, ts: str = "datetime", tiebreak: Sequence[str] = ()) -
 
 def semi_align(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``left`` whose key also occurs in ``right``."""
-    return left.join(right.select(*[col(k) for k in keys]), list(keys), "left_semi")
+    return left.join(right.select(*qs(keys)).distinct(), list(keys), "left_semi")
 
 
 def common_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,17 +27,22 @@ from gaugeflow.operators.isolation import isolation_flags, repair
 from gaugeflow.operators.split import chrono_split
 from gaugeflow.session import shared_dir
 from gaugeflow.sources import legacy_csv
-from gaugeflow.sources.spec import FORECAST_HORIZONS, StationSpec, model_columns, rate_name
+from gaugeflow.sources.spec import FORECAST_HORIZONS, StationSpec, feature_columns, rate_name
 from gaugeflow.sources.tables import read_table, write_table
 
 # What the names of level files, level columns and rain files hold.
 LEVEL_FILES, LEVEL_COLUMNS, RAIN_FILES = "頭首工", "水位", "雨量"
 TS = "datetime"
+T = TypeVar("T")
 SOURCE = legacy_csv.SOURCE
 
 
 def ingest(spark: SparkSession, archives: str, root: str) -> list[str]:
-    """Unite the yearly files of each family; returns the family names."""
+    """Unite the yearly files of each family; returns the family names.
+
+    ``rejects/files`` lists members that no encoding decodes, ``rejects/lines``
+    the lines with too many fields.
+    """
     shared_dir(spark)
     catalogue = legacy_csv.group_file_family(legacy_csv.zip_catalogue(spark, archives), "member").checkpoint()
     families = sorted(r["family"] for r in catalogue.where(F.col("encoding").isNotNull()).select("family").distinct().collect())
@@ -46,19 +52,25 @@ def ingest(spark: SparkSession, archives: str, root: str) -> list[str]:
         write_table(legacy_csv.zip_table(members).drop("archive"), f"{root}/merged/{family}")
 
     _side_by_side(unite, families)
+    write_table(catalogue.where(F.col("encoding").isNull()).select("archive", "entry", "member", "size"), f"{root}/rejects/files")
+    write_table(legacy_csv.zip_rejects(catalogue), f"{root}/rejects/lines")
     return families
 
 
-def _side_by_side(job: Callable[[str], None], families: Sequence[str]) -> None:
+def _side_by_side(job: Callable[[str], T], families: Sequence[str]) -> list[T]:
     """Submit one Spark job per family, a few at a time."""
     with ThreadPoolExecutor(8) as pool:
-        list(pool.map(job, families))
+        return list(pool.map(job, families))
 
 
-def filter_seasons(spark: SparkSession, root: str, family: str, start_year: int = 2018, months: tuple[int, int] = (4, 9)) -> None:
-    """Compose the timestamps and keep the seasons."""
-    rows = compose_ts(read_table(spark, f"{root}/merged/{family}"), ts=TS)
-    write_table(filters.season_filter(rows, TS, start_year, months), f"{root}/filtered/{family}")
+def filter_seasons(spark: SparkSession, root: str, family: str, start_year: int = 2018, months: tuple[int, int] = (4, 9)) -> bool:
+    """Compose the timestamps and keep the seasons. False, with nothing written,
+    for a table without date and time columns."""
+    rows = read_table(spark, f"{root}/merged/{family}")
+    if not {"日付", "時刻"} <= set(rows.columns):
+        return False
+    write_table(filters.season_filter(compose_ts(rows, ts=TS), TS, start_year, months), f"{root}/filtered/{family}")
+    return True
 
 
 def clean(spark: SparkSession, root: str, family: str) -> None:
@@ -120,7 +132,7 @@ def train(
 ) -> None:
     """Fit the scaler on the training rows, then the models."""
     table = read_table(spark, f"{root}/features/{spec.station}")
-    names = [c for c in model_columns(spec, f"{horizons[0]}min_rate") if c in table.columns]
+    names = [c for c in feature_columns(spec) if c in table.columns]
     rows, checks = (table.where(F.col("split") == s) for s in ("train", "val"))
     scaler = scaling.load_scaler(scaling.fit_minmax(rows, [*names, *[c for c in spec.target_columns() if c in table.columns]]))
     fitted = fit_forecasters(rows, checks, spec, names, scaler, params, horizons, kinds)
@@ -157,11 +169,14 @@ def run_all(
 ) -> list[str]:
     families = ingest(spark, archives, root)
 
-    def tidy(family: str) -> None:
-        filter_seasons(spark, root, family)
-        clean(spark, root, family)
+    def tidy(family: str) -> bool:
+        usable = filter_seasons(spark, root, family)
+        if usable:
+            clean(spark, root, family)
+        return usable
 
-    _side_by_side(tidy, families)
+    usable = _side_by_side(tidy, families)
+    families = [f for f, ok in zip(families, usable, strict=True) if ok]
     repair_levels(spark, root, families)
     prepare_inputs(spark, root, families)
     for spec in specs.values():

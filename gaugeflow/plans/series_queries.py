@@ -87,6 +87,19 @@ def rain_upsample(spark: SparkSession, sf: str) -> DataFrame:
     return chunks.upsample_split(fx.hourly_orders(spark, sf), [], "ts")
 
 
+@query(
+    "rain_by_position",
+    f"""WITH {fx.HOURLY_ORDERS}, slots AS (
+      SELECT unnest(generate_series(min(ts), max(ts), INTERVAL '10 minutes')) AS ts FROM hourly),
+    s AS (SELECT ts, row_number() OVER (ORDER BY ts) - 1 AS pos FROM slots WHERE month(ts) BETWEEN 4 AND 9),
+    h AS (SELECT r, row_number() OVER (ORDER BY ts) - 1 AS pos FROM hourly)
+    SELECT s.ts, CASE WHEN h.pos IS NOT NULL THEN h.r / 6.0::DOUBLE ELSE coalesce(o.r, 0.0) END AS r
+    FROM s LEFT JOIN h ON h.pos = s.pos // 6 LEFT JOIN hourly o ON o.ts = s.ts""",
+)
+def rain_by_position(spark: SparkSession, sf: str) -> DataFrame:
+    return chunks.upsample_by_position(fx.hourly_orders(spark, sf), [], "ts")
+
+
 OUTLIER_SHARE = 0.97
 
 

@@ -12,7 +12,7 @@ from gaugeflow.functions.times import calendar_features, compose_ts, floor_hour
 from gaugeflow.operators import combine, filters, guards, profile
 from gaugeflow.plans import fixtures as fx
 from gaugeflow.plans.registry import query
-from gaugeflow.session import fresh_path
+from gaugeflow.session import fresh_path, materialise
 from gaugeflow.sources import legacy_csv, tables
 
 # -- sources and sinks ------------------------------------------------------------
@@ -53,6 +53,28 @@ def zip_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     return legacy_csv.read_zip_csv(spark, fx.write_logger_files(spark, sf) + "/zip")
 
 
+@query(
+    "rejected_lines",
+    f"""WITH {fx.RAW_FILES} SELECT archive, source_file, event_id % {fx.FILE_ROWS} + 1 AS line_no FROM files WHERE too_long""",
+)
+def rejected_lines(spark: SparkSession, sf: str) -> DataFrame:
+    catalogue = legacy_csv.zip_catalogue(spark, fx.write_logger_files(spark, sf) + "/zip")
+    return legacy_csv.zip_rejects(materialise(catalogue, "catalogue")).select("archive", "source_file", "line_no")
+
+
+@query(
+    "extracted_members",
+    f"WITH {fx.RAW_FILES} SELECT archive, source_file, count(*) AS n_rows FROM files WHERE NOT too_long GROUP BY 1, 2",
+)
+def extracted_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Unpack the archives, then read the unpacked files."""
+    root = fx.write_logger_files(spark, sf)
+    catalogue = materialise(legacy_csv.zip_catalogue(spark, root + "/zip"), "catalogue")
+    copied = materialise(legacy_csv.extract_members(catalogue, root + "/unpacked"), "copied")
+    rows = legacy_csv.read_legacy_csv(spark, root + "/unpacked", ["event_id"]).groupBy("source_file").agg(F.count("*").alias("n_rows"))
+    return copied.select("archive", F.col("member").alias("source_file")).join(rows, "source_file").select("archive", "source_file", "n_rows")
+
+
 @query(
     "file_family",
     f"""WITH {fx.RAW_FILES} SELECT '観測' || archive_no || '号' AS family, CAST(2001 + file_no % {fx.ARCHIVE_FILES} AS VARCHAR) AS year,
@@ -189,6 +211,16 @@ def yearly_trend(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("mean_value", F.round("mean_value", 4))
 
 
+@query(
+    "daily_trend",
+    """SELECT 'o_totalprice' AS "column", o_orderdate::DATE AS day, round(avg(o_totalprice), 6) AS mean_value FROM orders GROUP BY 2
+    UNION ALL SELECT 'o_custkey', o_orderdate::DATE, round(avg(o_custkey::DOUBLE), 6) FROM orders GROUP BY 2""",
+)
+def daily_trend(spark: SparkSession, sf: str) -> DataFrame:
+    out = profile.daily_trend(measured_orders(spark, sf), "o_orderdate", ["o_totalprice", "o_custkey"])
+    return out.withColumn("mean_value", F.round("mean_value", 6))
+
+
 @query(
     "yearly_histogram",
     f"""WITH {LONG_ORDERS}, ends AS (SELECT "column", year, min(value) AS a, max(value) AS b FROM long GROUP BY 1, 2),

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from gaugeflow.functions.columns import col
 from gaugeflow.operators.guards import lookup_join
 from gaugeflow.session import shared_dir
-from gaugeflow.sources.storage import ENCODINGS, decodes, list_files, member_name, open_binary, pieces_of
+from gaugeflow.sources.storage import ENCODINGS, decodes, list_files, member_name, open_binary, pieces_of, write_binary
 
 # Cells that mean "missing".
 MISSING = (
@@ -221,6 +221,37 @@ def zip_lines(catalogue: DataFrame) -> DataFrame:
     return spread.mapInPandas(_read_lines, "file_id bigint, line_no bigint, line string")
 
 
+def zip_rejects(catalogue: DataFrame) -> DataFrame:
+    """Lines that reading skips because they have too many fields:
+    (archive, source_file, line_no, line)."""
+    files = _readable(catalogue).select("file_id", "archive", F.col("member").alias(SOURCE), F.size("header").alias("width"))
+    lines = lookup_join(zip_lines(catalogue), files, ["file_id"], "inner")
+    return lines.where(F.size(F.split("line", ",", -1)) > F.col("width")).select("archive", SOURCE, "line_no", "line")
+
+
+def extract_members(catalogue: DataFrame, folder: str) -> DataFrame:
+    """Copy every member, byte for byte, to ``folder/archive/member`` and return
+    (archive, member, target, size). The copy is made when the result is used;
+    ``read_legacy_csv`` can then read the folder in pieces.
+
+    The archive's name is part of the target, so equal member names of different
+    archives stay apart.
+    """
+
+    def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            targets = []
+            for r in batch.itertuples(index=False):
+                target = f"{folder}/{r.archive.rsplit('.', 1)[0]}/{r.member}"
+                with open_binary(r.path) as f, zipfile.ZipFile(f) as archive, archive.open(r.entry) as member:
+                    write_binary(target, pieces_of(member))
+                targets.append(target)
+            yield batch[["archive", "member", "size"]].assign(target=targets)[["archive", "member", "target", "size"]]
+
+    spread = catalogue.select("path", "archive", "entry", "member", "size").repartition(_tasks(catalogue.sparkSession), "path", "entry")
+    return spread.mapInPandas(copy, "archive string, member string, target string, size bigint")
+
+
 def _read_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for r in batch.itertuples(index=False):
