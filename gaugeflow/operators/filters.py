@@ -11,8 +11,13 @@ from gaugeflow.functions.columns import col, q, qs
 
 
 def season_filter(df: DataFrame, ts: str = "datetime", start_year: int = 2018, months: tuple[int, int] = (4, 9)) -> DataFrame:
-    """From ``start_year`` on, the given months of each year; null times go."""
-    return df.where((F.year(col(ts)) >= start_year) & F.month(col(ts)).between(*months))
+    """From ``start_year`` on, the given months of each year; null times go.
+
+    The first year is a comparison of the timestamp itself, which the scan can
+    use to skip row groups.
+    """
+    start = F.lit(f"{start_year:04d}-01-01 00:00:00").cast("timestamp_ntz")
+    return df.where((col(ts) >= start) & F.month(col(ts)).between(*months))
 
 
 def on_grid(df: DataFrame, ts: str = "datetime", step: int = 10) -> DataFrame:

@@ -60,20 +60,18 @@ def interpolation_sql(cte: str, view: str, position: str) -> str:
         first_value(v IGNORE NULLS) OVER dn AS nv, first_value(CASE WHEN v IS NOT NULL THEN pos END IGNORE NULLS) OVER dn AS np
       FROM p WINDOW up AS (PARTITION BY sid ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
                     dn AS (PARTITION BY sid ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
-    SELECT sid, ts, round(CASE WHEN v IS NOT NULL THEN v WHEN pv IS NULL THEN nv WHEN nv IS NULL THEN pv
-      ELSE pv + (nv - pv) * (CAST(pos - pp AS DOUBLE) / CAST(np - pp AS DOUBLE)) END, 6) AS v FROM k"""
+    SELECT sid, ts, CASE WHEN v IS NOT NULL THEN v WHEN pv IS NULL THEN nv WHEN nv IS NULL THEN pv
+      ELSE pv + (nv - pv) * (CAST(pos - pp AS DOUBLE) / CAST(np - pp AS DOUBLE)) END AS v FROM k"""
 
 
 @query("interp_time", interpolation_sql(fx.HOLES, "holes", "epoch(ts)::BIGINT"))
 def interp_time(spark: SparkSession, sf: str) -> DataFrame:
-    out = chunks.interpolate_time(fx.holes(spark, sf), KEY, "ts", ["v"])
-    return out.select("sid", "ts", F.round("v", 6).alias("v"))
+    return chunks.interpolate_time(fx.holes(spark, sf), KEY, "ts", ["v"])
 
 
 @query("interp_rows", interpolation_sql(fx.HOLES, "holes", "row_number() OVER (PARTITION BY sid ORDER BY ts)"))
 def interp_rows(spark: SparkSession, sf: str) -> DataFrame:
-    out = chunks.interpolate_rows(fx.holes(spark, sf), KEY, "ts", ["v"])
-    return out.select("sid", "ts", F.round("v", 6).alias("v"))
+    return chunks.interpolate_rows(fx.holes(spark, sf), KEY, "ts", ["v"])
 
 
 @query(
@@ -116,7 +114,7 @@ OUTLIER_SHARE = 0.97
 def anomaly_repair(spark: SparkSession, sf: str) -> DataFrame:
     limit = fx.readings(spark, sf).agg(F.percentile("v", F.lit(OUTLIER_SHARE)).alias("q")).first()["q"]
     flagged = fx.grid(spark, sf).withColumn("v_outlier", F.col("v") > limit)
-    return repair(flagged, ["v"], KEY, "ts").select("sid", "ts", F.round("v", 6).alias("v"))
+    return repair(flagged, ["v"], KEY, "ts")
 
 
 # -- lags and targets ------------------------------------------------------------
@@ -297,7 +295,7 @@ def minmax_fit(spark: SparkSession, sf: str) -> DataFrame:
     MINMAX_SQL
     + " SELECT l_orderkey, l_partkey, l_linenumber, "
     + ", ".join(
-        f"round(({c} - (SELECT \"min\" FROM scaler WHERE feature = '{c}')) / ((SELECT \"max\" - \"min\" FROM scaler WHERE feature = '{c}')), 9) AS {c}"
+        f"({c} - (SELECT \"min\" FROM scaler WHERE feature = '{c}')) / (SELECT \"max\" - \"min\" FROM scaler WHERE feature = '{c}') AS {c}"
         for c in NUMBERS
     )
     + ", round(l_extendedprice, 4) AS back, 0.0::DOUBLE AS same FROM x",
@@ -308,7 +306,7 @@ def minmax_apply(spark: SparkSession, sf: str) -> DataFrame:
     scaler = scaling.load_scaler(scaling.fit_minmax(rows, cols))
     unit = scaling.normalise(rows.drop("gappy"), scaler, cols)
     back = scaling.denormalised("l_extendedprice", scaler, "l_extendedprice")
-    return unit.withColumn("back", F.round(back, 4)).withColumns({c: F.round(c, 9) for c in NUMBERS})
+    return unit.withColumn("back", F.round(back, 4))
 
 
 HOUR_CHANGE = f"""WITH {fx.LEVELS}, c AS (

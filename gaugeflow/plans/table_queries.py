@@ -192,44 +192,42 @@ def null_counts(spark: SparkSession, sf: str) -> DataFrame:
     return profile.null_counts(coerce_numeric(rows, ["number"]))
 
 
-LONG_ORDERS = """long AS (SELECT 'o_totalprice' AS "column", year(o_orderdate)::INTEGER AS year, o_totalprice AS value FROM orders
-  UNION ALL SELECT 'o_custkey', year(o_orderdate)::INTEGER, o_custkey::DOUBLE FROM orders
-  UNION ALL SELECT 'same', year(o_orderdate)::INTEGER, 7.0::DOUBLE FROM orders)"""
+# Whole cents, so that sums, and with them the means, are exact in any order.
+LONG_ORDERS = """long AS (SELECT 'cents' AS "column", o_orderdate AS ts, round(o_totalprice * 100) AS value FROM orders
+  UNION ALL SELECT 'o_custkey', o_orderdate, o_custkey::DOUBLE FROM orders
+  UNION ALL SELECT 'same', o_orderdate, 7.0::DOUBLE FROM orders)"""
+MEASURED = ["cents", "o_custkey", "same"]
 
 
 def measured_orders(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.table(spark, sf, "orders").select("o_orderdate", "o_totalprice", "o_custkey", F.lit(7.0).alias("same"))
+    orders = fx.table(spark, sf, "orders")
+    return orders.select("o_orderdate", F.round(F.col("o_totalprice") * 100).alias("cents"), "o_custkey", F.lit(7.0).alias("same"))
 
 
 @query(
     "yearly_trend",
-    f"""WITH {LONG_ORDERS} SELECT "column", year, count(value) AS n, min(value) AS min_value, max(value) AS max_value,
-    round(avg(value), 4) AS mean_value FROM long GROUP BY 1, 2""",
+    f"""WITH {LONG_ORDERS} SELECT "column", year(ts)::INTEGER AS year, count(value) AS n, min(value) AS min_value, max(value) AS max_value,
+    avg(value) AS mean_value FROM long GROUP BY 1, 2""",
 )
 def yearly_trend(spark: SparkSession, sf: str) -> DataFrame:
-    out = profile.yearly_trend(measured_orders(spark, sf), "o_orderdate", ["o_totalprice", "o_custkey", "same"])
-    return out.withColumn("mean_value", F.round("mean_value", 4))
+    return profile.yearly_trend(measured_orders(spark, sf), "o_orderdate", MEASURED)
 
 
-@query(
-    "daily_trend",
-    """SELECT 'o_totalprice' AS "column", o_orderdate::DATE AS day, round(avg(o_totalprice), 6) AS mean_value FROM orders GROUP BY 2
-    UNION ALL SELECT 'o_custkey', o_orderdate::DATE, round(avg(o_custkey::DOUBLE), 6) FROM orders GROUP BY 2""",
-)
+@query("daily_trend", f"""WITH {LONG_ORDERS} SELECT "column", ts::DATE AS day, avg(value) AS mean_value FROM long GROUP BY 1, 2""")
 def daily_trend(spark: SparkSession, sf: str) -> DataFrame:
-    out = profile.daily_trend(measured_orders(spark, sf), "o_orderdate", ["o_totalprice", "o_custkey"])
-    return out.withColumn("mean_value", F.round("mean_value", 6))
+    return profile.daily_trend(measured_orders(spark, sf), "o_orderdate", MEASURED)
 
 
 @query(
     "yearly_histogram",
-    f"""WITH {LONG_ORDERS}, ends AS (SELECT "column", year, min(value) AS a, max(value) AS b FROM long GROUP BY 1, 2),
+    f"""WITH {LONG_ORDERS}, y AS (SELECT "column", year(ts)::INTEGER AS year, value FROM long),
+    ends AS (SELECT "column", year, min(value) AS a, max(value) AS b FROM y GROUP BY 1, 2),
     r AS (SELECT "column", year, CASE WHEN a = b THEN a - 0.5::DOUBLE ELSE a END AS lo, CASE WHEN a = b THEN b + 0.5::DOUBLE ELSE b END AS hi FROM ends)
     SELECT "column", year, lo, hi, least(floor((value - lo) / ((hi - lo) / 30.0::DOUBLE))::INTEGER + 1, 30) AS bin, count(*) AS n
-    FROM long JOIN r USING ("column", year) GROUP BY ALL""",
+    FROM y JOIN r USING ("column", year) GROUP BY ALL""",
 )
 def yearly_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    return profile.yearly_histogram(measured_orders(spark, sf), "o_orderdate", ["o_totalprice", "o_custkey", "same"])
+    return profile.yearly_histogram(measured_orders(spark, sf), "o_orderdate", MEASURED)
 
 
 @query(
