@@ -134,7 +134,7 @@ WIDE_STATION = (
 
 # Rows per file, files per archive, and the rows of a file that get one field
 # too many or stop after the first field.
-FILE_ROWS, ARCHIVE_FILES, LONG_ROW, SHORT_ROW = 2500, 4, 7, 11
+FILE_ROWS, ARCHIVE_FILES, LONG_ROW, SHORT_ROW = 500, 4, 7, 11
 
 
 def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
