@@ -3,7 +3,8 @@
 Steps hand over Parquet tables below one root folder, so each can be run again
 alone. ``run_all`` chains them.
 
-    merged/{family}  filtered/{family}  cleaned/{family}  stats/{family}
+    merged/{family}  filtered/{family}  cleaned/{family}
+    stats/{family}/profile  stats/{family}/trend  stats/{family}/histogram
     levels/raw  levels/repaired  inputs/with_rainfall  inputs/without_rainfall
     features/{station}  models/{station}  forecasts/{station}  errors/{station}
 """
@@ -74,17 +75,22 @@ def filter_seasons(spark: SparkSession, root: str, family: str, start_year: int
 
 
 def clean(spark: SparkSession, root: str, family: str) -> None:
-    """Profile the text, turn it into numbers on the grid; split hourly rain.
+    """Profile the text, turn it into numbers on the grid, split hourly rain,
+    and summarise the numbers by year.
 
     Repeated timestamps are reduced to one row (the first source file wins).
     """
     rows = read_table(spark, f"{root}/filtered/{family}")
     values = [c for c in rows.columns if c not in (TS, SOURCE)]
-    write_table(profile.quality_profile(rows, SOURCE), f"{root}/stats/{family}")
+    cells = rows.drop(SOURCE).withColumn("family", F.lit(family))
+    write_table(profile.quality_profile(cells, "family"), f"{root}/stats/{family}/profile")
     numbers = guards.unique_key(coerce_numeric(rows, values), [TS], [SOURCE]).drop(SOURCE)
     if RAIN_FILES in family:
         numbers = chunks.upsample_split(numbers, [], TS)
     write_table(filters.on_grid(numbers, TS), f"{root}/cleaned/{family}")
+    cleaned = read_table(spark, f"{root}/cleaned/{family}")
+    write_table(profile.yearly_trend(cleaned, TS, values), f"{root}/stats/{family}/trend")
+    write_table(profile.yearly_histogram(cleaned, TS, values), f"{root}/stats/{family}/histogram")
 
 
 def repair_levels(spark: SparkSession, root: str, families: Sequence[str], contamination: float = 0.03) -> None:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow.operators import features, forecast, isolation, scaling
 from gaugeflow.operators.split import chrono_split
-from gaugeflow.plans import pipeline, series_queries
+from gaugeflow.plans import series_queries, steps
 from gaugeflow.sources.spec import ModelSpec, StationSpec, change_name, feature_columns, rate_name
 from gaugeflow.sources.tables import read_table
 
@@ -198,12 +198,14 @@ def test_pipeline_from_archives_to_report(spark, tmp_path):
     )
     params = forecast.BoostParams(rounds=3, step=0.3, depth=3)
     root = str(tmp_path / "out")
-    families = pipeline.run_all(spark, str(tmp_path / "in"), root, {"A頭首工": spec}, params, (10, 20), ("rate",))
+    families = steps.run_all(spark, str(tmp_path / "in"), root, {"A頭首工": spec}, params, (10, 20), ("rate",))
     assert families == ["A頭首工", "雨量"]
 
-    stats = {(r["source_file"], r["column"]): r for r in read_table(spark, f"{root}/stats/A頭首工").collect()}
-    assert stats["A頭首工2019.csv", "A頭首工 河川水位"]["asterisk"] == 1
-    assert stats["A頭首工2019.csv", "A頭首工 河川水位"]["coerced_null"] == 2
+    stats = {r["column"]: r for r in read_table(spark, f"{root}/stats/A頭首工/profile").collect()}
+    assert stats["A頭首工 河川水位"]["total"] == len(times) + 1
+    assert stats["A頭首工 河川水位"]["asterisk"] == 1 and stats["A頭首工 河川水位"]["coerced_null"] == 2
+    histogram = read_table(spark, f"{root}/stats/A頭首工/histogram").where("`column` = 'A頭首工 右岸取水量'")
+    assert histogram.agg(F.sum("n")).first()[0] == len(times)
 
     repaired = read_table(spark, f"{root}/levels/repaired").toPandas().sort_values("datetime")
     assert len(repaired) == len(times)
@@ -212,13 +214,13 @@ def test_pipeline_from_archives_to_report(spark, tmp_path):
     rows = read_table(spark, f"{root}/inputs/with_rainfall").toPandas()
     assert sorted(rows["split"].value_counts().tolist()) == [162, 162, 972]
     assert rows["蔵王ダム 累計雨量"].notna().all()
-    pipeline.check_features(spark, root, spec)
+    steps.check_features(spark, root, spec)
 
     errors = read_table(spark, f"{root}/errors/A頭首工").toPandas()
     done = read_table(spark, f"{root}/forecasts/A頭首工")
     assert len(errors) == 10 and errors.groupby("horizon")["n"].sum().tolist() == [done.count()] * 2
     base = done.agg(F.min("datetime").alias("t"))
-    assert pipeline.report(spark, root, "A頭首工", base, (10, 20)).count() == 2
+    assert steps.report(spark, root, "A頭首工", base, (10, 20)).count() == 2
 
-    pipeline.build_features(spark, root, spec, with_rainfall=False)
+    steps.build_features(spark, root, spec, with_rainfall=False)
     assert "蔵王ダム 累計雨量_10lag" not in read_table(spark, f"{root}/features/A頭首工").columns
