@@ -316,21 +316,33 @@ def csv_catalogue(spark: SparkSession, path: str | Sequence[str], encodings: Seq
     :func:`zip_catalogue` (without archive)."""
     files = list_files(spark, path, path_glob).repartition(_tasks(spark), "path")
     headed = files.mapInPandas(_first_lines, "path string, key string, name string, size bigint, head binary")
-    lines = _raw_lines(spark, path, path_glob)
-    # Only lines with a non-ASCII byte are worth a trial.
-    suspect = F.when(F.col("raw").rlike(NON_ASCII), F.encode("raw", "ISO-8859-1"))
-    bits = lines.select("key", _decodable(suspect, F.lit(",".join(encodings))).alias("bits")).groupBy("key").agg(F.bit_and("bits").alias("bits"))
-    all_bits = headed.join(bits, "key", "left").withColumn(
-        "bits", F.coalesce("bits", F.lit(-1)).bitwiseAND(_decodable(F.col("head"), F.lit(",".join(encodings))))
-    )
-    encoding = F.coalesce(*[F.when(F.col("bits").bitwiseAND(1 << i) != 0, F.lit(e)) for i, e in enumerate(encodings)])
-    found = all_bits.withColumn("encoding", encoding)
+    if len(encodings) == 1:
+        # Nothing to choose, so no pass over the lines; bytes that do not decode
+        # fail the read.
+        found = headed.withColumn("encoding", F.lit(encodings[0]))
+    else:
+        found = headed.join(_file_encodings(spark, path, encodings, path_glob), "key", "left")
+        # A file of one line, its header, has no bits.
+        found = found.withColumn("encoding", _first_encoding(F.coalesce("bits", F.lit(-1)), F.col("head"), encodings))
     header = _header_of(F.col("head"), F.col("encoding"))
     return found.select(
         "path", "key", F.lit(None).cast("string").alias("archive"), F.col("name").alias("member"), "size", "encoding", header.alias("header")
     )
 
 
+def _file_encodings(spark: SparkSession, path: str | Sequence[str], encodings: Sequence[str], path_glob: str) -> DataFrame:
+    """(key, bits): the encodings that decode every line of a file, as bits."""
+    # Only lines with a non-ASCII byte are worth a trial.
+    suspect = F.when(F.col("raw").rlike(NON_ASCII), F.encode("raw", "ISO-8859-1"))
+    tried = _raw_lines(spark, path, path_glob).select("key", _decodable(suspect, F.lit(",".join(encodings))).alias("bits"))
+    return tried.groupBy("key").agg(F.bit_and("bits").alias("bits"))
+
+
+def _first_encoding(bits: Column, head: Column, encodings: Sequence[str]) -> Column:
+    both = bits.bitwiseAND(_decodable(head, F.lit(",".join(encodings))))
+    return F.coalesce(*[F.when(both.bitwiseAND(1 << i) != 0, F.lit(e)) for i, e in enumerate(encodings)])
+
+
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _header_of(head: pd.Series, encoding: pd.Series) -> pd.Series:
     return pd.Series(

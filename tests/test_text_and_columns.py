@@ -96,6 +96,8 @@ def test_plain_reader_takes_files_in_several_pieces(spark, tmp_path):
         df = legacy_csv.read_legacy_csv(spark, str(tmp_path))
         assert df.rdd.getNumPartitions() > 4
         got = sorted((int(r["番号"]), r["内容"]) for r in df.collect())
+        known = legacy_csv.read_legacy_csv(spark, str(tmp_path), encodings=["cp932"])
+        assert sorted((int(r["番号"]), r["内容"]) for r in known.collect()) == got
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert got == [(i, f"値{i % 10}") for i in range(4000)]
