@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow.functions.columns import qs
 from gaugeflow.functions.times import DAY
-from gaugeflow.operators.chunks import CHUNK, SEC, with_chunk
+from gaugeflow.operators.chunks import CHUNK, with_chunk
 from gaugeflow.operators.guards import exact_ranks, lookup_join
 from gaugeflow.session import shared_dir
 
