@@ -6,17 +6,18 @@ one shingle changes one word, so the number of unequal words is at most the
 symmetric difference. Two sets with similarity t or more differ in at most
 ``(1 - t) / (1 + t) * (n + m)`` shingles; a band has more blocks than that, so at
 least one word of such a pair is equal and an equi-join on words finds it. A
-second sketch of 512 parity bits bounds the difference again from below, before
-the survivors are verified on their whole sets.
+second sketch of 2048 parity bits, folded to 512 where many rows carry it, bounds
+the difference again from below, before the survivors are verified on their whole
+sets.
 
 The words of two equal *empty* blocks are not joined. Bands of small sets get so
 many blocks that the chance of a linked pair sharing no block with a shingle
 stays below 1e-12.
 
 Groups of equal sets are one node. All pairs of a group of similar sets are never
-built: first every member is compared with the smallest node of its word, linked
-nodes become components, and only what is in different components is compared
-again, inside the join condition, with frequent words dealt over many tasks.
+built: first every node is compared with one smaller node that it shares a word
+with, linked nodes become components, and only what is in different components is
+compared again, word by word, with frequent words dealt over many tasks.
 """
 
 from __future__ import annotations
@@ -32,12 +33,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gaugeflow.llm.components import components
-from gaugeflow.llm.frames import DOCUMENT_COLUMNS, bit_distance, id_and_text, list_array, map_batches
+from gaugeflow.llm.frames import DOCUMENT_COLUMNS, id_and_text, list_array, map_batches
 from gaugeflow.llm.shingles import mix, shingle_sets
 from gaugeflow.session import materialise
 
-BITS = 512
-SKETCH = [f"s{i}" for i in range(BITS // 64)]
+BITS = 2048
+FOLDED = 512  # of the sketch that goes along with a word
+SKETCH = [f"s{i}" for i in range(FOLDED // 64)]
 MISS = 1e-12  # chance of a linked pair without a common word
 GROUP = 2048  # members of one word compared in one task
 FILTER_BITS = 1 << 23  # fixed size (1 MB) of the filter over documents to verify
@@ -87,6 +89,11 @@ def parity_bits(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(flips.astype(np.uint8)).view(np.int64)
 
 
+def folded(bits: np.ndarray) -> np.ndarray:
+    """The sketch with ``FOLDED`` bits, as if made from fewer bits of the hashes."""
+    return np.bitwise_xor.reduce(bits.reshape(-1, FOLDED // 64), axis=0)
+
+
 def set_id(shingles: np.ndarray) -> int:
     """64 bits that stand for the whole set."""
     total = mix(shingles + np.uint64(0x1234567)).sum(dtype=np.uint64)
@@ -99,9 +106,9 @@ def _profile(batch: pa.RecordBatch) -> pa.RecordBatch:
         nodes.append(set_id(s) if len(s) else None)
         sizes.append(len(s))
         bits.append(parity_bits(s))
-    sketch = np.array(bits).reshape(-1, len(SKETCH)) if bits else np.zeros((0, len(SKETCH)), np.int64)
-    columns = [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64())]
-    return pa.RecordBatch.from_arrays([*columns, *(pa.array(sketch[:, i]) for i in range(len(SKETCH)))], names=["doc_id", "node", "n_shingles", *SKETCH])
+    short = np.array([folded(x) for x in bits]).reshape(-1, len(SKETCH)) if bits else np.zeros((0, len(SKETCH)), np.int64)
+    columns = [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), list_array(bits, pa.int64())]
+    return pa.RecordBatch.from_arrays([*columns, *(pa.array(short[:, i]) for i in range(len(SKETCH)))], names=["doc_id", "node", "n_shingles", "bits", *SKETCH])
 
 
 def _words_of(docs: DataFrame, bands: Bands) -> DataFrame:
@@ -122,20 +129,22 @@ def _words_of(docs: DataFrame, bands: Bands) -> DataFrame:
     return docs.mapInArrow(run, "node long, words array<long>").select(F.explode("words").alias("word"), "node")
 
 
-def _close(x: str, y: str, percent: int):
-    """Conditions every linked pair of nodes meets: sizes, and the sketches' distance."""
-    n, m = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
+def _filtered(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Those of (a, b) that sizes and sketches leave possible."""
+    x, y = nodes.alias("x"), nodes.alias("y")
+    n, m = F.col("x.n_shingles"), F.col("y.n_shingles")
     sizes = (100 * n >= percent * m) & (100 * m >= percent * n)
-    apart = bit_distance([F.col(f"{x}.{s}") for s in SKETCH], [F.col(f"{y}.{s}") for s in SKETCH])
-    return sizes & (apart * (100 + percent) <= (100 - percent) * (n + m))
+    apart = F.aggregate(F.zip_with("x.bits", "y.bits", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, d: s + d)
+    both = pairs.join(x, F.col("a") == F.col("x.node")).join(y, (F.col("b") == F.col("y.node")) & sizes)
+    return both.where(apart * (100 + percent) <= (100 - percent) * (n + m)).select("a", "b")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Those of (a, b) whose whole sets reach the threshold."""
     spark = docs.sparkSession
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = materialise(nodes.join(wanted, "node", "left_semi").select("node", F.col("rep").alias("doc_id")), "wanted")
-    # A filter of fixed size keeps the texts that no pair asks for out of the join; its false hits are joined away.
+    wanted = nodes.join(wanted, "node", "left_semi").select(F.col("rep").alias("doc_id"))
+    # A filter of fixed size keeps the texts that no pair asks for out of the joins; its false hits are joined away.
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
     marks = wanted.groupBy(F.shiftright(slot, 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(xxhash64(doc_id), 64) as int))")).alias("bits"))
     bits = np.zeros(FILTER_BITS // 64, dtype=np.int64)
@@ -145,16 +154,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slots = batch.column(2).to_numpy()
+            slots = batch.column(1).to_numpy()
             hit = ((held.value[slots >> 6] >> (slots & 63)) & 1).astype(bool)
             some = batch.filter(pa.array(hit))
             for start in range(0, some.num_rows, 200):
-                part = some.slice(start, 200)
-                found = [s.tobytes() for s in shingle_sets(part.column(1))]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], names=["doc_id", "shingles"])
-
-    found = docs.select("doc_id", "text", slot.alias("slot")).mapInArrow(sets, "doc_id long, shingles binary")
-    sets_of = materialise(wanted.join(found, "doc_id").dropDuplicates(["node"]).select("node", "shingles"), "sets")
+                found = [s for s in shingle_sets(some.column(0).slice(start, 200)) if len(s)]
+                yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "shingles"])
 
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep = []
@@ -164,8 +169,55 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int)
             keep.append(100 * both >= percent * (len(x) + len(y) - both))
         return batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
+    sets_of = docs.select("text", slot.alias("slot")).mapInArrow(sets, "node long, shingles binary")
     left, right = sets_of.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets_of.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), check, "a long, b long")
+    return map_batches(pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y"), check, "a long, b long").distinct()
+
+
+def _open_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes in different components that share a word and may be similar.
+
+    A word's rows come one after another; they are compared as arrays, and only the
+    pairs that the folded sketches leave possible become rows.
+    """
+
+    def compare(table: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+        node, component, n, side = (table.column(c).to_numpy() for c in ("node", "component", "n_shingles", "side"))
+        bits = np.column_stack([table.column(s).to_numpy() for s in SKETCH]).view(np.uint64)
+        ends = np.repeat(np.append(starts[1:], len(node)), np.diff(np.append(starts, len(node))))
+        first, second, i, step = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.arange(len(node)), 0
+        # Each row with the next of its group, then with the one after that, all groups at once.
+        while len(i):
+            step += 1
+            i = i[i + step < ends[i]]
+            j = i + step
+            # Inside a chunk both sides are 0; between two chunks they are 1 and 2.
+            ok = np.isin(side[i] + side[j], (0, 3)) & (component[i] != component[j]) & (100 * n[j] >= percent * n[i]) & (100 * n[i] >= percent * n[j])
+            a, b = i[ok], j[ok]
+            near = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64) * (100 + percent) <= (100 - percent) * (n[a] + n[b])
+            first.append(node[a[near]])
+            second.append(node[b[near]])
+        x, y = np.concatenate(first), np.concatenate(second)
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([held, table]).combine_chunks() if held is not None else table
+            if not table.num_rows:
+                continue
+            key = np.column_stack([table.column(c).to_numpy() for c in ("word", "low", "high")])
+            starts = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1))))
+            # The last group may go on in the next batch.
+            held = table.slice(int(starts[-1]))
+            if len(starts) > 1:
+                yield compare(table.slice(0, int(starts[-1])), starts[:-1])
+        if held is not None:
+            yield compare(held, np.zeros(1, np.int64))
+
+    dealt = rows.repartition("word", "low", "high").sortWithinPartitions("word", "low", "high")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 def jaccard_groups(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -178,35 +230,31 @@ def jaccard_groups(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", t
     """
     bands = size_bands(percent)
     docs = id_and_text(docs, id_col, text_col).where("doc_id is not null")
-    rows = materialise(map_batches(docs, _profile, "doc_id long, node long, n_shingles long, " + ", ".join(f"{s} long" for s in SKETCH)), "profiles")
-    nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n_shingles"), *(F.min(s).alias(s) for s in SKETCH))
+    rows = materialise(map_batches(docs, _profile, "doc_id long, node long, n_shingles long, bits array<long>, " + ", ".join(f"{s} long" for s in SKETCH)), "profiles")
+    nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), *(F.min(c).alias(c) for c in ("n_shingles", "bits", *SKETCH)))
     nodes = materialise(nodes, "nodes")
 
+    # Copies met by several tasks stand next to each other.
+    in_order = Window.partitionBy("word").orderBy("node")
     over = Window.partitionBy("word")
-    shared = _words_of(docs, bands).select("word", "node", F.min("node").over(over).alias("least"), F.max("node").over(over).alias("most"), F.count("*").over(over).alias("n"))
-    shared = materialise(shared.where("least <> most").select("word", "node", "least", "n"), "words")
+    shared = _words_of(docs, bands).select("word", "node", F.lag("node").over(in_order).alias("before"), F.min("node").over(over).alias("least"), F.max("node").over(over).alias("most"))
+    shared = materialise(shared.where("least <> most and (before is null or before <> node)").select("word", "node", "least"), "words")
 
-    pairs = shared.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    x, y = nodes.alias("x"), nodes.alias("y")
-    pairs = pairs.join(x, F.col("a") == F.col("x.node")).join(y, (F.col("b") == F.col("y.node")) & _close("x", "y", percent)).select("a", "b")
-    near = materialise(_verified(materialise(pairs, "pairs"), docs, nodes, percent), "links")
+    pairs = shared.where("node <> least").groupBy("node").agg(F.min("least").alias("a")).select("a", F.col("node").alias("b"))
+    near = materialise(_verified(materialise(_filtered(pairs, nodes, percent), "pairs"), docs, nodes, percent), "links")
     first = materialise(components(near), "components")
 
     # What a word still holds in different components.
     state = shared.join(first, "node", "left").select("word", "node", F.coalesce("component", "node").alias("component"))
-    mixed = state.groupBy("word").agg(F.min("component").alias("p"), F.max("component").alias("q"), F.countDistinct("node").alias("n")).where("p <> q").select("word", "n")
-    state = state.distinct().join(mixed, "word").join(nodes.drop("rep"), "node")
-    # A frequent word becomes a triangle of chunk pairs, each at most GROUP members a side.
-    chunks = F.ceil(F.col("n") / GROUP).cast("int")
-    state = state.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int")).withColumn("chunks", chunks)
-    state = materialise(state, "open")
-    x = state.withColumn("cell", F.expr("explode(transform(sequence(chunk, chunks - 1), i -> struct(chunk as lo, i as hi)))")).alias("x")
-    y = state.withColumn("cell", F.expr("explode(transform(sequence(0, chunk), i -> struct(i as lo, chunk as hi)))")).alias("y")
-    same = (F.col("x.word") == F.col("y.word")) & (F.col("x.cell.lo") == F.col("y.cell.lo")) & (F.col("x.cell.hi") == F.col("y.cell.hi"))
-    # Inside a chunk each pair once; between two chunks either node may be the smaller one.
-    once = (F.col("x.cell.lo") < F.col("x.cell.hi")) | (F.col("x.node") < F.col("y.node"))
-    more = x.join(y, same & once & (F.col("x.component") != F.col("y.component")) & _close("x", "y", percent))
-    more = more.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    state = state.select("*", F.min("component").over(over).alias("p"), F.max("component").over(over).alias("q"), F.count("*").over(over).alias("n")).where("p <> q")
+    # A frequent word becomes a triangle of chunk pairs, each at most GROUP members a side, about.
+    state = state.withColumn("chunks", F.ceil(F.col("n") / GROUP).cast("int")).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    cells = F.transform(
+        F.sequence(F.lit(0), F.col("chunks") - 1),
+        lambda i: F.struct(F.least("chunk", i).alias("low"), F.greatest("chunk", i).alias("high"), F.when(i == F.col("chunk"), 0).when(i > F.col("chunk"), 1).otherwise(2).alias("side")),
+    )
+    state = state.select("word", "node", "component", F.explode(cells).alias("cell")).select("word", "node", "component", "cell.*").join(nodes.select("node", "n_shingles", *SKETCH), "node")
+    more = _filtered(_open_pairs(state, percent), nodes, percent)
     links = near.union(_verified(materialise(more, "pairs"), docs, nodes, percent))
     groups = materialise(components(links), "components")
 
