@@ -52,9 +52,11 @@ class CollisionIndex:
         self.turn = directions(dim)
         self.largest, self.unit = largest, STEP * largest / math.sqrt(dim)
         projected = np.ascontiguousarray((np.column_stack([vectors, lift]) @ self.turn).T.astype(np.float32))
-        # Places fit 16 bits unless very many rows repeat one id.
-        self.order = np.argsort(projected, axis=1).astype(np.uint16 if len(vectors) <= 1 << 16 else np.int64)
-        self.sorted = np.take_along_axis(projected, self.order.astype(np.int64), axis=1)
+        order = np.argsort(projected, axis=1)
+        self.sorted = np.take_along_axis(projected, order, axis=1)
+        # Where each vector stands in each array. 16 bits, unless very many rows repeat one id.
+        self.place = np.empty(order.shape, dtype=np.uint16 if len(vectors) <= 1 << 16 else np.uint32)
+        np.put_along_axis(self.place, order, np.arange(len(vectors), dtype=self.place.dtype)[None, :], axis=1)
 
     def candidates(self, query: np.ndarray, least: int) -> np.ndarray:
         """Places of at least ``least`` vectors with the most collisions."""
@@ -64,16 +66,19 @@ class CollisionIndex:
         scaled = np.append(query * (self.largest / math.sqrt(float(query @ query))), 0.0)
         centres = scaled @ self.turn
         reach = self.unit * np.arange(1, ROUNDS + 1)
-        counts = np.zeros(n, dtype=np.uint16)
-        for order, values, centre in zip(self.order, self.sorted, centres):
-            lows, highs = np.searchsorted(values, centre - reach), np.searchsorted(values, centre + reach)
-            # What a round adds to the window also lies in all later ones.
-            a = b = int(np.searchsorted(values, centre))
-            for done in range(ROUNDS):
-                low, high = min(int(lows[done]), a), max(int(highs[done]), b)
-                counts[order[low:a]] += ROUNDS - done
-                counts[order[b:high]] += ROUNDS - done
-                a, b = low, high
+        counts = np.zeros(n, dtype=np.uint8 if ROUNDS * len(centres) < 256 else np.uint16)
+        kind = self.place.dtype.type
+        from_low, inside = np.empty(n, dtype=self.place.dtype), np.empty(n, dtype=bool)
+        for place, values, centre in zip(self.place, self.sorted, centres):
+            lows, highs = np.searchsorted(values, centre - reach).tolist(), np.searchsorted(values, centre + reach).tolist()
+            for low, high in zip(lows, highs):
+                if high - low == n:
+                    counts += 1
+                elif high > low:
+                    # Unsigned: what stands before the window comes out large.
+                    np.subtract(place, kind(low), out=from_low)
+                    np.less(from_low, kind(high - low), out=inside)
+                    np.add(counts, inside.view(np.uint8), out=counts)
         seen = np.cumsum(np.bincount(counts)[::-1])[::-1]
         threshold = int(np.flatnonzero(seen >= least)[-1])
         return np.flatnonzero(counts >= threshold)
