@@ -29,10 +29,12 @@ from gaugeflow.session import materialise
 Pattern = tuple[tuple[int, ...], int]
 
 
-def _exact(gap: int, left: np.ndarray, used: int) -> tuple[int, ...] | None:
-    """One, two or three available lengths that sum to ``gap``; longest first, so that short ones stay for later."""
+def _exact(gap: int, left: np.ndarray, used: int, most: int) -> tuple[int, ...] | None:
+    """One to ``most`` (three at most) available lengths that sum to ``gap``; longest first, so that short ones stay for later."""
     if left[gap] > (gap == used):
         return (gap,)
+    if most < 2:
+        return None
     free = left.copy()
     free[used] -= 1
 
@@ -45,6 +47,8 @@ def _exact(gap: int, left: np.ndarray, used: int) -> tuple[int, ...] | None:
 
     if gap > 1 and (two := pair(gap, free)):
         return two
+    if most < 3:
+        return None
     for a in np.flatnonzero(free[1 : gap - 1] > 0)[::-1] + 1:
         if 3 * a < gap:
             break
@@ -57,7 +61,15 @@ def _exact(gap: int, left: np.ndarray, used: int) -> tuple[int, ...] | None:
 
 
 def plan(counts: np.ndarray) -> list[Pattern]:
-    """Patterns with multiplicities that use every piece once; ``counts[n]`` pieces have n tokens."""
+    """Patterns with multiplicities that use every piece once; ``counts[n]`` pieces have n tokens.
+
+    Exact triples can use up short lengths that best fit would need, so the plans
+    with singles only, with pairs and with triples are compared.
+    """
+    return min((_plan(counts, most) for most in (3, 2, 1)), key=lambda p: sum(times for _, times in p))
+
+
+def _plan(counts: np.ndarray, most: int) -> list[Pattern]:
     size = len(counts) - 1
     left = counts.astype(np.int64).copy()
     out: list[Pattern] = []
@@ -67,7 +79,7 @@ def plan(counts: np.ndarray) -> list[Pattern]:
         left[size] = 0
     for n in range(size - 1, 0, -1):
         while left[n]:
-            found = _exact(size - n, left, n)
+            found = _exact(size - n, left, n, most)
             if not found:
                 rest[n], left[n] = left[n], 0
                 break

@@ -164,6 +164,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
 
 def read_token_files(spark: SparkSession, files: DataFrame, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in the files, read back."""
+    schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
+    if files.isEmpty():
+        return spark.createDataFrame([], schema)
     # One row per file: the table is tiny against the data, about one in FILE_IDS ids.
     order = Window.orderBy("task", "part").rowsBetween(Window.unboundedPreceding, -1)
     placed = files.select("file", F.coalesce(F.sum("n_ids").over(order), F.lit(0)).alias("base"))
@@ -181,7 +184,7 @@ def read_token_files(spark: SparkSession, files: DataFrame, folder: str) -> Data
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return content.join(placed, "file").select("base", "content").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return content.join(placed, "file").select("base", "content").mapInArrow(read, schema)
 
 
 def token_files_digest(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
