@@ -81,8 +81,8 @@ def yearly_histogram(df: DataFrame, ts: str, cols: Sequence[str], bins: int = 30
             F.when(F.col("__lo") == F.col("__hi"), F.col("__hi") + 0.5).otherwise(F.col("__hi")).alias("hi"),
         )
     )
-    # Broadcast bound: columns of one table (fixed by its schema) times years.
-    placed = long.join(F.broadcast(ranges), ["column", "year"])
+    # One row for each column and year; Spark broadcasts it while it is small.
+    placed = long.join(ranges, ["column", "year"])
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     bin_no = F.least(F.floor((F.col("value") - F.col("lo")) / width) + 1, F.lit(bins)).cast("int")
     return placed.groupBy("column", "year", "lo", "hi", bin_no.alias("bin")).agg(F.count("*").alias("n"))

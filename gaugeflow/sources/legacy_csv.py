@@ -380,7 +380,7 @@ def read_legacy_csv(
 
 
 def group_file_family(df: DataFrame, source: str = SOURCE) -> DataFrame:
-    """Add ``family`` (file stem without a trailing four-digit year) and
+    """Add ``family`` (file stem without a trailing four-digit year, in any script's digits) and
     ``year`` (last four characters of the stem, the order within a family)."""
     stem = F.regexp_replace(F.element_at(F.split(col(source), "/"), -1), r"(?<=.)\.[^.]*$", "")
-    return df.withColumns({"family": F.regexp_replace(stem, r"[0-9]{4}$", ""), "year": F.substring(stem, -4, 4)})
+    return df.withColumns({"family": F.regexp_replace(stem, r"\p{Nd}{4}$", ""), "year": F.substring(stem, -4, 4)})
