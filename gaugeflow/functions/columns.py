@@ -47,6 +47,17 @@ def nan_to_null(c: Column) -> Column:
     return F.when(F.isnan(c), F.lit(None)).otherwise(c)
 
 
+def finite(c: Column) -> Column:
+    """The value, null for NaN and the infinities."""
+    return F.when(F.abs(c) < F.lit(float("inf")), c)
+
+
+def known_values(df: DataFrame, cols: list[str]) -> DataFrame:
+    """NaN counts as no reading in the floating-point columns among ``cols``."""
+    kinds = dict(df.dtypes)
+    return df.withColumns({c: nan_to_null(col(c)) for c in cols if kinds[c] in ("float", "double")})
+
+
 def unpivot(df: DataFrame, keys: list[str], cols: list[str], name: str, value: str) -> DataFrame:
     """Wide to long: one row per (row, column)."""
     return df.unpivot(qs(keys), qs(cols), name, value)

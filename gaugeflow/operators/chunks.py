@@ -16,7 +16,8 @@ What crosses a chunk border is supplied in one of two ways:
   whatever the volume of readings.
 
 Timestamps must not be null and must be unique within a series (see
-``guards``); dense series take a shorter chunk.
+``guards``); dense series take a shorter chunk. Null keys form a series of their
+own. NaN counts as a missing reading.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.columns import col, q, qs
+from gaugeflow.functions.columns import col, known_values, q, qs
 from gaugeflow.functions.times import DAY, MINUTE, at_seconds, epoch_seconds
 
 WEEK = 7 * DAY
@@ -34,6 +35,7 @@ WEEK = 7 * DAY
 SEC = "__sec"
 CHUNK = "__chunk"
 OWN = "__own"
+SLICE = "__slice"
 
 
 def with_chunk(df: DataFrame, ts: str, chunk: int = WEEK) -> DataFrame:
@@ -41,6 +43,17 @@ def with_chunk(df: DataFrame, ts: str, chunk: int = WEEK) -> DataFrame:
     return df.withColumns({SEC: sec, CHUNK: F.floor(sec / F.lit(chunk))})
 
 
+def _with_carry(chunked: DataFrame, carried: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Give every row what its chunk carries, and ``SLICE`` to partition windows by.
+
+    The key is one struct: structs are equal where both hold nulls, so rows of a
+    null series find their summary, and join and windows share one shuffle.
+    """
+    key = F.struct(*[col(c) for c in group])
+    rows = chunked if SLICE in chunked.columns else chunked.withColumn(SLICE, key)
+    return rows.join(carried.withColumn(SLICE, key).drop(*group), SLICE, "left")
+
+
 def at_offsets(
     df: DataFrame, keys: Sequence[str], ts: str, wanted: Sequence[tuple[str, int, str]], chunk: int = WEEK
 ) -> DataFrame:
@@ -114,7 +127,7 @@ def _nearest_known(
     )
     # Both directions use a growing frame (linear); "rows following" frames
     # would be re-evaluated from scratch for every row.
-    upto, downto = _over(group, order, UP_TO_HERE), _over(group, f"{order} DESC", UP_TO_HERE)
+    upto, downto = _over([SLICE], order, UP_TO_HERE), _over([SLICE], f"{order} DESC", UP_TO_HERE)
     picked = {
         c: (
             f"coalesce(last({q(c)}, true) {upto}, __pv{i})",
@@ -124,7 +137,7 @@ def _nearest_known(
         )
         for i, c in numbered
     }
-    return df.join(carried, group, "left"), picked
+    return _with_carry(df, carried, group), picked
 
 
 def ffill_bfill(
@@ -137,13 +150,13 @@ def ffill_bfill(
 ) -> DataFrame:
     """Last known value; where there is none yet, the first later one."""
     cols = [c for c in df.columns if c != ts and c not in keys] if cols is None else list(cols)
-    joined, picked = _nearest_known(with_chunk(df, ts, chunk), keys, cols, SEC)
+    joined, picked = _nearest_known(with_chunk(known_values(df, cols), ts, chunk), keys, cols, SEC)
     filled = {c: f"coalesce({p[0]}, {p[2]})" if backward else p[0] for c, p in picked.items()}
     return joined.selectExpr(*[f"{filled[c]} AS {q(c)}" if c in filled else q(c) for c in df.columns])
 
 
 def _interpolated(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order: str, out: Sequence[str]) -> DataFrame:
-    joined, picked = _nearest_known(df, keys, cols, order)
+    joined, picked = _nearest_known(known_values(df, cols), keys, cols, order)
     names = {c: [f"__{x}{i}" for x in ("pv", "pt", "nv", "nt")] for i, c in enumerate(cols)}
     found = joined.selectExpr(
         *qs(c for c in dict.fromkeys([*out, order]) if c not in cols), *qs(cols), *[f"{e} AS {n}k" for c in cols for e, n in zip(picked[c], names[c], strict=True)]
@@ -174,9 +187,9 @@ def _positioned(chunked: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
         .agg(F.count("*").alias("__n"))
         .select(*qs(group), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
     )
-    within = Window.partitionBy(*qs(group)).orderBy(SEC)
+    within = Window.partitionBy(SLICE).orderBy(SEC)
     return (
-        chunked.join(offsets, group, "left")
+        _with_carry(chunked, offsets, group)
         .withColumn(out, F.col("__offset") + F.row_number().over(within) - 1)
         .drop("__offset")
     )
@@ -197,11 +210,11 @@ def with_next_second(df: DataFrame, keys: Sequence[str], ts: str, out: str, chun
         .agg(F.min(SEC).alias("__start"))
         .select(*qs(group), F.lead("__start").over(in_order).alias("__next_start"))
     )
-    within = Window.partitionBy(*qs(group)).orderBy(SEC)
+    within = Window.partitionBy(SLICE).orderBy(SEC)
     return (
-        chunked.join(starts, group, "left")
+        _with_carry(chunked, starts, group)
         .withColumn(out, F.coalesce(F.lead(SEC).over(within), F.col("__next_start")))
-        .drop("__next_start", CHUNK)
+        .drop("__next_start", CHUNK, SLICE)
     )
 
 
@@ -268,10 +281,11 @@ def upsample_by_position(
     grid = regularise(df, keys, ts, step, chunk).where(F.month(col(ts)).between(*months))
     slots = row_positions(grid, keys, ts, "__slot", chunk).withColumn("__row", F.floor(F.col("__slot") / parts))
     placed = {c: f"__placed{i}" for i, c in enumerate(values)}
+    place = F.struct(*[col(k) for k in keys], F.col("__row")).alias("__place")
     rows = row_positions(df, keys, ts, "__row", chunk).select(
-        *qs(keys), "__row", F.lit(True).alias("__hit"), *[col(c).alias(p) for c, p in placed.items()]
+        place, F.lit(True).alias("__hit"), *[col(c).alias(p) for c, p in placed.items()]
     )
-    out = slots.join(rows, [*keys, "__row"], "left")
+    out = slots.select("*", place).join(rows, "__place", "left")
     # Slots past the last source row keep what the grid has at their own time.
     made = {
         c: F.when(F.col("__hit"), F.col(p) / F.lit(float(parts))).otherwise(F.coalesce(col(c), F.lit(0.0))).alias(c)

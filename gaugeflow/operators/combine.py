@@ -43,7 +43,8 @@ def align_outer(frames: Sequence[DataFrame], keys: Sequence[str] = ("datetime",)
 
     With unique keys all tables are stacked and folded by one aggregation, that
     is one shuffle however many tables there are. ``unique=False`` joins them
-    one after another instead and keeps every pairing of repeated keys.
+    one after another instead and keeps every pairing of repeated keys. Should
+    keys repeat nevertheless, the smallest known value of a column is taken.
     """
     if not unique:
         def outer(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -63,7 +64,7 @@ def align_outer(frames: Sequence[DataFrame], keys: Sequence[str] = ("datetime",)
         widths.append(f)
     stacked = union_frames(widths)
     values = [c for c in stacked.columns if c not in keys]
-    folded = stacked.groupBy(*[col(k) for k in keys]).agg(*[F.first(col(c), True).alias(c) for c in values])
+    folded = stacked.groupBy(*[col(k) for k in keys]).agg(*[F.min(col(c)).alias(c) for c in values])
     return folded.select(*[col(k) for k in keys], *[col(c) for c in values])
 
 
@@ -71,13 +72,13 @@ def enrich_left(levels: DataFrame, rain: DataFrame, keys: Sequence[str] = ("date
     """Add the rain columns to the level rows.
 
     Several rain tables may be stacked in ``rain``; they are folded to one row
-    per key first, so the number of level rows never changes.
+    per key first (the smallest known value of each column), so the number of
+    level rows never changes. Columns that both have get the suffixes _x and _y.
     """
     values = [c for c in rain.columns if c not in keys]
-    per_key = rain.groupBy(*[col(k) for k in keys]).agg(*[F.first(col(c), True).alias(c) for c in values])
-    return levels.join(per_key, list(keys), "left").select(
-        *[col(c) for c in levels.columns], *[col(c) for c in values if c not in levels.columns]
-    )
+    per_key = rain.groupBy(*[col(k) for k in keys]).agg(*[F.min(col(c)).alias(c) for c in values])
+    x, y = _suffixed(levels, per_key, keys)
+    return x.join(y, list(keys), "left").select(*[col(c) for c in x.columns], *[col(c) for c in y.columns if c not in keys])
 
 
 def join_xy(x: DataFrame, y: DataFrame, keys: Sequence[str] = ("datetime",)) -> DataFrame:

@@ -106,13 +106,15 @@ def _lagged(level: str, windows: dict[int, Sequence[int]], names) -> list[Column
 
 
 def station_features(
-    df: DataFrame, spec: StationSpec, keys: Sequence[str] = (), ts: str = "datetime", strict: bool = False, chunk: int = WEEK
+    df: DataFrame, spec: StationSpec, keys: Sequence[str] = (), ts: str = "datetime", strict: bool = False, chunk: int = WEEK, outcomes: bool = True
 ) -> DataFrame:
     """Wide readings to the station's training table.
 
     Adds derived flows and calendar columns, lag features, targets and lagged
     targets; keeps the rows whose rates are all valid and that have no gap.
     ``keys`` must hold the split (and the basin), since no value may cross it.
+    Without ``outcomes`` there are no targets, and the newest rows stay: the
+    table that a forecast starts from.
     """
     base = calendar_features(derived_flows(df), ts)
     lagged = [f for f in spec.lagged if f in base.columns]
@@ -120,7 +122,7 @@ def station_features(
     has_level = spec.level in base.columns
     windows = {h: spec.lag_windows[h] for h in spec.horizons if h in spec.lag_windows}
     if has_level:
-        offsets = _target_offsets(windows) | set(spec.horizons)
+        offsets = _target_offsets(windows) | (set(spec.horizons) if outcomes else set())
         wanted += [(spec.level, m, _at(m)) for m in sorted(offsets)]
     looked = at_offsets(base, keys, ts, wanted, chunk)
     if not has_level:
@@ -131,14 +133,15 @@ def station_features(
 
     targets = [
         e
-        for h in spec.horizons
+        for h in (spec.horizons if outcomes else ())
         for e in (_rate(spec.level, 0, h, names(h)[0]), _change(spec.level, 0, h, names(h)[1]))
     ]
     kept = [c for c in looked.columns if not c.startswith("__at")]
     made = looked.select(*qs(kept), *targets, *_lagged(spec.level, windows, names))
     lagged_rates, _ = spec.lagged_target_columns()
-    valid = valid_targets(made, [rate_name(spec.station, h) for h in spec.horizons] + lagged_rates)
-    return complete_cases(valid, [*feature_columns(spec), *spec.target_columns(), spec.level], strict)
+    rates = [rate_name(spec.station, h) for h in spec.horizons] if outcomes else []
+    valid = valid_targets(made, rates + lagged_rates)
+    return complete_cases(valid, [*feature_columns(spec), *(spec.target_columns() if outcomes else ()), spec.level], strict)
 
 
 def select_x(df: DataFrame, spec: StationSpec, keys: Sequence[str] = (), ts: str = "datetime") -> DataFrame:

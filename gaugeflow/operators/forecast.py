@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from gaugeflow.functions.columns import col, q, qs
 from gaugeflow.functions.numbers import change_class, level_after
 from gaugeflow.operators.scaling import Scaler, class_weight, denormalised, normalised
+from gaugeflow.session import materialise
 from gaugeflow.sources.spec import FORECAST_HORIZONS, StationSpec, change_name, rate_name
 from gaugeflow.sources.tables import first_existing
 
@@ -70,6 +71,7 @@ def _regressor(params: BoostParams, label: str) -> GBTRegressor:
         maxIter=params.rounds,
         stepSize=params.step,
         maxDepth=params.depth,
+        maxBins=256,
         minInstancesPerNode=params.leaf_rows,
         featureSubsetStrategy=str(params.feature_share) if params.feature_share < 1 else "all",
         subsamplingRate=params.row_share,
@@ -171,8 +173,9 @@ def fit_forecasters(
         )
         return assemble(scaled, features).drop(*features)
 
-    ready = prepare(train).persist()
-    ready_val = prepare(val).persist() if val is not None else None
+    # Written once: all fits read these tables, and losing an executor costs no more than its task.
+    ready = materialise(prepare(train), "training")
+    ready_val = materialise(prepare(val), "validation") if val is not None else None
 
     def fit(task: tuple[int, str]) -> GBTRegressionModel:
         h, kind = task
@@ -233,14 +236,20 @@ def forecast(df: DataFrame, f: Forecaster, spec: StationSpec, keys: Sequence[str
 
     Columns: keys, ts, ``level`` and per horizon ``rate_{h}_pred``,
     ``rate_{h}_actual``, ``level_{h}``, ``class_{h}``. Missing features count as
-    zero, as in training tables read back without a check.
+    zero, as in training tables read back without a check. Where the outcome is
+    not known, for a row or for the whole table, the actual rate and the class
+    are null.
     """
     horizons = sorted(h for h, kind in f.models if kind == "rate")
     packed = [f"__n{i}" for i in range(len(f.features))]
     zeroed = df.select(
         *qs([*keys, ts]),
         col(spec.level).alias("level"),
-        *[col(n(spec.station, h)).alias(a) for h in horizons for n, a in ((rate_name, f"rate_{h}_actual"), (change_name, f"change_{h}"))],
+        *[
+            (col(n(spec.station, h)) if n(spec.station, h) in df.columns else F.lit(None).cast("double")).alias(a)
+            for h in horizons
+            for n, a in ((rate_name, f"rate_{h}_actual"), (change_name, f"change_{h}"))
+        ],
         *[
             normalised(f"coalesce(nullif(CAST({q(c)} AS DOUBLE), double('NaN')), 0D)", f.scaler, c, n)
             for c, n in zip(f.features, packed, strict=True)

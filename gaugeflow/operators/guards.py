@@ -8,22 +8,30 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.columns import col
-from gaugeflow.session import shared_dir
-
-# A lookup table is broadcast only up to this many rows.
-BROADCAST_ROWS = 200_000
+from gaugeflow.session import materialise, shared_dir
 
 
 def unique_key(df: DataFrame, keys: Sequence[str], tiebreak: Sequence[str] = ()) -> DataFrame:
-    """One row per key: the smallest by ``tiebreak``, then by the other columns.
+    """One row per key: every column's first known value by ``tiebreak`` (nulls
+    last), then by the value itself.
 
-    An aggregate rather than ``row_number() = 1``, so that duplicates of a hot
-    key are thinned out before the shuffle.
+    Repeats of a key may each know a part of the readings, so none is lost to a
+    null of another. An aggregate rather than ``row_number() = 1``; ``repeats``
+    tells what was folded.
     """
     rest = [c for c in df.columns if c not in keys and c not in tiebreak]
-    ordered = [*tiebreak, *rest]
-    picked = df.groupBy(*[col(k) for k in keys]).agg(F.min(F.struct(*[col(c) for c in ordered])).alias("__row"))
-    return picked.select(*[col(c) if c in keys else F.col("__row").getField(c).alias(c) for c in df.columns])
+    order = [e for t in tiebreak for e in (col(t).isNull(), col(t))]
+    picked = [F.min(F.struct(*[e.alias(f"o{i}") for i, e in enumerate(order)])).alias("__order")] if tiebreak else []
+    picked += [F.min(F.when(col(c).isNotNull(), F.struct(*[e.alias(f"o{i}") for i, e in enumerate(order)], col(c).alias("v")))).alias(f"__v{i}") for i, c in enumerate(rest)]
+    folded = df.groupBy(*[col(k) for k in keys]).agg(*picked) if picked else df.select(*[col(k) for k in keys]).distinct()
+    made = {t: F.col("__order").getField(f"o{2 * i + 1}") for i, t in enumerate(tiebreak)}
+    made |= {c: F.col(f"__v{i}").getField("v") for i, c in enumerate(rest)}
+    return folded.select(*[made[c].alias(c) if c in made else col(c) for c in df.columns])
+
+
+def repeats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that occur more than once: (keys, n_rows)."""
+    return df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
 
 
 def dedup(df: DataFrame) -> DataFrame:
@@ -31,21 +39,14 @@ def dedup(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def lookup_join(
-    big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left", max_rows: int = BROADCAST_ROWS, salts: int = 64
-) -> DataFrame:
-    """Join a large table to a per-key table that is cheap to read again.
+def lookup_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join a large table to a per-key table.
 
-    The per-key table is broadcast when a count shows it is small. Otherwise the
-    join is salted: the per-key rows are repeated ``salts`` times and the large
-    side spreads each key over that many reducers, so a hot key cannot pile up
-    in one task.
+    The per-key table is written to the shared folder first, so the planner
+    knows its size in bytes: it is broadcast below the session's threshold, and
+    above it the join shuffles and adaptive execution splits the hot keys.
     """
-    if small.limit(max_rows + 1).count() <= max_rows:
-        return big.join(F.broadcast(small), list(keys), how)
-    salted = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = big.withColumn("__salt", F.pmod(F.xxhash64(*[col(c) for c in big.columns]), F.lit(salts)).cast("int"))
-    return spread.join(salted, [*keys, "__salt"], how).drop("__salt")
+    return big.join(materialise(small, "lookup"), list(keys), how)
 
 
 def exact_ranks(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
@@ -73,3 +74,19 @@ def exact_ranks(df: DataFrame, group: Sequence[str], order: Sequence[str], out:
     return ranked.withColumn(out, F.col("__before") + F.col("__id") - F.col("__first") + 1).drop(
         "__before", "__id", "__first", "__part"
     )
+
+
+def exact_quantile(df: DataFrame, column: str, share: float) -> float | None:
+    """Quantile with linear interpolation between neighbours, null without values.
+
+    By exact ranks over range partitions; no task gets all distinct values.
+    """
+    known = df.select(col(column).cast("double").alias("v")).where("v is not null and not isnan(v)")
+    ranked = exact_ranks(known, [], ["v"], "r")
+    n = ranked.count()
+    if not n:
+        return None
+    at = (n - 1) * share
+    low = int(at)
+    near = {r["r"] - 1: r["v"] for r in ranked.where(F.col("r").isin(low + 1, low + 2)).collect()}
+    return near[low] if at == low else near[low] + (near[low + 1] - near[low]) * (at - low)

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.columns import col, nan_to_null, unpivot
+from gaugeflow.functions.columns import col, finite, nan_to_null, unpivot
 from gaugeflow.operators.chunks import WEEK, interpolate_rows, interpolate_time
 from gaugeflow.session import materialise
 
@@ -38,7 +38,7 @@ HASH_RANGE = 1 << 30
 class StepScores:
     """Score of a value: ``scores[i]`` up to and including ``cuts[i]``.
 
-    At most trees × (sample - 1) cuts, whatever the size of the table.
+    About trees × sample cuts, whatever the size of the table.
     """
 
     cuts: np.ndarray
@@ -74,12 +74,12 @@ def _grow(values: np.ndarray, rng: np.random.Generator, limit: int) -> tuple[lis
     return cuts, depths
 
 
-def grow_forest(pool: np.ndarray, trees: int, sample: int, seed: int) -> StepScores:
-    """Forest over a bounded pool of values, as one step function."""
+def grow_forest(samples: Sequence[np.ndarray], seed: int) -> StepScores:
+    """Forest with one tree per sample, as one step function."""
     rng = np.random.default_rng(seed)
-    size = min(sample, len(pool))
+    size = int(round(float(np.mean([len(s) for s in samples]))))
     limit = int(np.ceil(np.log2(max(size, 2))))
-    grown = [_grow(rng.choice(pool, size, replace=False), rng, limit) for _ in range(trees)]
+    grown = [_grow(s, rng, limit) for s in samples]
     cuts = np.unique(np.concatenate([np.asarray(c) for c, _ in grown] or [np.empty(0)]))
     total = np.zeros(len(cuts) + 1)
     # The value right at a cut stands for the whole step that ends there.
@@ -87,33 +87,37 @@ def grow_forest(pool: np.ndarray, trees: int, sample: int, seed: int) -> StepSco
     for c, d in grown:
         total += np.asarray(d)[np.searchsorted(np.asarray(c), probes, side="left")]
     mean = max(float(_mean_depth(size)), np.finfo(float).tiny)
-    return StepScores(cuts, -np.power(2.0, -(total / trees) / mean))
+    return StepScores(cuts, -np.power(2.0, -(total / len(grown)) / mean))
 
 
 def fit_isolation(
-    df: DataFrame, cols: Sequence[str], row_id: str, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED
+    df: DataFrame, cols: Sequence[str], row_id: Sequence[str], trees: int = TREES, sample: int = SAMPLE, seed: int = SEED
 ) -> dict[str, StepScores]:
     """Grow one forest per column, one task per column.
 
-    A column's pool is the rows with the smallest hashes of ``row_id``, about
-    trees × sample of them, so the sample does not depend on how the table is
-    partitioned; smaller tables are used whole. A group, and what comes back to
-    the driver, is bounded by trees × sample.
+    Every tree draws its own sample: a hash of (row, tree) decides whether the
+    tree sees the row, with a share that makes ``sample`` rows in the mean, so
+    the samples do not depend on how the table is partitioned. A group, and what
+    comes back to the driver, is about trees × sample values.
     """
-    wanted = trees * sample
-    known = df.select(col(row_id).alias("__id"), *[nan_to_null(col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
+    known = df.select(F.xxhash64(*[col(c) for c in row_id]).alias("__id"), *[finite(col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
     counts = known.agg(*[F.count(f"c{i}").alias(f"c{i}") for i in range(len(cols))]).first()
-    hashed = known.withColumn("__h", F.pmod(F.xxhash64("__id", F.lit(seed)), F.lit(HASH_RANGE)))
-    limits = {f"c{i}": int(min(1.0, 1.25 * wanted / max(counts[f"c{i}"], 1)) * HASH_RANGE) for i in range(len(cols))}
-    narrow = hashed.select(
-        "__h", *[F.when(F.col("__h") < limits[c], F.col(c)).alias(c) for c in limits]
-    ).where(F.col("__h") < max(limits.values(), default=0))
-    cells = unpivot(narrow, ["__h"], list(limits), "name", "value").where("value is not null")
+    limits = {f"c{i}": int(min(1.0, sample / max(counts[f"c{i}"], 1)) * HASH_RANGE) for i in range(len(cols))}
+    drawn = F.filter(
+        F.transform(
+            F.sequence(F.lit(0), F.lit(trees - 1)),
+            lambda t: F.struct(t.alias("tree"), F.pmod(F.xxhash64("__id", t, F.lit(seed)), F.lit(HASH_RANGE)).alias("h")),
+        ),
+        lambda x: x.h < max(limits.values(), default=0),
+    )
+    draws = known.select(*limits, F.explode(drawn).alias("d"))
+    narrow = draws.select(F.col("d.tree").alias("tree"), *[F.when(F.col("d.h") < limits[c], F.col(c)).alias(c) for c in limits])
+    cells = unpivot(narrow, ["tree"], list(limits), "name", "value").where("value is not null")
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         name = pdf["name"].iloc[0]
-        pool = pdf.sort_values(["__h", "value"])["value"].to_numpy()[:wanted]
-        forest = grow_forest(pool, trees, sample, zlib.crc32(f"{seed}:{name}".encode()))
+        samples = [np.sort(part.to_numpy()) for _, part in pdf.groupby("tree", sort=True)["value"]]
+        forest = grow_forest(samples, zlib.crc32(f"{seed}:{name}".encode()))
         return pd.DataFrame({"name": [name], "cuts": [forest.cuts], "scores": [forest.scores]})
 
     grown = cells.groupBy("name").applyInPandas(grow, "name string, cuts array<double>, scores array<double>").collect()
@@ -126,7 +130,7 @@ def isolation_scores(df: DataFrame, forests: dict[str, StepScores], suffix: str
     sc = df.sparkSession.sparkContext
 
     def scorer(forest: StepScores):
-        # Bounded by trees × sample steps.
+        # Bounded: about trees × sample steps.
         shared = sc.broadcast((forest.cuts, forest.scores))
 
         @F.pandas_udf("double")
@@ -153,14 +157,14 @@ def isolation_flags(
     chunk: int = WEEK,
 ) -> DataFrame:
     """Add a boolean per column: score strictly below its ``contamination``
-    quantile over the table. Nulls are interpolated by row beforehand, for the
-    flags only; the columns themselves stay as they are."""
+    quantile over the table. Nulls, NaN and infinities are interpolated by row
+    beforehand, for the flags only; the columns themselves stay as they are."""
     cols = [c for c in cols if c in df.columns]
-    kept = df.select("*", *[nan_to_null(col(c).cast("double")).alias(f"__x{i}") for i, c in enumerate(cols)])
+    kept = df.select("*", *[finite(col(c).cast("double")).alias(f"__x{i}") for i, c in enumerate(cols)])
     xs = [f"__x{i}" for i in range(len(cols))]
     # Read three times: to grow the forests, for the thresholds, for the flags.
     full = materialise(interpolate_rows(kept, keys, ts, xs, chunk), "isolation")
-    forests = fit_isolation(full, xs, ts, trees, sample, seed)
+    forests = fit_isolation(full, xs, [*keys, ts], trees, sample, seed)
     scored = isolation_scores(full, forests)
     # Exact: a column has at most as many distinct scores as its forest has steps.
     limits = scored.agg(*[F.percentile(f"{x}_score", F.lit(contamination)).alias(x) for x in forests]).first() if forests else {}
@@ -180,7 +184,7 @@ def repair(
     marks = {c + suffix for c in cols}
     blanked = flagged.select(
         *[
-            F.when(~F.coalesce(col(c + suffix), F.lit(False)), nan_to_null(col(c).cast("double"))).alias(c) if c in cols else col(c)
+            F.when(~F.coalesce(col(c + suffix), F.lit(False)), finite(col(c).cast("double"))).alias(c) if c in cols else col(c)
             for c in flagged.columns
             if c not in marks
         ]

@@ -13,7 +13,7 @@ from gaugeflow.operators.split import chrono_split
 from gaugeflow.plans import fixtures as fx
 from gaugeflow.plans.registry import query
 from gaugeflow.session import fresh_path, materialise
-from gaugeflow.sources.spec import FORECAST_HORIZONS, feature_columns, lag_name
+from gaugeflow.sources.spec import FORECAST_HORIZONS, HORIZONS, LAGS, feature_columns, lag_name, lag_window
 
 KEY = ["sid"]
 
@@ -112,7 +112,7 @@ OUTLIER_SHARE = 0.97
     ),
 )
 def anomaly_repair(spark: SparkSession, sf: str) -> DataFrame:
-    limit = fx.readings(spark, sf).agg(F.percentile("v", F.lit(OUTLIER_SHARE)).alias("q")).first()["q"]
+    limit = guards.exact_quantile(fx.readings(spark, sf), "v", OUTLIER_SHARE)
     flagged = fx.grid(spark, sf).withColumn("v_outlier", F.col("v") > limit)
     return repair(flagged, ["v"], KEY, "ts")
 
@@ -122,11 +122,11 @@ def anomaly_repair(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "time_lag",
-    f"WITH {fx.READINGS} SELECT r.sid, r.ts, r.v, b10.v AS v_10lag, b30.v AS v_30lag, b60.v AS v_60lag FROM readings r "
-    + shifted("readings", "v", [-10, -30, -60]),
+    f"WITH {fx.READINGS} SELECT r.sid, r.ts, r.v, {', '.join(f'{_tag(-m)}.v AS v_{m}lag' for m in LAGS)} FROM readings r "
+    + shifted("readings", "v", [-m for m in LAGS]),
 )
 def time_lag(spark: SparkSession, sf: str) -> DataFrame:
-    return features.time_lag(fx.readings(spark, sf), KEY, "ts", ["v"], [10, 30, 60])
+    return features.time_lag(fx.readings(spark, sf), KEY, "ts", ["v"], LAGS)
 
 
 def rate_sql(end: str, start: str) -> str:
@@ -134,19 +134,20 @@ def rate_sql(end: str, start: str) -> str:
 
 
 TARGETS = ", ".join(
-    f"{rate_sql(f'a{h}.v', 'r.v')} AS rate_{h}, a{h}.v - r.v AS change_{h}" for h in (10, 30, 60, 120)
+    f"{rate_sql(f'a{h}.v', 'r.v')} AS rate_{h}, a{h}.v - r.v AS change_{h}" for h in HORIZONS
 )
 
 
 @query(
     "horizon_targets",
-    f"WITH {fx.READINGS} SELECT r.sid, r.ts, r.v, {TARGETS} FROM readings r " + shifted("readings", "v", [10, 30, 60, 120]),
+    f"WITH {fx.READINGS} SELECT r.sid, r.ts, r.v, {TARGETS} FROM readings r " + shifted("readings", "v", list(HORIZONS)),
 )
 def horizon_targets(spark: SparkSession, sf: str) -> DataFrame:
-    return features.horizon_targets(fx.readings(spark, sf), KEY, "ts", "v", [10, 30, 60, 120])
+    return features.horizon_targets(fx.readings(spark, sf), KEY, "ts", "v", HORIZONS)
 
 
-LAGGED = {10: (10, 20), 60: (60, 110)}
+LAGGED = {h: lag_window(h) for h in HORIZONS}
+LAGGED_AT = sorted({m for h, lags in LAGGED.items() for lag in lags for m in (-lag, h - lag)} - {0})
 LAGGED_SQL = ", ".join(
     f"{rate_sql(end, f'b{lag}.v')} AS rate_{h}_{lag}lag, {end} - b{lag}.v AS change_{h}_{lag}lag"
     for h, lags in LAGGED.items()
@@ -158,7 +159,7 @@ LAGGED_SQL = ", ".join(
 @query(
     "lagged_targets",
     f"WITH {fx.READINGS} SELECT r.sid, r.ts, r.v, {LAGGED_SQL} FROM readings r "
-    + shifted("readings", "v", [-10, -20, -60, -110, -50]),
+    + shifted("readings", "v", LAGGED_AT),
 )
 def lagged_targets(spark: SparkSession, sf: str) -> DataFrame:
     return features.lagged_targets(fx.readings(spark, sf), KEY, "ts", "v", LAGGED)
@@ -373,7 +374,8 @@ ERROR_SQL = (
 
 
 def error_by_class(spark: SparkSession, sf: str) -> DataFrame:
-    rows = persistence(spark, sf)
+    # Read twice: for the ranges and for the errors.
+    rows = materialise(persistence(spark, sf), "forecasts")
     rates = {h: f"rate_{h}_actual" for h in FORECAST_HORIZONS}
     scaler = scaling.load_scaler(scaling.fit_minmax(rows, list(rates.values())))
     ranges = {h: scaler[c][1] - scaler[c][0] for h, c in rates.items()}
@@ -389,15 +391,15 @@ def mae_by_class(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "forecast_lookup",
     f"""WITH {fx.LEVELS}, hs AS (SELECT unnest([10, 20, 30, 40, 50, 60])::INTEGER AS horizon), b AS (
-      SELECT l.sid, l.ts AS base_time, hs.horizon, l.ts + to_minutes(hs.horizon) AS target_time, l.lv FROM lvl l CROSS JOIN hs WHERE minute(l.ts) = 0)
+      SELECT l.sid, l.ts AS base_time, hs.horizon, l.ts + to_minutes(hs.horizon) AS target_time, l.lv FROM lvl l CROSS JOIN hs)
     SELECT b.sid, b.base_time, b.horizon, b.target_time, round_even(b.lv * 100, 0) / 100 AS predicted_level,
       round_even(a.lv * 100, 0) / 100 AS actual_level, 0.0::DOUBLE AS predicted_rate_pct,
       round_even((a.lv - b.lv) / b.lv * 100 * 100, 0) / 100 AS actual_rate_pct
     FROM b LEFT JOIN lvl a ON a.sid = b.sid AND a.ts = b.target_time""",
 )
 def forecast_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    rows = persistence(spark, sf)
-    bases = rows.where(F.minute("ts") == 0).select("sid", "ts")
+    rows = materialise(persistence(spark, sf), "forecasts")
+    bases = rows.select("sid", "ts")
     return evaluate.forecast_at(rows, bases, FORECAST_HORIZONS, KEY, "ts")
 
 
@@ -475,7 +477,7 @@ QUICK = BoostParams(rounds=8, step=0.2, depth=3, leaf_rows=5)
 
 def _fitted(spark: SparkSession, sf: str, horizons: tuple[int, ...]):
     rows = chrono_split(materialise(fx.wide_station(spark, sf), "station"), "ts")
-    table = features.station_features(rows, SPEC, ["split"], "ts").persist()
+    table = materialise(features.station_features(rows, SPEC, ["split"], "ts"), "features")
     names = feature_columns(SPEC)
     train, val, test = (table.where(F.col("split") == s) for s in ("train", "val", "test"))
     scaler = scaling.load_scaler(scaling.fit_minmax(train, [*names, *SPEC.target_columns()]))

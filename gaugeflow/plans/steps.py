@@ -6,7 +6,8 @@ alone. ``run_all`` chains them.
     merged/{family}  filtered/{family}  cleaned/{family}
     stats/{family}/profile  stats/{family}/trend  stats/{family}/histogram
     levels/raw  levels/repaired  inputs/with_rainfall  inputs/without_rainfall
-    features/{station}  models/{station}  forecasts/{station}  errors/{station}
+    features/{station}  models/{station}  forecasts/{station}  errors/{station}  matrix/{station}
+    rejects/files  rejects/lines  rejects/times/{family}  rejects/repeats/{family}  stats/encodings
 """
 
 from __future__ import annotations
@@ -18,15 +19,15 @@ from typing import TypeVar
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.columns import cols_like, drop_like
+from gaugeflow.functions.columns import col, cols_like, drop_like
 from gaugeflow.functions.numbers import coerce_numeric
-from gaugeflow.functions.times import compose_ts
+from gaugeflow.functions.times import compose_ts, parse_date_time
 from gaugeflow.operators import chunks, combine, evaluate, filters, guards, profile, scaling
 from gaugeflow.operators.features import check_xy, station_features, split_xy
 from gaugeflow.operators.forecast import BoostParams, fit_forecasters, forecast, load_forecaster, save_forecaster
 from gaugeflow.operators.isolation import isolation_flags, repair
 from gaugeflow.operators.split import chrono_split
-from gaugeflow.session import shared_dir
+from gaugeflow.session import materialise, shared_dir
 from gaugeflow.sources import legacy_csv
 from gaugeflow.sources.spec import FORECAST_HORIZONS, StationSpec, feature_columns, rate_name
 from gaugeflow.sources.tables import read_table, write_table
@@ -41,8 +42,9 @@ SOURCE = legacy_csv.SOURCE
 def ingest(spark: SparkSession, archives: str, root: str) -> list[str]:
     """Unite the yearly files of each family; returns the family names.
 
-    ``rejects/files`` lists members that no encoding decodes, ``rejects/lines``
-    the lines with too many fields.
+    ``rejects/files`` lists archives and members that cannot be read, with the
+    reason, ``rejects/lines`` the lines with too many fields, and
+    ``stats/encodings`` the encoding of every member.
     """
     shared_dir(spark)
     catalogue = legacy_csv.group_file_family(legacy_csv.zip_catalogue(spark, archives), "member").checkpoint()
@@ -53,7 +55,8 @@ def ingest(spark: SparkSession, archives: str, root: str) -> list[str]:
         write_table(legacy_csv.zip_table(members).drop("archive"), f"{root}/merged/{family}")
 
     _side_by_side(unite, families)
-    write_table(catalogue.where(F.col("encoding").isNull()).select("archive", "entry", "member", "size"), f"{root}/rejects/files")
+    write_table(catalogue.where(F.col("encoding").isNull()).select("archive", "entry", "member", "size", "error"), f"{root}/rejects/files")
+    write_table(legacy_csv.encoding_report(spark, archives), f"{root}/stats/encodings")
     write_table(legacy_csv.zip_rejects(catalogue), f"{root}/rejects/lines")
     return families
 
@@ -66,11 +69,13 @@ def _side_by_side(job: Callable[[str], T], families: Sequence[str]) -> list[T]:
 
 def filter_seasons(spark: SparkSession, root: str, family: str, start_year: int = 2018, months: tuple[int, int] = (4, 9)) -> bool:
     """Compose the timestamps and keep the seasons. False, with nothing written,
-    for a table without date and time columns."""
+    for a table without date and time columns. Rows without a valid time go to
+    ``rejects/times``."""
     rows = read_table(spark, f"{root}/merged/{family}")
     if not {"日付", "時刻"} <= set(rows.columns):
         return False
     write_table(filters.season_filter(compose_ts(rows, ts=TS), TS, start_year, months), f"{root}/filtered/{family}")
+    write_table(rows.where(parse_date_time(col("日付"), col("時刻")).isNull()), f"{root}/rejects/times/{family}")
     return True
 
 
@@ -78,12 +83,14 @@ def clean(spark: SparkSession, root: str, family: str) -> None:
     """Profile the text, turn it into numbers on the grid, split hourly rain,
     and summarise the numbers by year.
 
-    Repeated timestamps are reduced to one row (the first source file wins).
+    Repeated timestamps are folded to one row (the first source file that has a
+    value wins); ``rejects/repeats`` lists them.
     """
     rows = read_table(spark, f"{root}/filtered/{family}")
     values = [c for c in rows.columns if c not in (TS, SOURCE)]
     cells = rows.drop(SOURCE).withColumn("family", F.lit(family))
     write_table(profile.quality_profile(cells, "family"), f"{root}/stats/{family}/profile")
+    write_table(guards.repeats(rows, [TS]), f"{root}/rejects/repeats/{family}")
     numbers = guards.unique_key(coerce_numeric(rows, values), [TS], [SOURCE]).drop(SOURCE)
     if RAIN_FILES in family:
         numbers = chunks.upsample_split(numbers, [], TS)
@@ -107,12 +114,13 @@ def repair_levels(spark: SparkSession, root: str, families: Sequence[str], conta
 
 def prepare_inputs(spark: SparkSession, root: str, families: Sequence[str]) -> None:
     """Add the rain, fill the gaps, split by time."""
-    levels = chunks.ffill_bfill(read_table(spark, f"{root}/levels/repaired"), [], TS)
+    # Read several times each by the split.
+    levels = materialise(chunks.ffill_bfill(read_table(spark, f"{root}/levels/repaired"), [], TS), "levels")
     rains = [chunks.ffill_bfill(read_table(spark, f"{root}/cleaned/{f}"), [], TS) for f in families if RAIN_FILES in f]
     write_table(chrono_split(levels, TS), f"{root}/inputs/without_rainfall", ["split"])
     if rains:
         rain = guards.dedup(combine.union_frames(rains))
-        both = chunks.ffill_bfill(combine.enrich_left(levels, rain, [TS]), [], TS)
+        both = materialise(chunks.ffill_bfill(combine.enrich_left(levels, rain, [TS]), [], TS), "inputs")
         write_table(chrono_split(both, TS), f"{root}/inputs/with_rainfall", ["split"])
 
 
@@ -154,7 +162,9 @@ def predict(
     write_table(forecast(test, fitted, spec, [], TS), f"{root}/forecasts/{spec.station}")
     ranges = {h: fitted.scaler[rate_name(spec.station, h)][1] - fitted.scaler[rate_name(spec.station, h)][0] for h in horizons}
     done = read_table(spark, f"{root}/forecasts/{spec.station}")
-    write_table(evaluate.mae_by_class(done, horizons, ranges), f"{root}/errors/{spec.station}")
+    errors = materialise(evaluate.mae_by_class(done, horizons, ranges), "errors")
+    write_table(errors, f"{root}/errors/{spec.station}")
+    write_table(evaluate.mae_matrix(errors), f"{root}/matrix/{spec.station}")
 
 
 def report(spark: SparkSession, root: str, station: str, bases: DataFrame, horizons: Sequence[int] = FORECAST_HORIZONS) -> DataFrame:

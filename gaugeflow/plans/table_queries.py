@@ -25,7 +25,7 @@ from gaugeflow.sources import legacy_csv, tables
 def zip_scan(spark: SparkSession, sf: str) -> DataFrame:
     catalogue = legacy_csv.zip_catalogue(spark, fx.write_logger_files(spark, sf) + "/zip")
     counts = legacy_csv.zip_lines(catalogue).groupBy("file_id").agg(F.count("*").alias("n_lines"))
-    named = catalogue.select(F.xxhash64("path", "entry").alias("file_id"), "archive", "member")
+    named = catalogue.select(legacy_csv.file_id().alias("file_id"), "archive", "member")
     return named.join(counts, "file_id").select("archive", "member", "n_lines")
 
 

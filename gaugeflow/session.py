@@ -39,9 +39,14 @@ def shared_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="gaugeflow-")
     if not active.isDefined():
         sc.setCheckpointDir(configured)
-    # With its scheme, so that Spark and the clients inside tasks mean the same place.
-    path = sc._jvm.org.apache.hadoop.fs.Path(configured)
-    return path.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+    return qualified(spark, configured)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, so that Spark and the clients inside tasks mean the same place."""
+    sc = spark.sparkContext
+    named = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return named.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(named).toString().rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -17,9 +17,14 @@ null, blank lines ignored, header cells stripped.
 
 from __future__ import annotations
 
+import codecs
+import hashlib
 import io
+import lzma
+import struct
 import zipfile
-from collections.abc import Iterator, Sequence
+import zlib
+from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,8 +33,8 @@ from pyspark.sql import types as T
 
 from gaugeflow.functions.columns import col
 from gaugeflow.operators.guards import lookup_join
-from gaugeflow.session import shared_dir
-from gaugeflow.sources.storage import ENCODINGS, decodes, list_files, member_name, open_binary, pieces_of, write_binary
+from gaugeflow.session import qualified, shared_dir
+from gaugeflow.sources.storage import ENCODINGS, first_decoding, list_files, member_name, open_binary, pieces_of, write_binary
 
 # Cells that mean "missing".
 MISSING = (
@@ -37,13 +42,15 @@ MISSING = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# Bytes looked at for the encoding report, and encodings it tells apart.
-REPORT_BYTES = 1024
+# Encodings that the encoding report tells apart.
 REPORT_ENCODINGS = ("ascii", *ENCODINGS)
 
 BATCH_ROWS = 20_000
 SOURCE = "source_file"
-CATALOGUE = "path string, archive string, entry string, member string, size bigint, encoding string, header array<string>"
+ENTRIES = "path string, archive string, entry string, offset bigint, member string, size bigint, error string"
+CATALOGUE = ENTRIES + ", encoding string, header array<string>"
+# What reading a damaged, encrypted or unknown kind of archive raises; failures of the storage are not among them.
+BROKEN = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, struct.error, EOFError, NotImplementedError, RuntimeError, ValueError)
 
 
 def header_cells(line: str) -> list[str]:
@@ -78,75 +85,114 @@ def _tasks(spark: SparkSession) -> int:
     return 4 * spark.sparkContext.defaultParallelism
 
 
+def _entry(archive: zipfile.ZipFile, offset: int) -> zipfile.ZipInfo:
+    """By place, since an archive may hold a name twice."""
+    return next(i for i in archive.infolist() if i.header_offset == offset)
+
+
 def zip_catalogue(spark: SparkSession, path: str | Sequence[str], encodings: Sequence[str] = ENCODINGS, path_glob: str = "*.zip") -> DataFrame:
     """One row per CSV member of every archive below ``path``.
 
-    Members are told apart by (archive, entry), so equal names never overwrite
-    each other.
+    Members are told apart by (path, offset), so equal names never overwrite
+    each other. An archive that cannot be opened is one row without an entry; it
+    and unreadable members carry the reason in ``error`` and have no encoding.
     """
-    entries = list_files(spark, path, path_glob).mapInPandas(_list_entries, "path string, archive string, entry string, member string, size bigint")
     # Few bytes but much work per row: an explicit count keeps adaptive
     # execution from merging all members into one task.
-    spread = entries.repartition(_tasks(spark), "path", "entry")
+    spread = _entries(spark, path, path_glob).repartition(_tasks(spark), "path", "offset")
 
     def inspect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for r in batch.itertuples(index=False):
-                with open_binary(r.path) as f, zipfile.ZipFile(f) as archive:
-                    found = None
-                    for enc in encodings:
-                        with archive.open(r.entry) as member:
-                            if decodes(pieces_of(member), enc):
-                                found = enc
-                                break
-                    header = None
-                    if found:
-                        with archive.open(r.entry) as member:
-                            header = header_cells(_first_line(io.TextIOWrapper(member, found)))
-                rows.append((r.path, r.archive, r.entry, r.member, r.size, found, header))
-            yield pd.DataFrame(rows, columns=["path", "archive", "entry", "member", "size", "encoding", "header"])
+            found = [(*r, *_inspected(r, encodings)) for r in batch.drop(columns="error").itertuples(index=False)]
+            out = pd.DataFrame(found, columns=[*batch.columns.drop("error"), "reason", "encoding", "header"])
+            yield out.assign(error=batch["error"].where(batch["error"].notna(), out["reason"]).to_numpy()).drop(columns="reason")
 
     return spread.mapInPandas(inspect, CATALOGUE)
 
 
+def _inspected(r, encodings: Sequence[str]) -> tuple[str | None, str | None, list[str] | None]:
+    """(reason for not reading it, encoding, header) of one member."""
+    if r.entry is None:
+        return None, None, None
+    try:
+        with open_binary(r.path) as f, zipfile.ZipFile(f) as archive:
+            info = _entry(archive, r.offset)
+            with archive.open(info) as member:
+                encoding = first_decoding(pieces_of(member), encodings)
+            if encoding is None:
+                return "no encoding decodes it", None, None
+            with archive.open(info) as member:
+                return None, encoding, header_cells(_first_line(io.TextIOWrapper(member, encoding)))
+    except BROKEN as e:
+        return f"{type(e).__name__}: {e}", None, None
+
+
+def _entries(spark: SparkSession, path: str | Sequence[str], path_glob: str) -> DataFrame:
+    return list_files(spark, path, path_glob).mapInPandas(_list_entries, ENTRIES)
+
+
 def _list_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for r in batch.itertuples(index=False):
-            with open_binary(r.path) as f, zipfile.ZipFile(f) as archive:
-                rows += [(r.path, r.name, i.filename, n.replace("\\", "/").rsplit("/", 1)[-1], i.file_size) for i, n in _csv_entries(archive)]
-        yield pd.DataFrame(rows, columns=["path", "archive", "entry", "member", "size"])
+            try:
+                with open_binary(r.path) as f, zipfile.ZipFile(f) as archive:
+                    rows += [
+                        (r.path, r.name, i.filename, i.header_offset, n.replace("\\", "/").rsplit("/", 1)[-1], i.file_size, None)
+                        for i, n in _csv_entries(archive)
+                    ]
+            except BROKEN as e:
+                rows.append((r.path, r.name, None, -1, None, r.size, f"{type(e).__name__}: {e}"))
+        yield pd.DataFrame(rows, columns=["path", "archive", "entry", "offset", "member", "size", "error"])
 
 
 def encoding_report(spark: SparkSession, path: str | Sequence[str], path_glob: str = "*.zip") -> DataFrame:
-    """(archive, member, encoding, confidence) from the first KiB of each member
-    whose name ends in ``.csv``; confidence is the share of bytes that decode."""
-    entries = list_files(spark, path, path_glob).mapInPandas(_list_entries, "path string, archive string, entry string, member string, size bigint")
+    """(archive, member, encoding, confidence) from all bytes of each member
+    whose name ends in ``.csv``; confidence is the share of bytes that decode,
+    null with the encoding for members that cannot be read."""
 
     def guess(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for r in batch.itertuples(index=False):
-                with open_binary(r.path) as f, zipfile.ZipFile(f) as archive, archive.open(r.entry) as member:
-                    head = member.read(REPORT_BYTES)
-                rows.append((r.archive, r.member, *guess_encoding(head)))
+                try:
+                    with open_binary(r.path) as f, zipfile.ZipFile(f) as archive, archive.open(_entry(archive, r.offset)) as member:
+                        found = guess_encoding(pieces_of(member))
+                except BROKEN:
+                    found = (None, None)
+                rows.append((r.archive, r.member, *found))
             yield pd.DataFrame(rows, columns=["archive", "member", "encoding", "confidence"])
 
-    wanted = entries.where(F.col("entry").endswith(".csv")).repartition(_tasks(spark), "path", "entry")
+    wanted = _entries(spark, path, path_glob).where(F.col("entry").endswith(".csv")).repartition(_tasks(spark), "path", "offset")
     return wanted.mapInPandas(guess, "archive string, member string, encoding string, confidence double")
 
 
-def guess_encoding(head: bytes) -> tuple[str, float]:
-    """First encoding under which the most bytes decode, and their share."""
-    best, best_share = REPORT_ENCODINGS[0], -1.0
-    for enc in REPORT_ENCODINGS:
-        # A character cut off at the end of the sample counts as decoded.
-        cut = next((k for k in range(4) if _clean(head[: len(head) - k], enc)), None) if len(head) == REPORT_BYTES else None
-        share = 1.0 if cut is not None or _clean(head, enc) else len(head.decode(enc, "ignore").encode(enc)) / len(head)
-        if share > best_share:
-            best, best_share = enc, share
-    return best, best_share
+def guess_encoding(pieces: Iterable[bytes]) -> tuple[str, float]:
+    """First encoding under which the most bytes decode, and their share.
+
+    One pass with all decoders side by side.
+    """
+    strict = {e: codecs.getincrementaldecoder(e)() for e in REPORT_ENCODINGS}
+    lenient = {e: codecs.getincrementaldecoder(e)("ignore") for e in REPORT_ENCODINGS}
+    kept, total = dict.fromkeys(REPORT_ENCODINGS, 0), 0
+
+    def feed(data: bytes, last: bool) -> None:
+        for e in REPORT_ENCODINGS:
+            kept[e] += len(lenient[e].decode(data, last).encode(e, "ignore"))
+            if e in strict:
+                try:
+                    strict[e].decode(data, last)
+                except UnicodeDecodeError:
+                    del strict[e]
+
+    for piece in pieces:
+        total += len(piece)
+        feed(piece, False)
+    feed(b"", True)
+    if strict:
+        return next(iter(strict)), 1.0
+    best = max(REPORT_ENCODINGS, key=lambda e: kept[e])
+    return best, kept[best] / total
 
 
 def _clean(data: bytes, encoding: str) -> bool:
@@ -209,16 +255,21 @@ def zip_table(catalogue: DataFrame, columns: Sequence[str] | None = None) -> Dat
     return _cells(lookup_join(zip_lines(catalogue), files, ["file_id"], "inner"), columns, ["archive", SOURCE])
 
 
+def file_id() -> Column:
+    """Key of a catalogued member: its archive and its place in it."""
+    return F.concat("path", F.lit("#"), F.col("offset").cast("string"))
+
+
 def _readable(catalogue: DataFrame) -> DataFrame:
-    return catalogue.where(F.col("encoding").isNotNull()).withColumn("file_id", F.xxhash64("path", "entry"))
+    return catalogue.where(F.col("encoding").isNotNull()).withColumn("file_id", file_id())
 
 
 def zip_lines(catalogue: DataFrame) -> DataFrame:
     """Text lines after the header of every member: (file_id, line_no, line),
-    ``file_id`` being the hash of (path, entry)."""
-    todo = _readable(catalogue).select("file_id", "path", "entry", "encoding")
-    spread = todo.repartition(_tasks(catalogue.sparkSession), "path", "entry")
-    return spread.mapInPandas(_read_lines, "file_id bigint, line_no bigint, line string")
+    ``file_id`` as :func:`file_id` makes it."""
+    todo = _readable(catalogue).select("file_id", "path", "offset", "encoding")
+    spread = todo.repartition(_tasks(catalogue.sparkSession), "path", "offset")
+    return spread.mapInPandas(_read_lines, "file_id string, line_no bigint, line string")
 
 
 def zip_rejects(catalogue: DataFrame) -> DataFrame:
@@ -230,32 +281,34 @@ def zip_rejects(catalogue: DataFrame) -> DataFrame:
 
 
 def extract_members(catalogue: DataFrame, folder: str) -> DataFrame:
-    """Copy every member, byte for byte, to ``folder/archive/member`` and return
-    (archive, member, target, size). The copy is made when the result is used;
-    ``read_legacy_csv`` can then read the folder in pieces.
+    """Copy every readable member, byte for byte, and return (archive, member,
+    target, size). The copy is made when the result is used; ``read_legacy_csv``
+    can then read the folder in pieces.
 
-    The archive's name is part of the target, so equal member names of different
-    archives stay apart.
+    The target ``folder/{archive}-{hash of its path}/{offset}/{member}`` differs
+    for every member, however often names repeat.
     """
+    folder = qualified(catalogue.sparkSession, folder)
 
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             targets = []
             for r in batch.itertuples(index=False):
-                target = f"{folder}/{r.archive.rsplit('.', 1)[0]}/{r.member}"
-                with open_binary(r.path) as f, zipfile.ZipFile(f) as archive, archive.open(r.entry) as member:
+                mark = hashlib.blake2b(r.path.encode(), digest_size=8).hexdigest()
+                target = f"{folder}/{r.archive.rsplit('.', 1)[0]}-{mark}/{r.offset}/{r.member}"
+                with open_binary(r.path) as f, zipfile.ZipFile(f) as archive, archive.open(_entry(archive, r.offset)) as member:
                     write_binary(target, pieces_of(member))
                 targets.append(target)
             yield batch[["archive", "member", "size"]].assign(target=targets)[["archive", "member", "target", "size"]]
 
-    spread = catalogue.select("path", "archive", "entry", "member", "size").repartition(_tasks(catalogue.sparkSession), "path", "entry")
-    return spread.mapInPandas(copy, "archive string, member string, target string, size bigint")
+    todo = catalogue.where(F.col("encoding").isNotNull()).select("path", "archive", "offset", "member", "size")
+    return todo.repartition(_tasks(catalogue.sparkSession), "path", "offset").mapInPandas(copy, "archive string, member string, target string, size bigint")
 
 
 def _read_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for r in batch.itertuples(index=False):
-            with open_binary(r.path) as f, zipfile.ZipFile(f) as archive, archive.open(r.entry) as member:
+            with open_binary(r.path) as f, zipfile.ZipFile(f) as archive, archive.open(_entry(archive, r.offset)) as member:
                 text = io.TextIOWrapper(member, r.encoding)
                 _first_line(text)
                 done = 0
@@ -366,17 +419,33 @@ def read_legacy_csv(
     encodings: Sequence[str] = ENCODINGS,
     path_glob: str = "*.csv",
 ) -> DataFrame:
-    """All plain CSV files below ``path`` as one text table with ``source_file``."""
+    """All plain CSV files below ``path`` as one text table with ``source_file``.
+
+    Files that no encoding decodes and lines with too many fields are left out;
+    ``csv_catalogue`` (no encoding) and ``csv_rejects`` show them.
+    """
     shared_dir(spark)
     catalogue = csv_catalogue(spark, path, encodings, path_glob).checkpoint()
     columns = columns_of(catalogue) if columns is None else list(columns)
+    return _cells(_csv_lines(spark, path, catalogue, _positions(columns).alias("positions"), path_glob), columns, [SOURCE])
+
+
+def csv_rejects(spark: SparkSession, path: str | Sequence[str], encodings: Sequence[str] = ENCODINGS, path_glob: str = "*.csv") -> DataFrame:
+    """Lines that ``read_legacy_csv`` skips because they have too many fields:
+    (source_file, line)."""
+    shared_dir(spark)
+    catalogue = csv_catalogue(spark, path, encodings, path_glob).checkpoint()
+    lines = _csv_lines(spark, path, catalogue, F.lit(None).alias("positions"), path_glob)
+    return lines.where(F.size(F.split("line", ",", -1)) > F.col("width")).select(SOURCE, "line")
+
+
+def _csv_lines(spark: SparkSession, path: str | Sequence[str], catalogue: DataFrame, positions: Column, path_glob: str) -> DataFrame:
     files = catalogue.where(F.col("encoding").isNotNull()).select(
-        "key", F.col("member").alias(SOURCE), "encoding", F.size("header").alias("width"), _positions(columns).alias("positions")
+        "key", F.col("member").alias(SOURCE), "encoding", F.size("header").alias("width"), positions
     )
     lines = lookup_join(_raw_lines(spark, path, path_glob), files, ["key"], "inner")
     odd = F.when(F.col("raw").rlike(NON_ASCII), F.encode("raw", "ISO-8859-1"))
-    text = lines.withColumn("line", F.coalesce(_decode(odd, F.col("encoding")), F.col("raw")))
-    return _cells(text, columns, [SOURCE])
+    return lines.withColumn("line", F.coalesce(_decode(odd, F.col("encoding")), F.col("raw")))
 
 
 def group_file_family(df: DataFrame, source: str = SOURCE) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import codecs
+import uuid
 import zipfile
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -35,11 +36,16 @@ def open_binary(path: str) -> Iterator[BinaryIO]:
 
 
 def write_binary(path: str, pieces: Iterator[bytes]) -> None:
+    """Written under a hidden name, then renamed: a second attempt of a task
+    replaces the file and readers never meet half of it."""
     filesystem, inner = _resolve(path)
-    filesystem.create_dir(inner.rsplit("/", 1)[0], recursive=True)
-    with filesystem.open_output_stream(inner) as out:
+    folder, name = inner.rsplit("/", 1)
+    filesystem.create_dir(folder, recursive=True)
+    part = f"{folder}/.{uuid.uuid4().hex}.part"
+    with filesystem.open_output_stream(part) as out:
         for piece in pieces:
             out.write(piece)
+    filesystem.move(part, inner)
 
 
 def list_files(spark: SparkSession, path: str | Sequence[str], glob: str) -> DataFrame:
@@ -58,15 +64,23 @@ def list_files(spark: SparkSession, path: str | Sequence[str], glob: str) -> Dat
     )
 
 
-def decodes(pieces: Iterator[bytes], encoding: str) -> bool:
-    decoder = codecs.getincrementaldecoder(encoding)()
-    try:
-        for piece in pieces:
-            decoder.decode(piece)
-        decoder.decode(b"", True)
-    except UnicodeDecodeError:
-        return False
-    return True
+def first_decoding(pieces: Iterator[bytes], encodings: Sequence[str]) -> str | None:
+    """The first encoding that decodes all of it; one pass, all decoders side by side."""
+    alive = {e: codecs.getincrementaldecoder(e)() for e in encodings}
+
+    def feed(data: bytes, last: bool) -> None:
+        for e in list(alive):
+            try:
+                alive[e].decode(data, last)
+            except UnicodeDecodeError:
+                del alive[e]
+
+    for piece in pieces:
+        feed(piece, False)
+        if not alive:
+            return None
+    feed(b"", True)
+    return next(iter(alive), None)
 
 
 def pieces_of(stream: BinaryIO) -> Iterator[bytes]:

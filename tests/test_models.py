@@ -40,14 +40,34 @@ def test_mean_depth_is_the_known_constant():
 def test_forest_score_is_the_mean_over_the_trees():
     """The single step function equals walking every tree."""
     pool = np.random.default_rng(2).normal(size=1000).round(2)
-    forest = isolation.grow_forest(pool, 20, 64, 5)
+    draw = np.random.default_rng(3)
+    samples = [draw.choice(pool, 64, replace=False) for _ in range(20)]
+    forest = isolation.grow_forest(samples, 5)
     rng = np.random.default_rng(5)
-    trees = [isolation._grow(rng.choice(pool, 64, replace=False), rng, 6) for _ in range(20)]
+    trees = [isolation._grow(s, rng, 6) for s in samples]
     for x in (-3.0, -0.5, 0.0, 0.07, 2.5, 99.0):
         path = np.mean([d[sum(c < x for c in cuts)] for cuts, d in trees])
         assert forest.score(np.array([x]))[0] == pytest.approx(-(2 ** (-path / isolation._mean_depth(64))))
 
 
+def test_infinite_readings_do_not_stop_the_forest(spark):
+    times = pd.date_range("2021-04-01", periods=300, freq="10min")
+    df = timed(spark, pd.DataFrame({"datetime": times, "v": [float("inf"), *np.linspace(1, 2, 298), float("-inf")]}))
+    flagged = isolation.isolation_flags(df, ["v"])
+    assert flagged.count() == 300
+    repaired = isolation.repair(flagged, ["v"]).toPandas()
+    assert repaired["v"].between(1, 2).all()
+
+
+def test_trees_draw_about_their_sample(spark):
+    """Every tree sees its own rows, and a small table is seen whole by all."""
+    df = spark.range(20_000).select("id", F.rand(1).alias("v"))
+    forest = isolation.fit_isolation(df, ["v"], ["id"], 10, 256)["v"]
+    assert 1000 < len(forest.cuts) < 3000
+    small = isolation.fit_isolation(df.limit(3), ["v"], ["id"], 10, 256)["v"]
+    assert 0 < len(small.cuts) <= 20
+
+
 def test_flags_are_few_extreme_and_repeatable(spark):
     rng = np.random.default_rng(4)
     n = 4000
@@ -125,6 +145,22 @@ def test_forecast_beats_no_change_and_is_consistent(waves, fitted):
         assert set(out[f"class_{h}"]) <= {-2, -1, 0, 1, 2}
 
 
+def test_forecast_without_outcomes_keeps_the_newest_rows(spark, fitted):
+    """A table without targets is forecast; what cannot be known is null."""
+    level = 2 + 0.3 * np.sin(np.arange(200) / 9)
+    times = pd.date_range("2021-08-01", periods=200, freq="10min")
+    live = timed(spark, pd.DataFrame({"datetime": times, "S 河川水位": level}))
+    ahead = features.station_features(live, SPEC, outcomes=False)
+    assert ahead.count() == 200 - 3
+    assert not set(SPEC.target_columns()) & set(ahead.columns)
+    out = forecast.forecast(ahead, fitted, SPEC)
+    newest, h = str(times[-1]), 10
+    last = out.where(F.col("datetime") == F.lit(newest).cast("timestamp_ntz")).collect()
+    assert len(last) == 1 and last[0][f"rate_{h}_pred"] is not None
+    assert last[0][f"rate_{h}_actual"] is None and last[0][f"class_{h}"] is None
+    assert last[0][f"level_{h}"] == pytest.approx(last[0]["level"] * (1 + last[0][f"rate_{h}_pred"]))
+
+
 def test_saved_models_need_all_parts(spark, fitted, tmp_path):
     forecast.save_forecaster(spark, fitted, str(tmp_path / "models"))
     loaded = forecast.load_forecaster(spark, "S", [str(tmp_path / "none"), str(tmp_path / "models")], (10, 20))
@@ -216,6 +252,10 @@ def test_pipeline_from_archives_to_report(spark, tmp_path):
     assert rows["蔵王ダム 累計雨量"].notna().all()
     steps.check_features(spark, root, spec)
 
+    assert read_table(spark, f"{root}/matrix/A頭首工").count() == 2
+    encodings = {r["member"]: r["encoding"] for r in read_table(spark, f"{root}/stats/encodings").collect()}
+    assert encodings == {"A頭首工2019.csv": "shift_jis", "A頭首工2020.csv": "utf-8", "雨量2019.csv": "shift_jis"}
+    assert read_table(spark, f"{root}/rejects/files").count() == 0
     errors = read_table(spark, f"{root}/errors/A頭首工").toPandas()
     done = read_table(spark, f"{root}/forecasts/A頭首工")
     assert len(errors) == 10 and errors.groupby("horizon")["n"].sum().tolist() == [done.count()] * 2

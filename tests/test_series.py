@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeflow.operators import chunks, features
-from gaugeflow.operators.guards import exact_ranks, lookup_join, unique_key
+from gaugeflow.operators.guards import exact_quantile, exact_ranks, lookup_join, repeats, unique_key
 from gaugeflow.operators.split import chrono_split
 
 DAY = 86_400
@@ -216,17 +216,48 @@ def test_exact_ranks_over_many_partitions(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_lookup_equals_broadcast(spark, how):
+def test_lookup_equals_plain_join(spark, how):
     big = spark.range(2000).select((F.col("id") % 7).alias("k"), F.col("id").alias("n"))
     small = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 10).alias("x"))
     plain = lookup_join(big, small, ["k"], how).collect()
-    salted = lookup_join(big, small, ["k"], how, max_rows=2, salts=8).collect()
+    salted = big.join(small, ["k"], how).collect()
     assert sorted(map(str, plain)) == sorted(map(str, salted))
 
 
-def test_unique_key_keeps_the_smallest_even_without_tiebreak_values(spark):
+def test_unique_key_keeps_known_values(spark):
     df = spark.createDataFrame([(1, None, "b"), (1, None, "a"), (1, 5, "c"), (2, None, None)], "k int, t int, s string")
-    assert sorted(map(tuple, unique_key(df, ["k"], ["t"]).collect())) == [(1, None, "a"), (2, None, None)]
+    assert sorted(map(tuple, unique_key(df, ["k"], ["t"]).collect())) == [(1, 5, "c"), (2, None, None)]
+    rows = spark.createDataFrame([(1, "t1", "f1", None, 7.0), (1, "t1", "f2", 2.5, 8.0), (1, "t1", "f3", 3.5, None)], "id int, t string, f string, v double, w double")
+    assert [tuple(r) for r in unique_key(rows, ["t"], ["f"]).select("t", "f", "v", "w").collect()] == [("t1", "f1", 2.5, 7.0)]
+    assert [tuple(r) for r in repeats(rows, ["t"]).collect()] == [("t1", 3)]
+
+
+def test_exact_quantile_equals_numpy(spark):
+    values = np.random.default_rng(8).integers(0, 50, 501).astype(float)
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),)], "v double")
+    for share in (0.0, 0.3, 0.97, 1.0):
+        assert exact_quantile(df, "v", share) == pytest.approx(np.quantile(values, share))
+    assert exact_quantile(df.limit(0), "v", 0.5) is None
+
+
+def test_null_series_and_nan_are_carried_over_chunks(spark):
+    """A null key is a series; NaN is a gap."""
+    times = pd.date_range("2019-01-01", periods=5, freq="1D")
+    rows = [(k, str(t), v) for k in (None, "a") for t, v in zip(times, [1.0, float("nan"), None, None, 5.0])]
+    df = spark.createDataFrame(rows, "k string, ts string, v double").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+    def values(out, c="v"):
+        return {k: [r[c] for r in out.where(F.col("k").eqNullSafe(k)).orderBy("ts").collect()] for k in (None, "a")}
+
+    for k, got in values(chunks.ffill_bfill(df, ["k"], "ts", ["v"], DAY)).items():
+        assert got == [1, 1, 1, 1, 5], k
+    for op in (chunks.interpolate_time, chunks.interpolate_rows):
+        for k, got in values(op(df, ["k"], "ts", ["v"], DAY)).items():
+            assert got == pytest.approx([1, 2, 3, 4, 5]), k
+    for k, got in values(chunks.row_positions(df, ["k"], "ts", "p", DAY), "p").items():
+        assert got == [0, 1, 2, 3, 4], k
+    assert chunks.regularise(df, ["k"], "ts", 60 * 12, DAY).count() == 18
+    assert chunks.upsample_by_position(df, ["k"], "ts", months=(1, 12)).where("k is null and v > 0").count() > 0
 
 
 def test_one_long_series_is_spread_over_the_tasks(spark):

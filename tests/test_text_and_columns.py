@@ -104,14 +104,49 @@ def test_plain_reader_takes_files_in_several_pieces(spark, tmp_path):
 
 
 def test_encoding_guess():
-    assert legacy_csv.guess_encoding(b"a,b\n1,2") == ("ascii", 1.0)
-    assert legacy_csv.guess_encoding("日付,時刻".encode()) == ("utf-8", 1.0)
-    assert legacy_csv.guess_encoding("日付,時刻".encode("cp932")) == ("shift_jis", 1.0)
-    assert legacy_csv.guess_encoding(("x" + "水" * 700).encode()[:1024]) == ("utf-8", 1.0)
-    encoding, share = legacy_csv.guess_encoding(b"\x81\x01\x82\x01abc")
+    assert legacy_csv.guess_encoding([b"a,b\n1,2"]) == ("ascii", 1.0)
+    assert legacy_csv.guess_encoding([]) == ("ascii", 1.0)
+    assert legacy_csv.guess_encoding(["日付,時刻".encode()]) == ("utf-8", 1.0)
+    assert legacy_csv.guess_encoding(["日付,時刻".encode("cp932")]) == ("shift_jis", 1.0)
+    # All bytes count, and a character may lie across two pieces.
+    assert legacy_csv.guess_encoding([b"x" * 2000, "水位".encode("cp932")]) == ("shift_jis", 1.0)
+    data = ("x" + "水" * 700).encode()
+    assert legacy_csv.guess_encoding([data[:1024], data[1024:]]) == ("utf-8", 1.0)
+    encoding, share = legacy_csv.guess_encoding([b"\x81\x01\x82\x01abc"])
     assert 0 < share < 1
 
 
+def test_equal_names_and_broken_archives(spark, tmp_path):
+    """Nothing overwrites another file, and what cannot be read is a reject."""
+    source = tmp_path / "in"
+    (source / "x").mkdir(parents=True)
+    (source / "y").mkdir()
+    for folder in "xy":
+        with zipfile.ZipFile(source / folder / "log.zip", "w") as z:
+            z.writestr("a/m2019.csv", f"n,v\n{folder}1,1\n{folder}2,2\n")
+            z.writestr("b/m2019.csv", f"n,v\n{folder}3,3\n")
+            with pytest.warns(UserWarning):
+                z.writestr("b/m2019.csv", f"n,v\n{folder}4,4\n")
+            z.writestr("odd.csv", b"n,v\n\x81\x01\x82\x01,1\n")
+    (source / "bad.zip").write_bytes(b"no archive at all")
+    (source / "cut.zip").write_bytes((source / "x" / "log.zip").read_bytes()[:-40])
+    catalogue = legacy_csv.zip_catalogue(spark, str(source))
+    failed = sorted((r["archive"], r["member"]) for r in catalogue.where("encoding is null").collect() if r["error"])
+    assert failed == [("bad.zip", None), ("cut.zip", None), ("log.zip", "odd.csv"), ("log.zip", "odd.csv")]
+    names = sorted(f"{f}{i}" for f in "xy" for i in range(1, 5))
+    assert sorted(r["n"] for r in legacy_csv.read_zip_csv(spark, str(source)).collect()) == names
+    copied = legacy_csv.extract_members(catalogue, str(tmp_path / "out")).collect()
+    assert len({r["target"] for r in copied}) == len(copied) == 6
+    assert sorted(r["n"] for r in legacy_csv.read_legacy_csv(spark, str(tmp_path / "out")).collect()) == names
+    report = {(r["archive"], r["member"], r["encoding"]) for r in legacy_csv.encoding_report(spark, str(source)).collect()}
+    assert ("log.zip", "m2019.csv", "ascii") in report
+
+
+def test_long_lines_of_plain_files_are_rejects(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("名,v\nあ,1\nい,2,3\n".encode("cp932"))
+    assert [tuple(r) for r in legacy_csv.csv_rejects(spark, str(tmp_path)).collect()] == [("a.csv", "い,2,3")]
+
+
 def test_header_cells():
     assert legacy_csv.header_cells("﻿ a ,,a,b\r\n") == ["a", "Unnamed: 1", "a.1", "b"]
 
@@ -234,6 +269,13 @@ def test_outer_alignment_of_unique_and_repeated_keys(spark):
     assert twice.where("t = 2").count() == 4
 
 
+def test_enrich_keeps_shared_columns_apart(spark):
+    levels = spark.createDataFrame([(1, 1.0)], "t int, v double")
+    rain = spark.createDataFrame([(1, 9.0), (1, 7.0)], "t int, v double")
+    out = combine.enrich_left(levels, rain, ["t"])
+    assert out.columns == ["t", "v_x", "v_y"] and [tuple(r) for r in out.collect()] == [(1, 1.0, 7.0)]
+
+
 def test_enrich_folds_stacked_rain(spark):
     levels = spark.createDataFrame([(1, 1.0), (2, 2.0)], "t int, v double")
     rain = spark.createDataFrame([(1, 5.0, None), (1, None, 6.0), (3, 9.0, 9.0)], "t int, g double, h double")
