@@ -1,9 +1,10 @@
 """Quality rules: plain counts, and how far a document's histograms are from its language's.
 
-Two histograms per document, over character classes and over common words, are
-compared with the sums of all documents of its language by Jensen-Shannon
-distance; documents with too few characters or common words to judge are not
-judged. JVM expressions only: one pass over the texts leaves a narrow table of
+Three histograms per document, over character classes, over all words (each
+common word, and the others as one) and over the common words among themselves,
+are compared with the sums of all documents of its language by Jensen-Shannon
+distance. A text that is long enough is judged however few common words it has:
+their absence is a distance too. JVM expressions only: one pass over the texts leaves a narrow table of
 counts, everything after it works on that.
 """
 
@@ -19,9 +20,11 @@ CLASSES = ("upper", "lower", "digit", "space", "mark", "symbol", "other")
 # Frequent function words of the languages at hand.
 COMMON_WORDS = ["the", "and", "of", "to", "in", "that", "is", "der", "die", "und", "das", "den", "für", "le", "la", "les", "et", "de", "que", "el", "los", "las", "por", "un", "en"]
 MIN_CHARS = 200  # below, the character classes are not judged
-MIN_COMMON = 30  # below, the common words are not judged
+MIN_WORDS = 50  # below, the words are not judged
+MIN_COMMON = 30  # below, the common words are not judged among themselves
 MAX_CLASS_DISTANCE = 0.3
-MAX_WORD_DISTANCE = 0.7
+MAX_WORD_DISTANCE = 0.25  # of all words
+MAX_COMMON_DISTANCE = 0.7  # of the common words among themselves
 
 
 def words_of(text: Column) -> Column:
@@ -114,19 +117,24 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     ``base_failed``: fewer than 50 words, or over half of them in repeated
     windows. ``kept``: not failed, and no judged histogram further from the
-    language's than allowed. A document that repeats an id is judged on its own.
+    language's than allowed. ``word_distance`` is of all words, ``common_distance``
+    of the common ones among themselves. A document that repeats an id is judged on its own.
     """
     counts = materialise(text_counts(docs, id_col, text_col, lang_col), "text-counts")
-    sums = [F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(len(CLASSES))] + [F.sum(F.col("common")[i]).alias(f"w{i}") for i in range(len(COMMON_WORDS))]
+    others = F.greatest(F.lit(0).cast("long"), F.col("n_words") - _total(F.col("common")))
+    counts = counts.withColumn("all_words", F.concat("common", F.array(others)))
+    sums = [F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(len(CLASSES))] + [F.sum(F.col("all_words")[i]).alias(f"w{i}") for i in range(len(COMMON_WORDS) + 1)]
     reference = counts.groupBy("lang").agg(*sums)
     reference = reference.select(
-        F.col("lang").alias("ref_lang"), F.array(*(f"c{i}" for i in range(len(CLASSES)))).alias("ref_classes"), F.array(*(f"w{i}" for i in range(len(COMMON_WORDS)))).alias("ref_common")
+        F.col("lang").alias("ref_lang"), F.array(*(f"c{i}" for i in range(len(CLASSES)))).alias("ref_classes"), F.array(*(f"w{i}" for i in range(len(COMMON_WORDS) + 1))).alias("ref_words")
     )
     # One row per language: Spark broadcasts it while it is small and splits a frequent language otherwise.
     both = counts.join(reference, F.col("lang") == F.col("ref_lang"))
     class_distance = F.when(_total(F.col("classes")) >= MIN_CHARS, js_distance(F.col("classes"), F.col("ref_classes")))
-    word_distance = F.when(_total(F.col("common")) >= MIN_COMMON, js_distance(F.col("common"), F.col("ref_common")))
+    word_distance = F.when(F.col("n_words") >= MIN_WORDS, js_distance(F.col("all_words"), F.col("ref_words")))
+    common_distance = F.when(_total(F.col("common")) >= MIN_COMMON, js_distance(F.col("common"), F.slice("ref_words", 1, len(COMMON_WORDS))))
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    both = both.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"), class_distance.alias("class_distance"), word_distance.alias("word_distance"))
-    far = (F.coalesce("class_distance", F.lit(0.0)) > MAX_CLASS_DISTANCE) | (F.coalesce("word_distance", F.lit(0.0)) > MAX_WORD_DISTANCE)
-    return both.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~far).alias("kept"), "class_distance", "word_distance")
+    both = both.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"), class_distance.alias("class_distance"), word_distance.alias("word_distance"), common_distance.alias("common_distance"))
+    limits = {"class_distance": MAX_CLASS_DISTANCE, "word_distance": MAX_WORD_DISTANCE, "common_distance": MAX_COMMON_DISTANCE}
+    far = F.greatest(*(F.coalesce(c, F.lit(0.0)) > limit for c, limit in limits.items()))
+    return both.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~far).alias("kept"), *limits)

@@ -251,6 +251,15 @@ def test_quality_rules(spark, docs, empty):
     assert rules.judge(empty).count() == 0
 
 
+def test_quality_rules_judge_texts_without_common_words(spark):
+    usual = [(i, " ".join(f"the w{i}x{j} of v{j}" for j in range(60)), "en") for i in range(20)]
+    rows = usual + [(100, " ".join(f"q{j}z" for j in range(400)), "en"), (101, " ".join(f"q{j}z" for j in range(20)), "en")]
+    got = {r.doc_id: r for r in rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(got[i].kept for i, _, _ in usual)
+    assert got[100].common_distance is None and got[100].word_distance > rules.MAX_WORD_DISTANCE and not got[100].base_failed and not got[100].kept
+    assert got[101].word_distance is None
+
+
 def test_licences(spark, empty):
     rows = [
         (1, "/a/LICENSE", "MIT License\nPermission is hereby granted, free of charge, to any person obtaining a copy of this software under the MIT License"),
