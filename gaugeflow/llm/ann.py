@@ -5,11 +5,13 @@ each other; each projection is one sorted array. A query opens a window around i
 own projection in every array and widens all windows by the same step, round by
 round, as if everything were hashed anew with larger buckets. A vector gains a
 collision for each round in which it lies inside a window; those with the most
-collisions, at least a given share of the block, are verified on the original
+collisions, at least a given share of the range, are verified on the original
 vectors in double precision.
 
 Largest inner product becomes smallest distance by one more coordinate that
-brings all vectors to the same norm. The index is cut into blocks of bounded
+brings all vectors to the same norm. Windows fit only vectors of similar norms, so
+each range of norms has arrays of its own; a query searches the ranges from the
+largest norms down, until none can hold a better inner product. The index is cut into blocks of bounded
 size that hold every vector; queries come in blocks as well, and each query block
 meets each index block in a task of its own.
 """
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +32,15 @@ from gaugeflow.session import materialise
 
 BLOCK = 32_768  # vectors of an index block
 QUERIES = 512  # queries of a block
+RATIO = 1.15  # of the largest to the smallest norm of a range
 ROUNDS = 3
 STEP = 0.6  # window step, in standard deviations of a projection
-SHARE = 0.08  # of a block's vectors that are verified at least
-LEAST = 400  # vectors of a block that are verified at least
+SHARE = 0.08  # of a range's vectors that are verified at least
+LEAST = 400  # vectors of a range of norms that are verified at least
 SEED = 11
 
 
+@lru_cache(maxsize=2)
 def directions(dim: int) -> np.ndarray:
     """Random orthogonal directions as columns, the same everywhere."""
     q, r = np.linalg.qr(np.random.Generator(np.random.PCG64(SEED)).standard_normal((dim, dim)))
@@ -43,7 +48,7 @@ def directions(dim: int) -> np.ndarray:
 
 
 class CollisionIndex:
-    """Sorted projections of one block."""
+    """Sorted projections of the vectors of a block in one range of norms."""
 
     def __init__(self, vectors: np.ndarray, largest: float):
         self.vectors = vectors  # float64, one a row
@@ -84,22 +89,43 @@ class CollisionIndex:
         return np.flatnonzero(counts >= threshold)
 
 
-def nearest_in(index: CollisionIndex, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def norm_ranges(vectors: np.ndarray, ids: np.ndarray) -> list[tuple[CollisionIndex, np.ndarray]]:
+    """(index, ids) of each range of norms of a block, the largest norms first.
+
+    A range has at least ``LEAST`` vectors, which are all verified if it has no more.
+    """
+    norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+    order = np.argsort(-norms, kind="stable")
+    falling, start, made = norms[order], 0, []
+    while start < len(order):
+        end = max(start + LEAST, int(np.searchsorted(-falling, -falling[start] / RATIO, side="right")))
+        members = order[start:end]
+        made.append((CollisionIndex(vectors[members], float(falling[start])), ids[members]))
+        start = end
+    return made
+
+
+def nearest_in(ranges: list[tuple[CollisionIndex, np.ndarray]], queries: np.ndarray, query_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query ids, vector ids, inner products) of the best ``k`` of a block for each query, its own row left out."""
-    least = max(LEAST, k + 1, math.ceil(SHARE * len(ids)))
     out_q, out_v, out_s = [], [], []
     for query, own in zip(queries, query_ids):
-        found = index.candidates(query, least)
-        found = found[ids[found] != own]
-        scores = index.vectors[found] @ query
-        if len(found) > k:
-            border = np.partition(scores, len(found) - k)[len(found) - k]
-            close = scores >= border
-            found, scores = found[close], scores[close]
-        best = np.lexsort((ids[found], -scores))[:k]
+        length, border = math.sqrt(float(query @ query)), -math.inf
+        all_ids, all_scores = np.empty(0, dtype=np.int64), np.empty(0)
+        for index, ids in ranges:
+            # With room for rounding.
+            if index.largest * length * (1 + 1e-9) < border:
+                break
+            found = index.candidates(query, max(LEAST, k + 1, math.ceil(SHARE * len(ids))))
+            found = found[ids[found] != own]
+            all_ids, all_scores = np.append(all_ids, ids[found]), np.append(all_scores, index.vectors[found] @ query)
+            if len(all_ids) > k:
+                border = np.partition(all_scores, len(all_ids) - k)[len(all_ids) - k]
+                close = all_scores >= border
+                all_ids, all_scores = all_ids[close], all_scores[close]
+        best = np.lexsort((all_ids, -all_scores))[:k]
         out_q.append(np.full(len(best), own))
-        out_v.append(ids[found][best])
-        out_s.append(scores[best])
+        out_v.append(all_ids[best])
+        out_s.append(all_scores[best])
     return np.concatenate(out_q), np.concatenate(out_v), np.concatenate(out_s)
 
 
@@ -125,10 +151,9 @@ def nearest_neighbours(embeddings: DataFrame, k: int = 20, every: int = 20, id_c
     rows = embeddings.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector")).where("vec_id is not null and vector is not null")
     finite = F.forall(vector, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     rows = rows.where(finite & F.exists(vector, lambda x: x != 0)).withColumn("dim", F.size("vector"))
-    squares = F.aggregate(vector, F.lit(0.0), lambda a, x: a + x * x)
-    stats = rows.groupBy("dim").agg(F.count("*").alias("n"), F.sqrt(F.max(squares)).alias("largest"))
+    stats = rows.groupBy("dim").agg(F.count("*").alias("n"))
     # One row for each length of vectors. Blocks grow in number, not in size.
-    stats = materialise(stats.select("dim", "largest", F.ceil(F.col("n") / (0.9 * BLOCK)).cast("int").alias("blocks"), F.ceil(F.col("n") / (0.9 * every * QUERIES)).cast("int").alias("query_blocks")), "vector-stats")
+    stats = materialise(stats.select("dim", F.ceil(F.col("n") / (0.9 * BLOCK)).cast("int").alias("blocks"), F.ceil(F.col("n") / (0.9 * every * QUERIES)).cast("int").alias("query_blocks")), "vector-stats")
     rows = rows.join(stats, "dim")
 
     def dealt(count: str):
@@ -139,16 +164,15 @@ def nearest_neighbours(embeddings: DataFrame, k: int = 20, every: int = 20, id_c
     asking = rows.where(F.col("vec_id") % every == 0).withColumn("query_block", F.pmod(F.xxhash64(F.col("vec_id") + 1), F.col("query_blocks")).cast("int"))
     asking = materialise(_packed(asking, "query_block").select("dim", "query_block", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries")), "query-blocks")
     meet = index.join(stats, "dim").withColumn("query_block", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)))
-    meet = meet.join(asking, ["dim", "query_block"]).select("dim", "largest", "ids", "vectors", "query_ids", "queries", "block", "query_block")
+    meet = meet.join(asking, ["dim", "query_block"]).select("dim", "ids", "vectors", "query_ids", "queries", "block", "query_block")
     tasks = max(1, index.select("dim", "block").count() * asking.count())
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                dim, largest = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
-                ids, vectors, query_ids, queries = (np.frombuffer(batch.column(i)[row].as_buffer(), "<i8" if i % 2 == 0 else "<f8") for i in range(2, 6))
-                made = CollisionIndex(vectors.reshape(-1, dim), largest)
-                q, v, s = nearest_in(made, ids, queries.reshape(-1, dim), query_ids, k)
+                dim = batch.column(0)[row].as_py()
+                ids, vectors, query_ids, queries = (np.frombuffer(batch.column(i)[row].as_buffer(), "<i8" if i % 2 == 1 else "<f8") for i in range(1, 5))
+                q, v, s = nearest_in(norm_ranges(vectors.reshape(-1, dim), ids), queries.reshape(-1, dim), query_ids, k)
                 yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(v), pa.array(s)], names=["query_id", "vec_id", "score"])
 
     found = meet.repartition(min(tasks, 10_000), "block", "query_block").mapInArrow(search, "query_id long, vec_id long, score double")

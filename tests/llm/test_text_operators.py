@@ -336,6 +336,23 @@ def test_neighbours(spark):
     assert ann.nearest_neighbours(few.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("sigma, longest", [(0.0, 1.0), (0.0, 10.0), (0.5, 1.0)])
+def test_neighbours_of_uneven_norms(sigma, longest):
+    random = np.random.Generator(np.random.PCG64(4))
+    x = random.standard_normal((8000, 64))
+    x *= (np.exp(sigma * random.standard_normal(len(x))) / np.linalg.norm(x, axis=1))[:, None]
+    x[1] *= longest
+    ids = np.arange(len(x)) * 3
+    asked = np.arange(0, len(x), 200)
+    q, v, s = ann.nearest_in(ann.norm_ranges(x, ids), x[asked], ids[asked], 20)
+    hits = 0
+    for a in asked:
+        scores = x @ x[a]
+        scores[a] = -np.inf
+        hits += len(set(v[q == ids[a]]) & set(ids[np.argsort(-scores)[:20]]))
+    assert len(q) == 20 * len(asked) and hits >= 0.9 * 20 * len(asked)
+
+
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     before = docs.count()
