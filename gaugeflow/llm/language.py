@@ -1,9 +1,10 @@
 """Language of a text by compression with per-language zstandard dictionaries.
 
 Each language's dictionary is raw content: letters of a bounded sample of its
-labelled documents. A text is compressed whole with every dictionary; the
-language that needs the fewest bytes is chosen, and the choice is rejected when
-the runner-up needs hardly more.
+labelled documents. A text is compressed in pieces of a fixed size, each anew with
+every dictionary, so that what a dictionary saves grows with the text. The language
+that needs the fewest bytes in all is chosen, and the choice is rejected when the
+runner-up needs hardly more.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from gaugeflow.llm.frames import DOCUMENT_COLUMNS
 DICTIONARY_BYTES = 128 << 10  # of letters for a language
 SAMPLE_DOCS = 256  # different labelled texts for a language, about
 SAMPLE_CHARS = 4096  # taken of one of them
+PIECE_BYTES = 16 << 10  # of letters that are compressed together
 LEVEL = 6
 MIN_MARGIN = 0.004  # share of bytes by which the best must beat the second
 UNKNOWN = "und"
@@ -72,7 +74,8 @@ class LanguageModel:
         data = letters(text or "").strip()
         if not data or not self.compressors:
             return UNKNOWN, 0.0
-        sizes = sorted((len(c.compress(data)), lang) for c, lang in zip(self.compressors, self.languages))
+        pieces = [data[i : i + PIECE_BYTES] for i in range(0, len(data), PIECE_BYTES)]
+        sizes = sorted((sum(len(c.compress(p)) for p in pieces), lang) for c, lang in zip(self.compressors, self.languages))
         return sizes[0][1], 1.0 if len(sizes) == 1 else 1.0 - sizes[0][0] / sizes[1][0]
 
 

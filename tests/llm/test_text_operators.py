@@ -298,6 +298,16 @@ def test_language(spark, docs, empty, sf_dir):
     assert language.identify(empty).count() == 0
 
 
+def test_language_of_long_texts(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.1')}/documents.parquet")
+    texts = [r.text for r in table.where("lang = 'en' and text is not null and doc_id < 6000").orderBy("doc_id").collect()]
+    model = language.LanguageModel(language.learn_dictionaries(table))
+    long = "\n".join(texts)
+    assert len(long) > 3_000_000
+    found = [model.predict(long[:n]) for n in (100_000, 1_000_000, len(long))]
+    assert all(lang == "en" and score > 5 * language.MIN_MARGIN for lang, score in found), found
+
+
 def test_quality_classifier(spark, docs, empty, sf_dir):
     folder = sf_dir.replace("sf0.001", "sf0.1")
     table = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id < 3000")
