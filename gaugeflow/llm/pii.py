@@ -2,7 +2,8 @@
 
 Everything is a JVM expression over one row; there is no shuffle. Positions come
 from splitting the text at the matches: what stands between two matches and the
-matches themselves have known lengths.
+matches themselves have known lengths. An IBAN's match is only its first four
+characters; the rest is looked at ahead and may hold the start of another one.
 """
 
 from __future__ import annotations
@@ -23,15 +24,37 @@ CONTEXT = 40  # characters before a span that are searched for context words
 class Rule:
     """A pattern, its certainty when confirmed, and the words that raise it.
 
-    The look-arounds and possessive repeats only save time: a match of the plain
-    pattern can start nowhere else, and never gives characters back. ``needs``
-    is a cheap test that every text with a match passes.
+    The look-arounds and possessive repeats of the base kinds only save time: a
+    match of the plain pattern can start nowhere else, and never gives characters
+    back. ``needs`` is a cheap test that every text with a match passes. The span is
+    the group of this number.
     """
 
     pattern: str
     needs: str
     score: float
     words: str
+    group: int = 0
+
+
+# Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_pattern() -> str:
+    """A country's code, then as many characters as its IBANs have; of other countries, as long as it goes."""
+
+    def rest(n: int) -> str:
+        return rf"(?:\x20?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf"\x20?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+
+    known = "|".join(f"(?:{'|'.join(codes.split())})[0-9]{{2}}{rest(n)}" for n, codes in IBAN_LENGTHS.items())
+    codes = "|".join(" ".join(IBAN_LENGTHS.values()).split())
+    other = rf"(?!{codes})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{2,7}}(?:\x20?[A-Z0-9]{{1,3}})?"
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?=((?:{known}|{other})(?![A-Za-z0-9])))[A-Z]{{2}}[0-9]{{2}}"
 
 
 RULES = {
@@ -41,7 +64,7 @@ RULES = {
     # A whole run of digits with single spaces or hyphens inside, 13 to 19 digits long.
     "card": Rule(r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])", "", 0.7, "card|visa|credit|karte|carte|tarjeta"),
     "phone": Rule(r"\+[0-9][\x20().0-9-]+[0-9]", "+", 0.7, "phone|call|tel|mobile|telefon|téléphone|teléfono"),
-    "iban": Rule(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", "", 0.8, "iban|konto|account|compte|cuenta"),
+    "iban": Rule(_iban_pattern(), "", 0.8, "iban|konto|account|compte|cuenta", 1),
 }
 
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
@@ -84,18 +107,20 @@ def spans_of(kind: str, text: Column) -> Column:
     rule = RULES[kind]
     between = F.split(text, rule.pattern, -1)
     found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
+    both = F.transform(found, lambda m: F.struct(m.alias("match"), m.alias("value")))
+    if rule.group:
+        both = F.zip_with(found, F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)), lambda m, v: F.struct(m.alias("match"), v.alias("value")))
     # Each match with what stands before it, then a running position.
-    steps = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda before, match: F.struct(before.alias("before"), match.alias("match")))
+    steps = F.zip_with(F.slice(between, 1, F.size(found)), both, lambda before, b: F.struct(before.alias("before"), b["match"].alias("match"), b["value"].alias("value")))
     span = "struct<kind:string,start:int,end:int,value:string,score:double>"
 
     def add(acc: Column, step: Column) -> Column:
         start = acc["at"] + F.length(step["before"])
-        end = start + F.length(step["match"])
         near = F.lower(F.right(step["before"], F.lit(CONTEXT))).rlike(rule.words)
         score = F.lit(rule.score) + F.when(near, F.lit(1 - rule.score) / 2).otherwise(F.lit(0.0))
-        made = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), step["match"].alias("value"), score.alias("score"))
-        kept = F.when(confirmed(kind, step["match"]), F.concat(acc["spans"], F.array(made))).otherwise(acc["spans"])
-        return F.struct(end.alias("at"), kept.alias("spans"))
+        made = F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(step["value"])).alias("end"), step["value"].alias("value"), score.alias("score"))
+        kept = F.when(confirmed(kind, step["value"]), F.concat(acc["spans"], F.array(made))).otherwise(acc["spans"])
+        return F.struct((start + F.length(step["match"])).alias("at"), kept.alias("spans"))
 
     empty = F.expr(f"cast(array() as array<{span}>)")
     walked = F.aggregate(steps, F.struct(F.lit(0).alias("at"), empty.alias("spans")), add, lambda acc: acc["spans"])

@@ -232,6 +232,22 @@ def test_personal_data(spark, docs, empty, sf_dir):
     assert scores.card[0].score > pii.RULES["card"].score and scores.phone[0].score == pii.RULES["phone"].score
 
 
+def test_ibans_before_other_words(spark):
+    spanish = "ES91 2100 0418 4502 0005 1332"
+    cases = [
+        ("BE68 5390 0754 7034 BIC", ["BE68 5390 0754 7034"]),
+        ("BE68539007547034 IN Euro", ["BE68539007547034"]),
+        (f"x {spanish} 2024 y", [spanish]),
+        (f"{spanish} {spanish}", [spanish, spanish]),
+        ("DE12 BE68 5390 0754 7034 AB12 CD", ["BE68 5390 0754 7034"]),
+        ("DE89 3704 0044 0532 0130 00.", ["DE89 3704 0044 0532 0130 00"]),
+        ("BE68 5390 0754 7035 BIC, BE68 5390 0754 7034x, aBE68 5390 0754 7034", []),
+    ]
+    rows = pii.find_personal_data(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")).collect()
+    for r in rows:
+        assert [s.value for s in r.iban] == cases[r.doc_id][1] == [r.text[s.start : s.end] for s in r.iban], r.text
+
+
 def test_quality_rules(spark, docs, empty):
     odd = ["a b c a b c", "a a a a", "x\ny\nx\n \n \nx", "ü#*$ ü#*$ ü#*$ ü#*$", "a b a b a b", "A#" * 400 + " x" * 60]
     table = docs.select("doc_id", "text", "lang").union(spark.createDataFrame([(100 + i, t, None) for i, t in enumerate(odd)], "doc_id long, text string, lang string"))
