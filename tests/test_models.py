@@ -264,3 +264,10 @@ def test_pipeline_from_archives_to_report(spark, tmp_path):
 
     steps.build_features(spark, root, spec, with_rainfall=False)
     assert "蔵王ダム 累計雨量_10lag" not in read_table(spark, f"{root}/features/A頭首工").columns
+
+
+def test_gbt_fit_has_all_horizons_and_targets(spark, sf_dir):
+    from gaugeflow.plans import series_queries as q
+
+    got = {(r.horizon, r.kind) for r in q.gbt_fit(spark, sf_dir).select("horizon", "kind").distinct().collect()}
+    assert got == {(h, k) for h in q.SPEC.horizons for k in ("rate", "change")}
