@@ -8,13 +8,18 @@ from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugeflow.llm.ann import nearest_neighbours
+from gaugeflow.llm.audit import filter_audit
+from gaugeflow.llm.audit import oracle as audit_oracle
 from gaugeflow.llm.bpe import round_trip_digest
+from gaugeflow.llm.chat import chat_digest
+from gaugeflow.llm.chat import oracle as chat_oracle
 from gaugeflow.llm.jaccard import jaccard_groups
 from gaugeflow.llm.language import identify
 from gaugeflow.llm.licenses import document_paths, oracle, scan_licences
 from gaugeflow.llm.packing import best_fit_packing
 from gaugeflow.llm.pii import personal_data_digest
 from gaugeflow.llm.quality import classify
+from gaugeflow.llm.repair import repair_digest
 from gaugeflow.llm.rules import judge
 from gaugeflow.llm.token_files import token_files_digest
 
@@ -66,6 +71,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_digest(_table(spark, sf_dir, "conversations"))
+
+
+def op12_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_digest(_table(spark, sf_dir, "conversations"), BYTE_VOCABULARY)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -79,7 +96,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_best_fit_packing,
         op10_language_id,
+        op11_conversation_repair,
+        op12_chat_tree,
+        op13_filter_audit,
     )
 }
 
-ORACLES: dict[str, str] = {"op2_license_scan": oracle()}
+ORACLES: dict[str, str] = {"op2_license_scan": oracle(), "op12_chat_tree": chat_oracle(), "op13_filter_audit": audit_oracle()}
