@@ -15,7 +15,8 @@ import numpy as np
 import pyarrow as pa
 
 WORDS_PER_SHINGLE = 5
-PIECE = 1 << 22  # bytes hashed at once; a longer text is a piece of its own
+PIECE = 1 << 18  # bytes hashed at once
+LONG_WORD = 1 << 12  # bytes of a word whose powers are kept
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -31,19 +32,16 @@ def _byte_values() -> np.ndarray:
 
 _VALUE = _byte_values()
 _BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_POWERS: list[np.ndarray] = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 _PLACE = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS[0]) < n:
-        size = max(n, PIECE)
-        for k, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            _POWERS[k] = np.multiply.accumulate(steps)
-    return _POWERS[0][:n], _POWERS[1][:n]
+def _powers(n: int) -> np.ndarray:
+    steps = np.full(n, _BASE, dtype=np.uint64)
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
+
+
+_POWERS = _powers(LONG_WORD)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -81,10 +79,27 @@ def word_hashes(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.n
     starts = np.flatnonzero(first)
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(len(borders), np.int64)
-    power, inverse = _powers(len(data))
     # What lies before the first word or between words is space and adds nothing.
-    sums = np.add.reduceat(_VALUE[data] * power, starts)
-    return mix(sums * inverse[starts]), np.searchsorted(starts, borders)
+    at = np.arange(len(data)) - np.repeat(np.concatenate(([0], starts)), np.diff(np.concatenate(([0], starts, [len(data)]))))
+    at[space] = 0
+    longest = int(at.max()) + 1
+    power = _POWERS if longest <= LONG_WORD else _powers(longest)
+    sums = np.add.reduceat(_VALUE[data] * power[at], starts)
+    return mix(sums), np.searchsorted(starts, borders)
+
+
+def _words_in_parts(data: np.ndarray) -> np.ndarray:
+    """Word hashes of one long text, hashed part by part, each ending at a space."""
+    out, start = [], 0
+    while start < len(data):
+        stop = min(len(data), start + PIECE)
+        while stop < len(data) and not _SPACE[data[stop - 1]]:
+            more = np.flatnonzero(_SPACE[data[stop : stop + PIECE]])
+            stop = stop + int(more[0]) + 1 if len(more) else min(len(data), stop + PIECE)
+        part = data[start:stop]
+        out.append(word_hashes(part, np.array([0, len(part)]))[0])
+        start = stop
+    return np.concatenate(out)
 
 
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
@@ -95,7 +110,11 @@ def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
     """
     k = WORDS_PER_SHINGLE
     for _, data, borders in text_pieces(column):
-        words, ends = word_hashes(data, borders)
+        if len(borders) == 2 and len(data) > PIECE:
+            words = _words_in_parts(data)
+            ends = np.array([0, len(words)])
+        else:
+            words, ends = word_hashes(data, borders)
         rolled = np.zeros(max(0, len(words) - k + 1), dtype=np.uint64)
         for j in range(k):
             rolled += words[j : j + len(rolled)] * _PLACE[j]

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
+from gaugeflow.llm import shingles as sh
 from gaugeflow.llm import ann, bpe, jaccard, language, licenses, packing, pii, quality, queries, rules, token_files, tokens
 
 LONG = " ".join(f"word{i % 977}x{i % 31}" for i in range(30_000))
@@ -90,6 +91,62 @@ def test_jaccard_short_and_boundary_sets(spark):
     assert got == brute_groups(rows)
 
 
+@pytest.mark.parametrize("percent", [50, 65, 95])
+def test_jaccard_at_other_thresholds(spark, percent):
+    random = np.random.Generator(np.random.PCG64(percent))
+    rows, base = [], {}
+    for i in range(120):
+        n = int(random.integers(1, 40))
+        words = base.setdefault(i % 12, [f"v{x}" for x in random.integers(0, 500, 40)])[:n]
+        for at in random.integers(0, n, int(random.integers(0, 3))):
+            words = [*words[:at], f"new{i}", *words[at + 1 :]]
+        rows.append((i, " ".join(words)))
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), percent).collect()}
+    sets = {i: shingles(t) for i, t in rows}
+    group = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for i in sets:
+            for j in sets:
+                if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]) and group[i] < group[j]:
+                    group[j], changed = group[i], True
+    assert got == group
+
+
+def test_links_of_copies_among_strangers_grow_with_their_number(spark):
+    """Near copies and unrelated texts that all hold one passage: few links, all of them found."""
+    random = np.random.Generator(np.random.PCG64(11))
+
+    def prose(n):
+        return [f"w{x}" for x in random.integers(0, 50_000, n)]
+
+    passage = prose(60)
+    for n in (60, 180):
+        own, rows = prose(240), []
+        for i in range(n):
+            words = list(own)
+            words[int(random.integers(0, 240))] = f"edit{i}"
+            rows.append((i, " ".join([*words[:120], *passage, *words[120:]])))
+        rows += [(n + i, " ".join([*prose(100), *passage, *prose(140)])) for i in range(5 * n)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        groups = {r.doc_id: r.component_id for r in jaccard.jaccard_groups(docs).collect()}
+        assert all(groups[i] == (0 if i < n else i) for i in groups)
+        bands = jaccard.size_bands()
+        profile = jaccard.map_batches(docs, jaccard._profile, jaccard.PROFILE).withColumnRenamed("doc_id", "rep")
+        assert jaccard.similar_pairs(docs, profile, bands).count() <= 2 * n
+
+
+def test_long_texts_are_hashed_in_parts(monkeypatch):
+    text = " ".join(f"w{i}" for i in range(3000)) + " " + "x" * 5000 + "  \n end of it all now"
+    import pyarrow as pa
+
+    whole = next(sh.shingle_sets(pa.array([text])))
+    monkeypatch.setattr(sh, "PIECE", 997)
+    assert np.array_equal(next(sh.shingle_sets(pa.array([text]))), whole)
+    assert len(whole) == len(shingles(text))
+
+
 def test_words_of_linked_sets_always_meet():
     random, bands = np.random.Generator(np.random.PCG64(3)), jaccard.size_bands()
     for n in (4, 5, 7, 9, 12, 20, 33, 60, 100, 200, 500):
@@ -99,7 +156,10 @@ def test_words_of_linked_sets_always_meet():
             a = np.unique(np.concatenate([common, random.integers(0, 1 << 63, apart // 2, dtype=np.uint64)]))
             b = np.unique(np.concatenate([common, random.integers(0, 1 << 63, apart - apart // 2, dtype=np.uint64)]))
             assert set(jaccard.block_words(a, bands)) & set(jaccard.block_words(b, bands))
-            assert int(np.bitwise_count((jaccard.parity_bits(a) ^ jaccard.parity_bits(b)).view(np.uint64)).sum()) <= apart
+            width = jaccard.sketch_width(min(len(a), len(b)))
+            assert int(np.bitwise_count(jaccard.parity_bits(a, width) ^ jaccard.parity_bits(b, width)).sum()) <= apart
+            wider = jaccard.parity_bits(a, 4 * width)
+            assert np.array_equal(jaccard.folded(wider, width), jaccard.parity_bits(a, width))
 
 
 def test_encoder_equals_library():
