@@ -1,97 +1,152 @@
 """Quality rules: plain counts, and how far a document's histograms are from its language's.
 
-Three histograms per document, over character classes, over all words (each
-common word, and the others as one) and over the common words among themselves,
-are compared with the sums of all documents of its language by Jensen-Shannon
-distance. A text that is long enough is judged however few common words it has:
-their absence is a distance too. JVM expressions only: one pass over the texts leaves a narrow table of
-counts, everything after it works on that.
+Three histograms per document, over character classes, over all words (each of the
+language's frequent words, and the others as one) and over the frequent words among
+themselves, are compared with the sums of all documents of its language by
+Jensen-Shannon distance. A language's frequent words are counted from all of its
+documents. A text that is long enough is judged however few of them it has: their
+absence is a distance too. JVM expressions only: one pass over the texts counts the
+words, one leaves a narrow table of counts, everything after it works on that.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from string import ascii_lowercase
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.session import materialise
 
 SPACE = r"[\x20\x09-\x0D]+"
 CLASSES = ("upper", "lower", "digit", "space", "mark", "symbol", "other")
-# Frequent function words of the languages at hand.
-COMMON_WORDS = ["the", "and", "of", "to", "in", "that", "is", "der", "die", "und", "das", "den", "für", "le", "la", "les", "et", "de", "que", "el", "los", "las", "por", "un", "en"]
+N_COMMON = 25  # frequent words of a language
+COMMON_LETTERS = 5  # words of more letters are not among them
 MIN_CHARS = 200  # below, the character classes are not judged
 MIN_WORDS = 50  # below, the words are not judged
-MIN_COMMON = 30  # below, the common words are not judged among themselves
+MIN_COMMON = 30  # below, the frequent words are not judged among themselves
 MAX_CLASS_DISTANCE = 0.3
-MAX_WORD_DISTANCE = 0.25  # of all words
-MAX_COMMON_DISTANCE = 0.7  # of the common words among themselves
+MAX_WORD_DISTANCE = 0.2  # of all words
+WORD_NOISE = 1.0  # what chance adds to that distance in a text of one word; it falls with the root of their number
+MAX_COMMON_DISTANCE = 0.7  # of the frequent words among themselves
+LETTERS = "-" + ascii_lowercase[:N_COMMON]  # one for each frequent word, the first for any other
 
 
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACE), "")
 
 
+def _bound(x: Column, f) -> Column:
+    """``f(x)`` with x worked out once and not wherever it is used."""
+    return F.transform(F.array(x), f)[0]
+
+
+def _covered(places: Column) -> Column:
+    """Words in the three-word windows at the given places, in order."""
+    start = F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("n"))
+    return F.aggregate(places, start, lambda a, p: F.struct((p + 3).alias("end"), (a["n"] + p + 3 - F.greatest(p, a["end"])).alias("n")), lambda a: a["n"])
+
+
+def _compared(w: Column) -> Column:
+    """The exact count by sorting the windows themselves; words hold no space, so a joined window stands for its words."""
+    windows = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.struct(F.concat_ws(" ", w[i], w[i + 1], w[i + 2]).alias("text"), i.cast("long").alias("at")))
+
+    def places(x: Column) -> Column:
+        twice = F.filter(x, lambda v, i: F.coalesce(F.get(x, i - 1)["text"] == v["text"], F.lit(False)) | F.coalesce(F.get(x, i + 1)["text"] == v["text"], F.lit(False)))
+        return F.sort_array(F.transform(twice, lambda v: v["at"]))
+
+    return _covered(_bound(F.sort_array(windows), places))
+
+
 def repeated_words(words: Column) -> Column:
     """Words that lie in a three-word window found at least twice in the text.
 
     A window is one long: hash above, place below. Sorted, equal windows are
-    neighbours; their places, sorted, give the covered words. The hash keeps 64
-    bits less those of the place, so two windows of a document of a million words
-    are confused with a chance below one in twenty.
+    neighbours; their places, sorted, give the covered words. Neighbours of equal
+    hash are compared word by word, and a text in which two of them differ is
+    counted by its sorted windows instead, so the count is exact.
     """
 
     def count(w: Column) -> Column:
         bits = F.length(F.bin(F.size(w)))
+        low = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
 
         def covered(codes: Column) -> Column:
             def same(x: Column, j: Column) -> Column:
                 return (j >= 0) & (j < F.size(codes)) & (F.call_function("shiftrightunsigned", F.get(codes, j), bits) == F.call_function("shiftrightunsigned", x, bits))
 
+            def differ(x: Column, j: Column) -> Column:
+                p, q = x.bitwiseAND(low).cast("int"), F.get(codes, j).bitwiseAND(low).cast("int")
+                return same(x, j) & ~((w[p] == w[q]) & (w[p + 1] == w[q + 1]) & (w[p + 2] == w[q + 2]))
+
             twice = F.filter(codes, lambda x, i: same(x, i - 1) | same(x, i + 1))
-            places = F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1)))
-            start = F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("n"))
-            return F.aggregate(places, start, lambda a, p: F.struct((p + 3).alias("end"), (a["n"] + p + 3 - F.greatest(p, a["end"])).alias("n")), lambda a: a["n"])
+            clash = F.size(F.filter(codes, lambda x, i: differ(x, i - 1))) > 0
+            places = F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(low)))
+            return F.when(clash, _compared(w)).otherwise(_covered(places))
 
         windows = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.call_function("shiftleft", F.xxhash64(w[i], w[i + 1], w[i + 2]), bits).bitwiseOR(i.cast("long")))
-        # array(x) and [0] bind x, so that it is worked out once and not for each element.
-        return F.transform(F.array(F.sort_array(windows)), covered)[0]
+        return _bound(F.sort_array(windows), covered)
 
-    return F.when(F.size(words) >= 4, F.transform(F.array(words), count)[0]).otherwise(F.lit(0).cast("long"))
+    return F.when(F.size(words) >= 4, _bound(words, count)).otherwise(F.lit(0).cast("long"))
 
 
-def text_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One narrow row for every row of ``docs``; null text has no words, null language is one of its own."""
-    text = F.col("text")
-    rows = docs.select(
+def _letter_words(text: Column) -> Column:
+    """Lower-cased runs of at most ``COMMON_LETTERS`` letters."""
+    return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: (F.length(w) > 0) & (F.length(w) <= COMMON_LETTERS))
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    return docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang")
     )
-    rows = rows.withColumn("words", words_of(text))
+
+
+def frequent_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(word_lang, common): the most frequent short words of each language's texts, ties to the smaller word."""
+    words = _rows(docs, id_col, text_col, lang_col).select("lang", F.explode(_letter_words(F.col("text"))).alias("word"))
+    counts = words.groupBy("lang", "word").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "word")
+    top = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= N_COMMON)
+    ranked = F.sort_array(F.collect_list(F.struct("rank", "word")))
+    return top.groupBy(F.col("lang").alias("word_lang")).agg(F.transform(ranked, lambda x: x["word"]).alias("common"))
+
+
+def _common_counts(text: Column, common: Column) -> Column:
+    """How often the text has each of the frequent words: they are written as one letter each, and letters are counted."""
+    written = F.array_join(F.transform(_letter_words(text), lambda w: F.substring(F.lit(LETTERS), F.array_position(common, w).cast("int") + 1, F.lit(1))), "")
+    one = F.lit(1)
+    return _bound(written, lambda s: F.transform(F.sequence(F.lit(2), F.lit(N_COMMON + 1)), lambda i: (F.length(s) - F.length(F.replace(s, F.substring(F.lit(LETTERS), i, one), F.lit("")))).cast("long")))
+
+
+def text_counts(docs: DataFrame, common: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """One narrow row for every row of ``docs``; null text has no words, null language is one of its own."""
+    text = F.col("text")
+    rows = _rows(docs, id_col, text_col, lang_col).join(common, F.col("lang") == F.col("word_lang"), "left")
+    rows = rows.withColumn("common", F.coalesce("common", F.array().cast("array<string>"))).withColumn("words", words_of(text))
 
     def of(pattern: str) -> Column:
         """Characters of a class; the rest is taken out in runs."""
         return F.length(F.regexp_replace(text, f"[^{pattern}]+", "")).cast("long")
 
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    common = F.regexp_extract_all(F.lower(text), F.lit(rf"(?<!\p{{L}})(?:{'|'.join(COMMON_WORDS)})(?!\p{{L}})"), F.lit(0))
     rows = rows.select(
         "doc_id",
         "lang",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         of("#*$%&|<>").alias("n_symbols"),
-        F.transform(F.array(lines), lambda x: F.size(x) - F.size(F.array_distinct(x)))[0].cast("long").alias("n_dup_lines"),
+        _bound(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("words")).alias("n_repeat_words"),
         F.length("text").cast("long").alias("chars"),
         of(r"\p{Lu}").alias("upper"),
         of(r"\p{L}").alias("letters"),
         of(r"\p{Nd}").alias("digit"),
         of(r".,;:!?'\"()\-").alias("mark"),
-        common.alias("common"),
+        _common_counts(text, F.col("common")).alias("common"),
     )
-    counted = F.array(*((F.size("common") - F.size(F.array_remove("common", w))).cast("long") for w in COMMON_WORDS))
     classes = [F.col("upper"), F.col("letters") - F.col("upper"), F.col("digit"), F.col("chars") - F.col("word_chars"), F.col("mark"), F.col("n_symbols")]
     rest = F.greatest(F.lit(0).cast("long"), F.col("word_chars") - F.col("letters") - F.col("digit") - F.col("mark") - F.col("n_symbols"))
-    return rows.select("doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", F.array(*classes, rest).alias("classes"), counted.alias("common"))
+    return rows.select("doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", F.array(*classes, rest).alias("classes"), "common")
 
 
 def _total(counts: Column) -> Column:
@@ -120,21 +175,23 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     language's than allowed. ``word_distance`` is of all words, ``common_distance``
     of the common ones among themselves. A document that repeats an id is judged on its own.
     """
-    counts = materialise(text_counts(docs, id_col, text_col, lang_col), "text-counts")
+    common = materialise(frequent_words(docs, id_col, text_col, lang_col), "frequent-words")
+    counts = materialise(text_counts(docs, common, id_col, text_col, lang_col), "text-counts")
     others = F.greatest(F.lit(0).cast("long"), F.col("n_words") - _total(F.col("common")))
     counts = counts.withColumn("all_words", F.concat("common", F.array(others)))
-    sums = [F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(len(CLASSES))] + [F.sum(F.col("all_words")[i]).alias(f"w{i}") for i in range(len(COMMON_WORDS) + 1)]
+    sums = [F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(len(CLASSES))] + [F.sum(F.col("all_words")[i]).alias(f"w{i}") for i in range(N_COMMON + 1)]
     reference = counts.groupBy("lang").agg(*sums)
     reference = reference.select(
-        F.col("lang").alias("ref_lang"), F.array(*(f"c{i}" for i in range(len(CLASSES)))).alias("ref_classes"), F.array(*(f"w{i}" for i in range(len(COMMON_WORDS) + 1))).alias("ref_words")
+        F.col("lang").alias("ref_lang"), F.array(*(f"c{i}" for i in range(len(CLASSES)))).alias("ref_classes"), F.array(*(f"w{i}" for i in range(N_COMMON + 1))).alias("ref_words")
     )
     # One row per language: Spark broadcasts it while it is small and splits a frequent language otherwise.
     both = counts.join(reference, F.col("lang") == F.col("ref_lang"))
     class_distance = F.when(_total(F.col("classes")) >= MIN_CHARS, js_distance(F.col("classes"), F.col("ref_classes")))
     word_distance = F.when(F.col("n_words") >= MIN_WORDS, js_distance(F.col("all_words"), F.col("ref_words")))
-    common_distance = F.when(_total(F.col("common")) >= MIN_COMMON, js_distance(F.col("common"), F.slice("ref_words", 1, len(COMMON_WORDS))))
+    common_distance = F.when(_total(F.col("common")) >= MIN_COMMON, js_distance(F.col("common"), F.slice("ref_words", 1, N_COMMON)))
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     both = both.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"), class_distance.alias("class_distance"), word_distance.alias("word_distance"), common_distance.alias("common_distance"))
-    limits = {"class_distance": MAX_CLASS_DISTANCE, "word_distance": MAX_WORD_DISTANCE, "common_distance": MAX_COMMON_DISTANCE}
+    word_limit = F.lit(MAX_WORD_DISTANCE) + F.lit(WORD_NOISE) / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
+    limits = {"class_distance": F.lit(MAX_CLASS_DISTANCE), "word_distance": word_limit, "common_distance": F.lit(MAX_COMMON_DISTANCE)}
     far = F.greatest(*(F.coalesce(c, F.lit(0.0)) > limit for c, limit in limits.items()))
     return both.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~far).alias("kept"), *limits)

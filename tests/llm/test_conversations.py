@@ -246,7 +246,7 @@ def test_chat_tree_shares_and_attends(spark, talks):
         spoken[m.conv_id][m.place] = of[m.start]
     for c, conv in by_conversation(ROWS, "", "").items():
         ids = [np.frombuffer(spoken[c][i].tokens, "<u4") for i in range(len(conv))]
-        assert [codec.turn(x) for x in ids] == [(r, x) for _, r, x in conv]
+        assert [chat.spoken(codec.turn(x)) for x in ids] == [(r, x) for _, r, x in conv]
         # The last segment attends to exactly the conversation, and positions count its tokens.
         last = spoken[c][len(conv) - 1]
         assert np.array_equal(np.concatenate([stream[a["from"] : a["to"]] for a in last.attends]), np.concatenate(ids))

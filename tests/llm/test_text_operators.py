@@ -328,14 +328,84 @@ def test_quality_rules(spark, docs, empty):
 
 
 def test_quality_rules_judge_texts_without_common_words(spark):
-    usual = [(i, " ".join(f"the w{i}x{j} of v{j}" for j in range(60)), "en") for i in range(20)]
-    rows = usual + [(100, " ".join(f"q{j}z" for j in range(400)), "en"), (101, " ".join(f"q{j}z" for j in range(20)), "en")]
+    usual = [(i, " ".join(f"the tree{i}x{j} of house{j} and" for j in range(60)), "en") for i in range(20)]
+    rows = usual + [(100, " ".join(f"quarrel{j}zephyr" for j in range(400)), "en"), (101, " ".join(f"quarrel{j}zephyr" for j in range(20)), "en")]
     got = {r.doc_id: r for r in rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
-    assert all(got[i].kept for i, _, _ in usual)
+    assert all(got[i].kept for i, _, _ in usual), got[0]
     assert got[100].common_distance is None and got[100].word_distance > rules.MAX_WORD_DISTANCE and not got[100].base_failed and not got[100].kept
     assert got[101].word_distance is None
 
 
+def plain_verdicts(rows):
+    """Distances and verdicts by plain Python: (class, word, common distance, kept) of each row."""
+    import math
+    import unicodedata
+    from collections import Counter
+
+    def distance(p, q):
+        if not sum(p) or not sum(q):
+            return None
+        p, q = [x / sum(p) for x in p], [x / sum(q) for x in q]
+        return math.sqrt(max(0.0, sum(a * math.log2(2 * a / (a + b)) for x, y in zip(p, q) for a, b in ((x, y), (y, x)) if a > 0) / 2))
+
+    def tokens(t):
+        return [w for w in re.split(r"[\W\d_]+", t.lower()) if 0 < len(w) <= rules.COMMON_LETTERS]
+
+    texts = [(lang or "", t or "") for _, t, lang in rows]
+    frequent = {}
+    for lang in {x for x, _ in texts}:
+        n = Counter(w for x, t in texts if x == lang for w in tokens(t))
+        frequent[lang] = [w for w, _ in sorted(n.items(), key=lambda x: (-x[1], x[0].encode()))[: rules.N_COMMON]]
+    counts = []
+    for lang, t in texts:
+        kinds = Counter("upper" if (c := unicodedata.category(x)) == "Lu" else "lower" if c[0] == "L" else "digit" if c == "Nd" else "" for x in t)
+        space = len(re.findall(r"[\x20\x09-\x0D]", t))
+        mark, symbol = (sum(map(t.count, chars)) for chars in (".,;:!?'\"()-", "#*$%&|<>"))
+        classes = [kinds["upper"], kinds["lower"], kinds["digit"], space, mark, symbol]
+        seen = Counter(tokens(t))
+        common = [seen[w] for w in frequent[lang]]
+        common += [0] * (rules.N_COMMON - len(common))
+        words = re.findall(r"[^\x20\x09-\x0D]+", t)
+        windows = Counter(tuple(words[k : k + 3]) for k in range(len(words) - 2))
+        covered = {k + d for k in range(len(words) - 2) if windows[tuple(words[k : k + 3])] > 1 for d in range(3)}
+        counts.append((lang, [*classes, max(0, len(t) - sum(classes))], [*common, max(0, len(words) - sum(common))], len(words), len(covered)))
+    sums = {}
+    for lang, classes, words, *_ in counts:
+        a, b = sums.setdefault(lang, ([0] * 7, [0] * (rules.N_COMMON + 1)))
+        sums[lang] = ([x + y for x, y in zip(a, classes)], [x + y for x, y in zip(b, words)])
+    out = []
+    for lang, classes, words, n, covered in counts:
+        a, b = sums[lang]
+        c = distance(classes, a) if sum(classes) >= rules.MIN_CHARS else None
+        w = distance(words, b) if n >= rules.MIN_WORDS else None
+        m = distance(words[:-1], b[:-1]) if sum(words[:-1]) >= rules.MIN_COMMON else None
+        limits = ((c, rules.MAX_CLASS_DISTANCE), (w, rules.MAX_WORD_DISTANCE + rules.WORD_NOISE / math.sqrt(max(n, 1))), (m, rules.MAX_COMMON_DISTANCE))
+        out.append((c, w, m, n >= 50 and 100 * covered <= 50 * n and not any(x is not None and x > limit for x, limit in limits)))
+    return out
+
+
+def test_verdicts_equal_plain_python(spark, sf_dir):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    rows += [(1 << 40, "²½Ⅷ ａｂ ÀÉ٣ 1_2 \x85\u00a0x\n" * 80, "xx"), ((1 << 40) + 1, "mot mot autre " * 30, None)]
+    got = {r.doc_id: r for r in rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)).collect()}
+    for (i, _, _), want in zip(rows, plain_verdicts(rows)):
+        r = got[i]
+        assert r.kept == want[3]
+        for mine, plain in zip((r.class_distance, r.word_distance, r.common_distance), want):
+            assert (mine is None) == (plain is None) and (plain is None or abs(mine - plain) < 1e-9)
+
+
+def test_windows_compared_as_texts(spark):
+    from pyspark.sql import functions as F
+
+    random = np.random.Generator(np.random.PCG64(8))
+    rows = [(i, [str(x) for x in random.integers(0, int(random.integers(1, 6)), int(random.integers(4, 40)))]) for i in range(200)]
+    table = spark.createDataFrame(rows, "i long, w array<string>")
+    for r in table.select("w", rules.repeated_words(F.col("w")).alias("fast"), rules._compared(F.col("w")).alias("sorted")).collect():
+        windows = [tuple(r.w[k : k + 3]) for k in range(len(r.w) - 2)]
+        assert r.fast == r.sorted == len({k + d for k, x in enumerate(windows) if windows.count(x) > 1 for d in range(3)})
+
+
 def test_licences(spark, empty):
     rows = [
         (1, "/a/LICENSE", "MIT License\nPermission is hereby granted, free of charge, to any person obtaining a copy of this software under the MIT License"),
