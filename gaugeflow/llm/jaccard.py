@@ -18,7 +18,7 @@ Groups of equal sets are one node. All pairs of a group of similar sets are neve
 built. In rounds, every node picks one hub: for each of its words, the least node of
 the least component in that word may be one, and the hub met in most words is
 verified. Linked nodes become components, words that hold one component only are
-done, and rounds go on until one finds no link. Only what is then in different
+done, and rounds go on until one adds few links. Only what is then in different
 components is compared word by word, with frequent words dealt over many tasks.
 
 What a word holds is found by minima that are combined before the shuffle and by
@@ -44,6 +44,7 @@ from gaugeflow.session import materialise
 SHORT = 512  # parity bits that go along with a word
 SKETCH = [f"s{i}" for i in range(SHORT // 64)]
 MISS = 1e-12  # chance of a linked pair without a common word
+FEW = 16  # rounds end when one finds less than this part of the links so far
 GROUP = 2048  # members of one word, or of one hub, compared in one task
 FILTER_BITS = 1 << 27  # of a broadcast filter at most (16 MB); a full one lets more rows pass, and loses none
 BUCKET_BITS = 1 << 15  # of one value of Spark's bitmap functions
@@ -327,18 +328,23 @@ def _open_pairs(state: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 def similar_pairs(docs: DataFrame, nodes: DataFrame, bands: Bands) -> DataFrame:
     """Links (a, b) of nodes that reach the threshold, enough to make every component of them."""
-    percent, links, groups, tested = bands.percent, None, None, None
+    percent, links, groups, tested, n_links = bands.percent, None, None, None, 0
     shared = _shared_words(docs, bands)
     while True:
         state = materialise(_open_words(shared, groups), "open")
         pairs = materialise(_hub_pairs(state, nodes, tested, percent), "pairs")
         found = materialise(_verified(pairs, docs, nodes, percent), "links")
-        if found.isEmpty():
+        n_found = found.count()
+        if not n_found:
             break
         links = found if links is None else links.union(found)
         tested = pairs if tested is None else tested.union(pairs)
         groups = materialise(components(links), "components")
         shared = state.select("word", "node")
+        n_links += n_found
+        if FEW * n_found < n_links:
+            state = materialise(_open_words(shared, groups), "open")
+            break
     more = materialise(_open_pairs(state, nodes, percent), "pairs")
     last = _verified(more, docs, nodes, percent)
     return last if links is None else links.union(last)
