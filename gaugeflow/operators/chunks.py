@@ -9,9 +9,10 @@ What crosses a chunk border is supplied in one of two ways:
 
 * a fixed reach (lags and leads): every row is also sent to the neighbouring
   chunks that can see it, a few percent of extra rows;
-* an open reach (fills, interpolation, positions, gaps): each chunk is reduced
-  to one summary row with map-side partial aggregation, a window walks over the
-  summaries, and the result is joined back on (series, chunk). A series has at
+* an open reach (fills, interpolation, positions, gaps): the rows are dealt to
+  (series, chunk) once. That exchange is read by two sides: one reduces each chunk
+  to a summary row, a window walks over the summaries, and the result is joined
+  back to the rows of the other side, which stay where they are. A series has at
   most (time span / chunk length) summaries, a number the calendar bounds
   whatever the volume of readings.
 
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.columns import col, known_values, q, qs
@@ -43,15 +44,35 @@ def with_chunk(df: DataFrame, ts: str, chunk: int = WEEK) -> DataFrame:
     return df.withColumns({SEC: sec, CHUNK: F.floor(sec / F.lit(chunk))})
 
 
-def _with_carry(chunked: DataFrame, carried: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Give every row what its chunk carries, and ``SLICE`` to partition windows by.
+def _dealt(df: DataFrame, keys: Sequence[str], ts: str, chunk: int, without: Sequence[str] = ()) -> DataFrame:
+    """The rows with ``SEC``, dealt by ``SLICE`` = (series, chunk); columns that nothing reads later stay behind.
 
     The key is one struct: structs are equal where both hold nulls, so rows of a
-    null series find their summary, and join and windows share one shuffle.
+    null series find their summary.
     """
-    key = F.struct(*[col(c) for c in group])
-    rows = chunked if SLICE in chunked.columns else chunked.withColumn(SLICE, key)
-    return rows.join(carried.withColumn(SLICE, key).drop(*group), SLICE, "left")
+    chunked = with_chunk(df, ts, chunk)
+    return chunked.withColumn(SLICE, F.struct(*[col(k) for k in keys], F.col(CHUNK))).drop(CHUNK, *without).repartition(SLICE)
+
+
+def _summary(dealt: DataFrame, aggregates: Sequence[Column], made: Sequence[str] = ()) -> DataFrame:
+    """One row per slice, worked out from the same exchange as the rows.
+
+    Spark reads an exchange twice only if both sides want the same columns of it, so
+    the summary touches all of them but those ``made`` after it.
+    """
+    whole = [F.col(f"`{c.replace('`', '``')}`") for c, kind in dealt.dtypes if c not in made and "map<" not in kind]
+    summary = dealt.groupBy(SLICE).agg(F.max(F.xxhash64(*whole)).alias("__whole"), *aggregates)
+    return summary.where("__whole IS NOT NULL").drop("__whole")
+
+
+def _key(keys: Sequence[str]) -> list[Column]:
+    return [F.col(SLICE).getField(k) for k in keys]
+
+
+def _walk(keys: Sequence[str], backward: bool = False) -> Window:
+    """Over the summaries of a series, in the order of their chunks."""
+    chunk = F.col(SLICE).getField(CHUNK)
+    return Window.partitionBy(*_key(keys)).orderBy(chunk.desc() if backward else chunk)
 
 
 def at_offsets(
@@ -90,7 +111,6 @@ def _bound(minutes: int) -> str:
 
 
 UP_TO_HERE = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-BEFORE_HERE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
 
 def _over(keys: Sequence[str], order: str, frame: str = "") -> str:
@@ -100,31 +120,35 @@ def _over(keys: Sequence[str], order: str, frame: str = "") -> str:
 
 
 def _nearest_known(
-    df: DataFrame, keys: Sequence[str], cols: Sequence[str], order: str
+    dealt: DataFrame, keys: Sequence[str], cols: Sequence[str], order: str, placed: bool = False
 ) -> tuple[DataFrame, dict[str, tuple[str, str, str, str]]]:
     """For each column, as SQL text, the last known value at or before the row
     and the first one at or after it, each with its position in ``order``:
     (earlier value, its position, later value, its position).
 
-    ``df`` carries ``CHUNK`` and the long column ``order``.
+    ``order`` is a long column of the dealt rows. With ``placed`` it counts within
+    the slice, and is counted on from slice to slice here.
     """
-    group = [*keys, CHUNK]
     numbered = list(enumerate(cols))
     known_at = {c: f"CASE WHEN {q(c)} IS NOT NULL THEN {order} END" for c in cols}
-    summary = df.groupBy(*qs(group)).agg(
-        *[
-            F.expr(f"{pick}({q(c)}, {known_at[c]}) AS __{side}v{i}")
-            for i, c in numbered
-            for pick, side in (("max_by", "l"), ("min_by", "f"))
-        ],
-        *[F.expr(f"{pick}({known_at[c]}) AS __{side}t{i}") for i, c in numbered for pick, side in (("max", "l"), ("min", "f"))],
-    )
-    earlier, later = _over(keys, CHUNK, BEFORE_HERE), _over(keys, f"{CHUNK} DESC", BEFORE_HERE)
-    carried = summary.selectExpr(
-        *qs(group),
-        *[f"last(__l{x}{i}, true) {earlier} AS __p{x}{i}" for i, _ in numbered for x in "vt"],
-        *[f"last(__f{x}{i}, true) {later} AS __n{x}{i}" for i, _ in numbered for x in "vt"],
+    picks = [
+        F.expr(f"{pick}({q(c)}, {known_at[c]}) AS __{side}v{i}") for i, c in numbered for pick, side in (("max_by", "l"), ("min_by", "f"))
+    ] + [F.expr(f"{pick}({known_at[c]}) AS __{side}t{i}") for i, c in numbered for pick, side in (("max", "l"), ("min", "f"))]
+    summary = _summary(dealt, [*picks, *([F.count("*").alias("__n")] if placed else [])], [order] if placed else [])
+    if placed:
+        before = F.coalesce(F.sum("__n").over(_walk(keys).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        summary = summary.withColumn("__before", before)
+        summary = summary.withColumns({f"__{side}t{i}": F.col(f"__{side}t{i}") + F.col("__before") for i, _ in numbered for side in "lf"})
+    earlier, later = (_walk(keys, back).rowsBetween(Window.unboundedPreceding, -1) for back in (False, True))
+    carried = summary.select(
+        SLICE,
+        *(["__before"] if placed else []),
+        *[F.last(f"__l{x}{i}", True).over(earlier).alias(f"__p{x}{i}") for i, _ in numbered for x in "vt"],
+        *[F.last(f"__f{x}{i}", True).over(later).alias(f"__n{x}{i}") for i, _ in numbered for x in "vt"],
     )
+    joined = dealt.join(carried, SLICE, "left")
+    if placed:
+        joined = joined.withColumn(order, F.col(order) + F.col("__before"))
     # Both directions use a growing frame (linear); "rows following" frames
     # would be re-evaluated from scratch for every row.
     upto, downto = _over([SLICE], order, UP_TO_HERE), _over([SLICE], f"{order} DESC", UP_TO_HERE)
@@ -137,7 +161,7 @@ def _nearest_known(
         )
         for i, c in numbered
     }
-    return _with_carry(df, carried, group), picked
+    return joined, picked
 
 
 def ffill_bfill(
@@ -150,13 +174,13 @@ def ffill_bfill(
 ) -> DataFrame:
     """Last known value; where there is none yet, the first later one."""
     cols = [c for c in df.columns if c != ts and c not in keys] if cols is None else list(cols)
-    joined, picked = _nearest_known(with_chunk(known_values(df, cols), ts, chunk), keys, cols, SEC)
+    joined, picked = _nearest_known(_dealt(known_values(df, cols), keys, ts, chunk), keys, cols, SEC)
     filled = {c: f"coalesce({p[0]}, {p[2]})" if backward else p[0] for c, p in picked.items()}
     return joined.selectExpr(*[f"{filled[c]} AS {q(c)}" if c in filled else q(c) for c in df.columns])
 
 
-def _interpolated(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order: str, out: Sequence[str]) -> DataFrame:
-    joined, picked = _nearest_known(known_values(df, cols), keys, cols, order)
+def _interpolated(dealt: DataFrame, keys: Sequence[str], cols: Sequence[str], order: str, out: Sequence[str], placed: bool = False) -> DataFrame:
+    joined, picked = _nearest_known(dealt, keys, cols, order, placed)
     names = {c: [f"__{x}{i}" for x in ("pv", "pt", "nv", "nt")] for i, c in enumerate(cols)}
     found = joined.selectExpr(
         *qs(c for c in dict.fromkeys([*out, order]) if c not in cols), *qs(cols), *[f"{e} AS {n}k" for c in cols for e, n in zip(picked[c], names[c], strict=True)]
@@ -171,51 +195,35 @@ def _interpolated(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order
 def interpolate_time(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str], chunk: int = WEEK) -> DataFrame:
     """Linear in elapsed time; before the first and after the last known value
     the nearest one."""
-    return _interpolated(with_chunk(df, ts, chunk), keys, cols, SEC, df.columns)
+    return _interpolated(_dealt(known_values(df, cols), keys, ts, chunk), keys, cols, SEC, df.columns)
 
 
-def row_positions(df: DataFrame, keys: Sequence[str], ts: str, out: str, chunk: int = WEEK) -> DataFrame:
-    """0-based position of each row in its series, in time order."""
-    return _positioned(with_chunk(df, ts, chunk), keys, out).select(*qs([*df.columns, out]))
+def _numbered(dealt: DataFrame, out: str) -> DataFrame:
+    """0-based position of each row in its slice."""
+    return dealt.withColumn(out, (F.row_number().over(Window.partitionBy(SLICE).orderBy(SEC)) - 1).cast("long"))
 
 
-def _positioned(chunked: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
-    group = [*keys, CHUNK]
-    before = Window.partitionBy(*qs(keys)).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        chunked.groupBy(*qs(group))
-        .agg(F.count("*").alias("__n"))
-        .select(*qs(group), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    )
-    within = Window.partitionBy(SLICE).orderBy(SEC)
-    return (
-        _with_carry(chunked, offsets, group)
-        .withColumn(out, F.col("__offset") + F.row_number().over(within) - 1)
-        .drop("__offset")
-    )
+def row_positions(df: DataFrame, keys: Sequence[str], ts: str, out: str, chunk: int = WEEK) -> DataFrame:
+    """0-based position of each row in its series, in time order."""
+    dealt = _dealt(df, keys, ts, chunk)
+    before = F.coalesce(F.sum("__n").over(_walk(keys).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = _summary(dealt, [F.count("*").alias("__n")]).select(SLICE, before.alias("__before"))
+    placed = _numbered(dealt.join(offsets, SLICE, "left"), out)
+    return placed.withColumn(out, F.col(out) + F.col("__before")).select(*qs([*df.columns, out]))
 
 
 def interpolate_rows(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str], chunk: int = WEEK) -> DataFrame:
     """Linear in row position (every step weighs the same); nearest at the ends."""
-    return _interpolated(_positioned(with_chunk(df, ts, chunk), keys, "__pos"), keys, cols, "__pos", df.columns)
+    numbered = _numbered(_dealt(known_values(df, cols), keys, ts, chunk), "__pos")
+    return _interpolated(numbered, keys, cols, "__pos", df.columns, placed=True)
 
 
 def with_next_second(df: DataFrame, keys: Sequence[str], ts: str, out: str, chunk: int = WEEK) -> DataFrame:
-    """Add ``SEC`` and the second of the next row of the series (null at its end)."""
-    chunked = with_chunk(df, ts, chunk)
-    group = [*keys, CHUNK]
-    in_order = Window.partitionBy(*qs(keys)).orderBy(CHUNK)
-    starts = (
-        chunked.groupBy(*qs(group))
-        .agg(F.min(SEC).alias("__start"))
-        .select(*qs(group), F.lead("__start").over(in_order).alias("__next_start"))
-    )
+    """Add ``SEC`` and the second of the next row of the series (null at its end); the time itself is dropped."""
+    dealt = _dealt(df, keys, ts, chunk, [ts])
+    starts = _summary(dealt, [F.min(SEC).alias("__start")]).select(SLICE, F.lead("__start").over(_walk(keys)).alias("__next_start"))
     within = Window.partitionBy(SLICE).orderBy(SEC)
-    return (
-        _with_carry(chunked, starts, group)
-        .withColumn(out, F.coalesce(F.lead(SEC).over(within), F.col("__next_start")))
-        .drop("__next_start", CHUNK, SLICE)
-    )
+    return dealt.join(starts, SLICE, "left").withColumn(out, F.coalesce(F.lead(SEC).over(within), F.col("__next_start"))).drop("__next_start", SLICE)
 
 
 def regularise(

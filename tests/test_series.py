@@ -276,3 +276,16 @@ def test_one_long_series_is_spread_over_the_tasks(spark):
             assert len(sizes) == 4 and max(sizes) < 0.5 * sum(sizes)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize("name", ["ffill_bfill", "interp_time", "interp_rows", "regularise", "rain_upsample"])
+def test_rows_are_read_and_dealt_once(spark, sf_dir, name):
+    """Summaries and rows come from one exchange: one scan, and the exchange by slice is used again."""
+    import __spark_entry__ as e
+
+    df = e.queries()[name](spark, sf_dir)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    lines = [x for x in plan.split("\n") if "REPARTITION_BY_COL" in x]
+    assert plan.count("FileScan parquet") == 1
+    assert [("ReusedExchange" in x) for x in lines].count(False) == 1 and any("ReusedExchange" in x for x in lines)
