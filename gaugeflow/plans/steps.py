@@ -3,7 +3,7 @@
 Steps hand over Parquet tables below one root folder, so each can be run again
 alone. ``run_all`` chains them.
 
-    merged/{family}  filtered/{family}  cleaned/{family}
+    merged (by family)  columns  filtered/{family}  cleaned/{family}
     stats/{family}/profile  stats/{family}/trend  stats/{family}/histogram
     levels/raw  levels/repaired  inputs/with_rainfall  inputs/without_rainfall
     features/{station}  models/{station}  forecasts/{station}  errors/{station}  matrix/{station}
@@ -27,7 +27,7 @@ from gaugeflow.operators.features import check_xy, station_features, split_xy
 from gaugeflow.operators.forecast import BoostParams, fit_forecasters, forecast, load_forecaster, save_forecaster
 from gaugeflow.operators.isolation import isolation_flags, repair
 from gaugeflow.operators.split import chrono_split
-from gaugeflow.session import materialise, shared_dir
+from gaugeflow.session import materialise
 from gaugeflow.sources import legacy_csv
 from gaugeflow.sources.spec import FORECAST_HORIZONS, StationSpec, feature_columns, rate_name
 from gaugeflow.sources.tables import read_table, write_table
@@ -42,23 +42,27 @@ SOURCE = legacy_csv.SOURCE
 def ingest(spark: SparkSession, archives: str, root: str) -> list[str]:
     """Unite the yearly files of each family; returns the family names.
 
+    One scan of the archives and one write for any number of families: rows lie in
+    ``merged`` by family, their cells in the order of ``columns``.
+
     ``rejects/files`` lists archives and members that cannot be read, with the
     reason, ``rejects/lines`` the lines with too many fields, and
     ``stats/encodings`` the encoding of every member.
     """
-    shared_dir(spark)
-    catalogue = legacy_csv.group_file_family(legacy_csv.zip_catalogue(spark, archives), "member").checkpoint()
-    families = sorted(r["family"] for r in catalogue.where(F.col("encoding").isNotNull()).select("family").distinct().collect())
-
-    def unite(family: str) -> None:
-        members = catalogue.where(F.col("family") == family).drop("family", "year")
-        write_table(legacy_csv.zip_table(members).drop("archive"), f"{root}/merged/{family}")
-
-    _side_by_side(unite, families)
-    write_table(catalogue.where(F.col("encoding").isNull()).select("archive", "entry", "member", "size", "error"), f"{root}/rejects/files")
-    write_table(legacy_csv.encoding_report(spark, archives), f"{root}/stats/encodings")
-    write_table(legacy_csv.zip_rejects(catalogue), f"{root}/rejects/lines")
-    return families
+    scan = legacy_csv.scan_archives(spark, archives)
+    columns = materialise(legacy_csv.family_columns(scan), "columns")
+    write_table(legacy_csv.zip_families(scan, columns), f"{root}/merged", ["family"])
+    write_table(columns, f"{root}/columns")
+    write_table(scan.catalogue.where(F.col("encoding").isNull()).select("archive", "entry", "member", "size", "error"), f"{root}/rejects/files")
+    write_table(scan.report, f"{root}/stats/encodings")
+    write_table(legacy_csv.zip_rejects(scan), f"{root}/rejects/lines")
+    return sorted(r["family"] for r in columns.select("family").collect())
+
+
+def merged(spark: SparkSession, root: str, family: str) -> DataFrame:
+    """The united files of one family, with a column for each of its names."""
+    names = read_table(spark, f"{root}/columns").where(F.col("family") == family).first()["columns"]
+    return legacy_csv.family_table(read_table(spark, f"{root}/merged").where(F.col("family") == family), names)
 
 
 def _side_by_side(job: Callable[[str], T], families: Sequence[str]) -> list[T]:
@@ -71,7 +75,7 @@ def filter_seasons(spark: SparkSession, root: str, family: str, start_year: int
     """Compose the timestamps and keep the seasons. False, with nothing written,
     for a table without date and time columns. Rows without a valid time go to
     ``rejects/times``."""
-    rows = read_table(spark, f"{root}/merged/{family}")
+    rows = merged(spark, root, family)
     if not {"日付", "時刻"} <= set(rows.columns):
         return False
     write_table(filters.season_filter(compose_ts(rows, ts=TS), TS, start_year, months), f"{root}/filtered/{family}")

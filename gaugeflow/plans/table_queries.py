@@ -23,9 +23,9 @@ from gaugeflow.sources import legacy_csv, tables
     f"WITH {fx.RAW_FILES} SELECT archive, source_file AS member, count(*) AS n_lines FROM files GROUP BY 1, 2",
 )
 def zip_scan(spark: SparkSession, sf: str) -> DataFrame:
-    catalogue = legacy_csv.zip_catalogue(spark, fx.write_logger_files(spark, sf) + "/zip")
-    counts = legacy_csv.zip_lines(catalogue).groupBy("file_id").agg(F.count("*").alias("n_lines"))
-    named = catalogue.select(legacy_csv.file_id().alias("file_id"), "archive", "member")
+    scan = legacy_csv.scan_archives(spark, fx.write_logger_files(spark, sf) + "/zip")
+    counts = legacy_csv.zip_lines(scan).groupBy("file_id").agg(F.count("*").alias("n_lines"))
+    named = scan.catalogue.select(legacy_csv.file_id().alias("file_id"), "archive", "member")
     return named.join(counts, "file_id").select("archive", "member", "n_lines")
 
 
@@ -58,8 +58,8 @@ def zip_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH {fx.RAW_FILES} SELECT archive, source_file, event_id % {fx.FILE_ROWS} + 1 AS line_no FROM files WHERE too_long""",
 )
 def rejected_lines(spark: SparkSession, sf: str) -> DataFrame:
-    catalogue = legacy_csv.zip_catalogue(spark, fx.write_logger_files(spark, sf) + "/zip")
-    return legacy_csv.zip_rejects(materialise(catalogue, "catalogue")).select("archive", "source_file", "line_no")
+    scan = legacy_csv.scan_archives(spark, fx.write_logger_files(spark, sf) + "/zip")
+    return legacy_csv.zip_rejects(scan).select("archive", "source_file", "line_no")
 
 
 @query(
@@ -69,7 +69,7 @@ def rejected_lines(spark: SparkSession, sf: str) -> DataFrame:
 def extracted_members(spark: SparkSession, sf: str) -> DataFrame:
     """Unpack the archives, then read the unpacked files."""
     root = fx.write_logger_files(spark, sf)
-    catalogue = materialise(legacy_csv.zip_catalogue(spark, root + "/zip"), "catalogue")
+    catalogue = legacy_csv.zip_catalogue(spark, root + "/zip")
     copied = materialise(legacy_csv.extract_members(catalogue, root + "/unpacked"), "copied")
     rows = legacy_csv.read_legacy_csv(spark, root + "/unpacked", ["event_id"]).groupBy("source_file").agg(F.count("*").alias("n_rows"))
     return copied.select("archive", F.col("member").alias("source_file")).join(rows, "source_file").select("archive", "source_file", "n_rows")

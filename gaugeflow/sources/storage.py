@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import codecs
 import uuid
 import zipfile
 from collections.abc import Iterator, Sequence
@@ -64,25 +63,6 @@ def list_files(spark: SparkSession, path: str | Sequence[str], glob: str) -> Dat
     )
 
 
-def first_decoding(pieces: Iterator[bytes], encodings: Sequence[str]) -> str | None:
-    """The first encoding that decodes all of it; one pass, all decoders side by side."""
-    alive = {e: codecs.getincrementaldecoder(e)() for e in encodings}
-
-    def feed(data: bytes, last: bool) -> None:
-        for e in list(alive):
-            try:
-                alive[e].decode(data, last)
-            except UnicodeDecodeError:
-                del alive[e]
-
-    for piece in pieces:
-        feed(piece, False)
-        if not alive:
-            return None
-    feed(b"", True)
-    return next(iter(alive), None)
-
-
 def pieces_of(stream: BinaryIO) -> Iterator[bytes]:
     while piece := stream.read(PIECE):
         yield piece

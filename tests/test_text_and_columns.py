@@ -15,6 +15,7 @@ from gaugeflow.functions.hydraulics import derived_flows, weir_discharge
 from gaugeflow.functions.numbers import change_class, to_number
 from gaugeflow.functions.times import compose_ts
 from gaugeflow.operators import combine, evaluate, filters, profile, scaling
+from gaugeflow.plans import steps
 from gaugeflow.sources import legacy_csv, spec, tables
 from gaugeflow.sources.storage import member_name
 
@@ -142,6 +143,58 @@ def test_equal_names_and_broken_archives(spark, tmp_path):
     assert ("log.zip", "m2019.csv", "ascii") in report
 
 
+def test_members_are_inflated_once_and_directories_read_once_a_range(tmp_path, monkeypatch):
+    """Counted in this process: the scan's own function over one archive."""
+    path = tmp_path / "many.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for i in range(40):
+            z.writestr(f"m{i}.csv", ("\n\n 日付 ,v\r\n" + "".join(f"{i},値{j}\r\n" for j in range(300))).encode("cp932" if i % 2 else "utf-8"))
+    opened = []
+    real = zipfile.ZipFile.open
+    monkeypatch.setattr(zipfile.ZipFile, "open", lambda self, name, *a, **b: (opened.append(name), real(self, name, *a, **b))[1])
+    monkeypatch.setattr(legacy_csv, "BLOCK_BYTES", 1000)
+    monkeypatch.setattr(legacy_csv, "pieces_of", lambda stream: iter(lambda: stream.read(700), b""))
+    with zipfile.ZipFile(path) as archive:
+        for k, (info, _) in enumerate(legacy_csv._csv_entries(archive)):
+            *blocks, last = legacy_csv._scanned(archive, info, legacy_csv.ENCODINGS)
+            assert last[1:5] == (("shift_jis" if k % 2 else "utf-8"), ["日付", "v"], "shift_jis" if k % 2 else "utf-8", 1.0)
+            text = "\n".join(b[-1].decode(last[1]) for b in blocks)
+            assert text.split("\n") == [f"{k},値{j}" for j in range(300)]
+            starts = [b[-2] for b in blocks]
+            assert len(blocks) >= 2 and starts == [1 + sum(x[-1].count(b"\n") + 1 for x in blocks[:i]) for i in range(len(blocks))]
+    assert len(opened) == 40
+
+
+def test_line_ends_of_all_kinds(monkeypatch):
+    monkeypatch.setattr(legacy_csv, "BLOCK_BYTES", 8)
+    for end in ("\n", "\r\n", "\r"):
+        data = (end + "a,b" + end + end.join(f"{i},{i}" for i in range(50))).encode()
+        for size in (1, 3, 7, 1000):
+            cut = legacy_csv.LineBlocks()
+            blocks = [b for i in range(0, len(data), size) for b in cut.feed(data[i : i + size])] + list(cut.rest())
+            assert cut.header == b"a,b"
+            assert b"\n".join(b[2] for b in blocks).decode().split("\n") == [f"{i},{i}" for i in range(50)]
+
+
+def test_one_write_holds_all_families(spark, tmp_path):
+    """Two hundred families with their own columns: a bounded number of jobs, right cells."""
+    with zipfile.ZipFile(tmp_path / "all.zip", "w") as z:
+        for i in range(200):
+            z.writestr(f"観測{i}号2001.csv", f"n,c{i}\n{i},x{i}\n{i},*,zuviel\n".encode("cp932"))
+            z.writestr(f"観測{i}号2002.csv", f"c{i},m,n\ny{i},z,{i}\n{i}\n".encode())
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("families", "")
+    names = steps.ingest(spark, str(tmp_path), str(tmp_path / "out"))
+    jobs = len(tracker.getJobIdsForGroup("families"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(names) == 200 and jobs < 60
+    for i in (0, 7, 199):
+        rows = steps.merged(spark, str(tmp_path / "out"), f"観測{i}号")
+        assert rows.columns == ["source_file", "n", f"c{i}", "m"]
+        got = {tuple(r)[1:] for r in rows.collect()}
+        assert got == {(str(i), f"x{i}", None), (str(i), f"y{i}", "z"), (None, str(i), None)}
+
+
 def test_long_lines_of_plain_files_are_rejects(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes("名,v\nあ,1\nい,2,3\n".encode("cp932"))
     assert [tuple(r) for r in legacy_csv.csv_rejects(spark, str(tmp_path)).collect()] == [("a.csv", "い,2,3")]
