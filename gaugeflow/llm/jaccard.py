@@ -15,9 +15,9 @@ stays below 1e-12; where that takes far more blocks than shingles, every shingle
 is a word of its own and nothing can be missed.
 
 Groups of equal sets are one node. All pairs of a group of similar sets are never
-built. In rounds, every node picks one hub: for each of its words, the least node of
-the least component in that word may be one, and the hub met in most words is
-verified. Linked nodes become components, words that hold one component only are
+built. In rounds, every node picks one hub: for each of its words, the node of that
+word that shares most words with others may be one (the original among its edited
+copies), and the hub met in most words is verified. Linked nodes become components, words that hold one component only are
 done, and rounds go on until one adds few links. Only what is then in different
 components is compared word by word, with frequent words dealt over many tasks.
 
@@ -175,7 +175,7 @@ def _words_of(docs: DataFrame, bands: Bands, held=None) -> DataFrame:
 
 
 def _shared_words(docs: DataFrame, bands: Bands) -> DataFrame:
-    """(word, node), each once, of the words that more than one node has.
+    """(word, node, weight), each once, of the words that more than one node has; ``weight`` counts what the node shares with others.
 
     Texts are read twice: the first pass leaves minima only, the second sends the rows of shared words.
     """
@@ -183,7 +183,10 @@ def _shared_words(docs: DataFrame, bands: Bands) -> DataFrame:
     common = materialise(common.select(F.col("word").alias("common")), "common")
     held = docs.sparkSession.sparkContext.broadcast(_filter_bits(common, common.count()))
     rows = _words_of(docs, bands, held)
-    return materialise(rows.join(common, F.col("word") == F.col("common"), "left_semi").distinct(), "words")
+    shared = materialise(rows.join(common, F.col("word") == F.col("common"), "left_semi").distinct(), "words")
+    counts = shared.groupBy("word").agg(F.count("*").alias("n")).withColumnRenamed("word", "counted")
+    weights = shared.join(counts, F.col("word") == F.col("counted")).groupBy(F.col("node").alias("weighed")).agg(F.sum(F.col("n") - 1).alias("weight"))
+    return shared.join(weights, F.col("node") == F.col("weighed")).select("word", "node", "weight")
 
 
 def _possible(percent: int, apart: Column, n: Column, m: Column) -> Column:
@@ -191,18 +194,20 @@ def _possible(percent: int, apart: Column, n: Column, m: Column) -> Column:
 
 
 def _open_words(shared: DataFrame, groups: DataFrame | None) -> DataFrame:
-    """(word, node, component, least) of words that hold several components; ``least`` is the hub the word offers."""
-    state = shared.select("word", "node", F.col("node").alias("component"))
-    if groups is not None:
+    """(word, node, weight, component, hub) of words that hold several components; ``hub`` is the node of most weight in the word."""
+    if groups is None:
+        state = shared.select("word", "node", "weight", F.col("node").alias("component"))
+    else:
         known = groups.select(F.col("node").alias("grouped"), F.col("component").alias("group"))
-        state = shared.join(known, F.col("node") == F.col("grouped"), "left").select("word", "node", F.coalesce("group", "node").alias("component"))
-    stats = state.groupBy("word").agg(F.min(F.struct("component", "node")).alias("least"), F.max("component").alias("most")).where("least.component <> most")
-    return state.join(stats.withColumnRenamed("word", "stated"), F.col("word") == F.col("stated")).select("word", "node", "component", "least")
+        state = shared.join(known, F.col("node") == F.col("grouped"), "left").select("word", "node", "weight", F.coalesce("group", "node").alias("component"))
+    stats = state.groupBy(F.col("word").alias("stated")).agg(F.max(F.struct("weight", "node", "component")).alias("hub"), F.min("component").alias("least"), F.max("component").alias("most"))
+    stats = stats.where("least <> most").select("stated", F.struct("hub.node", "hub.component").alias("hub"))
+    return state.join(stats, F.col("word") == F.col("stated")).select("word", "node", "weight", "component", "hub")
 
 
-def _hub_pairs(shared: DataFrame, nodes: DataFrame, tested: DataFrame | None, percent: int) -> DataFrame:
+def _hub_pairs(state: DataFrame, nodes: DataFrame, tested: DataFrame | None, percent: int) -> DataFrame:
     """(a, b): for every node b one hub a in another component, the one that most of its words offer."""
-    offers = shared.where("component <> least.component").groupBy(F.col("node").alias("b"), F.col("least.node").alias("a")).agg(F.count("*").alias("votes"))
+    offers = state.where("component <> hub.component").groupBy(F.col("node").alias("b"), F.col("hub.node").alias("a")).agg(F.count("*").alias("votes"))
     if tested is not None:
         offers = offers.join(tested, ["a", "b"], "left_anti")
     x, y = nodes.drop("wide").alias("x"), nodes.drop("wide").alias("y")
@@ -304,7 +309,8 @@ def _open_pairs(state: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             first.append(node[a[near]])
             second.append(node[b[near]])
         x, y = np.concatenate(first), np.concatenate(second)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+        found = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -340,7 +346,7 @@ def similar_pairs(docs: DataFrame, nodes: DataFrame, bands: Bands) -> DataFrame:
         links = found if links is None else links.union(found)
         tested = pairs if tested is None else tested.union(pairs)
         groups = materialise(components(links), "components")
-        shared = state.select("word", "node")
+        shared = state.select("word", "node", "weight")
         n_links += n_found
         if FEW * n_found < n_links:
             state = materialise(_open_words(shared, groups), "open")
