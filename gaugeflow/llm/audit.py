@@ -19,7 +19,7 @@ from itertools import permutations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.llm.frames import map_batches
@@ -68,11 +68,15 @@ def unpacked(total: int) -> np.ndarray:
     return np.frombuffer(total.to_bytes(int(np.prod(shape)) * FIELD.itemsize, "little"), FIELD).reshape(shape).astype(np.int64)
 
 
-def document_masks(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(part, mask) of every document.
+def mask_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(part, mask, n): how many documents of a part have a mask.
 
     Null text is empty, null language the part of the empty string. A document without
-    an id is no smaller one's copy. Labels that repeat an id count if any of them says so.
+    an id is no smaller one's copy, and rows that repeat the smallest id of a text are
+    none either. Labels that repeat an id count if any of them says so.
+
+    Copies are never brought together as rows: equal texts of a part with equal masks
+    are counted before the shuffle, with their smallest id and the rows it has.
     """
 
     def own(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -87,11 +91,18 @@ def document_masks(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = map_batches(rows, own, "doc_id long, part string, mask int, digest binary")
-    firsts = rows.groupBy("digest").agg(F.min("doc_id").alias("first")).withColumnRenamed("digest", "first_digest")
     label = labels.groupBy(F.col("doc_id").cast("long").alias("label_id")).agg(F.max(F.col("quality") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic"))
-    both = rows.join(firsts, F.col("digest") == F.col("first_digest")).join(label, F.col("doc_id") == F.col("label_id"), "left")
-    bits = [F.when(condition, bit).otherwise(0) for condition, bit in ((F.col("doc_id") > F.col("first"), 1 << 4), (F.col("good"), GOOD), (F.col("toxic"), TOXIC))]
-    return both.select("part", (F.col("mask") + sum(bits[1:], bits[0])).cast("int").alias("mask"))
+    bits = F.when(F.col("good"), GOOD).otherwise(0) + F.when(F.col("toxic"), TOXIC).otherwise(0)
+    rows = rows.join(label, F.col("doc_id") == F.col("label_id"), "left").select("doc_id", "digest", "part", (F.col("mask") + bits).cast("int").alias("mask"))
+    known = F.col("doc_id").isNotNull()
+    one = rows.groupBy("doc_id", "digest", "part", "mask").agg(F.count("*").alias("c"))
+    kind = one.groupBy("digest", "part", "mask").agg(F.sum("c").alias("n"), F.sum(F.when(~known, F.col("c")).otherwise(0)).alias("nameless"), F.min(F.when(known, F.struct("doc_id", "c"))).alias("least"))
+    # At most one row a digest for each part and mask.
+    first = F.min("least.doc_id").over(Window.partitionBy("digest"))
+    unique = F.col("nameless") + F.coalesce(F.when(F.col("least.doc_id") == first, F.col("least.c")), F.lit(0))
+    both = kind.select("part", "mask", "n", unique.alias("unique"))
+    pairs = F.array(F.struct("mask", F.col("unique").alias("n")), F.struct((F.col("mask") + (1 << 4)).cast("int").alias("mask"), (F.col("n") - F.col("unique")).alias("n")))
+    return both.select("part", F.inline(pairs)).groupBy("part", "mask").agg(F.sum("n").alias("n")).where("n > 0")
 
 
 def filter_audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -121,8 +132,7 @@ def filter_audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
         ]
         yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in schema.split(", ")])
 
-    counted = document_masks(docs, labels).groupBy("part", "mask").agg(F.count("*").alias("n"))
-    return counted.groupBy("part").applyInArrow(run, schema)
+    return mask_counts(docs, labels).groupBy("part").applyInArrow(run, schema)
 
 
 def oracle() -> str:
