@@ -86,19 +86,22 @@ class ChatCodec:
         before = np.cumsum(size) - size
         return self.table[np.repeat(first - before, size) + np.arange(int(size.sum()))].tobytes().decode() if len(ids) else ""
 
-    def formatted(self, ids: np.ndarray) -> str:
-        cuts = np.flatnonzero(ids >= self.control)
-        out, at = [], 0
-        for c in cuts.tolist():
-            out += [self.string(ids[at:c]), CONTROL[int(ids[c]) - self.control]]
-            at = c + 1
-        return "".join([*out, self.string(ids[at:])])
-
-    def turn(self, ids: np.ndarray) -> tuple[str, str]:
-        """Role and text of a segment."""
+    def turn(self, ids: np.ndarray) -> tuple[bool, str, str]:
+        """Whether the assistant speaks, and role and text of a segment, still escaped; the assistant's role is not written."""
         begin = int(np.flatnonzero(ids == self.control + BEGIN)[0])
-        text = unescaped(self.string(ids[begin + 1 : -1]))
-        return (ASSISTANT if begin == 0 else unescaped(self.string(ids[1:begin]))), text
+        return begin == 0, self.string(ids[1:begin]), self.string(ids[begin + 1 : -1])
+
+
+def spoken(turn: tuple[bool, str, str]) -> tuple[str, str]:
+    """Role and text of a turn."""
+    reply, role, text = turn
+    return (ASSISTANT if reply else unescaped(role)), unescaped(text)
+
+
+def formatted(turn: tuple[bool, str, str]) -> str:
+    """The turn as it is written."""
+    reply, role, text = turn
+    return f"<s>{text}</s>" if reply else f"[INST]{role}<s>{text}[/INST]"
 
 
 @lru_cache(maxsize=2)
@@ -230,13 +233,14 @@ def read_back(segments: DataFrame, members: DataFrame, vocabulary: str) -> DataF
                         yield from out.add((now, n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars), 200)
                     now, n, loss_chars, chars, turns, loss = conv_id, 0, 0, 0, hashlib.sha256(), hashlib.sha256()
                 ids = np.frombuffer(tokens, "<u4")
-                role, text = c.turn(ids)
+                turn = c.turn(ids)
+                role, text = spoken(turn)
                 learned = unescaped(c.string(ids[loss_from:loss_to]))
                 n += 1
                 turns.update(f"{role}\n{text}\n".encode())
                 loss.update(learned.encode())
                 loss_chars += len(learned)
-                chars += len(c.formatted(ids))
+                chars += len(formatted(turn))
         if now is not _NONE:
             yield from out.add((now, n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars), 200)
         yield from out.rest()
