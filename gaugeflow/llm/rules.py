@@ -29,6 +29,8 @@ MAX_CLASS_DISTANCE = 0.3
 MAX_WORD_DISTANCE = 0.2  # of all words
 WORD_NOISE = 1.0  # what chance adds to that distance in a text of one word; it falls with the root of their number
 MAX_COMMON_DISTANCE = 0.7  # of the frequent words among themselves
+PLACE_BITS = 24  # of a window's long; the rest is its hash
+NARROWER = 8  # the rows of counts take that many times fewer partitions than texts do
 LETTERS = "-" + ascii_lowercase[:N_COMMON]  # one for each frequent word, the first for any other
 
 
@@ -63,29 +65,26 @@ def repeated_words(words: Column) -> Column:
 
     A window is one long: hash above, place below. Sorted, equal windows are
     neighbours; their places, sorted, give the covered words. Neighbours of equal
-    hash are compared word by word, and a text in which two of them differ is
-    counted by its sorted windows instead, so the count is exact.
+    hash are compared word by word, and a text in which two of them differ, or that
+    has more words than places, is counted by its sorted windows instead, so the
+    count is exact.
     """
 
     def count(w: Column) -> Column:
-        bits = F.length(F.bin(F.size(w)))
-        low = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
+        low = (1 << PLACE_BITS) - 1
 
-        def covered(codes: Column) -> Column:
-            def same(x: Column, j: Column) -> Column:
-                return (j >= 0) & (j < F.size(codes)) & (F.call_function("shiftrightunsigned", F.get(codes, j), bits) == F.call_function("shiftrightunsigned", x, bits))
+        def equal(a: Column, b: Column) -> Column:
+            pair = F.struct(a.bitwiseAND(low).cast("int").alias("p"), b.bitwiseAND(low).cast("int").alias("q"))
+            return F.when(F.shiftrightunsigned(a.bitwiseXOR(b), PLACE_BITS) == 0, pair)
 
-            def differ(x: Column, j: Column) -> Column:
-                p, q = x.bitwiseAND(low).cast("int"), F.get(codes, j).bitwiseAND(low).cast("int")
-                return same(x, j) & ~((w[p] == w[q]) & (w[p + 1] == w[q + 1]) & (w[p + 2] == w[q + 2]))
+        def covered(pairs: Column) -> Column:
+            clash = F.exists(pairs, lambda x: ~((w[x["p"]] == w[x["q"]]) & (w[x["p"] + 1] == w[x["q"] + 1]) & (w[x["p"] + 2] == w[x["q"] + 2])))
+            places = F.sort_array(F.array_distinct(F.flatten(F.transform(pairs, lambda x: F.array(x["p"].cast("long"), x["q"].cast("long"))))))
+            return F.when(F.size(pairs) == 0, F.lit(0).cast("long")).when(clash, _compared(w)).otherwise(_covered(places))
 
-            twice = F.filter(codes, lambda x, i: same(x, i - 1) | same(x, i + 1))
-            clash = F.size(F.filter(codes, lambda x, i: differ(x, i - 1))) > 0
-            places = F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(low)))
-            return F.when(clash, _compared(w)).otherwise(_covered(places))
-
-        windows = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.call_function("shiftleft", F.xxhash64(w[i], w[i + 1], w[i + 2]), bits).bitwiseOR(i.cast("long")))
-        return _bound(F.sort_array(windows), covered)
+        windows = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.shiftleft(F.xxhash64(w[i], w[i + 1], w[i + 2]), PLACE_BITS).bitwiseOR(i.cast("long")))
+        pairs = _bound(F.sort_array(windows), lambda c: F.array_compact(F.zip_with(c, F.slice(c, 2, F.size(c)), equal)))
+        return F.when(F.size(w) > low, _compared(w)).otherwise(_bound(pairs, covered))
 
     return F.when(F.size(words) >= 4, _bound(words, count)).otherwise(F.lit(0).cast("long"))
 
@@ -176,11 +175,15 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     of the common ones among themselves. A document that repeats an id is judged on its own.
     """
     common = materialise(frequent_words(docs, id_col, text_col, lang_col), "frequent-words")
-    counts = materialise(text_counts(docs, common, id_col, text_col, lang_col), "text-counts")
+    counts = text_counts(docs, common, id_col, text_col, lang_col)
+    # One exchange of narrow rows is read by both sides of the join below: the texts are gone over once.
+    counts = counts.repartition(max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // NARROWER))
     others = F.greatest(F.lit(0).cast("long"), F.col("n_words") - _total(F.col("common")))
     counts = counts.withColumn("all_words", F.concat("common", F.array(others)))
     sums = [F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(len(CLASSES))] + [F.sum(F.col("all_words")[i]).alias(f"w{i}") for i in range(N_COMMON + 1)]
-    reference = counts.groupBy("lang").agg(*sums)
+    # Spark reads an exchange twice only if both sides want the same columns of it.
+    whole = F.max(F.xxhash64(*counts.columns)).alias("whole")
+    reference = counts.groupBy("lang").agg(whole, *sums).where("whole IS NOT NULL")
     reference = reference.select(
         F.col("lang").alias("ref_lang"), F.array(*(f"c{i}" for i in range(len(CLASSES)))).alias("ref_classes"), F.array(*(f"w{i}" for i in range(N_COMMON + 1))).alias("ref_words")
     )
