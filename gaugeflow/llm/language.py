@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 from gaugeflow.llm.frames import DOCUMENT_COLUMNS
 
 DICTIONARY_BYTES = 128 << 10  # of letters for a language
-SAMPLE_DOCS = 256  # different labelled texts for a language, about
-SAMPLE_CHARS = 4096  # taken of one of them
+SAMPLE_DOCS = 64  # different labelled texts for a language, about
 PIECE_BYTES = 16 << 10  # of letters that are compressed together
 LEVEL = 6
 MIN_MARGIN = 0.004  # share of bytes by which the best must beat the second
@@ -41,8 +40,8 @@ def held_out(doc_id: Column) -> Column:
 def learn_dictionaries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
     """Dictionary of every language with a labelled text outside the held-out quarter.
 
-    The sample is bounded by the constants above: texts with the smallest hashes,
-    copies once. Rows without id, text or language are not learned from.
+    The sample is bounded by the constants above: whole texts with the smallest hashes,
+    copies once, until the dictionary is full (none can give it more than its size). Rows without id, text or language are not learned from.
     """
     known = docs.where(~held_out(F.col(id_col)) & F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     known = known.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(text_col), F.lit(1 << 30)).alias("h"))
@@ -50,7 +49,7 @@ def learn_dictionaries(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if not sizes:
         return {}
     border = F.create_map(*(F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, int(min(1.0, SAMPLE_DOCS / n) * (1 << 30)) + 1)))[F.col("lang")]
-    sample = known.where(F.col("h") < border).groupBy("lang", "h").agg(F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("text"))
+    sample = known.where(F.col("h") < border).groupBy("lang", "h").agg(F.min(F.substring("text", 1, DICTIONARY_BYTES)).alias("text"))
     parts: dict[str, list[bytes]] = {}
     for r in sorted(sample.collect(), key=lambda r: (r.lang, r.h)):
         parts.setdefault(r.lang, []).append(letters(r.text))
@@ -72,7 +71,8 @@ class LanguageModel:
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, share of bytes saved against the second best); equal sizes go to the first name."""
         data = letters(text or "").strip()
-        if not data or not self.compressors:
+        # Number signs and underscores are word characters, but no letters.
+        if not data or not self.compressors or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         pieces = [data[i : i + PIECE_BYTES] for i in range(0, len(data), PIECE_BYTES)]
         sizes = sorted((sum(len(c.compress(p)) for p in pieces), lang) for c, lang in zip(self.compressors, self.languages))

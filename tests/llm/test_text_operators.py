@@ -444,6 +444,32 @@ def test_language(spark, docs, empty, sf_dir):
     assert language.identify(empty).count() == 0
 
 
+def test_language_needs_a_letter_and_equals_a_plain_loop(spark, sf_dir):
+    """Number signs are no letters; predictions by compressing with each dictionary in turn."""
+    import zstandard
+
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    books = language.learn_dictionaries(table)
+    odd = ["²", "½ Ⅷ", "①② 12_3", "ª", "ⅷ a", "日本語"]
+    rows = [tuple(r) for r in table.select("doc_id", "text").orderBy("doc_id").limit(60).collect()] + [(10**6 + i, t) for i, t in enumerate(odd)]
+    found = spark.createDataFrame(rows, "doc_id long, text string").select("doc_id", language.language_of(books, language.F.col("text")).alias("p")).collect()
+    got = {r.doc_id: (r.p.lang_pred, r.p.score) for r in found}
+    for i, text in rows:
+        data = re.sub(r"[\W\d_]+", " ", (text or "").lower()).encode().strip()
+        if not any(c.isalpha() for c in text or ""):
+            assert got[i] == ("und", 0.0)
+            continue
+        sizes = []
+        for lang, book in sorted(books.items()):
+            total = 0
+            for k in range(0, len(data), language.PIECE_BYTES):
+                content = zstandard.ZstdCompressionDict(book, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                total += len(zstandard.ZstdCompressor(level=language.LEVEL, dict_data=content, write_content_size=False).compress(data[k : k + language.PIECE_BYTES]))
+            sizes.append((total, lang))
+        (best, lang), (second, _) = sorted(sizes)[:2]
+        assert got[i] == (lang, pytest.approx(1 - best / second))
+
+
 def test_language_of_long_texts(spark, sf_dir):
     table = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.1')}/documents.parquet")
     texts = [r.text for r in table.where("lang = 'en' and text is not null and doc_id < 6000").orderBy("doc_id").collect()]
