@@ -17,6 +17,7 @@ from array import array
 from functools import lru_cache
 
 CACHE = 600_000  # pieces of a generation; a worker remembers two
+LONGEST = 256  # characters of a piece that is remembered
 
 _WORD = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+")  # surely letters in every version of Unicode
 _CUT = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
@@ -50,7 +51,7 @@ class _Memory(dict):
         ids = self.old.get(piece)
         if ids is None:
             ids, keep = self.make(piece)
-            if not keep:
+            if not keep or len(piece) > LONGEST:
                 return ids
         self[piece] = ids
         return ids
