@@ -6,18 +6,22 @@ random sample; scoring all rows is then a binary search in that step function,
 with no shuffle, and the threshold is a quantile of at most as many distinct
 scores as the function has steps.
 
+Samples and cuts are drawn by MD5 digests of row, tree and node instead of a random
+state, and mean path lengths are rounded, so a forest does not depend on partitions,
+order or library, and SQL can grow the same one.
+
 Method: Liu, Ting, Zhou, "Isolation Forest", ICDM 2008.
 """
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.columns import col, finite, nan_to_null, unpivot
@@ -31,7 +35,8 @@ SAMPLE = 256
 SEED = 42
 
 EULER_GAMMA = 0.5772156649015329
-HASH_RANGE = 1 << 30
+HASH_RANGE = 1 << 28
+PATH_DIGITS = 9  # a mean path length is rounded to these, so that no order of summing shows
 
 
 @dataclass(frozen=True)
@@ -55,31 +60,35 @@ def _mean_depth(n: np.ndarray | float) -> np.ndarray:
     return np.where(n <= 1, 0.0, np.where(n == 2, 1.0, big))
 
 
-def _grow(values: np.ndarray, rng: np.random.Generator, limit: int) -> tuple[list[float], list[float]]:
+def draw(key: str, tree: int, node: int) -> float:
+    """A number in [0, 1) for a node of a tree; children of node n are 2n and 2n + 1."""
+    return int(hashlib.md5(f"{key}:{tree}:{node}".encode()).hexdigest()[:8], 16) / 2.0**32
+
+
+def _grow(values: np.ndarray, key: str, tree: int, limit: int) -> tuple[list[float], list[float]]:
     """Cut points of one tree, ascending, and the path length between them."""
     cuts: list[float] = []
     depths: list[float] = []
 
-    def descend(part: np.ndarray, depth: int) -> None:
+    def descend(part: np.ndarray, node: int, depth: int) -> None:
         if depth < limit and len(part) > 1 and part[0] < part[-1]:
-            cut = float(rng.uniform(part[0], part[-1]))
+            cut = float(part[0]) + draw(key, tree, node) * (float(part[-1]) - float(part[0]))
             left = int(np.searchsorted(part, cut, side="right"))
-            descend(part[:left], depth + 1)
+            descend(part[:left], 2 * node, depth + 1)
             cuts.append(cut)
-            descend(part[left:], depth + 1)
+            descend(part[left:], 2 * node + 1, depth + 1)
         else:
             depths.append(depth + float(_mean_depth(len(part))))
 
-    descend(np.sort(values), 0)
+    descend(np.sort(values), 1, 0)
     return cuts, depths
 
 
-def grow_forest(samples: Sequence[np.ndarray], seed: int) -> StepScores:
+def grow_forest(samples: Mapping[int, np.ndarray], key: str, sample: int = SAMPLE) -> StepScores:
     """Forest with one tree per sample, as one step function."""
-    rng = np.random.default_rng(seed)
-    size = int(round(float(np.mean([len(s) for s in samples]))))
-    limit = int(np.ceil(np.log2(max(size, 2))))
-    grown = [_grow(s, rng, limit) for s in samples]
+    size = int(round(float(np.mean([len(s) for s in samples.values()]))))
+    limit = int(np.ceil(np.log2(max(sample, 2))))
+    grown = [_grow(s, key, tree, limit) for tree, s in samples.items()]
     cuts = np.unique(np.concatenate([np.asarray(c) for c, _ in grown] or [np.empty(0)]))
     total = np.zeros(len(cuts) + 1)
     # The value right at a cut stands for the whole step that ends there.
@@ -87,7 +96,19 @@ def grow_forest(samples: Sequence[np.ndarray], seed: int) -> StepScores:
     for c, d in grown:
         total += np.asarray(d)[np.searchsorted(np.asarray(c), probes, side="left")]
     mean = max(float(_mean_depth(size)), np.finfo(float).tiny)
-    return StepScores(cuts, -np.power(2.0, -(total / len(grown)) / mean))
+    return StepScores(cuts, -np.power(2.0, -np.round(total / len(grown), PATH_DIGITS) / mean))
+
+
+def forest_table(spark: SparkSession, forests: Mapping[str, StepScores]) -> DataFrame:
+    """The forests as rows (column, cut, score): the score of values up to and including the cut, the last cut infinite."""
+    rows = [(c, float(cut), float(score)) for c, f in forests.items() for cut, score in zip(np.append(f.cuts, np.inf), f.scores)]
+    return spark.createDataFrame(rows, "column string, cut double, score double")
+
+
+def forests_of(table: DataFrame) -> dict[str, StepScores]:
+    """The forests of a table of steps; bounded like the forests themselves."""
+    pdf = table.toPandas().sort_values(["column", "cut"])
+    return {c: StepScores(part["cut"].to_numpy()[:-1], part["score"].to_numpy()) for c, part in pdf.groupby("column")}
 
 
 def fit_isolation(
@@ -100,13 +121,16 @@ def fit_isolation(
     the samples do not depend on how the table is partitioned. A group, and what
     comes back to the driver, is about trees × sample values.
     """
-    known = df.select(F.xxhash64(*[col(c) for c in row_id]).alias("__id"), *[finite(col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *[col(c).cast("string") for c in row_id]))
+    first, second = (F.conv(F.substring(digest, at, 7), 16, 10).cast("long").alias(n) for at, n in ((1, "__first"), (8, "__second")))
+    known = df.select(first, second, *[finite(col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
     counts = known.agg(*[F.count(f"c{i}").alias(f"c{i}") for i in range(len(cols))]).first()
     limits = {f"c{i}": int(min(1.0, sample / max(counts[f"c{i}"], 1)) * HASH_RANGE) for i in range(len(cols))}
+    # One digest a row: the trees step through it by its second half.
     drawn = F.filter(
         F.transform(
             F.sequence(F.lit(0), F.lit(trees - 1)),
-            lambda t: F.struct(t.alias("tree"), F.pmod(F.xxhash64("__id", t, F.lit(seed)), F.lit(HASH_RANGE)).alias("h")),
+            lambda t: F.struct(t.alias("tree"), F.pmod(F.col("__first") + t * (2 * F.col("__second") + 1), F.lit(HASH_RANGE)).alias("h")),
         ),
         lambda x: x.h < max(limits.values(), default=0),
     )
@@ -116,8 +140,8 @@ def fit_isolation(
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         name = pdf["name"].iloc[0]
-        samples = [np.sort(part.to_numpy()) for _, part in pdf.groupby("tree", sort=True)["value"]]
-        forest = grow_forest(samples, zlib.crc32(f"{seed}:{name}".encode()))
+        samples = {int(tree): part.to_numpy() for tree, part in pdf.groupby("tree", sort=True)["value"]}
+        forest = grow_forest(samples, f"{seed}:{name}", sample)
         return pd.DataFrame({"name": [name], "cuts": [forest.cuts], "scores": [forest.scores]})
 
     grown = cells.groupBy("name").applyInPandas(grow, "name string, cuts array<double>, scores array<double>").collect()

@@ -19,26 +19,33 @@ def quality_profile(df: DataFrame, source: str, skip: Sequence[str] = UNPROFILED
     zero, hold only an asterisk, hold runs of non-ASCII text, fail to parse as a
     number, and how many distinct values there are.
 
-    Cells are counted per distinct value first. That one aggregation serves all
-    the measures, removes repeats before the shuffle and runs the text patterns
-    once per distinct value.
+    Cells are counted per distinct value first, but no cell crosses the network: a
+    value stands as its SHA-256 digest beside what the patterns say of it, so the rows
+    that are shuffled have a fixed width and repeats are folded before.
     """
     cols = [c for c in df.columns if c != source and c not in skip]
     cells = unpivot(df.select(col(source), *[col(c).cast("string").alias(c) for c in cols]), [source], cols, "column", "value")
-    counted = cells.groupBy(col(source), "column", "value").agg(F.count("*").alias("n"))
     value, n = F.col("value"), F.col("n")
+    marks = {
+        "digest": F.unhex(F.sha2(value, 256)),
+        "zero": F.coalesce(to_number(value) == 0, F.lit(False)),
+        "asterisk": F.coalesce(is_asterisk(value), F.lit(False)),
+        "garbled": F.coalesce(garbled_runs(value), F.lit(0)),
+        "coerced_null": value.isNotNull() & to_number(value).isNull(),
+    }
+    counted = cells.select(col(source), "column", *[c.alias(name) for name, c in marks.items()]).groupBy(col(source), "column", *marks).agg(F.count("*").alias("n"))
 
     def total(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
 
     return counted.groupBy(col(source), "column").agg(
         F.sum(n).alias("total"),
-        total(value.isNull()).alias("null"),
-        total(to_number(value) == 0).alias("zero"),
-        total(is_asterisk(value)).alias("asterisk"),
-        F.coalesce(F.sum(garbled_runs(value) * n), F.lit(0)).alias("garbled"),
-        F.count(value).alias("unique"),
-        total(value.isNotNull() & to_number(value).isNull()).alias("coerced_null"),
+        total(F.col("digest").isNull()).alias("null"),
+        total(F.col("zero")).alias("zero"),
+        total(F.col("asterisk")).alias("asterisk"),
+        F.coalesce(F.sum(F.col("garbled") * n), F.lit(0)).alias("garbled"),
+        F.count("digest").alias("unique"),
+        total(F.col("coerced_null")).alias("coerced_null"),
     )
 
 

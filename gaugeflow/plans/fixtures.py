@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from gaugeflow.functions.times import floor_hour, floor_minutes, shift_minutes
 from gaugeflow.operators.chunks import regularise
 from gaugeflow.session import fresh_path
-from gaugeflow.sources.spec import StationSpec
+from gaugeflow.sources.spec import StationSpec, default_specs
 from gaugeflow.sources.storage import write_binary
 
 STEP = 10
@@ -130,6 +130,31 @@ WIDE_STATION = (
 )
 
 
+# -- a station with the whole default specification -----------------------------
+
+#: Four users' share of an event type each play one input.
+SHARES = 4
+FULL_STATION = default_specs()["B頭首工"]
+FULL_SIDS = {c: f"{t}-{i}" for c, (t, i) in zip(FULL_STATION.lagged, [(t, i) for i in range(SHARES) for t in STATION_COLUMNS])}
+
+
+def full_station(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(ts, one column per input of the station), one row per time."""
+    e = table(spark, sf_dir, "events")
+    sid = F.concat_ws("-", "event_type", (F.col("user_id") % SHARES).cast("string"))
+    read = e.groupBy(sid.alias("sid"), floor_minutes(F.col("ts"), STEP).alias("ts")).agg(F.max("value").alias("v"))
+    held = regularise(read, ["sid"], "ts", STEP, hold=True).select("sid", "ts", (F.lit(1.0) + F.col("v") / F.lit(10000.0)).alias("lv"))
+    return held.groupBy("ts").agg(*[F.max(F.when(F.col("sid") == s, F.col("lv"))).alias(c) for c, s in FULL_SIDS.items()])
+
+
+FULL_WIDE = (
+    LEVELS.replace("SELECT event_type AS sid", f"SELECT event_type || '-' || (user_id % {SHARES}) AS sid")
+    + ", wide AS (SELECT ts, "
+    + ", ".join(f"max(CASE WHEN sid = '{s}' THEN lv END) AS \"{c}\"" for c, s in FULL_SIDS.items())
+    + " FROM lvl GROUP BY ts)"
+)
+
+
 # -- raw text -----------------------------------------------------------------
 
 # Rows per file, files per archive, and the rows of a file that get one field

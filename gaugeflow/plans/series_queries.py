@@ -5,15 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.numbers import change_class
-from gaugeflow.operators import chunks, combine, evaluate, features, filters, guards, scaling
+from gaugeflow.functions.columns import col, cols_like, qs
+from gaugeflow.functions.numbers import change_class, level_after
+from gaugeflow.operators import chunks, combine, evaluate, features, filters, guards, isolation, scaling
 from gaugeflow.operators.forecast import BoostParams, fit_forecasters, forecast, load_forecaster, save_forecaster
-from gaugeflow.operators.isolation import isolation_flags, repair
 from gaugeflow.operators.split import chrono_split
 from gaugeflow.plans import fixtures as fx
 from gaugeflow.plans.registry import query
 from gaugeflow.session import fresh_path, materialise
-from gaugeflow.sources.spec import FORECAST_HORIZONS, HORIZONS, LAGS, feature_columns, lag_name, lag_window
+from gaugeflow.sources.spec import (
+    FORECAST_HORIZONS,
+    HORIZONS,
+    LAGS,
+    StationSpec,
+    change_name,
+    feature_columns,
+    from_json,
+    lag_name,
+    lag_window,
+    merge,
+    model_columns,
+    rate_name,
+    target_column,
+    to_json,
+)
 
 KEY = ["sid"]
 
@@ -114,7 +129,7 @@ OUTLIER_SHARE = 0.97
 def anomaly_repair(spark: SparkSession, sf: str) -> DataFrame:
     limit = guards.exact_quantile(fx.readings(spark, sf), "v", OUTLIER_SHARE)
     flagged = fx.grid(spark, sf).withColumn("v_outlier", F.col("v") > limit)
-    return repair(flagged, ["v"], KEY, "ts")
+    return isolation.repair(flagged, ["v"], KEY, "ts")
 
 
 # -- lags and targets ------------------------------------------------------------
@@ -206,32 +221,32 @@ wide AS (SELECT * EXCLUDE (pos, n), CASE WHEN pos <= n - ceil(n * 0.25::DOUBLE)
   WHEN pos <= n - ceil(ceil(n * 0.25::DOUBLE) * 0.5::DOUBLE) THEN 'val' ELSE 'test' END AS split FROM numbered)"""
 
 
-def station_sql(split: bool = False) -> str:
-    """The small station's training table, by self-joins (within each split)."""
-    offsets = sorted({-lag for lag in SPEC.lags} | {h for h in SPEC.horizons} | {m for h, w in SPEC.lag_windows.items() for x in w for m in (-x, h - x)} - {0})
+def station_sql(split: bool = False, spec: StationSpec = SPEC, wide: str = fx.WIDE_STATION) -> str:
+    """A station's training table, by self-joins (within each split)."""
+    offsets = sorted({-lag for lag in spec.lags} | {h for h in spec.horizons} | {m for h, w in spec.lag_windows.items() for x in w for m in (-x, h - x)} - {0})
     same = " AND {0}.split = r.split" if split else ""
     joins = "\n".join(
         f"LEFT JOIN wide {_tag(m)} ON {_tag(m)}.ts = r.ts + INTERVAL '{m} minutes'" + same.format(_tag(m)) for m in offsets
     )
-    views = fx.WIDE_STATION.replace("wide AS", "wide_all AS") + SPLIT_WIDE if split else fx.WIDE_STATION
+    views = wide.replace("wide AS", "wide_all AS") + SPLIT_WIDE if split else wide
 
     def level(m: int) -> str:
-        return f'r."{LEVEL}"' if m == 0 else f'{_tag(m)}."{LEVEL}"'
+        return f'r."{spec.level}"' if m == 0 else f'{_tag(m)}."{spec.level}"'
 
     cols = ["r.split"] if split else []
     cols += ["hour(r.ts)::INTEGER AS \"Hour\"", "(isodow(r.ts) - 1)::INTEGER AS \"Weekday\"", "month(r.ts)::INTEGER AS \"Month\""]
-    cols += [f'r."{c}"' for c in SPEC.lagged]
-    cols += [f'b{lag}."{c}" AS "{lag_name(c, lag)}"' for c in SPEC.lagged for lag in SPEC.lags]
+    cols += [f'r."{c}"' for c in spec.lagged]
+    cols += [f'b{lag}."{c}" AS "{lag_name(c, lag)}"' for c in spec.lagged for lag in spec.lags]
     rates = []
-    for h in SPEC.horizons:
-        rate, change = f"{h}分後変動率_A_河川水位", f"{h}分後変動_A_河川水位"
+    for h in spec.horizons:
+        rate, change = rate_name(spec.station, h), change_name(spec.station, h)
         cols += [f'({level(h)} - {level(0)}) / {level(0)} AS "{rate}"', f'{level(h)} - {level(0)} AS "{change}"']
         rates.append(rate)
-        for lag in SPEC.lag_windows[h]:
+        for lag in spec.lag_windows[h]:
             a, b = level(-lag), level(h - lag)
-            cols += [f'({b} - {a}) / {a} AS "{rate}_{lag}lag"', f'{b} - {a} AS "{change}_{lag}lag"']
-            rates.append(f"{rate}_{lag}lag")
-    complete = [*feature_columns(SPEC), *SPEC.target_columns(), LEVEL]
+            cols += [f'({b} - {a}) / {a} AS "{lag_name(rate, lag)}"', f'{b} - {a} AS "{lag_name(change, lag)}"']
+            rates.append(lag_name(rate, lag))
+    complete = [*feature_columns(spec), *spec.target_columns(), spec.level]
     where = " AND ".join([f'"{c}" BETWEEN -1 AND 1' for c in rates] + [f'"{c}" IS NOT NULL' for c in complete])
     return f"WITH {views}, made AS (SELECT r.ts, {', '.join(cols)} FROM wide r {joins}), station AS (SELECT * FROM made WHERE {where})"
 
@@ -255,6 +270,64 @@ def split_xy(spark: SparkSession, sf: str) -> DataFrame:
     return y
 
 
+# -- the whole default specification ---------------------------------------------------
+
+FULL = fx.FULL_STATION
+FULL_SQL = station_sql(spec=FULL, wide=fx.FULL_WIDE)
+
+
+def full_table(spark: SparkSession, sf: str) -> DataFrame:
+    return features.station_features(fx.full_station(spark, sf), FULL, [], "ts", strict=True)
+
+
+@query("full_station_xy", f"{FULL_SQL} SELECT ts, {quoted(list(dict.fromkeys([*feature_columns(FULL), *FULL.target_columns(), FULL.level])))} FROM station")
+def full_station_xy(spark: SparkSession, sf: str) -> DataFrame:
+    """All features and targets of a default station, checked to belong to the same rows, side by side."""
+    made = materialise(full_table(spark, sf), "features")
+    x, y = features.split_xy(made, FULL, [], "ts")
+    features.check_xy(x, y, ["ts"])
+    return x.join(y.drop(*(c for c in y.columns if c in x.columns and c != "ts")), "ts")
+
+
+MODEL = "60min_rate"
+
+
+@query("model_select", f"{FULL_SQL} SELECT ts, {quoted(model_columns(FULL, MODEL))}, \"{target_column(FULL, MODEL)}\" AS target FROM station")
+def model_select(spark: SparkSession, sf: str) -> DataFrame:
+    """Inputs and target of one model, as a specification read back from its JSON says."""
+    spec = from_json(to_json(merge({}, {FULL.station: FULL})))[FULL.station]
+    rows = features.station_features(fx.full_station(spark, sf), spec, [], "ts", strict=True)
+    return rows.select("ts", *qs(model_columns(spec, MODEL)), col(target_column(spec, MODEL)).alias("target"))
+
+
+# -- small operators ----------------------------------------------------------------------
+
+
+@query("time_lead", f"WITH {fx.READINGS} SELECT r.sid, r.ts, r.v, {', '.join(f'a{h}.v AS v_{h}lead' for h in HORIZONS)} FROM readings r " + shifted("readings", "v", list(HORIZONS)))
+def time_lead(spark: SparkSession, sf: str) -> DataFrame:
+    return features.time_lead(fx.readings(spark, sf), KEY, "ts", ["v"], HORIZONS)
+
+
+@query("columns_like", f"WITH {fx.WIDE_STATION} SELECT ts, {quoted([c for c in fx.STATION_COLUMNS.values() if '取水量' in c])} FROM wide")
+def columns_like(spark: SparkSession, sf: str) -> DataFrame:
+    wide = fx.wide_station(spark, sf)
+    return wide.select("ts", *qs(cols_like(wide, "取水量")))
+
+
+@query("first_lost", VALID_SQL + " SELECT sid, ts FROM (SELECT sid, ts FROM readings EXCEPT SELECT sid, ts FROM valid) ORDER BY sid, ts LIMIT 5")
+def first_lost(spark: SparkSession, sf: str) -> DataFrame:
+    return filters.first_lost(fx.readings(spark, sf), valid_rows(spark, sf), ["sid", "ts"])
+
+
+@query(
+    "level_from_rate",
+    f"WITH {fx.LEVELS} SELECT r.sid, r.ts, round(r.lv + r.lv * ((a60.lv - r.lv) / r.lv), 9) AS level_60 FROM lvl r {shifted('lvl', 'lv', [60])}",
+)
+def level_from_rate(spark: SparkSession, sf: str) -> DataFrame:
+    rows = features.horizon_targets(fx.levels(spark, sf), KEY, "ts", "lv", [60])
+    return rows.select("sid", "ts", F.round(level_after(F.col("lv"), F.col("rate_60")), 9).alias("level_60"))
+
+
 # -- split, scaling, classes ---------------------------------------------------------
 
 
@@ -465,10 +538,55 @@ def unique_key(spark: SparkSession, sf: str) -> DataFrame:
 # -- models -----------------------------------------------------------------------------
 
 
-@query("isolation_flags")
+def forest_sql() -> str:
+    """Isolation forests of the aligned columns, grown level by level, and the flags they give."""
+    names = " UNION ALL ".join(f"SELECT 'c{i}' AS name, '{s}' AS sid" for i, s in enumerate(SIDS))
+    digits = "('0x' || substr(md5({0}), {1}, {2}))::BIGINT"
+    draw = digits.format(f"'{isolation.SEED}:' || name || ':' || tree || ':' || node", 1, 8) + " / 4294967296.0::DOUBLE"
+    row = f"'{isolation.SEED}:' || strftime(ts, '%Y-%m-%d %H:%M:%S')"
+    depth = f"CASE WHEN n <= 1 THEN 0.0 WHEN n = 2 THEN 1.0 ELSE 2 * (ln(n - 1) + {isolation.EULER_GAMMA}) - 2.0 * (n - 1) / n END"
+    levels = (isolation.SAMPLE - 1).bit_length()
+    grown = [
+        f"""n{k} AS (SELECT name, tree, node, any_value(below) AS below, any_value(upto) AS upto, count(*) AS n, min(x) AS lo, max(x) AS hi FROM l{k} GROUP BY 1, 2, 3),
+        s{k} AS (SELECT *, CASE WHEN {k} < {levels} AND n > 1 AND lo < hi THEN lo + {draw} * (hi - lo) END AS cut FROM n{k})"""
+        + (
+            f""", l{k + 1} AS (SELECT l.name, l.tree, 2 * l.node + (l.x > s.cut)::INTEGER AS node, CASE WHEN l.x > s.cut THEN s.cut ELSE l.below END AS below,
+        CASE WHEN l.x > s.cut THEN l.upto ELSE s.cut END AS upto, l.x FROM l{k} l JOIN s{k} s USING (name, tree, node) WHERE s.cut IS NOT NULL)"""
+            if k < levels
+            else ""
+        )
+        for k in range(levels + 1)
+    ]
+    leaves = " UNION ALL ".join(f"SELECT name, tree, below, upto, {k} + {depth} AS depth FROM s{k} WHERE cut IS NULL" for k in range(levels + 1))
+    flags = ", ".join(f"bool_or(sid = '{s}' AND outlier) AS {s}_outlier" for s in SIDS)
+    values = ", ".join(f"max(CASE WHEN sid = '{s}' THEN raw END) AS {s}" for s in SIDS)
+    filled = interpolation_sql(
+        fx.READINGS + f", names AS ({names}), aligned AS (SELECT n.sid, t.ts, r.v FROM names n CROSS JOIN (SELECT DISTINCT ts FROM readings) t LEFT JOIN readings r ON r.sid = n.sid AND r.ts = t.ts)",
+        "aligned",
+        "row_number() OVER (PARTITION BY sid ORDER BY ts)",
+    )
+    return f"""WITH names AS ({names}), filled AS ({filled}),
+    x AS (SELECT n.name, f.sid, f.ts, f.v AS x FROM filled f JOIN names n USING (sid)),
+    sized AS (SELECT name, floor(least(1.0::DOUBLE, {isolation.SAMPLE}::DOUBLE / count(x)) * {isolation.HASH_RANGE}) AS most FROM x GROUP BY name),
+    hashed AS (SELECT name, x, {digits.format(row, 1, 7)} AS h1, {digits.format(row, 8, 7)} AS h2 FROM x WHERE x IS NOT NULL),
+    l0 AS (SELECT h.name, t.tree, 1::BIGINT AS node, '-inf'::DOUBLE AS below, 'inf'::DOUBLE AS upto, h.x FROM hashed h JOIN sized s USING (name),
+      (SELECT unnest(generate_series(0, {isolation.TREES - 1})) AS tree) t WHERE (h.h1 + t.tree * (2 * h.h2 + 1)) % {isolation.HASH_RANGE} < s.most),
+    {", ".join(grown)},
+    leaves AS ({leaves}),
+    steps AS (SELECT name, upto, lag(upto, 1, '-inf'::DOUBLE) OVER (PARTITION BY name ORDER BY upto) AS below FROM (SELECT DISTINCT name, upto FROM leaves)),
+    paths AS (SELECT s.name, s.below, s.upto, round(sum(l.depth) / count(*), {isolation.PATH_DIGITS}) AS path FROM steps s
+      JOIN leaves l ON l.name = s.name AND l.below < s.upto AND s.upto <= l.upto GROUP BY 1, 2, 3),
+    scored AS (SELECT x.name, x.sid, x.ts, p.path FROM x JOIN paths p ON p.name = x.name AND p.below < x.x AND x.x <= p.upto),
+    limits AS (SELECT name, quantile_cont(path, {isolation.CONTAMINATION}) AS most FROM scored GROUP BY name),
+    flagged AS (SELECT s.sid, s.ts, s.path < l.most AS outlier FROM scored s JOIN limits l USING (name)),
+    {fx.READINGS.replace("readings AS", "raws AS")}
+    SELECT ts, {values}, {flags} FROM (SELECT f.sid, f.ts, f.outlier, r.v AS raw FROM flagged f LEFT JOIN raws r ON r.sid = f.sid AND r.ts = f.ts) GROUP BY ts"""
+
+
+@query("isolation_flags", forest_sql())
 def flag_outliers(spark: SparkSession, sf: str) -> DataFrame:
     wide = outer_align(spark, sf)
-    return isolation_flags(wide, SIDS, "ts")
+    return isolation.isolation_flags(wide, SIDS, "ts")
 
 
 KINDS = ("rate", "change")

@@ -178,22 +178,14 @@ def _model(spec: StationSpec, model: str) -> ModelSpec:
 
 
 def model_columns(spec: StationSpec, model: str) -> list[str]:
-    """Feature names of one model, sorted. The lagged targets of every horizon
-    are always among them."""
+    """Feature names of one model, sorted: the parts its switches ask for, the lags
+    it names, and the lagged targets of every horizon that has a window."""
     m = _model(spec, model)
-    rates, changes = spec.lagged_target_columns()
-    own = [lag for lag in spec.lag_windows.get(m.horizon, ())]
-    names = {
-        *(spec.base if m.base else ()),
-        *(spec.rain if m.rain else ()),
-        *(spec.specific if m.specific else ()),
-        *(lag_name(f, lag) for f in spec.lagged for lag in m.lags),
-        *(lag_name(rate_name(spec.station, m.horizon), lag) for lag in own),
-        *(lag_name(change_name(spec.station, m.horizon), lag) for lag in own),
-        *rates,
-        *changes,
-    }
-    return sorted(names)
+    raw = [c for use, part in ((m.base, spec.base), (m.rain, spec.rain), (m.specific, spec.specific)) if use for c in part]
+    lagged = [lag_name(c, lag) for c in spec.lagged for lag in m.lags]
+    used = {h: spec.lag_windows[h] for h in {*spec.horizons, m.horizon} if h in spec.lag_windows}
+    targets = [lag_name(name(spec.station, h), lag) for h, window in used.items() for lag in window for name in (rate_name, change_name)]
+    return sorted({*raw, *lagged, *targets})
 
 
 def target_column(spec: StationSpec, model: str) -> str:
@@ -212,7 +204,7 @@ def default_specs() -> dict[str, StationSpec]:
 
 
 def to_json(specs: dict[str, StationSpec]) -> str:
-    """The JSON layout users keep their specifications in."""
+    """The JSON layout users keep their specifications in. Its keys."""
     out = {}
     for name, s in specs.items():
         out[name] = {

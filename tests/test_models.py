@@ -26,10 +26,11 @@ def timed(spark, pdf: pd.DataFrame, ts: str = "datetime"):
 
 def test_tree_partition_matches_its_cuts():
     values = np.random.default_rng(0).normal(size=256)
-    cuts, depths = isolation._grow(values, np.random.default_rng(1), 8)
+    cuts, depths = isolation._grow(values, "k", 3, 8)
     assert cuts == sorted(cuts) and len(depths) == len(cuts) + 1
     assert min(values) <= cuts[0] and cuts[-1] <= max(values)
     assert max(depths) <= 8 + isolation._mean_depth(256)
+    assert (cuts, depths) == isolation._grow(values[::-1], "k", 3, 8) != isolation._grow(values, "k", 4, 8)
 
 
 def test_mean_depth_is_the_known_constant():
@@ -37,17 +38,18 @@ def test_mean_depth_is_the_known_constant():
     assert isolation._mean_depth(256) == pytest.approx(2 * (np.log(255) + 0.5772156649015329) - 2 * 255 / 256)
 
 
-def test_forest_score_is_the_mean_over_the_trees():
-    """The single step function equals walking every tree."""
+def test_forest_score_is_the_mean_over_the_trees(spark):
+    """The single step function equals walking every tree, also after it was a table."""
     pool = np.random.default_rng(2).normal(size=1000).round(2)
-    draw = np.random.default_rng(3)
-    samples = [draw.choice(pool, 64, replace=False) for _ in range(20)]
-    forest = isolation.grow_forest(samples, 5)
-    rng = np.random.default_rng(5)
-    trees = [isolation._grow(s, rng, 6) for s in samples]
+    drawn = np.random.default_rng(3)
+    samples = {i: drawn.choice(pool, 64, replace=False) for i in range(20)}
+    forest = isolation.grow_forest(samples, "k", 64)
+    trees = [isolation._grow(s, "k", i, 6) for i, s in samples.items()]
+    again = isolation.forests_of(isolation.forest_table(spark, {"v": forest}).repartition(3))["v"]
     for x in (-3.0, -0.5, 0.0, 0.07, 2.5, 99.0):
         path = np.mean([d[sum(c < x for c in cuts)] for cuts, d in trees])
         assert forest.score(np.array([x]))[0] == pytest.approx(-(2 ** (-path / isolation._mean_depth(64))))
+        assert again.score(np.array([x]))[0] == forest.score(np.array([x]))[0]
 
 
 def test_infinite_readings_do_not_stop_the_forest(spark):

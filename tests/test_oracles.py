@@ -29,4 +29,4 @@ def test_entry_has_rows(spark):
 
 
 def test_only_models_lack_sql():
-    assert set(QUERIES) - set(ORACLES) == {"isolation_flags", "gbt_fit", "batch_forecast"}
+    assert set(QUERIES) - set(ORACLES) == {"gbt_fit", "batch_forecast"}
