@@ -7,6 +7,7 @@ Everything a row needs from other times is fetched by one ``at_offsets`` call
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -144,6 +145,21 @@ def station_features(
     return complete_cases(valid, [*feature_columns(spec), *(spec.target_columns() if outcomes else ()), spec.level], strict)
 
 
+def live_rows(df: DataFrame, spec: StationSpec, ts: str = "datetime", newest: int = 60) -> DataFrame:
+    """The readings that the features of the newest ``newest`` minutes need.
+
+    The newest time is the last one at which every input of the station has been
+    read; older readings than the longest look back are left to the scan.
+    """
+    inputs = [c for c in dict.fromkeys([*spec.lagged, spec.level]) if c in df.columns]
+    last = df.agg(*[F.max(F.when(F.col(q(c)).isNotNull(), F.col(q(ts)))).alias(f"t{i}") for i, c in enumerate(inputs)]).first()
+    if any(t is None for t in last):
+        return df.limit(0)
+    back = max([0, *spec.lags, *(lag for h in spec.horizons for lag in spec.lag_windows.get(h, ()))])
+    first = min(last) - timedelta(minutes=back + newest)
+    return df.where((F.col(q(ts)) >= F.lit(first).cast("timestamp_ntz")) & (F.col(q(ts)) <= F.lit(min(last)).cast("timestamp_ntz")))
+
+
 def select_x(df: DataFrame, spec: StationSpec, keys: Sequence[str] = (), ts: str = "datetime") -> DataFrame:
     return df.select(*qs(c for c in feature_columns(spec) if c in df.columns), *qs([*keys, ts]))
 

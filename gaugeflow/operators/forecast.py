@@ -1,14 +1,24 @@
-"""Gradient-boosted forecasters: fit, keep, load, apply."""
+"""Gradient-boosted forecasters: fit, keep, load, apply.
+
+Every round fits one Spark ML tree to what the rounds before left over. Rounds come in
+short runs: a run starts from the residuals that the last one wrote, for training and
+for validation rows, so no round is ever fitted or scored twice, and the lineage of a
+row ends at the run. An ensemble is a table of nodes; applying it needs no model class.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
-
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass, field
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.columns import col, q, qs
@@ -23,9 +33,13 @@ PATIENCE = 30
 MAX_ROUNDS = 1000
 SEED = 42
 
+RUN = 10  # rounds that are fitted before residuals are written and the errors looked at
+BINS = 256  # of a feature, when its cuts are looked for
+
 FEATURES = "__features"
 WEIGHT = "__weight"
 LABEL = "__label"
+REST = "__rest"
 
 
 @dataclass(frozen=True)
@@ -62,22 +76,105 @@ def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return packed.drop(*plain.values())
 
 
-def _regressor(params: BoostParams, label: str) -> GBTRegressor:
-    return GBTRegressor(
-        featuresCol=FEATURES,
-        labelCol=label,
-        weightCol=WEIGHT,
-        predictionCol="__prediction",
-        maxIter=params.rounds,
-        stepSize=params.step,
-        maxDepth=params.depth,
-        maxBins=256,
-        minInstancesPerNode=params.leaf_rows,
-        featureSubsetStrategy=str(params.feature_share) if params.feature_share < 1 else "all",
-        subsamplingRate=params.row_share,
-        lossType="squared",
-        seed=SEED,
-    )
+@dataclass(frozen=True)
+class Tree:
+    """Nodes in preorder; ``feature`` is -1 at a leaf."""
+
+    feature: np.ndarray
+    cut: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
+
+    def predict(self, rows: np.ndarray) -> np.ndarray:
+        at, every = np.zeros(len(rows), dtype=np.int64), np.arange(len(rows))
+        while (inner := self.feature[at] >= 0).any():
+            go = np.where(rows[every, np.maximum(self.feature[at], 0)] <= self.cut[at], self.left[at], self.right[at])
+            at = np.where(inner, go, at)
+        return self.value[at]
+
+
+_SPLIT = re.compile(r"If \(feature (\d+) <= (\S+)\)")
+
+
+def _nodes(model: RandomForestRegressionModel, columns: Sequence[int] | None) -> Tree:
+    """The only tree of a model, from its text; ``columns`` are the places its features have in the whole matrix."""
+    lines = iter(x.strip() for x in model.trees[0].toDebugString.split("\n")[1:])
+    feature, cut, left, right, value = [], [], [], [], []
+
+    def read() -> int:
+        line, at = next(lines), len(feature)
+        for part in (feature, cut, left, right, value):
+            part.append(0)
+        if line.startswith("Predict:"):
+            feature[at], cut[at], value[at] = -1, float("nan"), float(line.split(":")[1])
+            return at
+        f, c = _SPLIT.fullmatch(line).groups()
+        feature[at], cut[at], value[at] = (columns[int(f)] if columns else int(f)), float(c), float("nan")
+        left[at] = read()
+        next(lines)  # the "Else" of this split
+        right[at] = read()
+        return at
+
+    read()
+    return Tree(np.array(feature), np.array(cut, dtype=float), np.array(left), np.array(right), np.array(value, dtype=float))
+
+
+@dataclass(frozen=True)
+class Ensemble:
+    """``base`` plus ``step`` times what the trees say; ``errors`` are those of the validation rows, round by round."""
+
+    base: float
+    step: float
+    trees: tuple[Tree, ...]
+    errors: tuple[float, ...] = field(default=(), compare=False)
+
+    def predict(self, rows: np.ndarray) -> np.ndarray:
+        out = np.full(len(rows), self.base)
+        for tree in self.trees:
+            out += self.step * tree.predict(rows)
+        return out
+
+    def splits(self, features: int) -> np.ndarray:
+        """How many splits use each feature."""
+        used = np.concatenate([np.zeros(0, np.int64), *(t.feature[t.feature >= 0] for t in self.trees)])
+        return np.bincount(used, minlength=features)
+
+    def rows(self) -> pd.DataFrame:
+        """The ensemble as nodes; its own row has tree -1, the step in ``cut`` and the base in ``value``."""
+        head = pd.DataFrame({"tree": [-1], "node": [0], "feature": [-1], "cut": [self.step], "left": [0], "right": [0], "value": [self.base]})
+        parts = [
+            pd.DataFrame({"tree": i, "node": range(len(t.feature)), "feature": t.feature, "cut": t.cut, "left": t.left, "right": t.right, "value": t.value})
+            for i, t in enumerate(self.trees)
+        ]
+        return pd.concat([head, *parts], ignore_index=True)
+
+
+NODES = "tree int, node int, feature int, cut double, left int, right int, value double"
+
+
+def ensemble_of(nodes: pd.DataFrame) -> Ensemble:
+    """Inverse of :meth:`Ensemble.rows`."""
+    nodes = nodes.sort_values(["tree", "node"])
+    head = nodes.iloc[0]
+    parts = [tuple(p[c].to_numpy() for c in ("feature", "cut", "left", "right", "value")) for _, p in nodes.iloc[1:].groupby("tree")]
+    return Ensemble(float(head["value"]), float(head["cut"]), tuple(Tree(*p) for p in parts))
+
+
+def scored(spark: SparkSession, ensemble: Ensemble) -> Callable[[Column], Column]:
+    """A function from a column of feature arrays to the column of predictions.
+
+    What is sent to the executors is bounded by the settings: rounds times the nodes of a tree.
+    """
+    shared = spark.sparkContext.broadcast(ensemble)
+
+    @F.arrow_udf("double")
+    def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for rows in columns:
+            matrix = rows.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1)
+            yield pa.array(shared.value.predict(matrix))
+
+    return score
 
 
 def best_round(errors: Sequence[float], patience: int = PATIENCE) -> int:
@@ -92,38 +189,66 @@ def best_round(errors: Sequence[float], patience: int = PATIENCE) -> int:
     return best + 1
 
 
-def fit_one(train: DataFrame, val: DataFrame | None, params: BoostParams, label: str, patience: int = PATIENCE) -> GBTRegressionModel:
-    """Fit on assembled, weighted rows; the number of rounds is chosen by the
-    mean absolute error on the validation rows.
+def _tree_of(params: BoostParams, round_no: int, share: float, out: str) -> RandomForestRegressor:
+    """One tree on the residuals; a leaf holds at least ``share`` of the weight."""
+    return RandomForestRegressor(
+        featuresCol=FEATURES,
+        labelCol=LABEL,
+        weightCol=WEIGHT,
+        predictionCol=out,
+        numTrees=1,
+        bootstrap=False,
+        maxDepth=params.depth,
+        maxBins=BINS,
+        minWeightFractionPerNode=share,
+        featureSubsetStrategy=str(params.feature_share) if params.feature_share < 1 else "all",
+        subsamplingRate=params.row_share,
+        seed=SEED + round_no,
+    )
 
-    Rounds are fitted in growing runs: a run that ends without ``patience``
-    rounds of stagnation is repeated with twice the rounds, so the cost follows
-    the number of rounds needed and not the limit. The same seed makes the
-    first rounds of every run equal.
-    """
-    if val is None:
-        return _regressor(params, label).fit(train)
-    rounds = min(params.rounds, 2 * patience)
-    while True:
-        model = _regressor(replace(params, rounds=rounds), label).fit(train)
-        errors = model.evaluateEachIteration(val, "absolute")
-        best = best_round(errors, patience)
-        if rounds - best >= patience or rounds == params.rounds:
-            break
-        rounds = min(params.rounds, 2 * rounds)
-    return model if best == rounds else first_rounds(train.sparkSession, model, best)
 
+def fit_one(
+    train: DataFrame, val: DataFrame | None, params: BoostParams, label: str, patience: int = PATIENCE, columns: Sequence[int] | None = None
+) -> Ensemble:
+    """Boost on assembled, weighted rows; the number of rounds is chosen by the
+    weighted mean absolute error on the validation rows.
 
-def first_rounds(spark: SparkSession, model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
-    """The model as it was after ``rounds`` rounds: its first trees with their
-    weights, which saves fitting those rounds again."""
-    trees, gateway = model._java_obj.trees(), spark.sparkContext._gateway
-    kept = gateway.new_array(spark._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
-    weights = gateway.new_array(spark._jvm.double, rounds)
-    for i in range(rounds):
-        kept[i], weights[i] = trees[i], model.treeWeights[i]
-    shorter = GBTRegressionModel(spark._jvm.org.apache.spark.ml.regression.GBTRegressionModel(model.uid, kept, weights))
-    return shorter.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
+    After a run of rounds the residuals are written, and the next run goes on from
+    them; validation rows get the new trees only. It ends ``patience`` rounds after
+    the best one. ``columns`` picks the features of the matrix that may be used.
+    """
+    weight, total = train.agg(F.sum(WEIGHT), F.sum(F.col(WEIGHT) * F.col(label))).first()
+    base = total / weight if weight else 0.0
+    share = min(params.leaf_rows / weight, 0.49) if weight else 0.0
+
+    def started(rows: DataFrame) -> DataFrame:
+        picked = VectorSlicer(inputCol=FEATURES, outputCol="__picked", indices=list(columns)).transform(rows).drop(FEATURES).withColumnRenamed("__picked", FEATURES) if columns else rows
+        return picked.select(FEATURES, WEIGHT, (F.col(label) - F.lit(base)).alias(REST))
+
+    rows, checks = started(train), started(val) if val is not None else None
+    trees: list[Tree] = []
+    errors: list[float] = []
+    while len(trees) < params.rounds:
+        run, rest = rows, F.col(REST)
+        left = [F.col(REST)]
+        for k in range(min(RUN, params.rounds - len(trees))):
+            out = f"__t{k}"
+            model = _tree_of(params, len(trees), share, out).fit(run.withColumn(LABEL, rest))
+            trees.append(_nodes(model, columns))
+            run, rest = model.transform(run), rest - F.lit(params.step) * F.col(out)
+            if checks is not None:
+                checks = model.transform(checks)
+                left.append(left[-1] - F.lit(params.step) * F.col(out))
+        if checks is not None:
+            mean = [F.sum(F.abs(x) * F.col(WEIGHT)) / F.sum(WEIGHT) for x in left[1:]]
+            errors += list(checks.agg(*[m.alias(f"e{i}") for i, m in enumerate(mean)]).first())
+            if len(errors) - best_round(errors, patience) >= patience:
+                break
+        if len(trees) < params.rounds:
+            rows = materialise(run.select(FEATURES, WEIGHT, rest.alias(REST)), "residuals")
+            checks = materialise(checks.select(FEATURES, WEIGHT, left[-1].alias(REST)), "residuals") if checks is not None else None
+    kept = best_round(errors, patience) if errors else len(trees)
+    return Ensemble(base, params.step, tuple(trees[:kept]), tuple(errors))
 
 
 @dataclass(frozen=True)
@@ -133,7 +258,7 @@ class Forecaster:
     station: str
     features: tuple[str, ...]
     scaler: Mapping[str, tuple[float, float]]
-    models: Mapping[tuple[int, str], GBTRegressionModel]
+    models: Mapping[tuple[int, str], Ensemble]
 
 
 def _training_rows(df: DataFrame, change: str, target: str, replicate: bool) -> DataFrame:
@@ -153,13 +278,16 @@ def fit_forecasters(
     replicate_val: bool = True,
     patience: int = PATIENCE,
     parallel: int = 4,
+    used: Mapping[tuple[int, str], Sequence[str]] | None = None,
 ) -> Forecaster:
     """One model per horizon and kind on normalised features and targets.
 
+    All models share one assembled matrix; ``used`` names the features of those that
+    do not take all (``spec.model_inputs`` has them of a specification).
+
     Rows of larger changes carry the weight of the copies they stand for, which
-    leaves the table at its size. The assembled table is kept between fits, and
-    ``parallel`` fits are submitted at a time so that their small last stages
-    fill each other's gaps.
+    leaves the table at its size. ``parallel`` fits are submitted at a time so that
+    their small last stages fill each other's gaps.
     """
     params = params or station_params(spec.station)
     names = {"rate": rate_name, "change": change_name}
@@ -177,27 +305,21 @@ def fit_forecasters(
     ready = materialise(prepare(train), "training")
     ready_val = materialise(prepare(val), "validation") if val is not None else None
 
-    def fit(task: tuple[int, str]) -> GBTRegressionModel:
+    place = {f: i for i, f in enumerate(features)}
+
+    def fit(task: tuple[int, str]) -> Ensemble:
         h, kind = task
         change, target = change_name(spec.station, h), "norm " + names[kind](spec.station, h)
         rows = _training_rows(ready, change, target, True)
-        checks = _validation_rows(ready_val, change, target, replicate_val) if ready_val is not None else None
-        return fit_one(rows, checks, params, LABEL, patience)
+        checks = _training_rows(ready_val, change, target, replicate_val) if ready_val is not None else None
+        picked = [place[f] for f in used[task] if f in place] if used and task in used else None
+        return fit_one(rows, checks, params, LABEL, patience, picked)
 
     tasks = [(h, kind) for h in horizons for kind in kinds]
     with ThreadPoolExecutor(parallel) as pool:
         models = dict(zip(tasks, pool.map(fit, tasks), strict=True))
-    ready.unpersist()
-    if ready_val is not None:
-        ready_val.unpersist()
-    used = {c: tuple(scaler[c]) for c in [*features, *label_cols]}
-    return Forecaster(spec.station, tuple(features), used, models)
-
-
-def _validation_rows(df: DataFrame, change: str, target: str, replicate: bool) -> DataFrame:
-    """Validation rows as real copies: the error curve does not take weights."""
-    rows = _training_rows(df, change, target, replicate)
-    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col(WEIGHT).cast("int")))).drop("__copy")
+    ends = {c: tuple(scaler[c]) for c in [*features, *label_cols]}
+    return Forecaster(spec.station, tuple(features), ends, models)
 
 
 def _model_path(root: str, station: str, horizon: int, kind: str) -> str:
@@ -210,7 +332,7 @@ def _scaler_path(root: str, station: str) -> str:
 
 def save_forecaster(spark: SparkSession, f: Forecaster, root: str) -> None:
     for (h, kind), model in f.models.items():
-        model.write().overwrite().save(_model_path(root, f.station, h, kind))
+        spark.createDataFrame(model.rows(), NODES).coalesce(1).write.mode("overwrite").parquet(_model_path(root, f.station, h, kind))
     order = {c: i for i, c in enumerate(f.features)}
     rows = [(c, lo, hi, order.get(c)) for c, (lo, hi) in f.scaler.items()]
     table = spark.createDataFrame(rows, "feature string, min double, max double, position int")
@@ -224,7 +346,7 @@ def load_forecaster(
     rows = spark.read.parquet(first_existing(spark, [_scaler_path(r, station) for r in roots])).collect()
     used = sorted((r for r in rows if r["position"] is not None), key=lambda r: r["position"])
     models = {
-        (h, k): GBTRegressionModel.load(first_existing(spark, [_model_path(r, station, h, k) for r in roots]))
+        (h, k): ensemble_of(spark.read.parquet(first_existing(spark, [_model_path(r, station, h, k) for r in roots])).toPandas())
         for h in horizons
         for k in kinds
     }
@@ -255,10 +377,8 @@ def forecast(df: DataFrame, f: Forecaster, spec: StationSpec, keys: Sequence[str
             for c, n in zip(f.features, packed, strict=True)
         ],
     )
-    rows = assemble(zeroed, packed).drop(*packed)
-    for h in horizons:
-        model = f.models[h, "rate"].setFeaturesCol(FEATURES).setPredictionCol(f"__p{h}")
-        rows = model.transform(rows)
+    rows = zeroed.withColumn("__x", F.array(*packed)).drop(*packed)
+    rows = rows.withColumns({f"__p{h}": scored(df.sparkSession, f.models[h, "rate"])(F.col("__x")) for h in horizons})
     out = []
     for h in horizons:
         rate = denormalised(f"__p{h}", f.scaler, rate_name(spec.station, h), f"rate_{h}_pred")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +28,7 @@ from gaugeflow.sources.spec import (
     lag_window,
     merge,
     model_columns,
+    model_inputs,
     rate_name,
     target_column,
     to_json,
@@ -221,7 +225,7 @@ wide AS (SELECT * EXCLUDE (pos, n), CASE WHEN pos <= n - ceil(n * 0.25::DOUBLE)
   WHEN pos <= n - ceil(ceil(n * 0.25::DOUBLE) * 0.5::DOUBLE) THEN 'val' ELSE 'test' END AS split FROM numbered)"""
 
 
-def station_sql(split: bool = False, spec: StationSpec = SPEC, wide: str = fx.WIDE_STATION) -> str:
+def station_sql(split: bool = False, spec: StationSpec = SPEC, wide: str = fx.WIDE_STATION, outcomes: bool = True) -> str:
     """A station's training table, by self-joins (within each split)."""
     offsets = sorted({-lag for lag in spec.lags} | {h for h in spec.horizons} | {m for h, w in spec.lag_windows.items() for x in w for m in (-x, h - x)} - {0})
     same = " AND {0}.split = r.split" if split else ""
@@ -241,12 +245,12 @@ def station_sql(split: bool = False, spec: StationSpec = SPEC, wide: str = fx.WI
     for h in spec.horizons:
         rate, change = rate_name(spec.station, h), change_name(spec.station, h)
         cols += [f'({level(h)} - {level(0)}) / {level(0)} AS "{rate}"', f'{level(h)} - {level(0)} AS "{change}"']
-        rates.append(rate)
+        rates += [rate] if outcomes else []
         for lag in spec.lag_windows[h]:
             a, b = level(-lag), level(h - lag)
             cols += [f'({b} - {a}) / {a} AS "{lag_name(rate, lag)}"', f'{b} - {a} AS "{lag_name(change, lag)}"']
             rates.append(lag_name(rate, lag))
-    complete = [*feature_columns(spec), *spec.target_columns(), spec.level]
+    complete = [*feature_columns(spec), *(spec.target_columns() if outcomes else ()), spec.level]
     where = " AND ".join([f'"{c}" BETWEEN -1 AND 1' for c in rates] + [f'"{c}" IS NOT NULL' for c in complete])
     return f"WITH {views}, made AS (SELECT r.ts, {', '.join(cols)} FROM wide r {joins}), station AS (SELECT * FROM made WHERE {where})"
 
@@ -593,25 +597,39 @@ KINDS = ("rate", "change")
 
 
 def _fitted(spark: SparkSession, sf: str):
-    """All horizons and both targets of the station, each fitted until validation stagnates."""
+    """All horizons and both targets of the station, each fitted until validation stagnates; (models, test rows).
+
+    Fitted once for a session and folder of tables: the models and the features lie
+    in the shared folder, and every query reads them from there.
+    """
+    root, path = _fit_and_save(spark.sparkContext.applicationId, sf)
+    table = spark.read.parquet(path)
+    return load_forecaster(spark, SPEC.station, [root], SPEC.horizons, KINDS), table.where(F.col("split") == "test")
+
+
+@lru_cache(maxsize=8)
+def _fit_and_save(application: str, sf: str) -> tuple[str, str]:
+    spark = SparkSession.active()
     rows = chrono_split(materialise(fx.wide_station(spark, sf), "station"), "ts")
-    table = materialise(features.station_features(rows, SPEC, ["split"], "ts"), "features")
+    path, root = fresh_path(spark, "features"), fresh_path(spark, "models")
+    features.station_features(rows, SPEC, ["split"], "ts").write.parquet(path)
+    table = spark.read.parquet(path)
     names = feature_columns(SPEC)
-    train, val, test = (table.where(F.col("split") == s) for s in ("train", "val", "test"))
+    train, val = (table.where(F.col("split") == s) for s in ("train", "val"))
     scaler = scaling.load_scaler(scaling.fit_minmax(train, [*names, *SPEC.target_columns()]))
-    fitted = fit_forecasters(train, val, SPEC, names, scaler, BoostParams(), SPEC.horizons, KINDS)
-    return fitted, test
+    fitted = fit_forecasters(train, val, SPEC, names, scaler, BoostParams(), SPEC.horizons, KINDS, used=model_inputs(SPEC))
+    save_forecaster(spark, fitted, root)
+    return root, path
 
 
 @query("gbt_fit")
 def gbt_fit(spark: SparkSession, sf: str) -> DataFrame:
-    """Features that the fitted models use, with their importance."""
+    """Features that the fitted models use, with their share of the splits."""
     fitted, _ = _fitted(spark, sf)
     rows = []
     for (horizon, kind), model in sorted(fitted.models.items()):
-        # A shortened model ends its vector at the last feature it uses.
-        weights = dict(enumerate(model.featureImportances.toArray()))
-        rows += [(horizon, kind, f, float(weights.get(i, 0.0)), model.getNumTrees) for i, f in enumerate(fitted.features)]
+        splits = model.splits(len(fitted.features))
+        rows += [(horizon, kind, f, float(n) / max(1, int(splits.sum())), len(model.trees)) for f, n in zip(fitted.features, splits, strict=True)]
     return spark.createDataFrame(rows, "horizon int, kind string, feature string, importance double, trees int")
 
 
@@ -636,3 +654,21 @@ def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     off = F.array(*(F.abs(F.col(f"p{h}") - F.col(f"q{h}")) for h in SPEC.horizons))
     both = before.join(after, "ts", "full_outer").select(F.when(F.forall(off, lambda x: x.isNotNull()), F.array_max(off)).alias("off"))
     return both.agg(F.count("off").alias("n_rows"), F.max("off").alias("largest_difference"))
+
+
+ZERO = ", ".join(f"0.0::DOUBLE AS off_{h}, NULL::DOUBLE AS rate_{h}_actual, NULL::INTEGER AS class_{h}" for h in SPEC.horizons)
+
+
+@query(
+    "live_forecast",
+    station_sql(outcomes=False) + f""" SELECT ts, "{LEVEL}" AS level, {ZERO} FROM station WHERE ts > (SELECT max(ts) FROM station) - INTERVAL '60 minutes'""",
+)
+def live_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    """Forecast of the newest hour, whose outcome nobody knows: only the readings it needs are turned into features."""
+    fitted, _ = _fitted(spark, sf)
+    rows = features.live_rows(fx.wide_station(spark, sf), SPEC, "ts")
+    ahead = materialise(features.station_features(rows, SPEC, [], "ts", outcomes=False), "live")
+    last = ahead.agg(F.max("ts")).first()[0]
+    out = forecast(ahead.where(F.col("ts") > F.lit(last - timedelta(minutes=60)).cast("timestamp_ntz")), fitted, SPEC, [], "ts")
+    off = [F.round(F.col(f"level_{h}") - level_after(F.col("level"), F.col(f"rate_{h}_pred")), 9).alias(f"off_{h}") for h in SPEC.horizons]
+    return out.select("ts", "level", *off, *(c.format(h) for h in SPEC.horizons for c in ("rate_{}_actual", "class_{}")))

@@ -29,7 +29,7 @@ from gaugeflow.operators.isolation import isolation_flags, repair
 from gaugeflow.operators.split import chrono_split
 from gaugeflow.session import materialise
 from gaugeflow.sources import legacy_csv
-from gaugeflow.sources.spec import FORECAST_HORIZONS, StationSpec, feature_columns, rate_name
+from gaugeflow.sources.spec import FORECAST_HORIZONS, StationSpec, feature_columns, model_inputs, rate_name
 from gaugeflow.sources.tables import read_table, write_table
 
 # What the names of level files, level columns and rain files hold.
@@ -148,12 +148,12 @@ def train(
     horizons: Sequence[int] = FORECAST_HORIZONS,
     kinds: Sequence[str] = ("rate", "change"),
 ) -> None:
-    """Fit the scaler on the training rows, then the models."""
+    """Fit the scaler on the training rows, then the models, each on the inputs that the specification names."""
     table = read_table(spark, f"{root}/features/{spec.station}")
     names = [c for c in feature_columns(spec) if c in table.columns]
     rows, checks = (table.where(F.col("split") == s) for s in ("train", "val"))
     scaler = scaling.load_scaler(scaling.fit_minmax(rows, [*names, *[c for c in spec.target_columns() if c in table.columns]]))
-    fitted = fit_forecasters(rows, checks, spec, names, scaler, params, horizons, kinds)
+    fitted = fit_forecasters(rows, checks, spec, names, scaler, params, horizons, kinds, used=model_inputs(spec))
     save_forecaster(spark, fitted, f"{root}/models")
 
 

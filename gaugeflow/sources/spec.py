@@ -193,6 +193,11 @@ def target_column(spec: StationSpec, model: str) -> str:
     return rate_name(spec.station, m.horizon) if m.target == RATE else change_name(spec.station, m.horizon)
 
 
+def model_inputs(spec: StationSpec) -> dict[tuple[int, str], list[str]]:
+    """Inputs of the specified models by (horizon, kind)."""
+    return {(m.horizon, "rate" if m.target == RATE else "change"): model_columns(spec, name) for name, m in spec.models.items()}
+
+
 def station(specs: dict[str, StationSpec], name: str) -> StationSpec:
     if name not in specs:
         raise ValueError(f"station {name!r} is not in the specification")

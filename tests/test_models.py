@@ -171,30 +171,53 @@ def test_saved_models_need_all_parts(spark, fitted, tmp_path):
         forecast.load_forecaster(spark, "S", [str(tmp_path / "models")], (60,))
 
 
+def matrix_of(rows):
+    pdf = rows.toPandas()
+    return np.stack([v.toArray() for v in pdf[forecast.FEATURES]]), pdf
+
+
 def test_weights_stand_for_copies(spark, waves, fitted):
     """A weighted fit is as good on the copied rows as a fit on those copies."""
     names = feature_columns(SPEC)
     train = waves.where(F.col("split") == "train")
     rows = forecast.assemble(scaling.normalise(train, fitted.scaler, names), names)
-    change, rate = change_name("S", 10), rate_name("S", 10)
-    weighted = forecast._training_rows(rows, change, rate, True)
-    copied = forecast._validation_rows(rows, change, rate, True).withColumn(forecast.WEIGHT, F.lit(1.0))
+    weighted = forecast._training_rows(rows, change_name("S", 10), rate_name("S", 10), True)
+    copied = weighted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col(forecast.WEIGHT).cast("int")))).drop("copy").withColumn(forecast.WEIGHT, F.lit(1.0))
     assert copied.count() == weighted.agg(F.sum(forecast.WEIGHT)).first()[0]
     params = forecast.BoostParams(rounds=2, step=0.3, depth=3)
-    errors = [forecast.fit_one(d, None, params, forecast.LABEL).evaluateEachIteration(copied, "absolute")[-1] for d in (weighted, copied)]
+    x, pdf = matrix_of(copied)
+    errors = [np.abs(forecast.fit_one(d, None, params, forecast.LABEL).predict(x) - pdf[forecast.LABEL]).mean() for d in (weighted, copied)]
     assert errors[0] == pytest.approx(errors[1], rel=0.15)
 
 
-def test_first_rounds_equal_a_shorter_fit(spark, waves):
+def test_runs_continue_from_the_residuals(spark, waves, monkeypatch):
+    """Rounds in runs are the rounds of one long run, a shorter fit is their beginning, and errors count every tree once."""
     names = feature_columns(SPEC)
-    rows = forecast.assemble(waves.where(F.col("split") == "train"), names)
-    rows = rows.select(forecast.FEATURES, F.col(f"`{rate_name('S', 10)}`").alias(forecast.LABEL), F.lit(1.0).alias(forecast.WEIGHT)).persist()
-    long, short = (forecast.fit_one(rows, None, forecast.BoostParams(rounds=n, depth=3), forecast.LABEL) for n in (5, 3))
-    cut = forecast.first_rounds(spark, long, 3)
-    assert cut.getNumTrees == 3
-    a, b = ([r["__prediction"] for r in m.transform(rows.limit(100)).collect()] for m in (cut, short))
-    np.testing.assert_allclose(a, b, rtol=1e-12)
-    rows.unpersist()
+    made = forecast.assemble(waves.where(F.col("split") != "test"), names)
+    made = made.select("split", forecast.FEATURES, F.col(f"`{rate_name('S', 10)}`").alias(forecast.LABEL), F.lit(1.0).alias(forecast.WEIGHT)).persist()
+    rows, checks = (made.where(F.col("split") == s) for s in ("train", "val"))
+    params = forecast.BoostParams(rounds=7, step=0.3, depth=3, leaf_rows=20)
+    whole = forecast.fit_one(rows, checks, params, forecast.LABEL)
+    monkeypatch.setattr(forecast, "RUN", 3)
+    cut = forecast.fit_one(rows, checks, params, forecast.LABEL)
+    x, pdf = matrix_of(checks)
+    assert len(cut.errors) == 7 and len(cut.trees) == forecast.best_round(cut.errors)
+    np.testing.assert_allclose(cut.errors, whole.errors, rtol=1e-9)
+    np.testing.assert_allclose(cut.predict(x), whole.predict(x), rtol=1e-9)
+    for n in (1, 4, len(cut.trees)):
+        part = forecast.Ensemble(cut.base, cut.step, cut.trees[:n])
+        assert np.abs(part.predict(x) - pdf[forecast.LABEL]).mean() == pytest.approx(cut.errors[n - 1], rel=1e-9)
+    # Every leaf holds the least number of rows, and an ensemble survives being a table.
+    x, _ = matrix_of(rows)
+    for tree in cut.trees:
+        found = np.unique(tree.predict(x), return_counts=True)[1]
+        assert found.min() >= 20
+    again = forecast.ensemble_of(spark.createDataFrame(cut.rows(), forecast.NODES).repartition(3).toPandas())
+    np.testing.assert_array_equal(again.predict(x), cut.predict(x))
+    # Only the named features are used.
+    few = forecast.fit_one(rows, None, forecast.BoostParams(rounds=2, depth=3), forecast.LABEL, columns=[1, 4])
+    assert set(np.flatnonzero(few.splits(len(names)))) <= {1, 4} and few.splits(len(names)).sum()
+    made.unpersist()
 
 
 def test_best_round_stops_after_patience():
