@@ -6,13 +6,19 @@ with no zone, so no expression here may depend on the session time zone.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.columns import col
 
-# Accepted spellings of the date and time cells.
-DATE_PATTERN = r"^\s*(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})\s*$"
+# Accepted spellings of the date and time cells, each with year, month and day in this order.
+DATE_PATTERNS = (
+    r"^\s*(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})\s*$",
+    r"^\s*(\d{4})\s*年\s*(\d{1,2})\s*月\s*(\d{1,2})\s*日\s*$",
+    r"^\s*(\d{4})(\d{2})(\d{2})\s*$",
+)
 TIME_PATTERN = r"^\s*(\d{1,2}):(\d{2})(?::(\d{2}))?\s*$"
 
 MINUTE = 60
@@ -49,16 +55,25 @@ def second_text(ts: Column) -> Column:
     return F.substring(ts.cast("string"), 1, 19)
 
 
-def parse_date_time(date: Column, time: Column) -> Column:
+def parse_date_time(date: Column, time: Column, dates: Sequence[str] = DATE_PATTERNS) -> Column:
     """Timestamp of a date text and a time text, null when either is empty,
-    malformed or out of range (``24:00`` is out of range)."""
-    y, mo, d = (F.regexp_extract(date, DATE_PATTERN, i).try_cast("int") for i in (1, 2, 3))
+    malformed or out of range (``24:00`` is out of range). The first of the
+    ``dates`` that fits counts."""
     h, mi, s = (F.regexp_extract(time, TIME_PATTERN, i).try_cast("int") for i in (1, 2, 3))
-    parsed = F.try_make_timestamp_ntz(y, mo, d, h, mi, F.coalesce(s, F.lit(0)).cast("decimal(16,6)"))
-    return F.when(date.rlike(DATE_PATTERN) & time.rlike(TIME_PATTERN), parsed)
+    second = F.coalesce(s, F.lit(0)).cast("decimal(16,6)")
+
+    def at(pattern: str) -> Column:
+        y, mo, d = (F.regexp_extract(date, pattern, i).try_cast("int") for i in (1, 2, 3))
+        return F.try_make_timestamp_ntz(y, mo, d, h, mi, second)
+
+    first, *others = dates
+    found = F.when(date.rlike(first), at(first))
+    for pattern in others:
+        found = found.when(date.rlike(pattern), at(pattern))
+    return F.when(time.rlike(TIME_PATTERN), found)
 
 
-def compose_ts(df: DataFrame, date: str = "日付", time: str = "時刻", ts: str = "datetime") -> DataFrame:
+def compose_ts(df: DataFrame, date: str = "日付", time: str = "時刻", ts: str = "datetime", dates: Sequence[str] = DATE_PATTERNS) -> DataFrame:
     """Replace the date and time text columns by one timestamp column.
 
     A table that lacks either column is not a readings table: that is an error
@@ -68,7 +83,7 @@ def compose_ts(df: DataFrame, date: str = "日付", time: str = "時刻", ts: st
     if missing:
         raise ValueError(f"no date/time columns {missing}")
     rest = [col(c) for c in df.columns if c not in (date, time, ts)]
-    return df.select(parse_date_time(col(date), col(time)).alias(ts), *rest)
+    return df.select(parse_date_time(col(date), col(time), dates).alias(ts), *rest)
 
 
 def calendar_features(df: DataFrame, ts: str = "datetime") -> DataFrame:

@@ -8,6 +8,10 @@ alone. ``run_all`` chains them.
     levels/raw  levels/repaired  inputs/with_rainfall  inputs/without_rainfall
     features/{station}  models/{station}  forecasts/{station}  errors/{station}  matrix/{station}
     rejects/files  rejects/lines  rejects/times/{family}  rejects/repeats/{family}  stats/encodings
+    counts/{step}/{name}
+
+Every step leaves a row of counts, read by ``counts``: the rows that it was given and
+that it wrote (both from the footers of the tables) and the anomalies that it found.
 """
 
 from __future__ import annotations
@@ -39,6 +43,19 @@ T = TypeVar("T")
 SOURCE = legacy_csv.SOURCE
 
 
+COUNTS = "step string, name string, rows_in bigint, rows_out bigint, anomalies bigint"
+
+
+def _count(spark: SparkSession, root: str, step: str, name: str, rows_in: int, rows_out: int, anomalies: int = 0) -> None:
+    row = spark.createDataFrame([(step, name, rows_in, rows_out, anomalies)], COUNTS)
+    write_table(row.coalesce(1), f"{root}/counts/{step}/{name}")
+
+
+def counts(spark: SparkSession, root: str) -> DataFrame:
+    """(step, name, rows_in, rows_out, anomalies) of all steps that have run."""
+    return spark.read.schema(COUNTS).option("recursiveFileLookup", "true").parquet(f"{root}/counts")
+
+
 def ingest(spark: SparkSession, archives: str, root: str) -> list[str]:
     """Unite the yearly files of each family; returns the family names.
 
@@ -56,6 +73,8 @@ def ingest(spark: SparkSession, archives: str, root: str) -> list[str]:
     write_table(scan.catalogue.where(F.col("encoding").isNull()).select("archive", "entry", "member", "size", "error"), f"{root}/rejects/files")
     write_table(scan.report, f"{root}/stats/encodings")
     write_table(legacy_csv.zip_rejects(scan), f"{root}/rejects/lines")
+    lost = read_table(spark, f"{root}/rejects/lines").count()
+    _count(spark, root, "ingest", "all", legacy_csv.zip_lines(scan).count(), read_table(spark, f"{root}/merged").count(), lost)
     return sorted(r["family"] for r in columns.select("family").collect())
 
 
@@ -80,6 +99,8 @@ def filter_seasons(spark: SparkSession, root: str, family: str, start_year: int
         return False
     write_table(filters.season_filter(compose_ts(rows, ts=TS), TS, start_year, months), f"{root}/filtered/{family}")
     write_table(rows.where(parse_date_time(col("日付"), col("時刻")).isNull()), f"{root}/rejects/times/{family}")
+    kept, lost = (read_table(spark, f"{root}/{part}/{family}").count() for part in ("filtered", "rejects/times"))
+    _count(spark, root, "filter_seasons", family, rows.count(), kept, lost)
     return True
 
 
@@ -100,6 +121,7 @@ def clean(spark: SparkSession, root: str, family: str) -> None:
         numbers = chunks.upsample_split(numbers, [], TS)
     write_table(filters.on_grid(numbers, TS), f"{root}/cleaned/{family}")
     cleaned = read_table(spark, f"{root}/cleaned/{family}")
+    _count(spark, root, "clean", family, rows.count(), cleaned.count(), read_table(spark, f"{root}/rejects/repeats/{family}").count())
     write_table(profile.yearly_trend(cleaned, TS, values), f"{root}/stats/{family}/trend")
     write_table(profile.yearly_histogram(cleaned, TS, values), f"{root}/stats/{family}/histogram")
 
@@ -112,8 +134,11 @@ def repair_levels(spark: SparkSession, root: str, families: Sequence[str], conta
     write_table(combine.align_outer(tables, [TS]), f"{root}/levels/raw")
     raw = read_table(spark, f"{root}/levels/raw")
     levels = cols_like(raw, LEVEL_COLUMNS)
-    flagged = isolation_flags(raw, levels, TS, contamination)
+    flagged = materialise(isolation_flags(raw, levels, TS, contamination), "flagged")
     write_table(repair(flagged, levels, [], TS), f"{root}/levels/repaired")
+    marks = [F.count_if(col(f"{c}_outlier")) for c in levels]
+    found = sum(flagged.agg(*[m.alias(f"n{i}") for i, m in enumerate(marks)]).first()) if marks else 0
+    _count(spark, root, "repair_levels", "all", raw.count(), read_table(spark, f"{root}/levels/repaired").count(), found)
 
 
 def prepare_inputs(spark: SparkSession, root: str, families: Sequence[str]) -> None:
@@ -122,10 +147,12 @@ def prepare_inputs(spark: SparkSession, root: str, families: Sequence[str]) -> N
     levels = materialise(chunks.ffill_bfill(read_table(spark, f"{root}/levels/repaired"), [], TS), "levels")
     rains = [chunks.ffill_bfill(read_table(spark, f"{root}/cleaned/{f}"), [], TS) for f in families if RAIN_FILES in f]
     write_table(chrono_split(levels, TS), f"{root}/inputs/without_rainfall", ["split"])
+    _count(spark, root, "prepare_inputs", "without_rainfall", levels.count(), read_table(spark, f"{root}/inputs/without_rainfall").count())
     if rains:
         rain = guards.dedup(combine.union_frames(rains))
         both = materialise(chunks.ffill_bfill(combine.enrich_left(levels, rain, [TS]), [], TS), "inputs")
         write_table(chrono_split(both, TS), f"{root}/inputs/with_rainfall", ["split"])
+        _count(spark, root, "prepare_inputs", "with_rainfall", levels.count(), read_table(spark, f"{root}/inputs/with_rainfall").count())
 
 
 def build_features(spark: SparkSession, root: str, spec: StationSpec, with_rainfall: bool = True) -> None:
@@ -133,6 +160,7 @@ def build_features(spark: SparkSession, root: str, spec: StationSpec, with_rainf
     inputs = read_table(spark, f"{root}/inputs/{'with' if with_rainfall else 'without'}_rainfall")
     spec = spec if with_rainfall else spec.without_rain()
     write_table(station_features(inputs, spec, ["split"], TS), f"{root}/features/{spec.station}", ["split"])
+    _count(spark, root, "build_features", spec.station, inputs.count(), read_table(spark, f"{root}/features/{spec.station}").count())
 
 
 def check_features(spark: SparkSession, root: str, spec: StationSpec) -> None:
@@ -155,6 +183,7 @@ def train(
     scaler = scaling.load_scaler(scaling.fit_minmax(rows, [*names, *[c for c in spec.target_columns() if c in table.columns]]))
     fitted = fit_forecasters(rows, checks, spec, names, scaler, params, horizons, kinds, used=model_inputs(spec))
     save_forecaster(spark, fitted, f"{root}/models")
+    _count(spark, root, "train", spec.station, table.count(), rows.count() + checks.count())
 
 
 def predict(
@@ -166,6 +195,7 @@ def predict(
     write_table(forecast(test, fitted, spec, [], TS), f"{root}/forecasts/{spec.station}")
     ranges = {h: fitted.scaler[rate_name(spec.station, h)][1] - fitted.scaler[rate_name(spec.station, h)][0] for h in horizons}
     done = read_table(spark, f"{root}/forecasts/{spec.station}")
+    _count(spark, root, "predict", spec.station, test.count(), done.count())
     errors = materialise(evaluate.mae_by_class(done, horizons, ranges), "errors")
     write_table(errors, f"{root}/errors/{spec.station}")
     write_table(evaluate.mae_matrix(errors), f"{root}/matrix/{spec.station}")

@@ -119,6 +119,15 @@ def composed_ts(spark: SparkSession, sf: str) -> DataFrame:
     return composed(spark, sf)
 
 
+@query("date_spellings", "SELECT event_id, date_trunc('minute', ts) AS ts FROM events")
+def date_spellings(spark: SparkSession, sf: str) -> DataFrame:
+    """The same dates in four spellings."""
+    e, n = fx.table(spark, sf, "events"), F.col("event_id") % 4
+    y, m, d = (F.date_format("ts", p) for p in ("yyyy", "M", "d"))
+    date = F.when(n == 0, F.concat_ws("-", y, m, d)).when(n == 1, F.concat(y, F.lit("年"), m, F.lit("月"), d, F.lit("日"))).when(n == 2, F.date_format("ts", "yyyyMMdd")).otherwise(F.date_format("ts", " yyyy/MM/dd "))
+    return compose_ts(e.select("event_id", date.alias("日付"), F.date_format("ts", "H:mm").alias("時刻")), ts="ts").select("event_id", "ts")
+
+
 @query("drop_null_ts", COMPOSED + " SELECT event_id, cell, ts FROM composed WHERE ts IS NOT NULL")
 def drop_null_ts(spark: SparkSession, sf: str) -> DataFrame:
     return filters.drop_null_ts(composed(spark, sf), "ts")

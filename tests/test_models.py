@@ -287,6 +287,16 @@ def test_pipeline_from_archives_to_report(spark, tmp_path):
     base = done.agg(F.min("datetime").alias("t"))
     assert steps.report(spark, root, "A頭首工", base, (10, 20)).count() == 2
 
+    counts = {(r.step, r.name): (r.rows_in, r.rows_out, r.anomalies) for r in steps.counts(spark, root).collect()}
+    n = len(times)
+    assert counts["ingest", "all"] == (n + 3 + len(rain), n + 3 + len(rain), 0)
+    assert counts["filter_seasons", "A頭首工"] == (n + 3, n + 1, 0) and counts["clean", "A頭首工"][:2] == (n + 1, n)
+    assert counts["repair_levels", "all"][:2] == (n, n) and counts["repair_levels", "all"][2] >= 2
+    assert counts["prepare_inputs", "with_rainfall"][1] == n
+    features_in, features_out, _ = counts["build_features", "A頭首工"]
+    assert features_in == n and features_out == read_table(spark, f"{root}/features/A頭首工").count()
+    assert counts["train", "A頭首工"][0] == features_out and counts["predict", "A頭首工"][1] == done.count()
+
     steps.build_features(spark, root, spec, with_rainfall=False)
     assert "蔵王ダム 累計雨量_10lag" not in read_table(spark, f"{root}/features/A頭首工").columns
 
