@@ -26,6 +26,25 @@ def _relinked(edges: DataFrame, both_ways: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
+def _pairs(edges: DataFrame) -> DataFrame:
+    a, b = edges.columns[:2]
+    return edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct()
+
+
+def condensed(edges: DataFrame) -> DataFrame:
+    """One round of both relinking steps: other links of the same components, mostly already to their smallest ids."""
+    return materialise(_relinked(_relinked(_pairs(edges), True), False), "links")
+
+
+def labels(edges: DataFrame) -> DataFrame:
+    """(node, component): the smallest id that a node is linked with, itself included.
+
+    Equal labels mean one component; of links that have not converged, one component may have several.
+    """
+    nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    return nodes.union(nodes.select(F.col("component").alias("node"), "component")).groupBy("node").agg(F.min("component").alias("component"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest id reachable, for every node with a link.
 
@@ -34,14 +53,11 @@ def components(edges: DataFrame) -> DataFrame:
     to the shared folder, so a lost executor costs one round at most. Links from
     a node to itself and repeated links are ignored; no links give no rows.
     """
-    a, b = edges.columns[:2]
-    now = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct()
-    now, seen = materialise(now, "links"), None
+    now, seen = materialise(_pairs(edges), "links"), None
     while True:
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen or state[0] == 0:
             break
         seen = state
-        now = materialise(_relinked(_relinked(now, True), False), "links")
-    nodes = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return nodes.union(nodes.select(F.col("component").alias("node"), "component")).groupBy("node").agg(F.min("component").alias("component"))
+        now = condensed(now)
+    return labels(now)

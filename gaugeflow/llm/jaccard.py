@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.llm.components import components
+from gaugeflow.llm.components import components, condensed, labels
 from gaugeflow.llm.frames import DOCUMENT_COLUMNS, id_and_text, map_batches
 from gaugeflow.llm.shingles import mix, shingle_sets
 from gaugeflow.session import materialise
@@ -333,7 +333,11 @@ def _open_pairs(state: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def similar_pairs(docs: DataFrame, nodes: DataFrame, bands: Bands) -> DataFrame:
-    """Links (a, b) of nodes that reach the threshold, enough to make every component of them."""
+    """Links (a, b) of nodes that make the components of all pairs that reach the threshold.
+
+    Between rounds the links are condensed only, which may leave a component with
+    several labels: that costs comparisons and loses nothing.
+    """
     percent, links, groups, tested, n_links = bands.percent, None, None, None, 0
     shared = _shared_words(docs, bands)
     while True:
@@ -343,9 +347,9 @@ def similar_pairs(docs: DataFrame, nodes: DataFrame, bands: Bands) -> DataFrame:
         n_found = found.count()
         if not n_found:
             break
-        links = found if links is None else links.union(found)
+        links = condensed(found if links is None else links.union(found))
         tested = pairs if tested is None else tested.union(pairs)
-        groups = materialise(components(links), "components")
+        groups = labels(links)
         shared = state.select("word", "node", "weight")
         n_links += n_found
         if FEW * n_found < n_links:
