@@ -45,7 +45,8 @@ SHORT = 512  # parity bits that go along with a word
 SKETCH = [f"s{i}" for i in range(SHORT // 64)]
 MISS = 1e-12  # chance of a linked pair without a common word
 FEW = 16  # rounds end when one finds less than this part of the links so far
-GROUP = 2048  # members of one word, or of one hub, compared in one task
+GROUP = 2048  # members of one word compared in one task
+PARTNERS = 256  # of one hub, compared in one task
 FILTER_BITS = 1 << 27  # of a broadcast filter at most (16 MB); a full one lets more rows pass, and loses none
 BUCKET_BITS = 1 << 15  # of one value of Spark's bitmap functions
 BATCH_BYTES = 1 << 24
@@ -247,7 +248,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int)
                 yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["of", "shingles"])
 
     sets_of = docs.select("text", F.xxhash64("doc_id").alias("key")).mapInArrow(sets, "of long, shingles binary")
-    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts"))
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("parts"))
     members = pairs.join(parts, "a").select(F.col("b").alias("node"), F.col("a").alias("bucket"), F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("side"))
     hubs = parts.select(F.col("a").alias("node"), F.col("a").alias("bucket"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("side"))
     routed = members.union(hubs).join(sets_of, F.col("node") == F.col("of")).select("bucket", "part", "side", "node", "shingles")
