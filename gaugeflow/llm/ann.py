@@ -105,6 +105,11 @@ def norm_ranges(vectors: np.ndarray, ids: np.ndarray) -> list[tuple[CollisionInd
     return made
 
 
+def _products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products, each summed in the same order wherever its row stands, so that equal vectors tie."""
+    return (vectors * query).sum(axis=1)
+
+
 def nearest_in(ranges: list[tuple[CollisionIndex, np.ndarray]], queries: np.ndarray, query_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query ids, vector ids, inner products) of the best ``k`` of a block for each query, its own row left out."""
     out_q, out_v, out_s = [], [], []
@@ -117,7 +122,7 @@ def nearest_in(ranges: list[tuple[CollisionIndex, np.ndarray]], queries: np.ndar
                 break
             found = index.candidates(query, max(LEAST, k + 1, math.ceil(SHARE * len(ids))))
             found = found[ids[found] != own]
-            all_ids, all_scores = np.append(all_ids, ids[found]), np.append(all_scores, index.vectors[found] @ query)
+            all_ids, all_scores = np.append(all_ids, ids[found]), np.append(all_scores, _products(index.vectors[found], query))
             if len(all_ids) > k:
                 border = np.partition(all_scores, len(all_ids) - k)[len(all_ids) - k]
                 close = all_scores >= border
@@ -145,7 +150,8 @@ def nearest_neighbours(embeddings: DataFrame, k: int = 20, every: int = 20, id_c
 
     Ties go to the smaller id. Rows without id, and vectors that are null, empty,
     zero or hold a null or non-finite component, take no part; vectors are compared
-    with those of their own length. A query finds no row that repeats its own id.
+    with those of their own length. A query finds no row that repeats its own id; of
+    other ids that are repeated, equal vectors count once and different ones each.
     """
     vector = F.col("vector")
     rows = embeddings.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector")).where("vec_id is not null and vector is not null")

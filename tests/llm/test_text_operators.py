@@ -518,6 +518,22 @@ def test_neighbours(spark):
     assert ann.nearest_neighbours(few.where("false")).count() == 0
 
 
+def test_copies_of_a_vector_tie():
+    """Equal vectors get equal scores wherever they stand, and come by id."""
+    random = np.random.Generator(np.random.PCG64(21))
+    vectors = random.standard_normal((2000, 64))
+    copies = np.sort(random.choice(2000, 60, replace=False))
+    vectors[copies] = vectors[copies[0]]
+    ids = np.arange(2000)
+    ranges = ann.norm_ranges(vectors, ids)
+    near = vectors[copies[0]] + 0.05 * random.standard_normal((40, 64))
+    q, v, s = ann.nearest_in(ranges, near, np.arange(10_000, 10_040), 20)
+    for query in range(10_000, 10_040):
+        mine = [(-score, i) for score, i in zip(s[q == query], v[q == query])]
+        assert mine == sorted(mine)
+        assert len({score for score, i in mine if i in set(copies.tolist())}) <= 1
+
+
 @pytest.mark.parametrize("sigma, longest", [(0.0, 1.0), (0.0, 10.0), (0.5, 1.0)])
 def test_neighbours_of_uneven_norms(sigma, longest):
     random = np.random.Generator(np.random.PCG64(4))
