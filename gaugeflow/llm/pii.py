@@ -18,6 +18,8 @@ from gaugeflow.llm.frames import DOCUMENT_COLUMNS
 KINDS = ("email", "ip", "card", "phone", "iban")
 BASE_KINDS = KINDS[:4]
 CONTEXT = 40  # characters before a span that are searched for context words
+MIN_SCORE = 0.7  # of a span of an added kind; base kinds always stay
+UNKNOWN_COUNTRY = 0.6  # score of an IBAN whose country's length is not known: context words must speak for it
 
 
 @dataclass(frozen=True)
@@ -103,7 +105,10 @@ def confirmed(kind: str, match: Column) -> Column:
 
 
 def spans_of(kind: str, text: Column) -> Column:
-    """Confirmed spans of a kind: array of (kind, start, end, value, score), in code points, end exclusive."""
+    """Confirmed spans of a kind: array of (kind, start, end, value, score), in code points, end exclusive.
+
+    Spans of kinds beyond the base ones also need a score of ``MIN_SCORE``.
+    """
     rule = RULES[kind]
     between = F.split(text, rule.pattern, -1)
     found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
@@ -114,16 +119,24 @@ def spans_of(kind: str, text: Column) -> Column:
     steps = F.zip_with(F.slice(between, 1, F.size(found)), both, lambda before, b: F.struct(before.alias("before"), b["match"].alias("match"), b["value"].alias("value")))
     span = "struct<kind:string,start:int,end:int,value:string,score:double>"
 
+    certain = F.lit(rule.score)
+    if kind == "iban":
+        countries = [c for codes in IBAN_LENGTHS.values() for c in codes.split()]
+
     def add(acc: Column, step: Column) -> Column:
-        start = acc["at"] + F.length(step["before"])
-        near = F.lower(F.right(step["before"], F.lit(CONTEXT))).rlike(rule.words)
-        score = F.lit(rule.score) + F.when(near, F.lit(1 - rule.score) / 2).otherwise(F.lit(0.0))
-        made = F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(step["value"])).alias("end"), step["value"].alias("value"), score.alias("score"))
-        kept = F.when(confirmed(kind, step["value"]), F.concat(acc["spans"], F.array(made))).otherwise(acc["spans"])
-        return F.struct((start + F.length(step["match"])).alias("at"), kept.alias("spans"))
+        start, value = acc["at"] + F.length(step["before"]), step["value"]
+        own = F.when(F.left(value, F.lit(2)).isin(*countries), certain).otherwise(F.lit(UNKNOWN_COUNTRY)) if kind == "iban" else certain
+        # What stands before a span, earlier matches included.
+        before = F.right(F.concat(acc["tail"], step["before"]), F.lit(CONTEXT))
+        score = own + F.when(F.lower(before).rlike(rule.words), (F.lit(1.0) - own) / 2).otherwise(F.lit(0.0))
+        made = F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"), score.alias("score"))
+        good = confirmed(kind, value) if kind in BASE_KINDS else confirmed(kind, value) & (score >= MIN_SCORE)
+        kept = F.when(good, F.concat(acc["spans"], F.array(made))).otherwise(acc["spans"])
+        tail = F.right(F.concat(before, step["match"]), F.lit(CONTEXT))
+        return F.struct((start + F.length(step["match"])).alias("at"), tail.alias("tail"), kept.alias("spans"))
 
     empty = F.expr(f"cast(array() as array<{span}>)")
-    walked = F.aggregate(steps, F.struct(F.lit(0).alias("at"), empty.alias("spans")), add, lambda acc: acc["spans"])
+    walked = F.aggregate(steps, F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), empty.alias("spans")), add, lambda acc: acc["spans"])
     # Without a first hint of the kind the text is neither split nor searched.
     hint = F.contains(text, F.lit(rule.needs)) if rule.needs else text.rlike("[0-9]{2}" if kind == "iban" else "[0-9][\\x20-]?[0-9]")
     return F.when(hint, walked).otherwise(empty)
@@ -145,11 +158,12 @@ def listed(spans: Column) -> Column:
 
 
 def personal_data_digest(docs: DataFrame) -> DataFrame:
-    """Counts, the base spans' hash and all spans of every document."""
+    """Counts, the base spans' hash, all spans with their scores in the same order, and how many there are, of every document."""
     found = find_personal_data(docs)
     counts = [F.size(k).cast("long").alias(f"n_{k}") for k in KINDS]
     base = F.sha2(listed(F.concat(*BASE_KINDS)), 256)
-    return found.select("doc_id", *counts[:4], base.alias("base_sha256"), listed(F.concat(*KINDS)).alias("spans"), counts[4])
+    scores = F.array_join(F.transform(F.concat(*KINDS), lambda s: F.round(s["score"], 2).cast("string")), ",")
+    return found.select("doc_id", *counts[:4], base.alias("base_sha256"), listed(F.concat(*KINDS)).alias("spans"), counts[4], scores.alias("scores"), F.size(F.concat(*KINDS)).cast("long").alias("n_any"))
 
 
 def redacted(text: Column, spans: Column) -> Column:

@@ -292,6 +292,17 @@ def test_personal_data(spark, docs, empty, sf_dir):
     assert scores.card[0].score > pii.RULES["card"].score and scores.phone[0].score == pii.RULES["phone"].score
 
 
+def test_scores_decide_on_added_kinds(spark):
+    """Context words raise a score across earlier matches, and an IBAN of an unknown country needs them."""
+    check = 98 - int("".join(str(int(c, 36)) for c in "12345678901234XX00")) % 97
+    odd = f"XX{check:02d} 1234 5678 9012 34"
+    texts = [f"see {odd} .", f"my account {odd} .", "DE89 3704 0044 0532 0130 00", "mail to a@b.cd , c@d.ef", f"account {odd} , {odd} end"]
+    got = {r.doc_id: r for r in pii.personal_data_digest(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i].n_iban for i in range(5)] == [0, 1, 1, 0, 2]
+    assert [got[i].n_any for i in range(5)] == [0, 1, 1, 2, 2]
+    assert [got[i].scores for i in range(4)] == ["", "0.8", "0.8", "0.95,0.95"]
+
+
 def test_ibans_before_other_words(spark):
     spanish = "ES91 2100 0418 4502 0005 1332"
     cases = [
