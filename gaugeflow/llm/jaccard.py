@@ -350,7 +350,7 @@ def similar_pairs(docs: DataFrame, nodes: DataFrame, bands: Bands) -> DataFrame:
             break
         links = condensed(found if links is None else links.union(found))
         tested = pairs if tested is None else tested.union(pairs)
-        groups = labels(links)
+        groups = materialise(labels(links), "groups")  # its size is known then: a small one needs no shuffle of the words
         shared = state.select("word", "node", "weight")
         n_links += n_found
         if FEW * n_found < n_links:
