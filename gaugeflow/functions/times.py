@@ -59,8 +59,9 @@ def parse_date_time(date: Column, time: Column, dates: Sequence[str] = DATE_PATT
     """Timestamp of a date text and a time text, null when either is empty,
     malformed or out of range (``24:00`` is out of range). The first of the
     ``dates`` that fits counts."""
-    h, mi, s = (F.regexp_extract(time, TIME_PATTERN, i).try_cast("int") for i in (1, 2, 3))
-    second = F.coalesce(s, F.lit(0)).cast("decimal(16,6)")
+    h, mi = (F.regexp_extract(time, TIME_PATTERN, i).try_cast("int") for i in (1, 2))
+    # Absent seconds are empty text, whose cast raises and catches an error in every row; with a zero before it none.
+    second = F.concat(F.lit("0"), F.regexp_extract(time, TIME_PATTERN, 3)).try_cast("int").cast("decimal(16,6)")
 
     def at(pattern: str) -> Column:
         y, mo, d = (F.regexp_extract(date, pattern, i).try_cast("int") for i in (1, 2, 3))
@@ -83,7 +84,8 @@ def compose_ts(df: DataFrame, date: str = "日付", time: str = "時刻", ts: st
     if missing:
         raise ValueError(f"no date/time columns {missing}")
     rest = [col(c) for c in df.columns if c not in (date, time, ts)]
-    return df.select(parse_date_time(col(date), col(time), dates).alias(ts), *rest)
+    # One time a row, as a generator: a filter on it stays above, where an expression would be parsed once more in the filter.
+    return df.select(F.explode(F.array(parse_date_time(col(date), col(time), dates))).alias(ts), *rest)
 
 
 def calendar_features(df: DataFrame, ts: str = "datetime") -> DataFrame:

@@ -242,6 +242,15 @@ def test_compose_ts_cases(spark):
         compose_ts(spark.range(1).toDF("x"))
 
 
+def test_dates_are_parsed_once_a_row(spark):
+    """A filter on the composed time used to repeat the whole parse, and absent seconds to raise an error inside every row."""
+    rows = spark.createDataFrame([("2019/5/1", "9:05"), ("2019/5/1", "24:00"), ("", "9:05"), ("2019/5/1", "9:05:07")], "`日付` string, `時刻` string")
+    got = filters.drop_null_ts(compose_ts(rows.where("length(`時刻`) > 0")))
+    assert [str(r[0]) for r in got.orderBy("datetime").collect()] == ["2019-05-01 09:05:00", "2019-05-01 09:05:07"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("try_make_timestamp_ntz(") == 3  # one for each spelling of the date
+
+
 def test_numbers_as_pandas_reads_them(spark):
     cells = ["1", " 12.5 ", "-.5", "5.", "1e3", "+2", "inf", "-Infinity", "1d", "1f", "0x10", "1_000", "1,000", "１２", "*", "", "nan", None, "欠測"]
     got = [r[0] for r in spark.createDataFrame([(c,) for c in cells], "c string").select(to_number(F.col("c"))).collect()]
