@@ -157,9 +157,11 @@ def best_fit_packing(docs: DataFrame, tokenizer: str, size: int = 1024, end_id:
     Null text is empty, so such a document is one piece holding its end id. Rows
     that repeat an id or have none are packed like any other. No rows give no rows.
     """
-    pieces = materialise(token_pieces(docs, tokenizer, size, end_id, id_col, text_col), "pieces")
-    bucket = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    pieces = pieces.withColumn("bucket", bucket.cast("int"))
+    bucket = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    pieces = token_pieces(docs, tokenizer, size, end_id, id_col, text_col).withColumn("bucket", bucket.cast("int"))
+    # The narrow rows are exchanged first, so that their files follow their size and not the number of input partitions:
+    # where Hadoop's native library is missing, an executor starts a child process for every file it makes.
+    pieces = materialise(pieces.repartition("bucket"), "pieces")
     # Ranks within a length, which may hold most pieces: counts per (length, bucket), then numbers inside those.
     counts = pieces.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     counts = materialise(counts.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))), "counts")

@@ -251,6 +251,22 @@ def test_packing(docs, empty):
     assert packing.best_fit_packing(empty, queries.BYTE_VOCABULARY).count() == 0
 
 
+def test_packing_writes_no_file_for_each_input_partition(spark, monkeypatch):
+    """Every file costs an executor a child process; 60 small partitions used to make 60 files of pieces."""
+    written = {}
+
+    def keep(df, name):
+        written[name] = packing_materialise(df, name)
+        return written[name]
+
+    packing_materialise = packing.materialise
+    monkeypatch.setattr(packing, "materialise", keep)
+    docs = spark.range(0, 600, numPartitions=60).selectExpr("id AS doc_id", "repeat(concat('word ', id, ' '), 1 + id % 40) AS text")
+    rows = packing.best_fit_packing(docs, queries.BYTE_VOCABULARY).collect()
+    assert {r.doc_id for r in rows} == set(range(600))
+    assert len(written["pieces"].inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_packing_plan_is_tight():
     random = np.random.Generator(np.random.PCG64(5))
     counts = np.bincount(random.integers(1, 1025, 20_000), minlength=1025)
