@@ -1,14 +1,11 @@
 """Gradient-boosted forecasters: fit, keep, load, apply.
 
-Every round fits one Spark ML tree to what the rounds before left over. Rounds come in
-short runs: a run starts from the residuals that the last one wrote, for training and
-for validation rows, so no round is ever fitted or scored twice, and the lineage of a
-row ends at the run. An ensemble is a table of nodes; applying it needs no model class.
+The models of a horizon are boosted together (``boosting``): no round is ever fitted or
+scored twice. An ensemble is a table of nodes; applying it needs no model class.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -16,40 +13,26 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.feature import VectorAssembler, VectorSlicer
-from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.columns import col, q, qs
 from gaugeflow.functions.numbers import change_class, level_after
+from gaugeflow.operators import boosting
+from gaugeflow.operators.boosting import FEATURES, BoostParams, Target, Tree, boost
 from gaugeflow.operators.scaling import Scaler, class_weight, denormalised, normalised
 from gaugeflow.session import materialise
 from gaugeflow.sources.spec import FORECAST_HORIZONS, StationSpec, change_name, rate_name
 from gaugeflow.sources.tables import first_existing
 
-# Rounds without gain before fitting stops, rounds at most, seed.
+# Fixed value: rounds without gain before fitting stops.
 PATIENCE = 30
-MAX_ROUNDS = 1000
-SEED = 42
 
-RUN = 10  # rounds that are fitted before residuals are written and the errors looked at
-BINS = 256  # of a feature, when its cuts are looked for
+RUN = 10  # rounds before residuals are written
 
-FEATURES = "__features"
 WEIGHT = "__weight"
 LABEL = "__label"
-REST = "__rest"
-
-
-@dataclass(frozen=True)
-class BoostParams:
-    rounds: int = MAX_ROUNDS
-    step: float = 0.1
-    depth: int = 5
-    leaf_rows: int = 1
-    feature_share: float = 1.0
-    row_share: float = 1.0
 
 
 # Tuned settings of each station.
@@ -76,50 +59,6 @@ def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return packed.drop(*plain.values())
 
 
-@dataclass(frozen=True)
-class Tree:
-    """Nodes in preorder; ``feature`` is -1 at a leaf."""
-
-    feature: np.ndarray
-    cut: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-    value: np.ndarray
-
-    def predict(self, rows: np.ndarray) -> np.ndarray:
-        at, every = np.zeros(len(rows), dtype=np.int64), np.arange(len(rows))
-        while (inner := self.feature[at] >= 0).any():
-            go = np.where(rows[every, np.maximum(self.feature[at], 0)] <= self.cut[at], self.left[at], self.right[at])
-            at = np.where(inner, go, at)
-        return self.value[at]
-
-
-_SPLIT = re.compile(r"If \(feature (\d+) <= (\S+)\)")
-
-
-def _nodes(model: RandomForestRegressionModel, columns: Sequence[int] | None) -> Tree:
-    """The only tree of a model, from its text; ``columns`` are the places its features have in the whole matrix."""
-    lines = iter(x.strip() for x in model.trees[0].toDebugString.split("\n")[1:])
-    feature, cut, left, right, value = [], [], [], [], []
-
-    def read() -> int:
-        line, at = next(lines), len(feature)
-        for part in (feature, cut, left, right, value):
-            part.append(0)
-        if line.startswith("Predict:"):
-            feature[at], cut[at], value[at] = -1, float("nan"), float(line.split(":")[1])
-            return at
-        f, c = _SPLIT.fullmatch(line).groups()
-        feature[at], cut[at], value[at] = (columns[int(f)] if columns else int(f)), float(c), float("nan")
-        left[at] = read()
-        next(lines)  # the "Else" of this split
-        right[at] = read()
-        return at
-
-    read()
-    return Tree(np.array(feature), np.array(cut, dtype=float), np.array(left), np.array(right), np.array(value, dtype=float))
-
-
 @dataclass(frozen=True)
 class Ensemble:
     """``base`` plus ``step`` times what the trees say; ``errors`` are those of the validation rows, round by round."""
@@ -178,33 +117,14 @@ def scored(spark: SparkSession, ensemble: Ensemble) -> Callable[[Column], Column
 
 
 def best_round(errors: Sequence[float], patience: int = PATIENCE) -> int:
-    """Number of rounds (1-based) with the lowest error, not looking further
-    once ``patience`` rounds in a row brought no gain."""
-    best = 0
-    for i, e in enumerate(errors):
-        if e < errors[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
-def _tree_of(params: BoostParams, round_no: int, share: float, out: str) -> RandomForestRegressor:
-    """One tree on the residuals; a leaf holds at least ``share`` of the weight."""
-    return RandomForestRegressor(
-        featuresCol=FEATURES,
-        labelCol=LABEL,
-        weightCol=WEIGHT,
-        predictionCol=out,
-        numTrees=1,
-        bootstrap=False,
-        maxDepth=params.depth,
-        maxBins=BINS,
-        minWeightFractionPerNode=share,
-        featureSubsetStrategy=str(params.feature_share) if params.feature_share < 1 else "all",
-        subsamplingRate=params.row_share,
-        seed=SEED + round_no,
-    )
+    """Number of rounds with the lowest error; see ``boosting.best_round``."""
+    return boosting.best_round(errors, patience)
+
+
+def _fit(train: DataFrame, val: DataFrame | None, targets: Sequence[Target], params: BoostParams, patience: int) -> list[Ensemble]:
+    fitted = boost(train, val, targets, params, patience, RUN)
+    kept = [best_round(m.errors, patience) if m.errors else len(m.trees) for m in fitted]
+    return [Ensemble(m.base, params.step, tuple(m.trees[:n]), tuple(m.errors)) for m, n in zip(fitted, kept, strict=True)]
 
 
 def fit_one(
@@ -213,42 +133,10 @@ def fit_one(
     """Boost on assembled, weighted rows; the number of rounds is chosen by the
     weighted mean absolute error on the validation rows.
 
-    After a run of rounds the residuals are written, and the next run goes on from
-    them; validation rows get the new trees only. It ends ``patience`` rounds after
-    the best one. ``columns`` picks the features of the matrix that may be used.
+    It ends ``patience`` rounds after the best one. ``columns`` picks the features of
+    the matrix that may be used.
     """
-    weight, total = train.agg(F.sum(WEIGHT), F.sum(F.col(WEIGHT) * F.col(label))).first()
-    base = total / weight if weight else 0.0
-    share = min(params.leaf_rows / weight, 0.49) if weight else 0.0
-
-    def started(rows: DataFrame) -> DataFrame:
-        picked = VectorSlicer(inputCol=FEATURES, outputCol="__picked", indices=list(columns)).transform(rows).drop(FEATURES).withColumnRenamed("__picked", FEATURES) if columns else rows
-        return picked.select(FEATURES, WEIGHT, (F.col(label) - F.lit(base)).alias(REST))
-
-    rows, checks = started(train), started(val) if val is not None else None
-    trees: list[Tree] = []
-    errors: list[float] = []
-    while len(trees) < params.rounds:
-        run, rest = rows, F.col(REST)
-        left = [F.col(REST)]
-        for k in range(min(RUN, params.rounds - len(trees))):
-            out = f"__t{k}"
-            model = _tree_of(params, len(trees), share, out).fit(run.withColumn(LABEL, rest))
-            trees.append(_nodes(model, columns))
-            run, rest = model.transform(run), rest - F.lit(params.step) * F.col(out)
-            if checks is not None:
-                checks = model.transform(checks)
-                left.append(left[-1] - F.lit(params.step) * F.col(out))
-        if checks is not None:
-            mean = [F.sum(F.abs(x) * F.col(WEIGHT)) / F.sum(WEIGHT) for x in left[1:]]
-            errors += list(checks.agg(*[m.alias(f"e{i}") for i, m in enumerate(mean)]).first())
-            if len(errors) - best_round(errors, patience) >= patience:
-                break
-        if len(trees) < params.rounds:
-            rows = materialise(run.select(FEATURES, WEIGHT, rest.alias(REST)), "residuals")
-            checks = materialise(checks.select(FEATURES, WEIGHT, left[-1].alias(REST)), "residuals") if checks is not None else None
-    kept = best_round(errors, patience) if errors else len(trees)
-    return Ensemble(base, params.step, tuple(trees[:kept]), tuple(errors))
+    return _fit(train, val, [Target(label, WEIGHT, columns)], params, patience)[0]
 
 
 @dataclass(frozen=True)
@@ -261,9 +149,12 @@ class Forecaster:
     models: Mapping[tuple[int, str], Ensemble]
 
 
+def _row_weight(change: str, replicate: bool) -> Column:
+    return (class_weight(change_class(col(change))) if replicate else F.lit(1)).cast("double")
+
+
 def _training_rows(df: DataFrame, change: str, target: str, replicate: bool) -> DataFrame:
-    weight = class_weight(change_class(col(change))) if replicate else F.lit(1)
-    return df.select(FEATURES, col(target).alias(LABEL), weight.cast("double").alias(WEIGHT))
+    return df.select(FEATURES, col(target).alias(LABEL), _row_weight(change, replicate).alias(WEIGHT))
 
 
 def fit_forecasters(
@@ -282,42 +173,39 @@ def fit_forecasters(
 ) -> Forecaster:
     """One model per horizon and kind on normalised features and targets.
 
-    All models share one assembled matrix; ``used`` names the features of those that
-    do not take all (``spec.model_inputs`` has them of a specification).
+    All models share one assembled matrix, and those of a horizon, whose rows have the
+    same weights, are boosted in the same jobs; ``used`` names the features of those
+    that do not take all (``spec.model_inputs`` has them of a specification).
 
     Rows of larger changes carry the weight of the copies they stand for, which
-    leaves the table at its size. ``parallel`` fits are submitted at a time so that
-    their small last stages fill each other's gaps.
+    leaves the table at its size. ``parallel`` horizons are fitted at a time, since
+    the jobs of a round are short and wait for each other.
     """
     params = params or station_params(spec.station)
     names = {"rate": rate_name, "change": change_name}
     label_cols = [names[k](spec.station, h) for h in horizons for k in ("rate", "change")]
 
-    def prepare(df: DataFrame) -> DataFrame:
+    def prepare(df: DataFrame, replicate: bool) -> DataFrame:
         scaled = df.select(
             *[normalised(q(f), scaler, f) for f in features],
             *[normalised(q(c), scaler, c, "norm " + c) for c in label_cols],
-            *qs(change_name(spec.station, h) for h in horizons),
+            *[_row_weight(change_name(spec.station, h), replicate).alias(f"{WEIGHT}{h}") for h in horizons],
         )
         return assemble(scaled, features).drop(*features)
 
-    # Written once: all fits read these tables, and losing an executor costs no more than its task.
-    ready = materialise(prepare(train), "training")
-    ready_val = materialise(prepare(val), "validation") if val is not None else None
+    # Written once: several jobs read these tables, and losing an executor costs no more than its task.
+    ready = materialise(prepare(train, True), "training")
+    ready_val = materialise(prepare(val, replicate_val), "validation") if val is not None else None
 
     place = {f: i for i, f in enumerate(features)}
 
-    def fit(task: tuple[int, str]) -> Ensemble:
-        h, kind = task
-        change, target = change_name(spec.station, h), "norm " + names[kind](spec.station, h)
-        rows = _training_rows(ready, change, target, True)
-        checks = _training_rows(ready_val, change, target, replicate_val) if ready_val is not None else None
-        picked = [place[f] for f in used[task] if f in place] if used and task in used else None
-        return fit_one(rows, checks, params, LABEL, patience, picked)
+    def fit(h: int) -> dict[tuple[int, str], Ensemble]:
+        picked = {k: [place[f] for f in used[h, k] if f in place] if used and (h, k) in used else None for k in kinds}
+        targets = [Target("norm " + names[k](spec.station, h), f"{WEIGHT}{h}", c) for k, c in picked.items()]
+        return {(h, k): e for k, e in zip(kinds, _fit(ready, ready_val, targets, params, patience), strict=True)}
 
-    tasks = [(h, kind) for h in horizons for kind in kinds]
     with ThreadPoolExecutor(parallel) as pool:
-        models = dict(zip(tasks, pool.map(fit, tasks), strict=True))
+        models = {task: e for made in pool.map(fit, horizons) for task, e in made.items()}
     ends = {c: tuple(scaler[c]) for c in [*features, *label_cols]}
     return Forecaster(spec.station, tuple(features), ends, models)
 

@@ -7,6 +7,7 @@ import zipfile
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from gaugeflow.operators import features, forecast, isolation, scaling
@@ -220,6 +221,62 @@ def test_runs_continue_from_the_residuals(spark, waves, monkeypatch):
     made.unpersist()
 
 
+@pytest.fixture(scope="module")
+def noisy(spark):
+    """Assembled rows with three features, one of few values, and weights of one to three."""
+    rng = np.random.default_rng(5)
+    x = np.column_stack([rng.normal(size=3000), rng.integers(0, 7, 3000), rng.random(3000)])
+    pdf = pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "c": x[:, 2], forecast.WEIGHT: rng.integers(1, 4, 3000).astype(float)})
+    pdf[forecast.LABEL] = np.sin(3 * x[:, 0]) + (x[:, 1] == 4) + rng.normal(0, 0.1, 3000)
+    made = forecast.assemble(spark.createDataFrame(pdf).repartition(3), ["a", "b", "c"]).persist()
+    yield made
+    made.unpersist()
+
+
+def test_trees_are_those_of_spark_ml(noisy):
+    """The first tree says what a tree of Spark ML says with the same settings."""
+    params = forecast.BoostParams(rounds=1, step=1.0, depth=4, leaf_rows=30)
+    ours = forecast.fit_one(noisy, None, params, forecast.LABEL)
+    weight = noisy.agg(F.sum(forecast.WEIGHT)).first()[0]
+    model = RandomForestRegressor(
+        featuresCol=forecast.FEATURES, labelCol=forecast.LABEL, weightCol=forecast.WEIGHT, predictionCol="said", numTrees=1, bootstrap=False,
+        maxDepth=4, maxBins=256, minWeightFractionPerNode=30 / weight, featureSubsetStrategy="all", seed=1,
+    ).fit(noisy)
+    x, pdf = matrix_of(model.transform(noisy))
+    np.testing.assert_allclose(ours.predict(x), pdf["said"], rtol=1e-9, atol=1e-12)
+
+
+def test_a_level_of_all_models_is_one_job(spark, noisy):
+    """More rounds cost one job a level, and no more for a second model."""
+    sc = spark.sparkContext
+
+    def jobs(group: str, rounds: int, models: int) -> int:
+        sc.setJobGroup(group, group)
+        targets = [forecast.Target(forecast.LABEL, forecast.WEIGHT) for _ in range(models)]
+        forecast.boost(noisy, noisy.limit(500), targets, forecast.BoostParams(rounds=rounds, depth=3), 30, 100)
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        return len(sc.statusTracker().getJobIdsForGroup(group))
+
+    few, more, both = jobs("few", 2, 1), jobs("more", 6, 1), jobs("both", 6, 2)
+    assert more - few <= 4 * 3 and both <= more
+
+
+def test_many_nodes_and_parts_do_not_change_trees(noisy, monkeypatch):
+    """Sums in groups, sums added in stages and small blocks give the same trees; shares of rows and features are drawn alike."""
+    params = forecast.BoostParams(rounds=3, step=0.3, depth=5, leaf_rows=5)
+    x, _ = matrix_of(noisy)
+    whole = forecast.fit_one(noisy, noisy, params, forecast.LABEL)
+    for name, value in (("SUMS", 40_000), ("PART", 400), ("BLOCK", 100), ("NEAR", 2)):
+        monkeypatch.setattr(forecast.boosting, name, value)
+    parts = forecast.fit_one(noisy, noisy, params, forecast.LABEL)
+    np.testing.assert_allclose(parts.errors, whole.errors, rtol=1e-9)
+    np.testing.assert_allclose(parts.predict(x), whole.predict(x), rtol=1e-9)
+    drawn = forecast.BoostParams(rounds=3, depth=5, leaf_rows=5, feature_share=0.6, row_share=0.5)
+    once, again = (forecast.fit_one(noisy, None, drawn, forecast.LABEL) for _ in range(2))
+    np.testing.assert_array_equal(once.predict(x), again.predict(x))
+    assert np.abs(once.predict(x) - forecast.fit_one(noisy, None, forecast.BoostParams(rounds=3, depth=5, leaf_rows=5), forecast.LABEL).predict(x)).max() > 0
+
+
 def test_best_round_stops_after_patience():
     assert forecast.best_round([3, 2, 1, 2, 2], 5) == 3
     assert forecast.best_round([3, 2, 2.5, 2.5, 2.5, 1], 3) == 2
