@@ -319,7 +319,7 @@ class _Growth:
         with np.errstate(divide="ignore", invalid="ignore"):
             gain = np.where(fits, below * below / left + above * above / right, -np.inf)
         most = gain.max()
-        if not most - moved * moved / weight > np.finfo(float).eps * weight:
+        if not most - moved * moved / weight > max(SAME * most, np.finfo(float).eps * weight):
             return
         best = int(np.argmax(gain >= most - SAME * most))  # the first of equal ones, whatever the order of the sums
         column, cut = divmod(best, sums.shape[-1])
